@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from repo_pulse.functions import strict_json
 from repo_pulse.operators.bronze import ERROR, with_coordinates
+from repo_pulse.schema import BRONZE
 
 PUSH = "PushEvent"
 PULL_REQUEST = "PullRequestEvent"
@@ -21,7 +22,8 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     payload = F.col("payload")
     is_push = F.col("event_type") == PUSH
     is_pull_request = F.col("event_type") == PULL_REQUEST
-    opened = bronze.select("*", F.try_parse_json("payload_json").alias("payload")).select(
+    rows = bronze.select(*BRONZE.names)
+    opened = rows.select("*", F.try_parse_json("payload_json").alias("payload")).select(
         "*",
         F.try_variant_get(payload, "$.action", "variant").alias("action_value"),
         F.when(is_push, F.try_variant_get(payload, "$.size", "variant")).alias("size_value"),

@@ -7,25 +7,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def struct(text: str) -> T.StructType:
     """`name type` pairs separated by commas; a trailing `?` marks a nullable column."""
     fields = []
     for item in text.split(","):
         name, kind = item.split()
-        fields.append(
-            T.StructField(name, T.DataType.fromDDL(kind.rstrip("?")), kind.endswith("?"))
-        )
+        fields.append(T.StructField(name, _TYPES[kind.rstrip("?")], kind.endswith("?")))
     return T.StructType(fields)
 
 
-BRONZE = _struct(
+BRONZE = struct(
     "event_id string, event_type string, created_at timestamp, is_public boolean,"
     "actor_id bigint, actor_login string, repo_id bigint, repo_name string,"
     "org_id bigint?, org_login string?, payload_json string,"
     "archive_hour timestamp, source_file string, source_line_number bigint"
 )
 
-SILVER = _struct(
+SILVER = struct(
     "event_id string, event_type string, event_date date, created_at timestamp,"
     "actor_id bigint, actor_login string, repo_id bigint, repo_name string,"
     "org_id bigint?, org_login string?, action string?, commit_count bigint?,"
@@ -48,7 +55,7 @@ METRICS = (
 
 GOLD_KEY = ("technology_id", "activity_date")
 
-GOLD = _struct(
+GOLD = struct(
     "technology_id string, activity_date date," + ",".join(f"{m} bigint" for m in METRICS)
 )
 

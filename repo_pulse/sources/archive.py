@@ -18,7 +18,8 @@ NAIVE_HOUR = "archive_hour must be timezone-aware"
 UNALIGNED_HOUR = "archive_hour must be aligned to a full UTC hour"
 
 _LINES = "value string, archive_date date, archive_hour int"
-_ROW_IN_TASK = F.lit((1 << 33) - 1)
+# The low 33 bits of a row id count the rows of its task.
+_ROW_IN_TASK = (1 << 33) - 1
 
 
 def hours(spark: SparkSession, from_date: date, to_date: date) -> DataFrame:
@@ -171,7 +172,7 @@ def read_whole_archives(
         "value",
         _folder_hour().alias("archive_hour"),
         F.col("_metadata.file_name").alias("source_file"),
-        (F.monotonically_increasing_id().bitwiseAND(_ROW_IN_TASK) + 1).alias(
+        (F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK)) + 1).alias(
             "source_line_number"
         ),
     )

@@ -25,8 +25,8 @@ from repo_pulse.session import configure, scoped_conf
 
 NULL_IN_REQUIRED = "null in a required column"
 
-LEDGER = T.StructType.fromDDL(
-    "layer string, source_file string, event_date date, row_count bigint, committed_at timestamp"
+LEDGER = schema.struct(
+    "layer string, source_file string, event_date date?, row_count bigint, committed_at timestamp"
 )
 
 # Dynamic overwrite replaces exactly the partitions written. A task holds rows of few
