@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The shape nearly every archive line has; Spark's cast takes it as it is.
-_PLAIN = r"\A\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
+_PLAIN = r"\A\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z\z"
 # Extended ISO 8601: a date, any one separator, a time, an offset.
 _DATE = r"\A\d{4}-\d{2}-\d{2}"
 _TIME = r".\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?"

@@ -24,26 +24,53 @@ SQL_TYPE = {"STRING": "string", "BIGINT": "bigint", "BOOLEAN": "boolean"}
 INVALID = "invalid JSON"
 
 
-def wrap(line: Column, checksum: Column) -> Column:
-    """A variant `[line, checksum]`; null where the text cannot be JSON at all.
+_CHECKSUM = "line checksum"
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
-    The JSON reader stops at the end of the first value and ignores what follows. With the
-    line's checksum as second element any text after the object shows: it would have to close
-    the array early (no second element) or add elements (the second is not the checksum).
-    One parse per line.
+
+def parse_line(line: Column, checksum: Column, members: str) -> Column:
+    """One pass over a line: the array `[object, {checksum}]`, members as declared.
+
+    The JSON reader stops at the end of the first value and ignores what follows. With an
+    object holding the line's checksum behind it, any text after the line's object shows: it
+    would have to close the array early (one element) or add elements (three).
     """
-    return F.try_parse_json(
-        F.concat(F.lit("["), line, F.lit(","), checksum.cast("string"), F.lit("]"))
+    tail = F.concat(F.lit(f',{{"{_CHECKSUM}":'), checksum.cast("string"), F.lit("}]"))
+    return F.from_json(
+        F.concat(F.lit("["), line, tail),
+        f"array<struct<{members}, `{_CHECKSUM}`: bigint>>",
+        _STRICT,
     )
 
 
-def is_whole(wrapped: Column, checksum: Column) -> Column:
+def is_whole(parsed: Column, checksum: Column) -> Column:
     """True when the line is exactly one JSON value, with nothing after it."""
-    return F.try_variant_get(wrapped, "$[1]", "bigint").eqNullSafe(checksum) & (
-        F.try_variant_get(wrapped, "$[2]", "variant").isNull()
+    return (F.size(parsed) == 2) & F.try_element_at(parsed, F.lit(2))[_CHECKSUM].eqNullSafe(
+        checksum
+    )
+
+
+def whole_variant(line: Column) -> Column:
+    """The line as a variant, null unless it is exactly one JSON value. Parses the line twice,
+    each time closed in another way: text after the value breaks one or the other."""
+    in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"line":'), line, F.lit("}")))
+    return F.when(
+        in_array.isNotNull() & F.try_variant_get(in_array, "$[1]", "variant").isNull(),
+        F.try_variant_get(in_object, "$.line", "variant"),
     )
 
 
+def object_text(text: Column, line: Column, path: str) -> Column:
+    """True when a member taken as text is an object, not a string that looks like one.
+
+    Both begin with a brace. A string that does leaves a quote right before the brace, plain
+    or escaped, in the line; only lines with such a mark are looked at again.
+    """
+    mark = F.contains(line, F.lit('"{')) | F.contains(line, F.lit('"\\u007'))
+    return F.startswith(text, F.lit("{")) & (~mark | is_object(F.try_parse_json(line), path))
+
+
 def shallow(value: Column, path: str, *keys: str) -> Column:
     """The named members of an object as variants; null when the value is not an object."""
     members = ", ".join(f"`{key}` variant" for key in keys)

@@ -42,26 +42,48 @@ _EVENT_FIELDS = (
 _COORDINATES = ("value", "archive_hour", "source_file", "source_line_number")
 
 
+_MEMBERS = (
+    "id: variant, type: variant, created_at: variant, public: variant,"
+    "actor: variant, repo: variant, org: variant, payload: string"
+)
+
+
 def _open(lines: DataFrame) -> DataFrame:
-    """Parse each line once and take the few members that matter, as variants."""
-    wrapped, checksum = F.col("wrapped"), F.col("checksum")
-    parsed = lines.select(*_COORDINATES, F.xxhash64("value").alias("checksum")).select(
-        "*", strict_json.wrap(F.col("value"), checksum).alias("wrapped")
+    """Parse each line once; the few members that matter stay variants, the payload is text."""
+    parsed, checksum, event = F.col("parsed"), F.col("checksum"), F.col("event")
+    once = lines.select(*_COORDINATES, F.xxhash64("value").alias("checksum")).select(
+        "*", strict_json.parse_line(F.col("value"), checksum, _MEMBERS).alias("parsed")
     )
-    return parsed.select(
+    return once.select(
         *_COORDINATES,
-        "wrapped",
-        (strict_json.is_whole(wrapped, checksum) & F.is_valid_utf8("value")).alias("whole"),
-        strict_json.shallow(
-            wrapped, "$[0]", "id", "type", "created_at", "public", "org"
-        ).alias("event"),
-        strict_json.shallow(wrapped, "$[0].actor", "id", "login").alias("actor"),
-        strict_json.shallow(wrapped, "$[0].repo", "id", "name").alias("repo"),
-        strict_json.shallow(wrapped, "$[0].org", "id", "login").alias("org"),
+        (strict_json.is_whole(parsed, checksum) & F.is_valid_utf8("value")).alias("whole"),
+        F.try_element_at(parsed, F.lit(1)).alias("event"),
+    ).select(
+        "*",
+        strict_json.shallow(event["actor"], "$", "id", "login").alias("actor"),
+        strict_json.shallow(event["repo"], "$", "id", "name").alias("repo"),
+        strict_json.shallow(event["org"], "$", "id", "login").alias("org"),
+        # Compact, key order kept; the contract is equality as JSON.
+        event["payload"].alias("payload_json"),
+    )
+
+
+def _all_right() -> Column:
+    """The short test nearly every row passes, so that messages are worked out for few."""
+    condition = F.col("whole") & strict_json.object_text(
+        F.col("payload_json"), F.col("value"), "$.payload"
     )
+    for column, _, sql_kind, _ in _EVENT_FIELDS[:-2]:
+        condition = condition & F.col(f"{column}_kind").eqNullSafe(sql_kind)
+    org_right = F.when(
+        F.col("org").isNotNull(),
+        F.col("org_id_kind").eqNullSafe("BIGINT") & F.col("org_login_kind").eqNullSafe("STRING"),
+    ).otherwise(F.col("event.org").isNull() | F.is_variant_null("event.org"))
+    return condition & F.col("created_at").isNotNull() & org_right
 
 
 def _first_error() -> Column:
+    """The first error of a row that is not right, over the line parsed again as `again`."""
     errors = {}
     for column, source, sql_kind, path in _EVENT_FIELDS:
         kind = F.col(f"{column}_kind")
@@ -74,30 +96,19 @@ def _first_error() -> Column:
     members = []
     for column, error in errors.items():
         members += [error, after_text] if column == "created_text" else [error]
-    wrapped = F.col("wrapped")
+    again = F.col("again")
     return F.coalesce(
-        F.when(~F.col("whole"), F.lit(strict_json.INVALID)),
-        F.when(F.col("event").isNull(), F.lit("event must be a JSON object")),
-        strict_json.object_error(wrapped, "$[0].actor", "actor"),
-        strict_json.object_error(wrapped, "$[0].repo", "repo"),
-        strict_json.object_error(wrapped, "$[0].payload", "payload"),
+        F.when(again.isNull() | ~F.is_valid_utf8("value"), F.lit(strict_json.INVALID)),
+        F.when(~strict_json.is_object(again), F.lit("event must be a JSON object")),
+        strict_json.object_error(again, "$.actor", "actor"),
+        strict_json.object_error(again, "$.repo", "repo"),
+        strict_json.object_error(again, "$.payload", "payload"),
         strict_json.optional_object_error(F.col("event.org"), "org"),
         *members,
+        F.lit(strict_json.INVALID),
     )
 
 
-def _all_right() -> Column:
-    """The short test nearly every row passes, so that messages are worked out for few."""
-    condition = F.col("whole") & strict_json.is_object(F.col("wrapped"), "$[0].payload")
-    for column, _, sql_kind, _ in _EVENT_FIELDS[:-2]:
-        condition = condition & F.col(f"{column}_kind").eqNullSafe(sql_kind)
-    org_right = F.when(
-        F.col("org").isNotNull(),
-        F.col("org_id_kind").eqNullSafe("BIGINT") & F.col("org_login_kind").eqNullSafe("STRING"),
-    ).otherwise(F.col("event.org").isNull() | F.is_variant_null("event.org"))
-    return condition & F.col("created_at").isNotNull() & org_right
-
-
 def parse_events(lines: DataFrame) -> DataFrame:
     """`value, archive_hour, source_file, source_line_number` to Bronze columns plus `_error`.
 
@@ -115,9 +126,11 @@ def parse_events(lines: DataFrame) -> DataFrame:
     typed = known.select("*", *values)
     typed = typed.select("*", instants.parse_instant(F.col("created_text")).alias("created_at"))
     tested = strict_json.behind_barrier(typed, _all_right(), "right")
-    message = F.when(~F.col("right"), _first_error())
+    wrong = ~F.coalesce("right", F.lit(False))
+    failed = tested.select(
+        "*", F.when(wrong, strict_json.whole_variant(F.col("value"))).alias("again")
+    ).select("*", F.when(wrong, _first_error()).alias("message"))
     named = with_coordinates(strict_json.name_kinds(F.col("message")))
-    failed = tested.select("*", message.alias("message"))
     return strict_json.behind_barrier(failed, named, ERROR).select(
         "event_id",
         "event_type",
@@ -129,8 +142,7 @@ def parse_events(lines: DataFrame) -> DataFrame:
         "repo_name",
         "org_id",
         "org_login",
-        # Compact, key order kept; the contract is equality as JSON.
-        F.get_json_object("value", "$.payload").alias("payload_json"),
+        "payload_json",
         "archive_hour",
         "source_file",
         "source_line_number",
