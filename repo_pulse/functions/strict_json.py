@@ -7,6 +7,8 @@ variant null, and the two are told apart.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,11 +66,13 @@ def whole_variant(line: Column) -> Column:
 def object_text(text: Column, line: Column, path: str) -> Column:
     """True when a member taken as text is an object, not a string that looks like one.
 
-    Both begin with a brace. A string that does leaves a quote right before the brace, plain
-    or escaped, in the line; only lines with such a mark are looked at again.
+    An object's text is `{}` or begins with a brace and a quote. A string of that form has its
+    quote escaped in the line, so only lines with such a mark, and `{}`, are looked at again.
     """
-    mark = F.contains(line, F.lit('"{')) | F.contains(line, F.lit('"\\u007'))
-    return F.startswith(text, F.lit("{")) & (~mark | is_object(F.try_parse_json(line), path))
+    mark = F.contains(line, F.lit('{\\"')) | F.contains(line, F.lit("\\u00"))
+    return (F.startswith(text, F.lit('{"')) & ~mark) | (
+        F.startswith(text, F.lit("{")) & is_object(F.try_parse_json(line), path)
+    )
 
 
 def shallow(value: Column, path: str, *keys: str) -> Column:
@@ -87,32 +91,32 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def taken(value: Column, kind_column: Column, sql_kind: str) -> Column:
+def taken(value: Column, sql_kind: str) -> Column:
     """The value where its kind is exact, else null."""
-    return F.when(kind_column == sql_kind, F.try_variant_get(value, "$", SQL_TYPE[sql_kind]))
+    return F.when(kind(value) == sql_kind, F.try_variant_get(value, "$", SQL_TYPE[sql_kind]))
 
 
-def member_error(value: Column, kind_column: Column, sql_kind: str, path: str) -> Column:
-    """Error of a required member, null when its kind is exact. The kind found is appended as
-    it is, `name_kinds` turns it into a type name."""
-    wrong = F.concat(F.lit(f"field '{path}' must be {TYPE_NAMES[sql_kind]}, got "), kind_column)
+def member_error(value: Column, sql_kind: str, path: str) -> Column:
+    """Error of a required member, null when its kind is exact. A number that is not a 64-bit
+    integer counts as a float."""
+    names = F.create_map(*[F.lit(x) for pair in TYPE_NAMES.items() for x in pair])
+    found = F.try_element_at(names, F.regexp_extract(kind(value), r"^\w+", 0))
+    wrong = F.concat(
+        F.lit(f"field '{path}' must be {TYPE_NAMES[sql_kind]}, got "),
+        F.coalesce(found, F.lit("float")),
+    )
     return F.when(value.isNull(), F.lit(f"field '{path}' is required")).when(
-        kind_column != sql_kind, wrong
+        kind(value) != sql_kind, wrong
     )
 
 
-def name_kinds(message: Column) -> Column:
-    """Replace the kind at the end of a message by its type name; any number that is not a
-    64-bit integer is a float."""
-    found = F.regexp_extract(message, r"(?s)\Afield '[^']*' must be \w+, got (\w+)", 1)
-    names = F.create_map(*[F.lit(x) for pair in TYPE_NAMES.items() for x in pair])
-    return F.when(
-        found != "",
-        F.concat(
-            F.regexp_extract(message, r"(?s)\A(field '[^']*' must be \w+, got )", 1),
-            F.coalesce(F.try_element_at(names, found), F.lit("float")),
-        ),
-    ).otherwise(message)
+def first_error(errors: Sequence[Column]) -> Column:
+    """The first error that is not null.
+
+    Same as coalesce, but evaluated without generated code: the many messages would make a
+    method too long for the JVM to compile, and few rows need them.
+    """
+    return F.get(F.filter(F.array(*errors), lambda error: error.isNotNull()), F.lit(0))
 
 
 def object_error(container: Column, path: str, name: str) -> Column:
@@ -132,12 +136,11 @@ def optional_object_error(member: Column, name: str) -> Column:
     return F.when(~absent & ~is_object(member), F.lit(f"field '{name}' must be dict"))
 
 
-def behind_barrier(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """Add a column that filters do not look through.
+def opaque(value: Column) -> Column:
+    """The same value, which filters do not look through.
 
     The optimizer rewrites a filter on a projected column into a filter on its expression
-    below the projection, which here would parse each line again for every field an error
-    looks at. It does not push filters through a generator. A generator also starts a new
-    generated method, which keeps each one short enough for the JVM to compile.
+    below the projection, which here would parse each line again for every member an error
+    looks at. It leaves expressions alone that depend on the partition.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    return F.when(F.spark_partition_id() >= 0, value)

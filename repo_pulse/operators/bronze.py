@@ -26,112 +26,122 @@ def with_coordinates(message: Column) -> Column:
     )
 
 
-# Required members in the order their errors are reported: column, source, kind, path.
-_EVENT_FIELDS = (
-    ("event_id", "event.id", "STRING", "id"),
-    ("event_type", "event.type", "STRING", "type"),
-    ("created_text", "event.created_at", "STRING", "created_at"),
-    ("is_public", "event.public", "BOOLEAN", "public"),
-    ("actor_id", "actor.id", "BIGINT", "actor.id"),
-    ("actor_login", "actor.login", "STRING", "actor.login"),
-    ("repo_id", "repo.id", "BIGINT", "repo.id"),
-    ("repo_name", "repo.name", "STRING", "repo.name"),
-    ("org_id", "org.id", "BIGINT", "org.id"),
-    ("org_login", "org.login", "STRING", "org.login"),
+# Required members in the order their errors are reported: source, kind, path. The text of
+# `created_at` is looked at right after its kind.
+_REQUIRED = (
+    ("again_event.id", "STRING", "id"),
+    ("again_event.type", "STRING", "type"),
+    ("again_event.created_at", "STRING", "created_at"),
+    ("again_event.public", "BOOLEAN", "public"),
+    ("again_actor.id", "BIGINT", "actor.id"),
+    ("again_actor.login", "STRING", "actor.login"),
+    ("again_repo.id", "BIGINT", "repo.id"),
+    ("again_repo.name", "STRING", "repo.name"),
+    ("again_org.id", "BIGINT", "org.id"),
+    ("again_org.login", "STRING", "org.login"),
 )
 _COORDINATES = ("value", "archive_hour", "source_file", "source_line_number")
 
-
+# The JSON reader takes only whole numbers for bigint and only true and false for boolean, but
+# any value for a string; so texts are read as variants and their kind is tested.
 _MEMBERS = (
-    "id: variant, type: variant, created_at: variant, public: variant,"
-    "actor: variant, repo: variant, org: variant, payload: string"
+    "id: variant, type: variant, created_at: variant, public: boolean,"
+    "actor: struct<id: bigint, login: variant>, repo: struct<id: bigint, name: variant>,"
+    "org: variant, payload: string"
 )
 
 
 def _open(lines: DataFrame) -> DataFrame:
-    """Parse each line once; the few members that matter stay variants, the payload is text."""
+    """Parse each line once and take its members; a member of another kind is null."""
     parsed, checksum, event = F.col("parsed"), F.col("checksum"), F.col("event")
     once = lines.select(*_COORDINATES, F.xxhash64("value").alias("checksum")).select(
         "*", strict_json.parse_line(F.col("value"), checksum, _MEMBERS).alias("parsed")
     )
-    return once.select(
+    opened = once.select(
         *_COORDINATES,
         (strict_json.is_whole(parsed, checksum) & F.is_valid_utf8("value")).alias("whole"),
         F.try_element_at(parsed, F.lit(1)).alias("event"),
-    ).select(
+    ).select("*", strict_json.shallow(event["org"], "$", "id", "login").alias("org"))
+    typed = opened.select(
         "*",
-        strict_json.shallow(event["actor"], "$", "id", "login").alias("actor"),
-        strict_json.shallow(event["repo"], "$", "id", "name").alias("repo"),
-        strict_json.shallow(event["org"], "$", "id", "login").alias("org"),
+        strict_json.taken(event["id"], "STRING").alias("event_id"),
+        strict_json.taken(event["type"], "STRING").alias("event_type"),
+        strict_json.taken(event["created_at"], "STRING").alias("created_text"),
+        event["public"].alias("is_public"),
+        event["actor"]["id"].alias("actor_id"),
+        strict_json.taken(event["actor"]["login"], "STRING").alias("actor_login"),
+        event["repo"]["id"].alias("repo_id"),
+        strict_json.taken(event["repo"]["name"], "STRING").alias("repo_name"),
+        strict_json.taken(F.col("org.id"), "BIGINT").alias("org_id"),
+        strict_json.taken(F.col("org.login"), "STRING").alias("org_login"),
         # Compact, key order kept; the contract is equality as JSON.
         event["payload"].alias("payload_json"),
     )
+    return typed.select("*", instants.parse_instant(F.col("created_text")).alias("created_at"))
 
 
 def _all_right() -> Column:
     """The short test nearly every row passes, so that messages are worked out for few."""
-    condition = F.col("whole") & strict_json.object_text(
-        F.col("payload_json"), F.col("value"), "$.payload"
-    )
-    for column, _, sql_kind, _ in _EVENT_FIELDS[:-2]:
-        condition = condition & F.col(f"{column}_kind").eqNullSafe(sql_kind)
-    org_right = F.when(
-        F.col("org").isNotNull(),
-        F.col("org_id_kind").eqNullSafe("BIGINT") & F.col("org_login_kind").eqNullSafe("STRING"),
-    ).otherwise(F.col("event.org").isNull() | F.is_variant_null("event.org"))
-    return condition & F.col("created_at").isNotNull() & org_right
-
-
-def _first_error() -> Column:
-    """The first error of a row that is not right, over the line parsed again as `again`."""
-    errors = {}
-    for column, source, sql_kind, path in _EVENT_FIELDS:
-        kind = F.col(f"{column}_kind")
-        errors[column] = strict_json.member_error(F.col(source), kind, sql_kind, path)
-    for column in ("org_id", "org_login"):
-        errors[column] = F.when(F.col("org").isNotNull(), errors[column])
-    after_text = F.when(
-        F.col("created_at").isNull(), instants.instant_error(F.col("created_text"))
-    )
-    members = []
-    for column, error in errors.items():
-        members += [error, after_text] if column == "created_text" else [error]
+    present = ("event_id", "event_type", "created_at", "is_public", "actor_id", "actor_login")
+    condition = F.col("whole")
+    for column in (*present, "repo_id", "repo_name"):
+        condition = condition & F.col(column).isNotNull()
+    org = F.col("event.org")
+    no_org = org.isNull() | F.is_variant_null(org)
+    has_org = F.col("org_id").isNotNull() & F.col("org_login").isNotNull()
+    payload = strict_json.object_text(F.col("payload_json"), F.col("value"), "$.payload")
+    return condition & (no_org | has_org) & payload
+
+
+def _again(tested: DataFrame) -> DataFrame:
+    """Parse the lines that are not right once more, each member as a variant."""
     again = F.col("again")
-    return F.coalesce(
+    parsed = F.when(F.col("wrong"), strict_json.whole_variant(F.col("value")))
+    return tested.select("*", parsed.alias("again")).select(
+        "*",
+        strict_json.shallow(again, "$", "id", "type", "created_at", "public", "org").alias(
+            "again_event"
+        ),
+        strict_json.shallow(again, "$.actor", "id", "login").alias("again_actor"),
+        strict_json.shallow(again, "$.repo", "id", "name").alias("again_repo"),
+        strict_json.shallow(again, "$.org", "id", "login").alias("again_org"),
+    )
+
+
+def _errors() -> list[Column]:
+    """What can be wrong with a row, in the order of reporting. A row that was not taken for
+    another reason is refused all the same."""
+    again, errors = F.col("again"), []
+    errors += [
         F.when(again.isNull() | ~F.is_valid_utf8("value"), F.lit(strict_json.INVALID)),
-        F.when(~strict_json.is_object(again), F.lit("event must be a JSON object")),
+        F.when(F.col("again_event").isNull(), F.lit("event must be a JSON object")),
         strict_json.object_error(again, "$.actor", "actor"),
         strict_json.object_error(again, "$.repo", "repo"),
         strict_json.object_error(again, "$.payload", "payload"),
-        strict_json.optional_object_error(F.col("event.org"), "org"),
-        *members,
-        F.lit(strict_json.INVALID),
-    )
+        strict_json.optional_object_error(F.col("again_event.org"), "org"),
+    ]
+    for source, sql_kind, path in _REQUIRED:
+        error = strict_json.member_error(F.col(source), sql_kind, path)
+        if path.startswith("org."):
+            error = F.when(F.col("again_org").isNotNull(), error)
+        errors.append(error)
+        if path == "created_at":
+            text = F.try_variant_get(F.col(source), "$", "string")
+            errors.append(F.when(F.col("created_at").isNull(), instants.instant_error(text)))
+    return [*errors, F.lit(strict_json.INVALID)]
 
 
 def parse_events(lines: DataFrame) -> DataFrame:
     """`value, archive_hour, source_file, source_line_number` to Bronze columns plus `_error`.
 
     The error is the first one in the order: text, object, actor, repo, payload, org, then
-    the fields from id to org.login. The work is laid out in small steps: one generated
-    method per step stays short enough for the JVM to compile.
+    the fields from id to org.login.
     """
-    opened = _open(lines)
-    kinds = [strict_json.kind(F.col(f[1])).alias(f"{f[0]}_kind") for f in _EVENT_FIELDS]
-    known = opened.select("*", *kinds)
-    values = [
-        strict_json.taken(F.col(source), F.col(f"{column}_kind"), sql_kind).alias(column)
-        for column, source, sql_kind, _ in _EVENT_FIELDS
-    ]
-    typed = known.select("*", *values)
-    typed = typed.select("*", instants.parse_instant(F.col("created_text")).alias("created_at"))
-    tested = strict_json.behind_barrier(typed, _all_right(), "right")
-    wrong = ~F.coalesce("right", F.lit(False))
-    failed = tested.select(
-        "*", F.when(wrong, strict_json.whole_variant(F.col("value"))).alias("again")
-    ).select("*", F.when(wrong, _first_error()).alias("message"))
-    named = with_coordinates(strict_json.name_kinds(F.col("message")))
-    return strict_json.behind_barrier(failed, named, ERROR).select(
+    wrong = ~F.coalesce(_all_right(), F.lit(False))
+    tested = _open(lines).select("*", wrong.alias("wrong"))
+    message = F.when(F.col("wrong"), strict_json.first_error(_errors()))
+    error = strict_json.opaque(with_coordinates(message))
+    return _again(tested).select(
         "event_id",
         "event_type",
         "created_at",
@@ -146,7 +156,7 @@ def parse_events(lines: DataFrame) -> DataFrame:
         "archive_hour",
         "source_file",
         "source_line_number",
-        ERROR,
+        error.alias(ERROR),
     )
 
 

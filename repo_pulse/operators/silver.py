@@ -50,7 +50,7 @@ def to_silver(bronze: DataFrame) -> DataFrame:
             "field 'payload.pull_request.merged' must be bool",
         ),
     )
-    return strict_json.behind_barrier(opened, with_coordinates(message), ERROR).select(
+    return opened.select(
         "event_id",
         "event_type",
         F.to_date("created_at").alias("event_date"),
@@ -67,5 +67,5 @@ def to_silver(bronze: DataFrame) -> DataFrame:
         "archive_hour",
         "source_file",
         "source_line_number",
-        ERROR,
+        strict_json.opaque(with_coordinates(message)).alias(ERROR),
     )
