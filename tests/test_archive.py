@@ -1,0 +1,101 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from repo_pulse.sources import archive
+from tests.conftest import HOUR, land, line
+
+
+def test_calendar_is_24_utc_hours(spark):
+    hours = archive.hours(spark, dt.date(2025, 1, 2), dt.date(2025, 1, 3)).orderBy("hour")
+    found = [row.hour for row in hours.collect()]
+    assert len(found) == 48
+    assert found[0] == dt.datetime(2025, 1, 2) and found[23] == dt.datetime(2025, 1, 2, 23)
+
+
+def test_coordinates(spark):
+    row = archive.coordinates(
+        spark.sql("SELECT TIMESTAMP'2026-09-01 03:00:00Z' AS hour")
+    ).first()
+    assert row.url == "https://data.gharchive.org/2026-09-01-3.json.gz"
+    assert row.source_file == "2026-09-01-3.json.gz"
+    assert row.path == (
+        "gharchive/archive_date=2026-09-01/archive_hour=03/2026-09-01-3.json.gz"
+    )
+
+
+def test_hours_are_normalized_or_refused(spark):
+    cases = {
+        "2026-09-01T03:00:00Z": ("2026-09-01T03:00:00", None),
+        "2026-09-01T05:30:00+02:30": ("2026-09-01T03:00:00", None),
+        "2026-09-01T03Z": ("2026-09-01T03:00:00", None),
+        "2026-09-01T03:00-05": ("2026-09-01T08:00:00", None),
+        "2026-09-01T03:00:00": (None, "archive_hour must be timezone-aware"),
+        "2026-09-01": (None, "archive_hour must be timezone-aware"),
+        "2026-09-01T03:30:00Z": (None, "archive_hour must be aligned to a full UTC hour"),
+        "2026-09-01T03:00:00.000001Z": (
+            None,
+            "archive_hour must be aligned to a full UTC hour",
+        ),
+        "2026-13-01T03:00:00Z": (None, "Invalid isoformat string: '2026-13-01T03:00:00Z'"),
+        "later": (None, "Invalid isoformat string: 'later'"),
+    }
+    rows = archive.normalize_hour(
+        spark.createDataFrame([(text,) for text in cases], "hour_text string")
+    ).collect()
+    found = {r.hour_text: (r.hour and r.hour.isoformat(), r.error) for r in rows}
+    assert found == cases
+
+
+def test_landing_counts_finished_archives(spark, tmp_path):
+    land(tmp_path, HOUR, [line()])
+    partial = land(tmp_path, HOUR.replace(hour=4), [line()])
+    dt_folder = partial.rsplit("/", 1)[0]
+    with open(f"{dt_folder}/2025-01-02-5.json.gz.part", "wb") as stream:
+        stream.write(b"half")
+    expected = archive.hours(spark, HOUR.date(), HOUR.date())
+    landed = archive.landing(archive.inventory(spark, str(tmp_path)), expected)
+    found = {row.hour.hour for row in landed.where("landed").collect()}
+    assert found == {3, 4}
+    assert landed.count() == 24 and landed.agg(F.sum("archive_count")).first()[0] == 2
+
+
+def numbered(rows):
+    found = {}
+    for row in rows.collect():
+        found.setdefault(row.source_file, {})[row.source_line_number] = row.value
+    return found
+
+
+def test_line_numbers_count_blank_and_crlf_lines(spark, tmp_path):
+    first = land(tmp_path, HOUR, ["a", "", "b", "  ", "c"])
+    second = land(tmp_path, HOUR.replace(hour=4), ["x", "", "y"], newline="\r\n")
+    rows = archive.read_archives(spark, str(tmp_path), [first, second])
+    assert numbered(rows) == {
+        "2025-01-02-3.json.gz": {1: "a", 2: "", 3: "b", 4: "  ", 5: "c"},
+        "2025-01-02-4.json.gz": {1: "x", 2: "", 3: "y"},
+    }
+    assert {row.archive_hour for row in rows.collect()} == {
+        dt.datetime(2025, 1, 2, 3),
+        dt.datetime(2025, 1, 2, 4),
+    }
+
+
+def test_line_numbers_hold_with_several_files_in_a_task(spark, tmp_path):
+    for hour in range(12):
+        texts = [f"{hour}-{n}" for n in range(1, 40 + hour)]
+        land(tmp_path, HOUR.replace(hour=hour), texts)
+    rows = archive.read_archives(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() <= 12
+    for name, lines in numbered(rows).items():
+        hour = int(name.split("-")[3].split(".")[0])
+        assert lines == {n: f"{hour}-{n}" for n in range(1, 40 + hour)}
+
+
+def test_lines_are_never_shuffled(spark, tmp_path):
+    land(tmp_path, HOUR, ["a"])
+    rows = archive.read_archives(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    physical = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
