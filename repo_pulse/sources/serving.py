@@ -36,11 +36,12 @@ def create_statements(table: str = TABLE) -> list[str]:
 
 
 def upsert_statement(table: str = TABLE, staging: str = STAGING) -> str:
-    """Insert the staged rows or update those present by key; other rows stay."""
+    """Insert the staged rows or update those present by key; other rows stay. Distinct, as a
+    task that is run twice may stage its rows twice."""
     updates = [f"{name} = EXCLUDED.{name}" for name in METRICS]
     updates.append("published_at = CURRENT_TIMESTAMP")
     return (
-        f"INSERT INTO {table} ({COLUMNS}) SELECT {COLUMNS} FROM {staging} WHERE true "
+        f"INSERT INTO {table} ({COLUMNS}) SELECT DISTINCT {COLUMNS} FROM {staging} WHERE true "
         f"ON CONFLICT ({', '.join(GOLD_KEY)}) DO UPDATE SET {', '.join(updates)}"
     )
 
