@@ -7,7 +7,6 @@ late, so some archives hold events of the day before.
 
 from __future__ import annotations
 
-import math
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,12 +51,22 @@ REPOSITORIES = (
 # Lines per derived archive file; an hour with more is delivered as several files.
 LINES_PER_ARCHIVE = 1_000_000
 
+# Three numbers per hour: a century of hours takes about 25 MB.
+BROADCAST_HOURS = 1_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows in at least as many partitions as there are cores. A table kept in fewer files
+    would leave cores idle while its rows are parsed; a large one is returned as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
+def events(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """One derived event per row of `events`, as plain columns."""
     number, user = F.col("event_id"), F.col("user_id")
     merged = number % 16 == 1
@@ -78,6 +87,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     has_org = number % 3 == 0
     base = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    if spread_out:
+        base = spread(base)
     return base.select(
         number.alias("event_number"),
         number.cast("string").alias("event_id"),
@@ -146,7 +157,7 @@ def lines(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataFram
     With `malformed`, every 97th line writes `id` as a number and every 89th push or pull
     request carries a counter of the wrong type.
     """
-    rows = events(spark, sf_dir)
+    rows = events(spark, sf_dir, spread_out=True)
     quoted = F.concat(F.lit('"'), F.col("event_id"), F.lit('"'))
     number = F.col("event_number")
     event_id, payload = quoted, payload_text()
@@ -208,7 +219,9 @@ def write_archives(rows: DataFrame, raw_root: str) -> None:
         "files",
         F.coalesce(F.sum("files").over(before), F.lit(0)).alias("first_file"),
     )
-    total = sizes.agg(F.sum("files")).first()[0] or 1
+    hours, total = sizes.agg(F.count(F.lit(1)), F.sum("files")).first()
+    if hours <= BROADCAST_HOURS:
+        placed = F.broadcast(placed)
     file_id = F.col("first_file") + F.col("event_number") % F.col("files")
     archives = rows.join(placed, "archive_hour").select(
         "value",
@@ -218,7 +231,7 @@ def write_archives(rows: DataFrame, raw_root: str) -> None:
         file_id.cast("int").alias("file_id"),
     )
     (
-        archives.repartitionById(math.ceil(total), F.col("file_id"))
+        archives.repartitionById(max(1, total or 0), F.col("file_id"))
         .sortWithinPartitions("archive_date", "archive_hour", "event_number")
         .select("value", "archive_date", "archive_hour")
         .write.partitionBy("archive_date", "archive_hour")
