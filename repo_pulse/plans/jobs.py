@@ -12,13 +12,13 @@ from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from repo_pulse.operators import bronze, gold, quality, silver
 from repo_pulse.session import scoped_conf
 from repo_pulse.sources import archive
-from repo_pulse.sources.lakehouse import Lakehouse, in_list, sources_frame
+from repo_pulse.sources.lakehouse import Lakehouse, sources_frame
 from repo_pulse.sources.serving import JdbcServing
 
 # Fixed value: the first daily partition.
@@ -38,9 +38,35 @@ class RunSummary:
     reused_archive_count: int = 0
 
 
-def load_bronze(lake: Lakehouse, raw_root: str, archives: DataFrame) -> int:
-    """Load the archives (`path, source_file`) not loaded yet; returns the rows that became
-    visible. Scan, parse and write are one stage: no shuffle, no sort, a task per archive.
+# A gzip file is read by one task. Above this size its lines are handed to others for parsing,
+# in parts of about the second size, counted in compressed bytes.
+LARGE_ARCHIVE = 256 * 1024 * 1024
+LARGE_PART = 32 * 1024 * 1024
+
+
+def _parsed(lake: Lakehouse, raw_root: str, archives: Sequence[Row], large: int) -> DataFrame:
+    """Parsed rows of archives. Most are parsed where they are read: no shuffle, no sort, a
+    task per archive. The lines of a large one, numbered as they are read, are spread over
+    many tasks first, as parsing costs several times what reading does."""
+    usual = [row.path for row in archives if row.length < large]
+    hot = [row for row in archives if row.length >= large]
+    parts = []
+    if usual:
+        lines = archive.read_whole_archives(lake.spark, raw_root, usual)
+        parts.append(bronze.parse_events(lines))
+    if hot:
+        lines = archive.read_whole_archives(lake.spark, raw_root, [row.path for row in hot])
+        spread = sum(row.length for row in hot) // min(LARGE_PART, large) + 1
+        lines = lines.repartition(spread, "source_file", "source_line_number")
+        parts.append(bronze.parse_events(lines))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_bronze(
+    lake: Lakehouse, raw_root: str, archives: DataFrame, large: int = LARGE_ARCHIVE
+) -> int:
+    """Load the archives (`path, source_file, length`) not loaded yet; returns the rows that
+    became visible.
 
     The list of pending paths is held by the driver, as Spark's own file listing is. When a
     name occurs in several folders, one of them is taken: the bare name is the identity.
@@ -48,19 +74,19 @@ def load_bronze(lake: Lakehouse, raw_root: str, archives: DataFrame) -> int:
     pending = (
         lake.pending("bronze", archives)
         .groupBy("source_file")
-        .agg(F.min("path").alias("path"))
+        .agg(F.min_by(F.struct("path", "length"), "path").alias("file"))
+        .select("source_file", "file.path", "file.length")
         .collect()
     )
     if not pending:
         return 0
     with scoped_conf(lake.spark, archive.whole_file_settings(lake.spark)):
-        lines = archive.read_whole_archives(lake.spark, raw_root, [row.path for row in pending])
-        lake.write_sources("bronze", bronze.parse_events(lines))
+        lake.write_sources("bronze", _parsed(lake, raw_root, pending, large))
     return lake.commit("bronze", [row.source_file for row in pending])
 
 
 def load_bronze_paths(lake: Lakehouse, raw_root: str, paths: Sequence[str]) -> int:
-    return load_bronze(lake, raw_root, sources_frame(lake.spark, paths))
+    return load_bronze(lake, raw_root, archive.listed(lake.spark, paths)) if paths else 0
 
 
 def load_silver(lake: Lakehouse, sources: Sequence[str] | None = None) -> int:
@@ -68,7 +94,7 @@ def load_silver(lake: Lakehouse, sources: Sequence[str] | None = None) -> int:
     is in neither layer is an error. Returns the rows that became visible."""
     loaded = lake.commits("bronze").select("source_file")
     if sources is not None:
-        wanted = sources_frame(lake.spark, list(dict.fromkeys(sources))).select("source_file")
+        wanted = sources_frame(lake.spark, sources)
         todo = lake.pending("silver", wanted)
         unknown = todo.join(loaded, "source_file", "left_anti").orderBy("source_file")
         missing = unknown.limit(20).collect()
@@ -107,13 +133,14 @@ def run_hours(
     expected = lake.spark.createDataFrame(
         pa.table({"hour": pa.array(wanted, pa.timestamp("us", "UTC"))})
     ).distinct()
-    landed = archive.inventory(lake.spark, raw_root).where(in_list("archive_date", dates))
+    landed = archive.inventory(lake.spark, raw_root, dates)
     absent = archive.landing(landed, expected).where(~F.col("landed")).orderBy("hour").collect()
     if absent:
         names = ", ".join(f"{row.hour:%Y-%m-%dT%H}" for row in absent)
         raise FileNotFoundError(f"archive hours have not landed: {names}")
-    files = landed.join(expected, "hour", "left_semi").select("path", "source_file").collect()
-    bronze_rows = load_bronze_paths(lake, raw_root, [row.path for row in files])
+    wanted_files = landed.join(expected, "hour", "left_semi")
+    files = wanted_files.select("source_file").collect()
+    bronze_rows = load_bronze(lake, raw_root, wanted_files)
     silver_rows = load_silver(lake, [row.source_file for row in files])
     gold_rows = build_gold(lake, dates, repository_index)
     return RunSummary(len(hours), bronze_rows, silver_rows, gold_rows, len(hours))
@@ -141,11 +168,9 @@ def backfill(
     """Raw to Gold for everything that has landed in a range of dates, as one Bronze load,
     one Silver load and one Gold build. Hours that have not landed show in the checks."""
     dates = date_range(from_date, to_date)
-    landed = archive.inventory(lake.spark, raw_root).where(
-        F.col("archive_date").between(from_date, to_date)
-    )
-    files = landed.select("path", "source_file").collect()
-    bronze_rows = load_bronze_paths(lake, raw_root, [row.path for row in files])
+    landed = archive.inventory(lake.spark, raw_root, dates)
+    files = landed.select("source_file").collect()
+    bronze_rows = load_bronze(lake, raw_root, landed)
     silver_rows = load_silver(lake, [row.source_file for row in files])
     gold_rows = build_gold(lake, dates, repository_index)
     return RunSummary(len(files), bronze_rows, silver_rows, gold_rows, len(files))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,30 +71,52 @@ def zone(raw_root: str) -> str:
     return f"{raw_root.rstrip('/')}/{ZONE}"
 
 
-def inventory(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Archives that have landed: `path, source_file, hour, length`.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+_INVENTORY = (
+    "path string, source_file string, length bigint, archive_date date, hour timestamp"
+)
 
-    Only the listing is read, never file content. Unfinished downloads do not end in `.gz`.
-    A date filter on `archive_date` prunes folders.
+
+def inventory(
+    spark: SparkSession, raw_root: str, dates: Sequence[date] | None = None
+) -> DataFrame:
+    """Archives that have landed: `path, source_file, length, archive_date, hour`.
+
+    Only the listing is read, never file content; with `dates`, only the folders of those
+    dates are listed. Unfinished downloads do not end in `.gz`.
     """
-    files = (
+    reader = (
         spark.read.format("binaryFile")
-        .schema(
-            "path string, modificationTime timestamp, length bigint, content binary,"
-            "archive_date date, archive_hour int"
-        )
+        .schema(f"{_FILES}, archive_date date, archive_hour int")
         .option("pathGlobFilter", "*.gz")
-        .load(zone(raw_root))
+        .option("basePath", zone(raw_root))
     )
+    root = zone(raw_root)
+    if dates is not None:
+        root += "/archive_date={" + ",".join(day.isoformat() for day in dates) + "}"
+    try:
+        files = reader.load(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _INVENTORY)
+    name = F.element_at(F.split("path", "/"), -1)
     return files.select(
         "path",
-        F.element_at(F.split("path", "/"), -1).alias("source_file"),
+        name.alias("source_file"),
+        "length",
         "archive_date",
         _folder_hour().alias("hour"),
-        "length",
     )
 
 
+def listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """`path, source_file, length` of given archives, from their listing."""
+    files = spark.read.format("binaryFile").schema(_FILES).load(list(paths))
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.select("path", name.alias("source_file"), "length")
+
+
 def landing(landed: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected hours with the number and size of their landed archives (none: not landed).
 

@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,9 @@ from repo_pulse.session import configure, scoped_conf
 
 NULL_IN_REQUIRED = "null in a required column"
 
+# Bad sources named in the message of a failed load.
+SHOWN = 20
+
 LEDGER = schema.struct(
     "layer string, source_file string, event_date date?, row_count bigint, committed_at timestamp"
 )
@@ -136,17 +140,16 @@ class Lakehouse:
             else (self.silver, F.col("event_date"))
         )
         written = self.spark.table(table).where(in_list("source_file", sources))
+        line, faulty = F.col("source_line_number"), F.col(ERROR).isNotNull()
+        # Numbers only, so that rows are aggregated by hash; texts would have them sorted.
         counted = (
             written.groupBy("source_file", dated.alias("event_date"))
             .agg(
                 F.count(F.lit(1)).alias("row_count"),
-                F.count(ERROR).alias("errors"),
-                F.min(F.when(F.col(ERROR).isNotNull(), F.col("source_line_number"))).alias("at"),
-                F.min_by(
-                    ERROR, F.when(F.col(ERROR).isNotNull(), F.col("source_line_number"))
-                ).alias("first_error"),
-                F.min("source_line_number").alias("first_line"),
-                F.max("source_line_number").alias("last_line"),
+                F.count_if(faulty).alias("errors"),
+                F.min(F.when(faulty, line)).alias("error_line"),
+                F.min(line).alias("first_line"),
+                F.max(line).alias("last_line"),
             )
             .persist()
         )
@@ -154,7 +157,7 @@ class Lakehouse:
             by_source = counted.groupBy("source_file").agg(
                 F.sum("row_count").alias("row_count"),
                 F.sum("errors").alias("errors"),
-                F.min_by("first_error", "at").alias("first_error"),
+                F.min("error_line").alias("error_line"),
                 F.min("first_line").alias("first_line"),
                 F.max("last_line").alias("last_line"),
             )
@@ -171,16 +174,26 @@ class Lakehouse:
             )
             # One file, so the batch appears in the ledger at once; a row per source and date.
             rows.coalesce(1).write.insertInto(self.ledger)
-            total = counted.join(clean, "source_file", "left_semi").agg(F.sum("row_count"))
-            committed = total.first()[0] or 0
-            bad = by_source.where("errors > 0").orderBy("source_file")
-            failed = bad.select("first_error", "errors").limit(20).collect()
+            committed = rows.agg(F.sum("row_count")).first()[0] or 0
+            bad = by_source.where("errors > 0").orderBy("source_file").limit(SHOWN).collect()
         finally:
             counted.unpersist()
-        if failed:
-            raise LoadError("; ".join(f"{r.first_error} ({r.errors} errors)" for r in failed))
+        if bad:
+            raise LoadError(self._describe(written, bad))
         return committed
 
+    def _describe(self, written: DataFrame, bad: Sequence[Row]) -> str:
+        """The first error of each of a few bad sources, and how many there are."""
+        errors = {row.source_file: row.errors for row in bad}
+        lines = {row.source_file: row.error_line for row in bad}
+        firsts = [
+            in_list("source_file", [name]) & (F.col("source_line_number") == at)
+            for name, at in lines.items()
+        ]
+        texts = written.where(reduce(lambda one, other: one | other, firsts))
+        found = texts.orderBy("source_file").select("source_file", ERROR).collect()
+        return "; ".join(f"{row[ERROR]} ({errors[row.source_file]} errors)" for row in found)
+
     # -- reads --------------------------------------------------------------------------
 
     def read_bronze(self, sources: Sequence[str] | None = None) -> DataFrame:
@@ -249,7 +262,7 @@ class Lakehouse:
             )
 
 
-def sources_frame(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """`path, source_file` of a list of archive paths, as a relation of known size."""
-    names = [path.rstrip("/").rsplit("/", 1)[-1] for path in paths]
-    return spark.createDataFrame(pa.table({"path": list(paths), "source_file": names}))
+def sources_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """Distinct source names as a relation of known size."""
+    distinct = list(dict.fromkeys(names))
+    return spark.createDataFrame(pa.table({"source_file": pa.array(distinct, pa.string())}))

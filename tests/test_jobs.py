@@ -98,6 +98,18 @@ def test_a_crash_before_the_ledger_leaves_nothing_visible(lake, tmp_path, monkey
     assert jobs.load_silver(lake) == 2 and lake.read_silver().count() == 2
 
 
+def test_a_large_archive_is_parsed_by_several_tasks(lake, tmp_path):
+    texts = [push(n % 60, size=n) for n in range(500)]
+    land(tmp_path, HOUR, texts)
+    land(tmp_path, HOUR.replace(hour=4), [push(hour=4)])
+    assert jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path), large=1000) == 501
+    rows = lake.read_bronze(["2025-01-02-3.json.gz"])
+    numbers = sorted((r.source_line_number, json.loads(r.payload_json)["size"]) for r in rows.collect())
+    assert numbers == [(n + 1, n) for n in range(500)]
+    stored = lake.spark.table(lake.bronze).where("source_file = '2025-01-02-3.json.gz'")
+    assert stored.select("_metadata.file_path").distinct().count() > 1
+
+
 def test_an_empty_archive_is_not_recorded(lake, tmp_path):
     path = land(tmp_path, HOUR, [])
     assert jobs.load_bronze_paths(lake, str(tmp_path), [path]) == 0
