@@ -7,7 +7,7 @@ variant null, and the two are told apart.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,6 +119,12 @@ def first_error(errors: Sequence[Column]) -> Column:
     return F.get(F.filter(F.array(*errors), lambda error: error.isNotNull()), F.lit(0))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value worked out once per row, however often the body uses it;
+    like `first_error`, outside generated code."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def object_error(container: Column, path: str, name: str) -> Column:
     """Error of a required object, null when it is one."""
     missing = F.try_variant_get(container, path, "variant").isNull()

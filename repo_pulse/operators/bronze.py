@@ -26,28 +26,27 @@ def with_coordinates(message: Column) -> Column:
     )
 
 
-# Required members in the order their errors are reported: source, kind, path. The text of
-# `created_at` is looked at right after its kind.
-_REQUIRED = (
-    ("again_event.id", "STRING", "id"),
-    ("again_event.type", "STRING", "type"),
-    ("again_event.created_at", "STRING", "created_at"),
-    ("again_event.public", "BOOLEAN", "public"),
-    ("again_actor.id", "BIGINT", "actor.id"),
-    ("again_actor.login", "STRING", "actor.login"),
-    ("again_repo.id", "BIGINT", "repo.id"),
-    ("again_repo.name", "STRING", "repo.name"),
-    ("again_org.id", "BIGINT", "org.id"),
-    ("again_org.login", "STRING", "org.login"),
-)
 _COORDINATES = ("value", "archive_hour", "source_file", "source_line_number")
 
-# The JSON reader takes only whole numbers for bigint and only true and false for boolean, but
-# any value for a string; so texts are read as variants and their kind is tested.
+# Variants, as reading one never fails: of a repeated key the last value counts, whatever its
+# kind, where a typed member of the wrong kind would leave an earlier value in place.
 _MEMBERS = (
-    "id: variant, type: variant, created_at: variant, public: boolean,"
-    "actor: struct<id: bigint, login: variant>, repo: struct<id: bigint, name: variant>,"
-    "org: variant, payload: string"
+    "id: variant, type: variant, created_at: variant, public: variant,"
+    "actor: variant, repo: variant, org: variant, payload: string"
+)
+
+# Required members in the order their errors are reported: column, object, key, kind.
+_REQUIRED = (
+    ("event_id", "event", "id", "STRING"),
+    ("event_type", "event", "type", "STRING"),
+    ("created_text", "event", "created_at", "STRING"),
+    ("is_public", "event", "public", "BOOLEAN"),
+    ("actor_id", "actor", "id", "BIGINT"),
+    ("actor_login", "actor", "login", "STRING"),
+    ("repo_id", "repo", "id", "BIGINT"),
+    ("repo_name", "repo", "name", "STRING"),
+    ("org_id", "org", "id", "BIGINT"),
+    ("org_login", "org", "login", "STRING"),
 )
 
 
@@ -61,22 +60,19 @@ def _open(lines: DataFrame) -> DataFrame:
         *_COORDINATES,
         (strict_json.is_whole(parsed, checksum) & F.is_valid_utf8("value")).alias("whole"),
         F.try_element_at(parsed, F.lit(1)).alias("event"),
-    ).select("*", strict_json.shallow(event["org"], "$", "id", "login").alias("org"))
-    typed = opened.select(
+    ).select(
         "*",
-        strict_json.taken(event["id"], "STRING").alias("event_id"),
-        strict_json.taken(event["type"], "STRING").alias("event_type"),
-        strict_json.taken(event["created_at"], "STRING").alias("created_text"),
-        event["public"].alias("is_public"),
-        event["actor"]["id"].alias("actor_id"),
-        strict_json.taken(event["actor"]["login"], "STRING").alias("actor_login"),
-        event["repo"]["id"].alias("repo_id"),
-        strict_json.taken(event["repo"]["name"], "STRING").alias("repo_name"),
-        strict_json.taken(F.col("org.id"), "BIGINT").alias("org_id"),
-        strict_json.taken(F.col("org.login"), "STRING").alias("org_login"),
+        strict_json.shallow(event["actor"], "$", "id", "login").alias("actor"),
+        strict_json.shallow(event["repo"], "$", "id", "name").alias("repo"),
+        strict_json.shallow(event["org"], "$", "id", "login").alias("org"),
         # Compact, key order kept; the contract is equality as JSON.
         event["payload"].alias("payload_json"),
     )
+    members = [
+        strict_json.taken(F.col(owner)[key], sql_kind).alias(column)
+        for column, owner, key, sql_kind in _REQUIRED
+    ]
+    typed = opened.select("*", *members)
     return typed.select("*", instants.parse_instant(F.col("created_text")).alias("created_at"))
 
 
@@ -93,40 +89,32 @@ def _all_right() -> Column:
     return condition & (no_org | has_org) & payload
 
 
-def _again(tested: DataFrame) -> DataFrame:
-    """Parse the lines that are not right once more, each member as a variant."""
-    again = F.col("again")
-    parsed = F.when(F.col("wrong"), strict_json.whole_variant(F.col("value")))
-    return tested.select("*", parsed.alias("again")).select(
-        "*",
-        strict_json.shallow(again, "$", "id", "type", "created_at", "public", "org").alias(
-            "again_event"
-        ),
-        strict_json.shallow(again, "$.actor", "id", "login").alias("again_actor"),
-        strict_json.shallow(again, "$.repo", "id", "name").alias("again_repo"),
-        strict_json.shallow(again, "$.org", "id", "login").alias("again_org"),
-    )
-
-
-def _errors() -> list[Column]:
-    """What can be wrong with a row, in the order of reporting. A row that was not taken for
-    another reason is refused all the same."""
-    again, errors = F.col("again"), []
-    errors += [
+def _errors(again: Column) -> list[Column]:
+    """What can be wrong with a line, parsed once more as `again`, in the order of reporting.
+    A row that was not taken for another reason is refused all the same."""
+    objects = {
+        "event": strict_json.shallow(again, "$", "id", "type", "created_at", "public", "org"),
+        "actor": strict_json.shallow(again, "$.actor", "id", "login"),
+        "repo": strict_json.shallow(again, "$.repo", "id", "name"),
+        "org": strict_json.shallow(again, "$.org", "id", "login"),
+    }
+    errors = [
         F.when(again.isNull() | ~F.is_valid_utf8("value"), F.lit(strict_json.INVALID)),
-        F.when(F.col("again_event").isNull(), F.lit("event must be a JSON object")),
+        F.when(objects["event"].isNull(), F.lit("event must be a JSON object")),
         strict_json.object_error(again, "$.actor", "actor"),
         strict_json.object_error(again, "$.repo", "repo"),
         strict_json.object_error(again, "$.payload", "payload"),
-        strict_json.optional_object_error(F.col("again_event.org"), "org"),
+        strict_json.optional_object_error(objects["event"]["org"], "org"),
     ]
-    for source, sql_kind, path in _REQUIRED:
-        error = strict_json.member_error(F.col(source), sql_kind, path)
-        if path.startswith("org."):
-            error = F.when(F.col("again_org").isNotNull(), error)
+    for _, owner, key, sql_kind in _REQUIRED:
+        member = objects[owner][key]
+        path = key if owner == "event" else f"{owner}.{key}"
+        error = strict_json.member_error(member, sql_kind, path)
+        if owner == "org":
+            error = F.when(objects["org"].isNotNull(), error)
         errors.append(error)
         if path == "created_at":
-            text = F.try_variant_get(F.col(source), "$", "string")
+            text = F.try_variant_get(member, "$", "string")
             errors.append(F.when(F.col("created_at").isNull(), instants.instant_error(text)))
     return [*errors, F.lit(strict_json.INVALID)]
 
@@ -139,9 +127,10 @@ def parse_events(lines: DataFrame) -> DataFrame:
     """
     wrong = ~F.coalesce(_all_right(), F.lit(False))
     tested = _open(lines).select("*", wrong.alias("wrong"))
-    message = F.when(F.col("wrong"), strict_json.first_error(_errors()))
-    error = strict_json.opaque(with_coordinates(message))
-    return _again(tested).select(
+    again = strict_json.whole_variant(F.col("value"))
+    message = strict_json.bind(again, lambda value: strict_json.first_error(_errors(value)))
+    error = strict_json.opaque(with_coordinates(F.when(F.col("wrong"), message)))
+    return tested.select(
         "event_id",
         "event_type",
         "created_at",
