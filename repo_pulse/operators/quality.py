@@ -19,7 +19,11 @@ SUBTYPES = (
 
 
 def archive_hours(silver: DataFrame) -> DataFrame:
-    """Distinct archive hours present for each event date; two columns are read."""
+    """Distinct archive hours present for each event date, in order; two columns are read."""
+    return _present_hours(silver).orderBy("event_date", "archive_hour")
+
+
+def _present_hours(silver: DataFrame) -> DataFrame:
     return silver.select("event_date", "archive_hour").distinct()
 
 
@@ -34,7 +38,7 @@ def missing_hours(silver: DataFrame, dates: DataFrame) -> DataFrame:
     """Expected but absent hours of the given dates. An hour counts for a date only when an
     event of that date came from that hour's archive."""
     return expected_hours(dates).join(
-        archive_hours(silver), ["event_date", "archive_hour"], "left_anti"
+        _present_hours(silver), ["event_date", "archive_hour"], "left_anti"
     )
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from contextlib import closing
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repo_pulse.schema import GOLD, GOLD_KEY, METRICS
@@ -76,6 +76,11 @@ class JdbcServing:
     def __init__(self, url: str, properties: Mapping[str, str], connect: Callable):
         self.url, self.properties, self.connect = url, properties, connect
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The published rows, as a source for reports."""
+        rows = spark.read.jdbc(self.url, TABLE, properties=dict(self.properties))
+        return rows.select(*GOLD.names)
+
     def upsert(self, gold: DataFrame) -> int:
         """Insert or update by key, keeping rows not in the input. Returns rows published."""
         rows = require_unique_keys(gold)

@@ -288,6 +288,9 @@ WHERE activity_date <> (SELECT first_day FROM days)
   AND (activity_date <> (SELECT last_day FROM days) OR technology_id = 'trino')""",
         ctes=_GOLD,
     ),
+    "silver_archive_hours": _on(
+        "SELECT DISTINCT event_date, archive_hour FROM ev ORDER BY event_date, archive_hour"
+    ),
     "missing_hours": _on("SELECT event_date, archive_hour FROM missing", ctes=_EXPECTED),
     "check_complete_hours": _on(
         """SELECT e.event_date, CAST(24 AS BIGINT) AS expected_hour_count,

@@ -304,6 +304,10 @@ def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select(F.col("activity_date").alias("event_date")).distinct()
 
 
+def silver_archive_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(quality.archive_hours(derived.silver(spark, sf_dir)))
+
+
 def missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = quality.missing_hours(derived.silver(spark, sf_dir), _asked(spark, sf_dir))
     return missing.select("event_date", utc_text(F.col("archive_hour")).alias("archive_hour"))
@@ -452,6 +456,7 @@ QUERIES: dict[str, Query] = {
         run_summary,
         silver_from_archives,
         replace_date,
+        silver_archive_hours,
         missing_hours,
         check_complete_hours,
         check_unique_keys,

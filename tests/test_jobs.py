@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from repo_pulse import submit
 from repo_pulse.operators import catalog, gold
 from repo_pulse.plans import jobs
 from repo_pulse.schema import GOLD, METRICS
@@ -277,6 +278,28 @@ def test_backfill_and_failing_checks(lake, tmp_path, index):
     assert jobs.publish(lake, [DAY], target) == 1
 
 
+def test_jobs_from_the_command_line(spark, tmp_path, monkeypatch):
+    made = []
+
+    def open_lake(session, root):
+        made.append(Lakehouse(session, root, f"cli{len(str(tmp_path))}_"))
+        return made[-1]
+
+    monkeypatch.setattr(submit, "Lakehouse", open_lake)
+    path = land(tmp_path, HOUR, [push(), star()])
+    common = ["--lake", str(tmp_path / "lake"), "--raw", str(tmp_path)]
+    run = lambda *words: submit.run(spark, submit.arguments([*common, *words]))
+    assert run("load-bronze", path) == 2
+    assert run("load-silver") == 2
+    assert run("build-gold", "2025-01-02") == 1
+    assert run("backfill", "2025-01-02", "2025-01-03").bronze_rows == 0
+    with pytest.raises(jobs.QualityError):
+        run("check", "2025-01-02")
+    with pytest.raises(FileNotFoundError):
+        run("day", "2025-01-02")
+    made[-1].drop()
+
+
 def test_stream_loads_each_archive_once(lake, tmp_path, index):
     land(tmp_path, HOUR, [push()])
     checkpoint = str(tmp_path / "checkpoint")
