@@ -12,7 +12,7 @@ from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from repo_pulse.operators import bronze, gold, quality, silver
@@ -178,18 +178,19 @@ def backfill(
 
 def run_summary(lake: Lakehouse) -> DataFrame:
     """One row of totals over the ledger and Gold."""
-    ledger = lake.spark.table(lake.ledger)
-    in_layer = lambda layer: F.col("layer") == layer
-    rows = lambda layer: F.sum(F.when(in_layer(layer), F.col("row_count")))
-    totals = ledger.agg(
-        F.count_if(in_layer("bronze")).alias("archive_count"),
-        F.coalesce(rows("bronze"), F.lit(0)).alias("bronze_rows"),
-        F.coalesce(rows("silver"), F.lit(0)).alias("silver_rows"),
+    gold_rows = lake.read_gold().agg(F.count(F.lit(1)).alias("row_count"))
+    counted = (
+        lake.spark.table(lake.ledger)
+        .select("layer", "row_count")
+        .unionByName(gold_rows.select(F.lit("gold").alias("layer"), "row_count"))
     )
-    gold_rows = lake.read_gold().agg(F.count(F.lit(1)).alias("gold_rows"))
-    # Two one-row sides: an equi-join on a constant.
-    key = F.lit(1)
-    return totals.withColumn("k", key).join(gold_rows.withColumn("k", key), "k").drop("k")
+
+    def rows(layer: str) -> Column:
+        total = F.sum(F.when(F.col("layer") == layer, F.col("row_count")))
+        return F.coalesce(total, F.lit(0)).alias(f"{layer}_rows")
+
+    archives = F.count_if(F.col("layer") == "bronze").alias("archive_count")
+    return counted.agg(archives, rows("bronze"), rows("silver"), rows("gold"))
 
 
 def checks(lake: Lakehouse, dates: Sequence[date]) -> DataFrame:

@@ -39,6 +39,7 @@ _WRITE = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

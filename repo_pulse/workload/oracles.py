@@ -87,7 +87,7 @@ _HOURS = """
                                      INTERVAL 1 HOUR)) AS TIMESTAMP) AS hour
   FROM days"""
 
-_PAYLOAD = """CASE
+_PAYLOAD_TEMPLATE = """CASE
            WHEN {broken} AND event_type = 'PushEvent' THEN '{{"size":"many"}}'
            WHEN {broken} AND event_type = 'PullRequestEvent'
              THEN '{{"pull_request":{{"merged":1}}}}'
@@ -97,7 +97,9 @@ _PAYLOAD = """CASE
              THEN '{{"action":"' || action || '","number":' || n || ',"pull_request":{{"merged":'
                   || CASE WHEN is_merged THEN 'true' ELSE 'false' END || ',"body":null}}}}'
            WHEN action IS NOT NULL THEN '{{"action":"' || action || '","note":"é {{x}}"}}'
-           ELSE '{{}}' END""".format(broken="n % 89 = 0")
+           ELSE '{{}}' END"""
+_PAYLOAD = _PAYLOAD_TEMPLATE.format(broken="n % 89 = 0")
+_CLEAN_PAYLOAD = _PAYLOAD_TEMPLATE.format(broken="false")
 
 _AT = "source_file || ':' || source_line_number || ': '"
 _ID_ERROR = f"CASE WHEN n % 97 = 0 THEN {_AT} || 'field ''id'' must be str, got int' END"
@@ -277,6 +279,22 @@ FROM ev WHERE CAST(archive_hour AS DATE) > (SELECT middle FROM days) GROUP BY ar
        (SELECT count(*) FROM gold) AS gold_rows""",
         ctes=_GOLD,
     ),
+    "blocking_checks": _on(
+        """SELECT 'complete_archive_hours' AS check_name, passed, count(*) AS check_count
+FROM (SELECT count(DISTINCT archive_hour) FILTER (CAST(archive_hour AS DATE) = event_date) = 24
+               AS passed
+      FROM ev GROUP BY event_date)
+GROUP BY passed
+UNION ALL SELECT 'unique_gold_keys', true, 1
+UNION ALL SELECT 'valid_gold_metrics', true, 1"""
+    ),
+    "bronze_from_archives": _on(
+        f"""SELECT event_id, event_type, created_at, true AS is_public, actor_id, actor_login,
+       repo_id, repo_name, org_id, org_login, {_CLEAN_PAYLOAD} AS payload_json, archive_hour,
+       line AS source_line_number
+FROM filed""",
+        ctes=_FILED,
+    ),
     "silver_from_archives": _on(
         "SELECT "
         + ", ".join(n for n in SILVER.names if n not in ("source_file", "source_line_number"))

@@ -277,6 +277,18 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_summary(_history(spark, sf_dir)[0])
 
 
+def blocking_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the checks over all dates passed and failed."""
+    first, last = derived.date_bounds(spark, sf_dir)
+    checked = jobs.checks(_history(spark, sf_dir)[0], jobs.date_range(first, last))
+    return checked.groupBy("check_name", "passed").agg(F.count(F.lit(1)).alias("check_count"))
+
+
+def bronze_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the Bronze load made of the archives, without the file names Spark chose."""
+    return _plain(_history(spark, sf_dir)[0].read_bronze().drop("source_file"))
+
+
 def silver_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the loads made of the archives, without the file names Spark chose."""
     rows = _history(spark, sf_dir)[0].read_silver()
@@ -454,6 +466,8 @@ QUERIES: dict[str, Query] = {
         late_event_rebuild,
         pending_sources,
         run_summary,
+        blocking_checks,
+        bronze_from_archives,
         silver_from_archives,
         replace_date,
         silver_archive_hours,

@@ -111,6 +111,19 @@ def test_a_large_archive_is_parsed_by_several_tasks(lake, tmp_path):
     assert stored.select("_metadata.file_path").distinct().count() > 1
 
 
+def test_a_load_with_wrong_line_numbers_is_refused(lake, tmp_path, monkeypatch):
+    """Without a task per archive, row positions are not line numbers; the load notices."""
+    for hour in range(24):
+        land(tmp_path, HOUR.replace(hour=hour), [push(hour=hour)])
+    monkeypatch.setattr(archive, "whole_file_settings", lambda _: {
+        "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.files.minPartitionNum": "1",
+    })
+    with pytest.raises(RuntimeError, match="line numbers of a source do not run from 1"):
+        jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path))
+    assert lake.read_bronze().count() == 0 and lake.commits("bronze").count() == 0
+
+
 def test_an_empty_archive_is_not_recorded(lake, tmp_path):
     path = land(tmp_path, HOUR, [])
     assert jobs.load_bronze_paths(lake, str(tmp_path), [path]) == 0
