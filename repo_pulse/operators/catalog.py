@@ -135,5 +135,8 @@ def classify(events: DataFrame, repository_index: DataFrame) -> DataFrame:
     `spark.sql.autoBroadcastJoinThreshold` (a configured catalog is a local relation of known
     size) and otherwise shuffles by repository, where AQE splits a hot repository.
     """
-    keyed = events.withColumn("repository", normalize(F.col("repo_name")))
+    # Never null, or the join would have the optimizer filter on the expression as well, which
+    # works it out twice per event. No repository has an empty name.
+    name = F.coalesce(normalize(F.col("repo_name")), F.lit(""))
+    keyed = events.withColumn("repository", name)
     return keyed.join(repository_index, "repository").drop("repository")
