@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -48,7 +47,6 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", cores)
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
 

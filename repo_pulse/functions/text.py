@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character Unicode counts as white space, plus the separators 1C to 1F.
-WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
-    chr(code) for code in range(0x2000, 0x200B)
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(code) for code in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
 )
 
 

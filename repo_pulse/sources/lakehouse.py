@@ -87,12 +87,12 @@ class Lakehouse:
         if self.spark.catalog.tableExists(table):
             return
         database, name = table.split(".")
-        location = f"{self.root}/{database}/{name}"
         listed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/{database}'")
+        folder = f"{self.root}/{database}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({listed}) USING parquet "
-            f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{location}'"
+            f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{folder}/{name}'"
         )
         # An append of nothing creates the folder, which the recovery lists.
         self.spark.sql(f"INSERT INTO {table} SELECT * FROM {table} WHERE false")

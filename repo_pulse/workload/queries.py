@@ -67,7 +67,8 @@ def hour_normalization(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelling = (
         F.when(F.col("event_number") % 4 == 0, at(hour, "Z"))
         .when(
-            F.col("event_number") % 4 == 1, at(F.timestamp_add("MINUTE", F.lit(150), hour), "+02:30")
+            F.col("event_number") % 4 == 1,
+            at(F.timestamp_add("MINUTE", F.lit(150), hour), "+02:30"),
         )
         .when(F.col("event_number") % 4 == 2, at(hour, ""))
         .otherwise(at(F.timestamp_add("MINUTE", F.lit(30), hour), "+00:00"))
@@ -246,7 +247,8 @@ def _history(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, str]:
         pending = lake.pending("bronze", archive.inventory(spark, raw))
         pending.select("source_file", "hour").write.parquet(f"{kept}/pending")
         # The last events may be delivered in the first hour of the day after.
-        jobs.backfill(lake, raw, middle + timedelta(days=1), last + timedelta(days=1), _index(spark))
+        after, end = middle + timedelta(days=1), last + timedelta(days=1)
+        jobs.backfill(lake, raw, after, end, _index(spark))
         jobs.build_gold(lake, [middle], _index(spark))
         _HISTORY[key] = (lake, kept)
     return _HISTORY[key]

@@ -39,7 +39,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
-        .config("spark.checkpoint.dir", str(base / "checkpoint"))
         .getOrCreate()
     )
     built.sparkContext.setLogLevel("ERROR")

@@ -16,56 +16,69 @@ class Refused(Exception):
     pass
 
 
-def member(owner, key, wanted, path):
-    if key not in owner:
-        raise Refused(f"field '{path}' is required")
-    if type(owner[key]) is not wanted:
-        raise Refused(f"field '{path}' must be {NAMES[wanted]}, got {NAMES[type(owner[key])]}")
-    return owner[key]
-
-
-def section(owner, key):
-    if key not in owner:
-        raise Refused(f"field '{key}' is required")
-    if not isinstance(owner[key], dict):
-        raise Refused(f"field '{key}' must be dict")
-    return owner[key]
+# Object, key and type of every required member, in the order they are looked at.
+MEMBERS = [
+    ("", "id", str),
+    ("", "type", str),
+    ("", "created_at", str),
+    ("", "public", bool),
+    ("actor", "id", int),
+    ("actor", "login", str),
+    ("repo", "id", int),
+    ("repo", "name", str),
+    ("org", "id", int),
+    ("org", "login", str),
+]
 
 
 def judge(text):
-    """Bronze values of a line, or the reason it is refused."""
+    """Members of a line by path, or the reason it is refused."""
     try:
         whole = json.loads(text)
     except ValueError:
         raise Refused("invalid JSON") from None
-    if not isinstance(whole, dict):
+    if type(whole) is not dict:
         raise Refused("event must be a JSON object")
-    actor, repo = section(whole, "actor"), section(whole, "repo")
-    payload = section(whole, "payload")
-    org = None if whole.get("org") is None else section(whole, "org")
-    row = {
-        "event_id": member(whole, "id", str, "id"),
-        "event_type": member(whole, "type", str, "type"),
-    }
-    text = member(whole, "created_at", str, "created_at")
-    try:
-        at = dt.datetime.fromisoformat(text)
-    except ValueError:
-        raise Refused(f"Invalid isoformat string: '{text}'") from None
-    if at.tzinfo is None:
-        raise Refused("datetime must be timezone-aware")
-    row |= {
-        "created_at": at.astimezone(dt.UTC).replace(tzinfo=None),
-        "is_public": member(whole, "public", bool, "public"),
-        "actor_id": member(actor, "id", int, "actor.id"),
-        "actor_login": member(actor, "login", str, "actor.login"),
-        "repo_id": member(repo, "id", int, "repo.id"),
-        "repo_name": member(repo, "name", str, "repo.name"),
-        "org_id": member(org, "id", int, "org.id") if org is not None else None,
-        "org_login": member(org, "login", str, "org.login") if org is not None else None,
-        "payload": payload,
-    }
-    return row
+    objects = {"": whole}
+    for name in ("actor", "repo", "payload", "org"):
+        if name == "org" and whole.get(name) is None:
+            continue
+        if name not in whole:
+            raise Refused(f"field '{name}' is required")
+        if type(whole[name]) is not dict:
+            raise Refused(f"field '{name}' must be dict")
+        objects[name] = whole[name]
+    found = {"payload": objects["payload"]}
+    for name, key, wanted in MEMBERS:
+        path = f"{name}.{key}".lstrip(".")
+        if name not in objects:
+            found[path] = None
+            continue
+        if key not in objects[name]:
+            raise Refused(f"field '{path}' is required")
+        value = found[path] = objects[name][key]
+        if type(value) is not wanted:
+            got = NAMES[type(value)]
+            raise Refused(f"field '{path}' must be {NAMES[wanted]}, got {got}")
+        if path == "created_at":
+            try:
+                at = dt.datetime.fromisoformat(value)
+            except ValueError:
+                raise Refused(f"Invalid isoformat string: '{value}'") from None
+            if at.tzinfo is None:
+                raise Refused("datetime must be timezone-aware")
+            found[path] = at.astimezone(dt.UTC).replace(tzinfo=None)
+    return found
+
+
+# Path of a member to the column that holds it.
+COLUMNS = {
+    "id": "event_id",
+    "type": "event_type",
+    "created_at": "created_at",
+    "public": "is_public",
+    **{f"{name}.{key}": f"{name}_{key}" for name, key, _ in MEMBERS if name},
+}
 
 
 VALUES = [
@@ -126,25 +139,32 @@ def test_damaged_lines_are_judged_alike(lines_frame):
             continue
         accepted += 1
         assert json.loads(row["payload_json"]) == expected.pop("payload"), text
-        assert {key: row[key] for key in expected} == expected, text
+        assert {path: row[COLUMNS[path]] for path in expected} == expected, text
     assert 500 < accepted < len(lines) - 500
 
 
 def judge_silver(kind, payload):
-    if payload.get("action") is not None and not isinstance(payload["action"], str):
-        raise Refused("field 'payload.action' must be str")
-    size = merged = None
-    if kind == "PushEvent":
-        size = payload.get("size")
-        if type(size) is not int:
-            raise Refused("field 'payload.size' must be int")
-    if kind == "PullRequestEvent":
-        if not isinstance(payload.get("pull_request"), dict):
-            raise Refused("field 'payload.pull_request' must be dict")
-        merged = payload["pull_request"].get("merged")
-        if type(merged) is not bool:
-            raise Refused("field 'payload.pull_request.merged' must be bool")
-    return payload.get("action"), size, merged
+    """Action, commits and merge of a payload, or the reason it is refused."""
+    requests = payload.get("pull_request")
+    merged = requests.get("merged") if type(requests) is dict else None
+    rules = [
+        (type(payload.get("action")) in (str, type(None)), "payload.action", "str"),
+        (kind != "PushEvent" or type(payload.get("size")) is int, "payload.size", "int"),
+        (kind != "PullRequestEvent" or type(requests) is dict, "payload.pull_request", "dict"),
+        (
+            kind != "PullRequestEvent" or type(merged) is bool,
+            "payload.pull_request.merged",
+            "bool",
+        ),
+    ]
+    for holds, path, wanted in rules:
+        if not holds:
+            raise Refused(f"field '{path}' must be {wanted}")
+    return (
+        payload.get("action"),
+        payload["size"] if kind == "PushEvent" else None,
+        merged if kind == "PullRequestEvent" else None,
+    )
 
 
 def test_payloads_are_judged_alike(lines_frame):

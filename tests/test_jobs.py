@@ -105,7 +105,8 @@ def test_a_large_archive_is_parsed_by_several_tasks(lake, tmp_path):
     land(tmp_path, HOUR.replace(hour=4), [push(hour=4)])
     assert jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path), large=1000) == 501
     rows = lake.read_bronze(["2025-01-02-3.json.gz"])
-    numbers = sorted((r.source_line_number, json.loads(r.payload_json)["size"]) for r in rows.collect())
+    found = rows.select("source_line_number", "payload_json").collect()
+    numbers = sorted((r[0], json.loads(r[1])["size"]) for r in found)
     assert numbers == [(n + 1, n) for n in range(500)]
     stored = lake.spark.table(lake.bronze).where("source_file = '2025-01-02-3.json.gz'")
     assert stored.select("_metadata.file_path").distinct().count() > 1
@@ -172,7 +173,8 @@ def test_late_event_enters_gold_at_the_next_build(lake, tmp_path, index):
     assert lake.read_gold().first().event_count == 1
     assert jobs.build_gold(lake, [DAY], index) == 1
     row = lake.read_gold([DAY]).first()
-    assert (row.event_count, row.unique_actor_count, row.star_count, row.commit_count) == (2, 2, 1, 2)
+    assert (row.event_count, row.unique_actor_count) == (2, 2)
+    assert (row.star_count, row.commit_count) == (1, 2)
     # No tracked event: no row.
     assert jobs.build_gold(lake, [DAY + dt.timedelta(days=1)], index) == 0
 

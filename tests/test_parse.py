@@ -186,7 +186,10 @@ def test_silver_values_by_event_type(lines_frame):
     push, merged, opened, star, late = typed(
         lines_frame,
         line(payload={"size": 3, "action": None}),
-        line(type="PullRequestEvent", payload={"action": "closed", "pull_request": {"merged": True}}),
+        line(
+            type="PullRequestEvent",
+            payload={"action": "closed", "pull_request": {"merged": True}},
+        ),
         line(type="PullRequestEvent", payload={"pull_request": {"merged": False}}),
         line(type="WatchEvent", payload={"action": "started", "size": "ignored"}),
         line(created_at="2025-01-01T23:59:59Z", type="ForkEvent", payload={}),
