@@ -6,10 +6,12 @@ any time: finished sources are skipped, dates are rebuilt as a whole.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from repo_pulse.operators import bronze, gold, quality, silver
 from repo_pulse.session import scoped_conf
 from repo_pulse.sources import archive
-from repo_pulse.sources.lakehouse import Lakehouse, sources_frame
+from repo_pulse.sources.lakehouse import Lakehouse, LoadError, sources_frame
 from repo_pulse.sources.serving import JdbcServing
 
 # Fixed value: the first daily partition.
@@ -62,6 +64,16 @@ def _parsed(lake: Lakehouse, raw_root: str, archives: Sequence[Row], large: int)
     return reduce(DataFrame.unionByName, parts)
 
 
+def _unreadable(failure: Exception, archives: Sequence[Row]) -> Row | None:
+    """The archive a job failed to read, when that is why it failed."""
+    text = str(failure)
+    found = re.search(r"FAILED_READ_FILE\S* Encountered error while reading file (\S+)\.\s", text)
+    if not found:
+        return None
+    plain = lambda path: re.sub(r"^\w+:/+", "/", unquote(path))
+    return next((row for row in archives if plain(row.path) == plain(found[1])), None)
+
+
 def load_bronze(
     lake: Lakehouse, raw_root: str, archives: DataFrame, large: int = LARGE_ARCHIVE
 ) -> int:
@@ -69,7 +81,9 @@ def load_bronze(
     became visible.
 
     The list of pending paths is held by the driver, as Spark's own file listing is. When a
-    name occurs in several folders, one of them is taken: the bare name is the identity.
+    name occurs in several folders, one of them is taken: the bare name is the identity. An
+    archive that cannot be decompressed fails the write; it is left out and the write starts
+    again with the others, and like a bad line it is reported once those are committed.
     """
     pending = (
         lake.pending("bronze", archives)
@@ -78,11 +92,27 @@ def load_bronze(
         .select("source_file", "file.path", "file.length")
         .collect()
     )
-    if not pending:
-        return 0
-    with scoped_conf(lake.spark, archive.whole_file_settings(lake.spark)):
-        lake.write_sources("bronze", _parsed(lake, raw_root, pending, large))
-    return lake.commit("bronze", [row.source_file for row in pending])
+    problems = []
+    while pending:
+        try:
+            with scoped_conf(lake.spark, archive.whole_file_settings(lake.spark)):
+                lake.write_sources("bronze", _parsed(lake, raw_root, pending, large))
+            break
+        except Exception as failure:
+            broken = _unreadable(failure, pending)
+            if broken is None:
+                raise
+            problems.append(f"{broken.source_file}: cannot be read")
+            pending.remove(broken)
+    committed = 0
+    try:
+        if pending:
+            committed = lake.commit("bronze", [row.source_file for row in pending])
+    except LoadError as bad_lines:
+        problems.append(str(bad_lines))
+    if problems:
+        raise LoadError("; ".join(problems))
+    return committed
 
 
 def load_bronze_paths(lake: Lakehouse, raw_root: str, paths: Sequence[str]) -> int:

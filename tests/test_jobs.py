@@ -125,6 +125,31 @@ def test_a_load_with_wrong_line_numbers_is_refused(lake, tmp_path, monkeypatch):
     assert lake.read_bronze().count() == 0 and lake.commits("bronze").count() == 0
 
 
+def test_damaged_archives_do_not_hold_up_the_others(lake, tmp_path):
+    land(tmp_path, HOUR, [push(), push(20)])
+    half = land(tmp_path, HOUR.replace(hour=4), [push(n % 60, size=n) for n in range(20000)])
+    text = land(tmp_path, HOUR.replace(hour=5), [push(hour=5)])
+    land(tmp_path, HOUR.replace(hour=6), [push(hour=6), "{"])
+    with open(half, "rb") as stream:
+        content = stream.read()
+    with open(half, "wb") as stream:
+        stream.write(content[: len(content) // 2])
+    with open(text, "wb") as stream:
+        stream.write(b"not compressed")
+    with pytest.raises(LoadError) as failed:
+        jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path))
+    for problem in (
+        "2025-01-02-4.json.gz: cannot be read",
+        "2025-01-02-5.json.gz: cannot be read",
+        "2025-01-02-6.json.gz:2: invalid JSON",
+    ):
+        assert problem in str(failed.value)
+    assert {r.source_file for r in lake.read_bronze().collect()} == {"2025-01-02-3.json.gz"}
+    with open(half, "wb") as stream:
+        stream.write(content)
+    assert jobs.load_bronze_paths(lake, str(tmp_path), [half]) == 20000
+
+
 def test_an_empty_archive_is_not_recorded(lake, tmp_path):
     path = land(tmp_path, HOUR, [])
     assert jobs.load_bronze_paths(lake, str(tmp_path), [path]) == 0
