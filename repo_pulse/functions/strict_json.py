@@ -26,7 +26,12 @@ SQL_TYPE = {"STRING": "string", "BIGINT": "bigint", "BOOLEAN": "boolean"}
 INVALID = "invalid JSON"
 
 _CHECKSUM = "line checksum"
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# The reader's own bound on a string is 20 million characters.
+_STRICT = {
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    "maxStringLen": str(2**31 - 1),
+}
 
 
 def parse_line(line: Column, checksum: Column, members: str) -> Column:
@@ -44,6 +49,11 @@ def parse_line(line: Column, checksum: Column, members: str) -> Column:
     )
 
 
+def members(text: Column, declared: str) -> Column:
+    """The declared members of a text known to be one JSON object."""
+    return F.from_json(text, f"struct<{declared}>", _STRICT)
+
+
 def is_whole(parsed: Column, checksum: Column) -> Column:
     """True when the line is exactly one JSON value, with nothing after it."""
     return (F.size(parsed) == 2) & F.try_element_at(parsed, F.lit(2))[_CHECKSUM].eqNullSafe(
@@ -62,15 +72,16 @@ def whole_variant(line: Column) -> Column:
     )
 
 
-def object_text(text: Column, line: Column, path: str) -> Column:
+def object_text(text: Column, line: Column, key: str) -> Column:
     """True when a member taken as text is an object, not a string that looks like one.
 
     An object's text is `{}` or begins with a brace and a quote. A string of that form has its
     quote escaped in the line, so only lines with such a mark, and `{}`, are looked at again.
     """
     mark = F.contains(line, F.lit('{\\"')) | F.contains(line, F.lit("\\u00"))
+    again = members(line, f"{key}: variant")[key]
     return (F.startswith(text, F.lit('{"')) & ~mark) | (
-        F.startswith(text, F.lit("{")) & is_object(F.try_parse_json(line), path)
+        F.startswith(text, F.lit("{")) & is_object(again)
     )
 
 

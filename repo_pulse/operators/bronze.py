@@ -85,7 +85,7 @@ def _all_right() -> Column:
     org = F.col("event.org")
     no_org = org.isNull() | F.is_variant_null(org)
     has_org = F.col("org_id").isNotNull() & F.col("org_login").isNotNull()
-    payload = strict_json.object_text(F.col("payload_json"), F.col("value"), "$.payload")
+    payload = strict_json.object_text(F.col("payload_json"), F.col("value"), "payload")
     return condition & (no_org | has_org) & payload
 
 

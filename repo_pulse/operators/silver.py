@@ -12,6 +12,9 @@ from repo_pulse.schema import BRONZE
 PUSH = "PushEvent"
 PULL_REQUEST = "PullRequestEvent"
 
+# Variants, as in Bronze: the last value of a repeated key counts, whatever its kind.
+_MEMBERS = "action: variant, size: variant, pull_request: variant"
+
 
 def to_silver(bronze: DataFrame) -> DataFrame:
     """Bronze columns to Silver columns plus `_error`.
@@ -19,35 +22,28 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     `action` is text for any event type; a push must carry an integer `size`, a pull request
     an object with a boolean `merged`. `event_date` is the UTC date of `created_at`.
     """
-    payload = F.col("payload")
     is_push = F.col("event_type") == PUSH
     is_pull_request = F.col("event_type") == PULL_REQUEST
-    rows = bronze.select(*BRONZE.names)
-    opened = rows.select("*", F.try_parse_json("payload_json").alias("payload")).select(
-        "*",
-        F.try_variant_get(payload, "$.action", "variant").alias("action_value"),
-        F.when(is_push, F.try_variant_get(payload, "$.size", "variant")).alias("size_value"),
-        F.when(
-            is_pull_request, F.try_variant_get(payload, "$.pull_request.merged", "variant")
-        ).alias("merged_value"),
-    )
-    action = F.col("action_value")
+    payload = strict_json.members(F.col("payload_json"), _MEMBERS)
+    opened = bronze.select(*BRONZE.names, payload.alias("payload"))
+    action, size = F.col("payload.action"), F.col("payload.size")
+    pull_request = F.col("payload.pull_request")
+    merged = F.try_variant_get(pull_request, "$.merged", "variant")
     is_action = strict_json.kind(action) == "STRING"
-    is_size = strict_json.kind(F.col("size_value")) == "BIGINT"
-    is_merged = strict_json.kind(F.col("merged_value")) == "BOOLEAN"
+    is_size = is_push & F.coalesce(strict_json.kind(size) == "BIGINT", F.lit(False))
+    is_merged = is_pull_request & F.coalesce(strict_json.kind(merged) == "BOOLEAN", F.lit(False))
     message = F.coalesce(
         F.when(
             action.isNotNull() & ~F.is_variant_null(action) & ~is_action,
             F.lit("field 'payload.action' must be str"),
         ),
-        F.when(is_push & ~F.coalesce(is_size, F.lit(False)), "field 'payload.size' must be int"),
+        F.when(is_push & ~is_size, "field 'payload.size' must be int"),
         F.when(
-            is_pull_request & ~strict_json.is_object(payload, "$.pull_request"),
+            is_pull_request & ~strict_json.is_object(pull_request),
             "field 'payload.pull_request' must be dict",
         ),
         F.when(
-            is_pull_request & ~F.coalesce(is_merged, F.lit(False)),
-            "field 'payload.pull_request.merged' must be bool",
+            is_pull_request & ~is_merged, "field 'payload.pull_request.merged' must be bool"
         ),
     )
     return opened.select(
@@ -62,8 +58,8 @@ def to_silver(bronze: DataFrame) -> DataFrame:
         "org_id",
         "org_login",
         F.when(is_action, F.try_variant_get(action, "$", "string")).alias("action"),
-        F.when(is_size, F.try_variant_get("size_value", "$", "bigint")).alias("commit_count"),
-        F.when(is_merged, F.try_variant_get("merged_value", "$", "boolean")).alias("is_merged"),
+        F.when(is_size, F.try_variant_get(size, "$", "bigint")).alias("commit_count"),
+        F.when(is_merged, F.try_variant_get(merged, "$", "boolean")).alias("is_merged"),
         "archive_hour",
         "source_file",
         "source_line_number",

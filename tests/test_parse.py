@@ -203,6 +203,20 @@ def test_silver_values_by_event_type(lines_frame):
     assert all(row["_error"] is None for row in (push, merged, opened, star, late))
 
 
+def test_whole_texts_however_long(lines_frame):
+    """A string longer than the JSON reader's usual bound, with and without escapes in it."""
+    rows = lines_frame([line(payload={"size": 1, "t": "@"}), line(payload={"size": 1, "t": "@{"})])
+    text = F.when(F.col("source_line_number") == 1, F.lit("abcdefghij")).otherwise(
+        F.lit('abcdefg\\"')
+    )
+    long = rows.withColumn("value", F.replace("value", F.lit("@"), F.repeat(text, 2_500_000)))
+    parsed = bronze.parse_events(long)
+    for row in parsed.select("_error", F.length("payload_json").alias("n")).collect():
+        assert row._error is None and row.n > 22_000_000
+    found = silver.to_silver(parsed).select("commit_count", "_error").collect()
+    assert [tuple(row) for row in found] == [(1, None), (1, None)]
+
+
 def test_silver_errors(lines_frame):
     cases = [
         (line(payload={"action": 1, "size": 1}), "field 'payload.action' must be str"),
