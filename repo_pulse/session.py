@@ -17,11 +17,16 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings that results depend on; sizes stay with the cluster."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # Folders are listed by as many tasks as the cluster can use, not by one task per folder.
+    tasks = max(32, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set(LISTING_TASKS, str(min(tasks, 10_000)))
     return spark
 
 
