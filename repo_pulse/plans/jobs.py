@@ -7,7 +7,7 @@ any time: finished sources are skipped, dates are rebuilt as a whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 from functools import reduce
@@ -40,28 +40,42 @@ class RunSummary:
     reused_archive_count: int = 0
 
 
-# A gzip file is read by one task. Above this size its lines are handed to others for parsing,
-# in parts of about the second size, counted in compressed bytes.
+# Compressed sizes. Archives below the first share tasks; archives from the second on are read
+# by one task, as any gzip file, and their lines parsed by many, in parts of the third size.
+SMALL_ARCHIVE = 1024 * 1024
 LARGE_ARCHIVE = 256 * 1024 * 1024
 LARGE_PART = 32 * 1024 * 1024
 
 
-def _parsed(lake: Lakehouse, raw_root: str, archives: Sequence[Row], large: int) -> DataFrame:
-    """Parsed rows of archives. Most are parsed where they are read: no shuffle, no sort, a
-    task per archive. The lines of a large one, numbered as they are read, are spread over
-    many tasks first, as parsing costs several times what reading does."""
-    usual = [row.path for row in archives if row.length < large]
+def _write_bronze(lake: Lakehouse, raw_root: str, archives: Sequence[Row], large: int) -> None:
+    """Parse archives and write their rows, visible to nobody yet.
+
+    Most archives are parsed where they are read: no shuffle, no sort, a task per archive. The
+    lines of a large one, numbered as they are read, are spread over many tasks first, as
+    parsing costs several times what reading does. Small ones are written on their own, packed
+    into fewer tasks and counted in a pass before.
+    """
+    small = [row for row in archives if row.length < min(SMALL_ARCHIVE, large)]
+    usual = [row for row in archives if SMALL_ARCHIVE <= row.length < large]
     hot = [row for row in archives if row.length >= large]
+
+    def read(scan: Callable, rows: Sequence[Row]) -> DataFrame:
+        return scan(lake.spark, raw_root, [row.path for row in rows])
+
+    if small:
+        lines = read(archive.read_archives, small)
+        lake.write_sources("bronze", bronze.parse_events(lines))
     parts = []
     if usual:
-        lines = archive.read_whole_archives(lake.spark, raw_root, usual)
-        parts.append(bronze.parse_events(lines))
+        parts.append(read(archive.read_whole_archives, usual))
     if hot:
-        lines = archive.read_whole_archives(lake.spark, raw_root, [row.path for row in hot])
         spread = sum(row.length for row in hot) // min(LARGE_PART, large) + 1
-        lines = lines.repartition(spread, "source_file", "source_line_number")
-        parts.append(bronze.parse_events(lines))
-    return reduce(DataFrame.unionByName, parts)
+        lines = read(archive.read_whole_archives, hot)
+        parts.append(lines.repartition(spread, "source_file", "source_line_number"))
+    if parts:
+        with scoped_conf(lake.spark, archive.whole_file_settings(lake.spark)):
+            lines = reduce(DataFrame.unionByName, parts)
+            lake.write_sources("bronze", bronze.parse_events(lines))
 
 
 def _unreadable(failure: Exception, archives: Sequence[Row]) -> Row | None:
@@ -95,8 +109,7 @@ def load_bronze(
     problems = []
     while pending:
         try:
-            with scoped_conf(lake.spark, archive.whole_file_settings(lake.spark)):
-                lake.write_sources("bronze", _parsed(lake, raw_root, pending, large))
+            _write_bronze(lake, raw_root, pending, large)
             break
         except Exception as failure:
             broken = _unreadable(failure, pending)

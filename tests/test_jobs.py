@@ -112,8 +112,29 @@ def test_a_large_archive_is_parsed_by_several_tasks(lake, tmp_path):
     assert stored.select("_metadata.file_path").distinct().count() > 1
 
 
+def test_every_size_of_archive_is_loaded_alike(lake, tmp_path, monkeypatch):
+    """Packed, one per task, and spread, by three sizes in one load."""
+    monkeypatch.setattr(jobs, "SMALL_ARCHIVE", 1000)
+    texts = {}
+    for hour in range(1, 13):
+        texts[hour] = [push(n % 60, size=n, hour=hour) for n in range(hour * 50)]
+        land(tmp_path, HOUR.replace(hour=hour), texts[hour])
+    sizes = [row.length for row in inventory(lake, tmp_path).collect()]
+    assert min(sizes) < 1000 and max(sizes) > 1500
+    assert any(1000 <= size < 1500 for size in sizes)
+    loaded = jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path), large=1500)
+    assert loaded == sum(len(lines) for lines in texts.values())
+    rows = lake.read_bronze().select("source_file", "source_line_number", "payload_json").collect()
+    assert {(r[0], r[1], json.loads(r[2])["size"]) for r in rows} == {
+        (f"2025-01-02-{hour}.json.gz", n, n - 1)
+        for hour, lines in texts.items()
+        for n in range(1, len(lines) + 1)
+    }
+
+
 def test_a_load_with_wrong_line_numbers_is_refused(lake, tmp_path, monkeypatch):
     """Without a task per archive, row positions are not line numbers; the load notices."""
+    monkeypatch.setattr(jobs, "SMALL_ARCHIVE", 0)
     for hour in range(24):
         land(tmp_path, HOUR.replace(hour=hour), [push(hour=hour)])
     monkeypatch.setattr(archive, "whole_file_settings", lambda _: {
