@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repo_pulse.llm import packing, token_files
+from repo_pulse.llm import packing, simhash, token_files, transducer_bpe
 from repo_pulse.llm.scratch import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,18 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
+
+
+def op7_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded with the corpus's own lexicon."""
+    docs = table(spark, sf_dir, "documents")
+    lexicon = transducer_bpe.build_lexicon(docs, WORD_TOKENIZER)
+    return transducer_bpe.digests(docs, WORD_TOKENIZER, lexicon)
+
+
 def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
@@ -26,6 +38,8 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_simhash": op5_simhash,
+    "op7_transducer_bpe": op7_transducer_bpe,
     "op6_token_files": op6_token_files,
     "op10_vector_packing": op10_vector_packing,
 }
