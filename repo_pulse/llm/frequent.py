@@ -41,13 +41,12 @@ def word_counts(texts: DataFrame, lower: bool = False) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent(counts: DataFrame, limit: int, columns: tuple[str, ...] = ("word", "n")) -> DataFrame:
-    """The rows of the highest counts, never more than `limit`, decided without a global sort.
+def frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The rows with the highest counts `n`, never more than `limit`, without a global sort.
 
     The counts are put into classes; the classes kept are those that fit into the limit together.
     """
-    n = F.col(columns[-1])
-    grade = F.floor(F.log2(n.cast("double")) * CLASSES_PER_DOUBLING)
+    grade = F.floor(F.log2(F.col("n").cast("double")) * CLASSES_PER_DOUBLING)
     classes = counts.groupBy(grade.alias("grade")).count().collect()
     kept, lowest = 0, None
     for row in sorted(classes, key=lambda r: -r["grade"]):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repo_pulse.llm import packing, simhash, token_files, transducer_bpe
+from repo_pulse.llm import bloom_lm, packing, simhash, token_files, transducer_bpe
 from repo_pulse.llm.scratch import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,11 @@ def op7_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer_bpe.digests(docs, WORD_TOKENIZER, lexicon)
 
 
+def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and model score of every document."""
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
@@ -41,6 +46,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op7_transducer_bpe": op7_transducer_bpe,
     "op6_token_files": op6_token_files,
+    "op9_bloom_lm": op9_bloom_lm,
     "op10_vector_packing": op10_vector_packing,
 }
 ORACLES: dict[str, str] = {}
