@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repo_pulse.llm import bloom_lm, packing, simhash, token_files, transducer_bpe
+from repo_pulse.llm import bloom_lm, packing, pii, simhash, token_files, transducer_bpe
 from repo_pulse.llm.scratch import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op1_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms in every document."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
@@ -43,6 +48,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_disclosure": op1_pii_disclosure,
     "op5_simhash": op5_simhash,
     "op7_transducer_bpe": op7_transducer_bpe,
     "op6_token_files": op6_token_files,
