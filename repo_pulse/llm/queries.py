@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repo_pulse.llm import bloom_lm, packing, pii, simhash, token_files, transducer_bpe
+from repo_pulse.llm import bloom_lm, packing, pii, projection_forest, simhash, token_files, transducer_bpe
 from repo_pulse.llm.scratch import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,11 @@ def op1_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return projection_forest.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
@@ -49,6 +54,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii_disclosure": op1_pii_disclosure,
+    "op2_projection_forest": op2_projection_forest,
     "op5_simhash": op5_simhash,
     "op7_transducer_bpe": op7_transducer_bpe,
     "op6_token_files": op6_token_files,
