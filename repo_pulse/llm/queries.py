@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from repo_pulse.llm import bloom_lm, packing, pii, projection_forest, simhash, token_files, transducer_bpe
+from repo_pulse.llm import bloom_lm, packing, pii, posting_lists, projection_forest, simhash, token_files, transducer_bpe
 from repo_pulse.llm.scratch import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +42,12 @@ def op7_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer_bpe.digests(docs, WORD_TOKENIZER, lexicon)
 
 
+def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return posting_lists.search(vectors, F.col("vec_id") % 100 == 0, neighbours=10)
+
+
 def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and model score of every document."""
     return bloom_lm.score(table(spark, sf_dir, "documents"))
@@ -58,6 +65,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op7_transducer_bpe": op7_transducer_bpe,
     "op6_token_files": op6_token_files,
+    "op8_posting_lists": op8_posting_lists,
     "op9_bloom_lm": op9_bloom_lm,
     "op10_vector_packing": op10_vector_packing,
 }
