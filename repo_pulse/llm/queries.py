@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repo_pulse.llm import bloom_lm, packing, pii, posting_lists, projection_forest, simhash, token_files, transducer_bpe
+from repo_pulse.llm import bloom_lm, packing, pii, posting_lists, projection_forest, quality_knn, simhash, token_files, transducer_bpe
 from repo_pulse.llm.scratch import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+QUALITY_FROM = 0.7
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -30,6 +31,12 @@ def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_forest.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
+def op4_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    scored = quality_knn.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_FROM).cast("int"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
@@ -62,6 +69,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii_disclosure": op1_pii_disclosure,
     "op2_projection_forest": op2_projection_forest,
+    "op4_quality_knn": op4_quality_knn,
     "op5_simhash": op5_simhash,
     "op7_transducer_bpe": op7_transducer_bpe,
     "op6_token_files": op6_token_files,
