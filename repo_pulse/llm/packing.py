@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repo_pulse.llm.arrow_text import pieces
+from repo_pulse.llm.scratch import plain
 from repo_pulse.llm.tokenizing import crc32_of, encoder, with_last
 
 SCHEMA = (
@@ -162,6 +163,7 @@ def pack(
     its own rows: the last one of a partition is cut at powers of two.
     """
     limits = limits or Limits()
+    docs = plain(docs, "doc_id", "text", *([prompt_tokens] if prompt_tokens else []))
     prompt = F.col(prompt_tokens).cast("bigint") if prompt_tokens else F.lit(0).cast("bigint")
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repo_pulse.llm.arrow_text import pieces, texts_of, words_of
-from repo_pulse.llm.scratch import written
+from repo_pulse.llm.scratch import plain, written
 
 # The kinds in the order they are listed, and what replaces them in a text.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -299,6 +299,7 @@ def report(docs: DataFrame) -> DataFrame:
     contexts. Other columns are ignored, an empty table gives no rows.
     """
     # Only texts with a span are looked at again.
+    docs = plain(docs, "doc_id", "text")
     asked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     suspect = F.when(F.size("_spans") > 0, F.col("text")).alias("text")
     found = _found(asked, ["doc_id", suspect])
@@ -334,8 +335,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """The rows and columns of docs with every span replaced by its mark; others as they are."""
-    found = _found(docs, docs.columns)
+    original, docs = docs.columns, plain(docs, "doc_id", "text")
     names = docs.columns
+    found = _found(docs, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -355,4 +357,4 @@ def sanitised(docs: DataFrame) -> DataFrame:
 
     clean = found.filter(F.size("_spans") == 0).select(*names)
     held = found.filter(F.size("_spans") > 0).select(*names, "_spans", "_terms")
-    return clean.union(held.mapInArrow(run, docs.schema))
+    return clean.union(held.mapInArrow(run, docs.schema)).toDF(*original)

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repo_pulse.llm.scratch import written
+from repo_pulse.llm.scratch import plain, written
 from repo_pulse.llm.vectors import common_size, is_usable, matrix, sampled
 
 # The index is fitted to about so many vectors, and its ratio to so many queries among them.
@@ -166,21 +166,21 @@ def nearest_in_part(
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def search(vectors: DataFrame, is_query: Column, neighbours: int) -> DataFrame:
+def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of each query, by Euclidean distance.
 
-    Every usable row is indexed; a query's own vec_id is no candidate. Ties go to the smaller
+    Queries are the rows whose vec_id is divisible by `every` (1: all of them). Every usable row is indexed; a query's own vec_id is no candidate. Ties go to the smaller
     vec_id; with fewer candidates all are returned. Null and zero vectors, vectors with null or
     non-finite components or another number of components than the most frequent, and rows with a
     null vec_id take no part. Rows that repeat a vec_id count once, with the nearer vector. Other
     columns are ignored; an empty table, or one without queries, gives no rows.
     """
-    spark = vectors.sparkSession
+    spark, vectors = vectors.sparkSession, plain(vectors, "vec_id", "embedding")
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.transform("embedding", lambda x: x.cast("double")).alias("embedding"),
-        is_query.alias("is_query"),
+        (F.col("vec_id") % every == 0).alias("is_query"),
     )
     usable = rows.filter(F.col("vec_id").isNotNull() & is_usable(F.col("embedding")))
     size = common_size(usable)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repo_pulse.llm.components import components
-from repo_pulse.llm.scratch import written
+from repo_pulse.llm.scratch import plain, written
 from repo_pulse.llm.vectors import common_size, is_usable, matrix, sampled
 
 TREES = 8
@@ -137,7 +137,7 @@ def near_duplicates(vectors: DataFrame, least: float) -> DataFrame:
     gives a null component, kept false). A repeated vec_id is another vector. Other columns are
     ignored, an empty table gives no rows.
     """
-    spark = vectors.sparkSession
+    spark, vectors = vectors.sparkSession, plain(vectors, "vec_id", "embedding")
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.transform("embedding", lambda x: x.cast("double")).alias("embedding"),

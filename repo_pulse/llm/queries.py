@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repo_pulse.llm import bloom_lm, packing, pii, posting_lists, projection_forest, quality_knn, simhash, token_files, transducer_bpe
+from repo_pulse.llm import bloom_lm, compact_windows, packing, pii, posting_lists, projection_forest, quality_knn, simhash, token_files, transducer_bpe
 from repo_pulse.llm.scratch import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,11 @@ def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_forest.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
+def op3_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages and component of every document."""
+    return compact_windows.report(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     scored = quality_knn.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -52,7 +57,7 @@ def op7_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     vectors = table(spark, sf_dir, "embeddings")
-    return posting_lists.search(vectors, F.col("vec_id") % 100 == 0, neighbours=10)
+    return posting_lists.search(vectors, every=100, neighbours=10)
 
 
 def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +74,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii_disclosure": op1_pii_disclosure,
     "op2_projection_forest": op2_projection_forest,
+    "op3_compact_windows": op3_compact_windows,
     "op4_quality_knn": op4_quality_knn,
     "op5_simhash": op5_simhash,
     "op7_transducer_bpe": op7_transducer_bpe,

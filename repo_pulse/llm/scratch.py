@@ -35,3 +35,16 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def plain(frame: DataFrame, *wanted: str) -> DataFrame:
+    """The frame with the wanted columns under their names and all others under safe ones.
+
+    Names that differ in case only, or clash with columns an operator adds, do no harm then; the
+    first column that has a wanted name is the one meant. `toDF` gives the old names back.
+    """
+    names, left = [], set(wanted)
+    for i, name in enumerate(frame.columns):
+        names.append(name.lower() if name.lower() in left else f"c{i}")
+        left.discard(name.lower())
+    return frame.toDF(*names)

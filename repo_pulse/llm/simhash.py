@@ -18,10 +18,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repo_pulse.llm.arrow_text import group_sums, lower_ascii, pieces, texts_of, words_of
 from repo_pulse.llm.components import components
-from repo_pulse.llm.scratch import written
+from repo_pulse.llm.scratch import plain, written
 
 SEED = 42
 SEGMENT_BITS = 4
@@ -52,8 +53,8 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, bounds: np.ndarray, si
     return hashes, ends_of
 
 
-def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, fingerprint as a signed 64-bit number) of each row."""
+def fingerprints(docs: DataFrame, shingle_words: int, *more: str) -> DataFrame:
+    """(doc_id, fingerprint as a signed 64-bit number) of each row, and columns besides."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -68,11 +69,13 @@ def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
                 ones = group_sums(((hashes >> np.uint64(bit)) & np.uint64(1)).astype(int), ends)
                 found |= (2 * ones > total).astype(np.uint64) << np.uint64(bit)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"]
+                [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
+                ["doc_id", "fingerprint", *more],
             )
 
-    asked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return asked.mapInArrow(run, "doc_id bigint, fingerprint bigint")
+    asked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *more)
+    schema = T.StructType([asked.schema["doc_id"], T.StructField("fingerprint", T.LongType())])
+    return asked.mapInArrow(run, T.StructType([*schema.fields, *asked.schema.fields[2:]]))
 
 
 def cell_of(fingerprint: Column) -> Column:
@@ -132,6 +135,18 @@ def links(different: DataFrame, max_bits: int) -> DataFrame:
     return meeting.filter((F.col("a") != F.col("b")) & (distance <= max_bits)).select("a", "b")
 
 
+def _components(found: DataFrame, max_bits: int) -> DataFrame:
+    """(fingerprint, component_id) of each different fingerprint."""
+    different = found.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    different = written(different, "different")
+    roots = components(links(different.select("fingerprint"), max_bits))
+    tied = different.join(roots, different.fingerprint == roots.node, "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+    )
+    smallest = tied.groupBy("root").agg(F.min("first").alias("component_id"))
+    return tied.join(smallest, "root").select("fingerprint", "component_id", "root")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int, max_bits: int) -> DataFrame:
     """(doc_id, fingerprint, component_id) of each row.
 
@@ -141,17 +156,29 @@ def near_duplicates(docs: DataFrame, shingle_words: int, max_bits: int) -> DataF
     only if it has no other (null then). Repeated rows each give a row. Other columns are ignored,
     an empty table gives no rows.
     """
+    docs = plain(docs, "doc_id", "text")
     found = written(fingerprints(docs, shingle_words), "fingerprints")
-    different = found.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    different = written(different, "different")
-    roots = components(links(different.select("fingerprint"), max_bits))
-    tied = different.join(roots, different.fingerprint == roots.node, "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
-    smallest = tied.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = tied.join(smallest, "root").select("fingerprint", "component_id")
+    named = _components(found, max_bits)
     return found.join(named, "fingerprint").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(docs: DataFrame, shingle_words: int, max_bits: int) -> DataFrame:
+    """One row of each component, with all columns: the first by doc_id, nulls last.
+
+    Of rows with the same doc_id the first by the order of the table's parts stays.
+    """
+    original, docs = docs.columns, plain(docs, "doc_id", "text")
+    numbered = written(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = written(
+        fingerprints(numbered, shingle_words, "row").withColumnRenamed("doc_id", "own_id"),
+        "fingerprints",
+    )
+    named = _components(found.withColumnRenamed("own_id", "doc_id"), max_bits)
+    first = F.min(F.struct(F.col("own_id").isNull(), "own_id", "row"))
+    kept = found.join(named, "fingerprint").groupBy("root").agg(first.alias("first"))
+    kept = kept.select(F.col("first.row").alias("row"))
+    return numbered.join(kept, "row", "left_semi").select(*docs.columns).toDF(*original)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repo_pulse.llm.arrow_text import pieces
+from repo_pulse.llm.scratch import plain
 from repo_pulse.llm.tokenizing import crc32_of, encoder, with_last
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>"
@@ -45,6 +46,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 [batch.column(0), pa.array(np.diff(ends)), lists], ["doc_id", "n_tokens", "ids"]
             )
 
+    docs = plain(docs, "doc_id", "text")
     ordered = (
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
         .repartitionByRange("doc_id")

@@ -17,7 +17,7 @@ from repo_pulse.llm.arrow_text import binary_array, group_sums, pieces, ranges,
 from repo_pulse.llm.bpe import Merges, merges
 from repo_pulse.llm.frequent import frequent, word_counts
 from repo_pulse.llm.lexicon import compile_lexicon, mapped
-from repo_pulse.llm.scratch import new_path, written
+from repo_pulse.llm.scratch import new_path, plain, written
 from repo_pulse.llm.tokenizing import Numbered, assemble
 
 # Words in the lexicon at most: it is compiled on the driver and mapped by every worker.
@@ -83,7 +83,8 @@ def build_lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) ->
     executor fetches it once.
     """
     spark = docs.sparkSession
-    counts = written(word_counts(docs.select("text")), "word-counts")
+    texts = plain(docs, "text").select("text")
+    counts = written(word_counts(texts), "word-counts")
     counts = counts.filter(F.octet_length("word") <= LEXICON_BYTES)
     words = sorted(bytes(row.word) for row in frequent(counts, size).select("word").collect())
     sizes, ids = encode_units(words, merges(tokenizer)) if words else ([], [])
@@ -108,7 +109,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFram
     A null text counts as empty: no ids, an empty decoded text. Null and repeated doc_ids and
     repeated texts keep a row each; other columns are ignored; an empty table gives no rows.
     """
-    return docs.select("doc_id", "text").mapInArrow(
+    return plain(docs, "doc_id", "text").select("doc_id", "text").mapInArrow(
         lambda batches: _run(batches, tokenizer, lexicon, digests=False),
         "doc_id bigint, n_tokens bigint, ids array<int>, decoded string",
     )
@@ -116,7 +117,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFram
 
 def digests(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFrame:
     """The same rows with SHA-256 of the ids (32-bit little-endian) and of the decoded text."""
-    return docs.select("doc_id", "text").mapInArrow(
+    return plain(docs, "doc_id", "text").select("doc_id", "text").mapInArrow(
         lambda batches: _run(batches, tokenizer, lexicon, digests=True),
         "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     )
