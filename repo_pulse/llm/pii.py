@@ -111,8 +111,10 @@ def spelled(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def terms_of(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str]]:
-    """Words outside the spans: lower case, without punctuation around them, with their places."""
+def words_outside(
+    text: str, spans: list[tuple[str, int, int]]
+) -> list[tuple[int, int, str]]:
+    """Words that no span touches: lower case, without punctuation around them, with places."""
     taken = sorted((start, end) for _, start, end in spans)
     starts = [start for start, _ in taken]
     reach = list(np.maximum.accumulate([end for _, end in taken])) if taken else []
@@ -124,27 +126,29 @@ def terms_of(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, in
         word = m[0].lstrip(PUNCTUATION)
         start = m.end() - len(word)
         word = word.rstrip(PUNCTUATION)
-        if len(word) > 2 and word.isalpha():
-            found.append((start, start + len(word), word.lower()))
+        found.append((start, start + len(word), word.lower()))
     return found
 
 
+def is_term(word: str) -> bool:
+    return len(word) > 2 and word.isalpha()
+
+
 def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Each span with its entity and the terms around it."""
-    terms = terms_of(text, spans)
-    starts = [start for start, _, _ in terms]
+    """Each span with its entity, the words around it and the terms among them."""
+    words = words_outside(text, spans)
+    starts = [start for start, _, _ in words]
     found = []
     for kind, start, end in spans:
         i = bisect_left(starts, start)
-        near = [t for _, _, t in terms[max(i - WINDOW_WORDS, 0) : i + WINDOW_WORDS]]
-        value = re.sub(r"[^0-9]", "", text[start:end]) if kind in ("card", "phone") else (
-            text[start:end].lower()
-        )
+        near = [w for _, _, w in words[max(i - WINDOW_WORDS, 0) : i + WINDOW_WORDS]]
+        exact = text[start:end].lower()
+        value = re.sub(r"[^0-9]", "", exact) if kind in ("card", "phone") else exact
         found.append(
             {
                 "entity": _hash(f"{kind}:{value}"),
                 "context": _hash(" ".join(near)),
-                "terms": sorted(set(near)),
+                "terms": sorted(set(filter(is_term, near))),
             }
         )
     return found
@@ -277,7 +281,7 @@ def _all_spans(text: str, spans: list[dict], terms: list[dict] | None) -> list:
     kinds: dict[str, str] = {}
     for t in terms:
         kinds[t["term"]] = max(t["kind"], kinds.get(t["term"], ""))
-    more = [(kinds[t], a, b) for a, b, t in terms_of(text, base) if t in kinds]
+    more = [(kinds[t], a, b) for a, b, t in words_outside(text, base) if t in kinds]
     return base + [s for kind in TERM_KINDS for s in more if s[0] == kind]
 
 

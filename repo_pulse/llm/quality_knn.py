@@ -18,7 +18,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repo_pulse.llm.arrow_text import binary_array, group_sums, pieces, texts_of, words_of
+from repo_pulse.llm.arrow_text import binary_array, pieces, texts_of, words_of
+from repo_pulse.llm.scratch import plain
 
 # Labelled documents of each class that are learnt from, about; this bounds what is broadcast.
 PER_CLASS = 2_000
@@ -145,6 +146,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Voters:
     About PER_CLASS labels of each class are chosen by a hash of the doc_id, so their number does
     not grow with the table. Labels repeated for a doc_id count as their mean, rounded.
     """
+    labels = plain(labels, "doc_id", "quality")
     usable = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     usable = usable.filter(~is_held_out(F.col("doc_id")))
     usable = usable.groupBy(F.col("doc_id").cast("bigint").alias("_labelled")).agg(
@@ -183,11 +185,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Voters:
 def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` (default: doc_id) of each row, and (held_out, score).
 
+    `keep` takes the names that `plain(docs, "doc_id", "text")` gives.
+
     Scores lie between 0 and 1, higher where label 1 is likelier. A null or empty text, like any
     without words, gets the share of label 1 among the learnt rows (a half without labels). Null
     and repeated doc_ids keep a row each; other columns are ignored; an empty table gives no rows.
     """
-    keep = keep or ["doc_id"]
+    keep, docs = keep or ["doc_id"], plain(docs, "doc_id", "text")
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
     held_out = is_held_out(F.col("doc_id")).alias("held_out")
     asked = docs.select(*keep, F.col("text").alias("_text"), held_out)
