@@ -33,6 +33,9 @@ DEFAULT_TECHNOLOGIES = (
     ),
 )
 
+# Broken rules named in a message, which counts them all.
+SHOWN = 20
+
 _COLUMNS = ("technology_id", "name", "category", "repositories")
 _CATALOG = pa.schema(
     [(name, pa.string()) for name in _COLUMNS[:3]] + [("repositories", pa.list_(pa.string()))]
@@ -42,24 +45,32 @@ _CATALOG = pa.schema(
 def create(spark: SparkSession, technologies: Iterable[tuple]) -> DataFrame:
     """A catalog DataFrame from configuration tuples, ids and repositories normalized.
 
-    Built as a local relation, so the optimizer knows its exact size.
+    Built as a local relation, so the optimizer knows its exact size. A catalog that breaks a
+    rule raises.
     """
-    rows = [dict(zip(_COLUMNS, technology, strict=True)) for technology in technologies]
-    return normalized(spark.createDataFrame(pa.Table.from_pylist(rows, schema=_CATALOG)))
+    return validate(_made(spark, technologies))
 
 
 def default(spark: SparkSession) -> DataFrame:
-    return create(spark, DEFAULT_TECHNOLOGIES)
+    """The built-in catalog, which a test validates."""
+    return _made(spark, DEFAULT_TECHNOLOGIES)
+
+
+def _made(spark: SparkSession, technologies: Iterable[tuple]) -> DataFrame:
+    rows = [dict(zip(_COLUMNS, technology, strict=True)) for technology in technologies]
+    return normalized(spark.createDataFrame(pa.Table.from_pylist(rows, schema=_CATALOG)))
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
-    """A catalog from a TOML file with a `technologies` table array; invalid ones raise."""
-    with open(path, "rb") as stream:
-        entries: list[Mapping] = tomllib.load(stream)["technologies"]
-    catalog = create(
+    """A catalog from a TOML file with a `technologies` table array; invalid ones raise.
+
+    The file is read by Spark, so any store that holds the tables can hold it.
+    """
+    text = spark.read.text(path, wholetext=True).first()
+    entries: list[Mapping] = tomllib.loads(text.value if text else "")["technologies"]
+    return create(
         spark, [(e["id"], e["name"], e["category"], e["repositories"]) for e in entries]
     )
-    return validate(catalog)
 
 
 def normalized(catalog: DataFrame) -> DataFrame:
@@ -116,16 +127,26 @@ def violations(catalog: DataFrame) -> DataFrame:
 
 
 def validate(catalog: DataFrame) -> DataFrame:
-    """The same catalog, or ValueError naming the first broken rules."""
-    found = violations(catalog).orderBy("rule", "subject").limit(20).collect()
-    if found:
-        raise ValueError("; ".join(row.message for row in found))
+    """The same catalog, or ValueError naming the first broken rules and how many there are;
+    `violations` lists them all."""
+    broken = violations(catalog)
+    total = broken.count()
+    if total:
+        found = broken.orderBy("rule", "subject").limit(SHOWN).collect()
+        more = [f"{total} broken rules in all"] if total > SHOWN else []
+        raise ValueError("; ".join([row.message for row in found] + more))
     return catalog
 
 
 def index(catalog: DataFrame) -> DataFrame:
-    """The lookup side: `repository, technology_id`, one row per repository."""
-    return assignments(catalog).select("repository", "technology_id")
+    """The lookup side: `repository, technology_id`, one row per repository.
+
+    A repository that two technologies list belongs to the first by id: events are never counted
+    twice. `create` and `load` refuse such a catalog.
+    """
+    return assignments(catalog).groupBy("repository").agg(
+        F.min("technology_id").alias("technology_id")
+    )
 
 
 def classify(events: DataFrame, repository_index: DataFrame) -> DataFrame:

@@ -6,12 +6,10 @@ any time: finished sources are skipped, dates are rebuilt as a whole.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 from functools import reduce
-from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
@@ -20,7 +18,13 @@ from pyspark.sql import functions as F
 from repo_pulse.operators import bronze, gold, quality, silver
 from repo_pulse.session import scoped_conf
 from repo_pulse.sources import archive
-from repo_pulse.sources.lakehouse import Lakehouse, LoadError, sources_frame
+from repo_pulse.sources.lakehouse import (
+    SHOWN,
+    UNREADABLE,
+    Lakehouse,
+    sources_frame,
+    without_lines,
+)
 from repo_pulse.sources.serving import JdbcServing
 
 # Fixed value: the first daily partition.
@@ -33,11 +37,15 @@ class QualityError(ValueError):
 
 @dataclass(frozen=True)
 class RunSummary:
+    """Counts of one run, in archives and rows. `reused_archive_count` counts the archives that
+    were finished before, `rejected_count` what the run left out (see the rejects table)."""
+
     archive_count: int
     bronze_rows: int
     silver_rows: int
     gold_rows: int
     reused_archive_count: int = 0
+    rejected_count: int = 0
 
 
 # Compressed sizes. Archives below the first share tasks; archives from the second on are read
@@ -78,27 +86,24 @@ def _write_bronze(lake: Lakehouse, raw_root: str, archives: Sequence[Row], large
             lake.write_sources("bronze", bronze.parse_events(lines))
 
 
-def _unreadable(failure: Exception, archives: Sequence[Row]) -> Row | None:
-    """The archive a job failed to read, when that is why it failed."""
-    text = str(failure)
-    found = re.search(r"FAILED_READ_FILE\S* Encountered error while reading file (\S+)\.\s", text)
-    if not found:
-        return None
-    plain = lambda path: re.sub(r"^\w+:/+", "/", unquote(path))
-    return next((row for row in archives if plain(row.path) == plain(found[1])), None)
-
-
 def load_bronze(
-    lake: Lakehouse, raw_root: str, archives: DataFrame, large: int = LARGE_ARCHIVE
+    lake: Lakehouse,
+    raw_root: str,
+    archives: DataFrame,
+    large: int = LARGE_ARCHIVE,
+    mode: str = "fail",
 ) -> int:
     """Load the archives (`path, source_file, length`) not loaded yet; returns the rows that
     became visible.
 
     The list of pending paths is held by the driver, as Spark's own file listing is. When a
-    name occurs in several folders, one of them is taken: the bare name is the identity. An
-    archive that cannot be decompressed fails the write; it is left out and the write starts
-    again with the others, and like a bad line it is reported once those are committed.
+    name occurs in several folders, one of them is taken: the bare name is the identity. If the
+    write fails, all archives are unpacked once to find those that cannot be read, and the others
+    are written again: two writes at most. Bad, unreadable and empty archives go to the rejects
+    table and the others are committed; with mode `fail`, LoadError is raised after that if any
+    could not be read or had a bad line.
     """
+    started = datetime.now(UTC)
     pending = (
         lake.pending("bronze", archives)
         .groupBy("source_file")
@@ -106,51 +111,63 @@ def load_bronze(
         .select("source_file", "file.path", "file.length")
         .collect()
     )
-    problems = []
-    while pending:
-        try:
-            _write_bronze(lake, raw_root, pending, large)
-            break
-        except Exception as failure:
-            broken = _unreadable(failure, pending)
-            if broken is None:
-                raise
-            problems.append(f"{broken.source_file}: cannot be read")
-            pending.remove(broken)
-    committed = 0
+    if not pending:
+        return 0
     try:
+        _write_bronze(lake, raw_root, pending, large)
+    except Exception:
+        broken = set(archive.unreadable(lake.spark, [row.path for row in pending]))
+        if not broken:
+            raise
+        names = sources_frame(lake.spark, [r.source_file for r in pending if r.path in broken])
+        lake.reject("bronze", without_lines(names, UNREADABLE))
+        pending = [row for row in pending if row.path not in broken]
         if pending:
-            committed = lake.commit("bronze", [row.source_file for row in pending])
-    except LoadError as bad_lines:
-        problems.append(str(bad_lines))
-    if problems:
-        raise LoadError("; ".join(problems))
+            _write_bronze(lake, raw_root, pending, large)
+    committed = 0
+    if pending:
+        committed = lake.commit("bronze", [row.source_file for row in pending], "quarantine")
+    if mode == "fail":
+        # An empty archive is no error of this layer.
+        lake.require_none(started, "first_error_line IS NOT NULL OR reason LIKE '%cannot be read'")
     return committed
 
 
-def load_bronze_paths(lake: Lakehouse, raw_root: str, paths: Sequence[str]) -> int:
-    return load_bronze(lake, raw_root, archive.listed(lake.spark, paths)) if paths else 0
+def load_bronze_paths(
+    lake: Lakehouse, raw_root: str, paths: Sequence[str], mode: str = "fail"
+) -> int:
+    if not paths:
+        return 0
+    return load_bronze(lake, raw_root, archive.listed(lake.spark, paths), mode=mode)
 
 
-def load_silver(lake: Lakehouse, sources: Sequence[str] | None = None) -> int:
-    """Type the Bronze sources not in Silver yet: the given ones, or all. A given source that
-    is in neither layer is an error. Returns the rows that became visible."""
+def load_silver(
+    lake: Lakehouse, sources: Sequence[str] | None = None, mode: str = "fail"
+) -> int:
+    """Type the Bronze sources not in Silver yet: the given ones, or all. Returns the rows that
+    became visible.
+
+    A given source that is in neither layer is an error. Sources with a bad row go to the rejects
+    table and the others are committed; with mode `fail`, LoadError is raised after that. With
+    mode `quarantine`, given sources that are in neither layer are left alone.
+    """
     loaded = lake.commits("bronze").select("source_file")
     if sources is not None:
-        wanted = sources_frame(lake.spark, sources)
-        todo = lake.pending("silver", wanted)
-        unknown = todo.join(loaded, "source_file", "left_anti").orderBy("source_file")
-        missing = unknown.limit(20).collect()
-        if missing:
-            names = ", ".join(row.source_file for row in missing)
-            raise ValueError(f"Bronze source file not found: {names}")
+        todo = lake.pending("silver", sources_frame(lake.spark, sources))
+        unknown = todo.join(loaded, "source_file", "left_anti")
+        if mode == "fail" and (total := unknown.count()):
+            shown = unknown.orderBy("source_file").limit(SHOWN).collect()
+            names = ", ".join(row.source_file for row in shown)
+            more = f" ({total} in all)" if total > SHOWN else ""
+            raise ValueError(f"Bronze source file not found: {names}{more}")
+        todo = todo.join(loaded, "source_file", "left_semi")
     else:
         todo = lake.pending("silver", loaded)
     names = [row.source_file for row in todo.distinct().collect()]
     if not names:
         return 0
     lake.write_sources("silver", silver.to_silver(lake.read_bronze(names)))
-    return lake.commit("silver", names)
+    return lake.commit("silver", names, mode)
 
 
 def build_gold(lake: Lakehouse, dates: Sequence[date], repository_index: DataFrame) -> int:
@@ -160,9 +177,13 @@ def build_gold(lake: Lakehouse, dates: Sequence[date], repository_index: DataFra
 
 
 def run_hours(
-    lake: Lakehouse, raw_root: str, hours: Sequence[datetime], repository_index: DataFrame
+    lake: Lakehouse,
+    raw_root: str,
+    hours: Sequence[datetime],
+    repository_index: DataFrame,
+    mode: str = "fail",
 ) -> RunSummary:
-    """Raw to Gold for landed hours of one UTC date."""
+    """Raw to Gold for landed hours of one UTC date; `mode` as for `backfill`."""
     if not hours:
         raise ValueError("at least one archive hour is required")
     if any(hour.tzinfo is None or hour.utcoffset() is None for hour in hours):
@@ -182,11 +203,30 @@ def run_hours(
         names = ", ".join(f"{row.hour:%Y-%m-%dT%H}" for row in absent)
         raise FileNotFoundError(f"archive hours have not landed: {names}")
     wanted_files = landed.join(expected, "hour", "left_semi")
-    files = wanted_files.select("source_file").collect()
-    bronze_rows = load_bronze(lake, raw_root, wanted_files)
-    silver_rows = load_silver(lake, [row.source_file for row in files])
+    return _to_gold(lake, raw_root, wanted_files, dates, repository_index, mode)
+
+
+def _to_gold(
+    lake: Lakehouse,
+    raw_root: str,
+    archives: DataFrame,
+    dates: Sequence[date],
+    repository_index: DataFrame,
+    mode: str,
+) -> RunSummary:
+    """Load the archives and rebuild the dates. Bad sources hold up neither the others nor the
+    dates: they are recorded, and with mode `fail` they raise LoadError when all is built."""
+    started = datetime.now(UTC)
+    names = [row.source_file for row in archives.select("source_file").distinct().collect()]
+    found = sources_frame(lake.spark, names)
+    reused = len(names) - lake.pending("bronze", found).count()
+    bronze_rows = load_bronze(lake, raw_root, archives, mode="quarantine")
+    silver_rows = load_silver(lake, names, mode="quarantine")
     gold_rows = build_gold(lake, dates, repository_index)
-    return RunSummary(len(hours), bronze_rows, silver_rows, gold_rows, len(hours))
+    if mode == "fail":
+        lake.require_none(started)
+    rejected = lake.rejects(started).select("source_file").distinct().count()
+    return RunSummary(len(names), bronze_rows, silver_rows, gold_rows, reused, rejected)
 
 
 def run_day(
@@ -202,21 +242,29 @@ def date_range(from_date: date, to_date: date) -> list[date]:
     """Daily partitions from one date to another, both included."""
     if from_date < FIRST_DATE:
         raise ValueError(f"daily partitions start at {FIRST_DATE.isoformat()}")
+    if to_date < from_date:
+        raise ValueError(f"date range ends {to_date.isoformat()}, before {from_date.isoformat()}")
     return [from_date + timedelta(days=n) for n in range((to_date - from_date).days + 1)]
 
 
 def backfill(
-    lake: Lakehouse, raw_root: str, from_date: date, to_date: date, repository_index: DataFrame
+    lake: Lakehouse,
+    raw_root: str,
+    from_date: date,
+    to_date: date,
+    repository_index: DataFrame,
+    mode: str = "fail",
 ) -> RunSummary:
     """Raw to Gold for everything that has landed in a range of dates, as one Bronze load,
-    one Silver load and one Gold build. Hours that have not landed show in the checks."""
+    one Silver load and one Gold build. Hours that have not landed show in the checks.
+
+    Bad, unreadable and empty archives go to the rejects table and every date is built from the
+    others. With mode `fail`, LoadError then names them; with `quarantine`, the summary counts
+    them. A repaired archive is loaded by the next run.
+    """
     dates = date_range(from_date, to_date)
     landed = archive.inventory(lake.spark, raw_root, dates)
-    files = landed.select("source_file").collect()
-    bronze_rows = load_bronze(lake, raw_root, landed)
-    silver_rows = load_silver(lake, [row.source_file for row in files])
-    gold_rows = build_gold(lake, dates, repository_index)
-    return RunSummary(len(files), bronze_rows, silver_rows, gold_rows, len(files))
+    return _to_gold(lake, raw_root, landed, dates, repository_index, mode)
 
 
 def run_summary(lake: Lakehouse) -> DataFrame:
@@ -259,9 +307,15 @@ def checks(lake: Lakehouse, dates: Sequence[date]) -> DataFrame:
 
 def require_checks(lake: Lakehouse, dates: Sequence[date]) -> None:
     """Raise QualityError naming the checks that did not pass."""
-    failed = checks(lake, dates).where(~F.col("passed")).orderBy("check_name").limit(20).collect()
-    if failed:
-        raise QualityError("; ".join(f"{row.check_name}: {row.details}" for row in failed))
+    failed = checks(lake, dates).where(~F.col("passed")).persist()
+    try:
+        total = failed.count()
+        shown = failed.orderBy("check_name", "details").limit(SHOWN).collect()
+    finally:
+        failed.unpersist()
+    if total:
+        said = [f"{row.check_name}: {row.details}" for row in shown]
+        raise QualityError("; ".join([*said, f"{total} failed checks in all"]))
 
 
 def materialize_day(

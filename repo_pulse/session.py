@@ -49,8 +49,10 @@ def scoped_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[No
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    A machine-local folder is taken only where no shared one is named, as on a laptop.
+    Only a local session may go without one: there a folder of this machine serves all tasks.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-")
     return f"{base}/{purpose}-{uuid.uuid4().hex}"

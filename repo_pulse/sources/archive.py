@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 from datetime import date
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repo_pulse.functions import instants
+from repo_pulse.session import scoped_conf
 
 # Where the public archive is served, and the folder of the raw zone.
 BASE_URL = "https://data.gharchive.org"
@@ -19,17 +22,26 @@ NAIVE_HOUR = "archive_hour must be timezone-aware"
 UNALIGNED_HOUR = "archive_hour must be aligned to a full UTC hour"
 
 _LINES = "value string, archive_date date, archive_hour int"
+# Bytes unpacked at a time while an archive is checked.
+UNPACKED = 1 << 20
+
 # The low 33 bits of a row id count the rows of its task.
 _ROW_IN_TASK = (1 << 33) - 1
 
 
 def hours(spark: SparkSession, from_date: date, to_date: date) -> DataFrame:
     """Every UTC hour of the dates from `from_date` to `to_date`, both included."""
-    day = spark.sql(
-        "SELECT explode(sequence(CAST(:start AS DATE), CAST(:stop AS DATE), INTERVAL 1 DAY)) "
-        "AS activity_date",
+    bounds = spark.sql(
+        "SELECT CAST(:start AS DATE) AS first, CAST(:stop AS DATE) AS last",
         args={"start": from_date, "stop": to_date},
     )
+    return hours_between(bounds)
+
+
+def hours_between(bounds: DataFrame) -> DataFrame:
+    """Every UTC hour of the dates from `first` to `last` of each row, both included."""
+    days = F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))
+    day = bounds.select(F.explode(days).alias("activity_date"))
     start = F.col("activity_date").cast("timestamp")
     hour = F.sequence(start, start + F.expr("INTERVAL 23 HOURS"), F.expr("INTERVAL 1 HOUR"))
     return day.select("activity_date", F.explode(hour).alias("hour"))
@@ -73,14 +85,16 @@ def zone(raw_root: str) -> str:
 
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 _INVENTORY = (
-    "path string, source_file string, length bigint, archive_date date, hour timestamp"
+    "path string, modificationTime timestamp, source_file string, length bigint, "
+    "archive_date date, hour timestamp"
 )
 
 
 def inventory(
     spark: SparkSession, raw_root: str, dates: Sequence[date] | None = None
 ) -> DataFrame:
-    """Archives that have landed: `path, source_file, length, archive_date, hour`.
+    """Archives that have landed: `path, modificationTime, source_file, length, archive_date,
+    hour`.
 
     Only the listing is read, never file content; with `dates`, only the folders of those
     dates are listed. Unfinished downloads do not end in `.gz`.
@@ -103,6 +117,7 @@ def inventory(
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(
         "path",
+        "modificationTime",
         name.alias("source_file"),
         "length",
         "archive_date",
@@ -117,6 +132,42 @@ def listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return files.select("path", name.alias("source_file"), "length")
 
 
+def unreadable(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The paths among the given ones that are no complete gzip files.
+
+    All are unpacked once, on the executors, one file at a time; only bad paths come back.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [not _is_gzip(c.as_buffer()) for c in batch.column("content")]
+            yield batch.select(["path"]).filter(pa.array(keep, pa.bool_()))
+
+    files = spark.read.format("binaryFile").schema(_FILES).load(list(paths))
+    with scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):
+        found = files.select("path", "content").mapInArrow(check, "path string").collect()
+    return [row.path for row in found]
+
+
+def _is_gzip(content: pa.Buffer) -> bool:
+    """Whether the bytes are nothing but whole gzip members (none: an empty file)."""
+    rest = memoryview(content)
+    while len(rest):
+        member = zlib.decompressobj(wbits=31)
+        try:
+            while not member.eof and len(rest):
+                part, rest = rest[:UNPACKED], rest[UNPACKED:]
+                while part and not member.eof:
+                    member.decompress(part, UNPACKED)
+                    part = member.unconsumed_tail
+        except zlib.error:
+            return False
+        if not member.eof:
+            return False
+        rest = memoryview(content)[len(content) - len(rest) - len(member.unused_data) :]
+    return True
+
+
 def landing(landed: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected hours with the number and size of their landed archives (none: not landed).
 
@@ -164,8 +215,6 @@ def read_archives(
         F.monotonically_increasing_id().alias("row_id"),
     )
     first = lines.groupBy("file_path").agg(F.min("row_id").alias("first_row_id"))
-    if len(lines.inputFiles()) <= BROADCAST_FILES:
-        first = F.broadcast(first)
     return lines.join(first, "file_path").select(
         "value",
         "archive_hour",
@@ -174,15 +223,14 @@ def read_archives(
     )
 
 
-# One path and one number per file: 200,000 files (20 years of hours) take about 50 MB.
-BROADCAST_FILES = 200_000
-
-
 def whole_file_settings(spark: SparkSession) -> dict[str, str]:
     """Settings under which a task reads exactly one gzip file: opening a second one costs as
     much as a full split."""
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return {"spark.sql.files.openCostInBytes": split}
+    return {
+        "spark.sql.files.openCostInBytes": split,
+        "spark.sql.files.maxPartitionNum": str((1 << 31) - 1),
+    }
 
 
 def read_whole_archives(

@@ -11,12 +11,12 @@ no snapshots.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
-from datetime import date
-from functools import reduce
+from datetime import date, datetime
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,13 +26,19 @@ from repo_pulse.session import configure, scoped_conf
 
 NULL_IN_REQUIRED = "null in a required column"
 
-# Bad sources named in the message of a failed load.
+# Bad sources named in the message of a failed load, which counts them all; the table has all.
 SHOWN = 20
 
 LEDGER = schema.struct(
     "layer string, source_file string, event_date date?, row_count bigint, committed_at timestamp"
 )
 
+# A row for each source a load left out, every time it did so.
+REJECTS = schema.struct(
+    "layer string, source_file string, reason string, first_error_line bigint?, "
+    "error_count bigint, seen_at timestamp"
+)
+
 # Dynamic overwrite replaces exactly the partitions written. A task holds rows of few
 # partitions, so it keeps some writers open and does not sort its rows by partition first.
 _WRITE = {
@@ -67,6 +73,7 @@ class Lakehouse:
         self.silver = f"{prefix}silver.github_events"
         self.gold = f"{prefix}gold.daily_technology_activity"
         self.ledger = f"{prefix}ops.source_commits"
+        self.rejected = f"{prefix}ops.source_rejects"
         self.ensure()
 
     # -- tables -------------------------------------------------------------------------
@@ -82,13 +89,15 @@ class Lakehouse:
         )
         self._ensure(self.gold, schema.GOLD, ["activity_date"])
         self._ensure(self.ledger, LEDGER, ["layer"])
+        self._ensure(self.rejected, REJECTS, ["layer"])
 
     def _ensure(self, table: str, columns: T.StructType, partitions: Sequence[str]) -> None:
+        database, name = table.split(".")
+        folder = f"{self.root}/{database}"
         if self.spark.catalog.tableExists(table):
+            self._require_same(table, f"{folder}/{name}", columns, partitions)
             return
-        database, name = table.split(".")
         listed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
-        folder = f"{self.root}/{database}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({listed}) USING parquet "
@@ -98,9 +107,22 @@ class Lakehouse:
         self.spark.sql(f"INSERT INTO {table} SELECT * FROM {table} WHERE false")
         self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
+    def _require_same(
+        self, table: str, folder: str, columns: T.StructType, partitions: Sequence[str]
+    ) -> None:
+        """An open table must lie under this root and have the columns and partitions asked for."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        location = next(r.data_type for r in described if r.col_name == "Location")
+        if _bare(location) != _bare(folder):
+            raise ValueError(f"table {table} lies at {location}, not at {folder}")
+        found = {c.name: (c.dataType, c.isPartition) for c in self.spark.catalog.listColumns(table)}
+        wanted = {f.name: (f.dataType.simpleString(), f.name in partitions) for f in columns}
+        if found != wanted:
+            raise ValueError(f"table {table} has other columns or partitions than asked for")
+
     def drop(self) -> None:
         """Forget the tables; the files stay."""
-        for table in (self.bronze, self.silver, self.gold, self.ledger):
+        for table in (self.bronze, self.silver, self.gold, self.ledger, self.rejected):
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
     def _overwrite_partitions(self, rows: DataFrame, table: str) -> None:
@@ -128,12 +150,13 @@ class Lakehouse:
             rows.withColumn(ERROR, F.coalesce(ERROR, null_found)), table
         )
 
-    def commit(self, layer: str, sources: Sequence[str]) -> int:
+    def commit(self, layer: str, sources: Sequence[str], mode: str = "fail") -> int:
         """Count what was written for the sources and list the clean ones as finished.
 
-        Returns the rows that became visible. Raises LoadError, after committing the clean
-        sources, when any source has an error; its message starts with the first error of the
-        first bad source. A source without rows is not recorded.
+        Returns the rows that became visible. Sources with an error go to the rejects table, as
+        do Bronze sources without rows; none of them is recorded as finished. With mode `fail`,
+        LoadError is raised at the end when a source had an error; its message starts with the
+        first error of the first bad source.
         """
         table, dated = (
             (self.bronze, F.lit(None).cast("date"))
@@ -176,24 +199,67 @@ class Lakehouse:
             # One file, so the batch appears in the ledger at once; a row per source and date.
             rows.coalesce(1).write.insertInto(self.ledger)
             committed = rows.agg(F.sum("row_count")).first()[0] or 0
-            bad = by_source.where("errors > 0").orderBy("source_file").limit(SHOWN).collect()
+            bad = by_source.where("errors > 0").select("source_file", "errors", "error_line")
+            first = written.select("source_file", line.alias("error_line"), ERROR)
+            found = bad.join(first, ["source_file", "error_line"]).select(
+                "source_file",
+                F.col(ERROR).alias("reason"),
+                F.col("error_line").alias("first_error_line"),
+                F.col("errors").alias("error_count"),
+            )
+            problems = self.reject(layer, found)
+            if layer == "bronze":
+                names = sources_frame(self.spark, sources)
+                absent = names.join(by_source, "source_file", "left_anti")
+                self.reject(layer, without_lines(absent, EMPTY))
         finally:
             counted.unpersist()
-        if bad:
-            raise LoadError(self._describe(written, bad))
+        if problems and mode == "fail":
+            raise LoadError(problems)
         return committed
 
-    def _describe(self, written: DataFrame, bad: Sequence[Row]) -> str:
-        """The first error of each of a few bad sources, and how many there are."""
-        errors = {row.source_file: row.errors for row in bad}
-        lines = {row.source_file: row.error_line for row in bad}
-        firsts = [
-            in_list("source_file", [name]) & (F.col("source_line_number") == at)
-            for name, at in lines.items()
+    def reject(self, layer: str, found: DataFrame) -> str:
+        """Record sources that a load leaves out; returns what to say about them ("": none)."""
+        kept = found.withColumns(
+            {"seen_at": F.current_timestamp(), "layer": F.lit(layer)}
+        ).persist()
+        try:
+            total = kept.count()
+            if not total:
+                return ""
+            kept.select(*self.spark.table(self.rejected).columns).write.insertInto(self.rejected)
+            return self._describe(kept, total)
+        finally:
+            kept.unpersist()
+
+    def rejects(self, since: datetime | None = None) -> DataFrame:
+        """The recorded rejects, all or those seen from a time on."""
+        rows = self.spark.table(self.rejected)
+        return rows if since is None else rows.where(F.col("seen_at") >= F.lit(since))
+
+    def open_rejects(self, layer: str) -> DataFrame:
+        """Sources left out and not finished since, with the time they were last seen."""
+        rows = self.rejects().where(F.col("layer") == layer)
+        latest = rows.groupBy("source_file").agg(F.max("seen_at").alias("seen_at"))
+        return self.pending(layer, latest)
+
+    def require_none(self, since: datetime, which: str = "true") -> None:
+        """Raise LoadError when such sources were left out from a time on."""
+        found = self.rejects(since).where(which)
+        total = found.count()
+        if total:
+            raise LoadError(self._describe(found, total))
+
+    def _describe(self, rejected: DataFrame, total: int) -> str:
+        """The first error of the first bad sources, how many there are, and where all are."""
+        rows = rejected.orderBy("source_file", "layer").limit(SHOWN).collect()
+        said = [
+            f"{r.reason} ({r.error_count} errors)" if r.first_error_line else r.reason
+            for r in rows
         ]
-        texts = written.where(reduce(lambda one, other: one | other, firsts))
-        found = texts.orderBy("source_file").select("source_file", ERROR).collect()
-        return "; ".join(f"{row[ERROR]} ({errors[row.source_file]} errors)" for row in found)
+        if total > SHOWN:
+            said.append(f"{total} sources in all")
+        return "; ".join(said) + f"; see {self.rejected}"
 
     # -- reads --------------------------------------------------------------------------
 
@@ -263,6 +329,27 @@ class Lakehouse:
             )
 
 
+# What is said of a source without a row for a line.
+EMPTY = "Bronze source file not found: {}"
+UNREADABLE = "{}: cannot be read"
+
+
+def without_lines(sources: DataFrame, text: str) -> DataFrame:
+    """Rejects of sources that have no line to blame."""
+    before, after = text.split("{}")
+    return sources.select(
+        "source_file",
+        F.concat(F.lit(before), F.col("source_file"), F.lit(after)).alias("reason"),
+        F.lit(None).cast("bigint").alias("first_error_line"),
+        F.lit(1).cast("bigint").alias("error_count"),
+    )
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme's spelling and slashes at the end."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
 def sources_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """Distinct source names as a relation of known size."""
     distinct = list(dict.fromkeys(names))

@@ -7,6 +7,7 @@ through the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import closing
 from datetime import date
@@ -19,6 +20,7 @@ from repo_pulse.schema import GOLD, GOLD_KEY, METRICS
 # Where dashboards look for the table.
 SCHEMA = "analytics"
 TABLE = "analytics.daily_technology_activity"
+# Each run stages under a name of its own that starts with this one.
 STAGING = "analytics.daily_technology_activity_staging"
 
 _SQL_TYPES = {"string": "TEXT", "date": "DATE", "bigint": "BIGINT"}
@@ -83,18 +85,23 @@ class JdbcServing:
 
     def upsert(self, gold: DataFrame) -> int:
         """Insert or update by key, keeping rows not in the input. Returns rows published."""
-        rows = require_unique_keys(gold)
-        run_transaction(self.connect, create_statements())
-        stage(gold, self.url, self.properties)
-        run_transaction(self.connect, [upsert_statement()])
-        return rows
+        return self._publish(gold, [])
 
     def replace_dates(self, gold: DataFrame, dates: Sequence[date]) -> int:
         """Replace whole dates in one transaction, so rows no longer in Gold go away."""
-        rows = require_unique_keys(require_dates(gold, dates))
+        return self._publish(require_dates(gold, dates), [delete_statement(dates)])
+
+    def _publish(self, gold: DataFrame, before: Sequence[str]) -> int:
+        """Stage the rows and move them in one transaction, which drops the staging table.
+
+        The staging table belongs to this run, so runs at the same time don't mix their rows.
+        """
+        rows = require_unique_keys(gold)
+        staging = f"{STAGING}_{uuid.uuid4().hex}"
         run_transaction(self.connect, create_statements())
-        stage(gold, self.url, self.properties)
-        run_transaction(self.connect, [delete_statement(dates), upsert_statement()])
+        stage(gold, self.url, self.properties, staging)
+        moved = [*before, upsert_statement(staging=staging), f"DROP TABLE {staging}"]
+        run_transaction(self.connect, moved)
         return rows
 
 

@@ -2,7 +2,9 @@
 
 The stream carries file paths, not lines: file discovery and its checkpoint are Spark's, the
 load of a micro-batch is the batch job. A batch that is replayed after a failure skips the
-sources it had committed, so each archive is counted once.
+sources it had committed, so each archive is counted once. A bad archive goes to the rejects
+table and the stream goes on; when a stream starts, rejected archives whose file has changed
+since are loaded first.
 """
 
 from __future__ import annotations
@@ -38,6 +40,13 @@ def _on_arrival(
         .select("path")
     )
 
+    rejected = lake.open_rejects("bronze")
+    if rejected.limit(1).count():
+        landed = archive.inventory(lake.spark, raw_root).join(rejected, "source_file")
+        repaired = landed.where("modificationTime > seen_at").select("path").collect()
+        if repaired:
+            handle([row.path for row in repaired])
+
     def each(batch: DataFrame, _batch_id: int) -> None:
         handle([row.path for row in batch.collect()])
 
@@ -58,7 +67,7 @@ def stream_bronze(
         raw_root,
         checkpoint,
         max_files,
-        lambda paths: jobs.load_bronze_paths(lake, raw_root, paths),
+        lambda paths: jobs.load_bronze_paths(lake, raw_root, paths, mode="quarantine"),
     )
 
 
@@ -76,9 +85,9 @@ def stream_refresh(
     """
 
     def handle(paths: list[str]) -> None:
-        jobs.load_bronze_paths(lake, raw_root, paths)
+        jobs.load_bronze_paths(lake, raw_root, paths, mode="quarantine")
         names = [path.rsplit("/", 1)[-1] for path in paths]
-        jobs.load_silver(lake, names)
+        jobs.load_silver(lake, names, mode="quarantine")
         touched = (
             lake.commits("silver")
             .where(in_list("source_file", names))

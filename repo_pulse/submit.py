@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 from datetime import date
+from importlib import import_module
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +13,7 @@ from repo_pulse.operators import catalog
 from repo_pulse.plans import jobs
 from repo_pulse.sources import archive
 from repo_pulse.sources.lakehouse import Lakehouse
+from repo_pulse.sources.serving import JdbcServing
 
 
 def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
@@ -27,6 +29,14 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
     backfill = commands.add_parser("backfill")
     backfill.add_argument("from_date", type=date.fromisoformat)
     backfill.add_argument("to_date", type=date.fromisoformat)
+    backfill.add_argument("--quarantine", action="store_true", help="bad archives are no error")
+    publish = commands.add_parser("publish")
+    publish.add_argument("dates", nargs="+", type=date.fromisoformat)
+    publish.add_argument("--url", required=True, help="JDBC address the executors write to")
+    publish.add_argument(
+        "--connect", required=True, help="module:function that opens a DB-API connection to it"
+    )
+    publish.add_argument("--property", action="append", default=[], help="name=value for JDBC")
     return parser.parse_args(given)
 
 
@@ -49,7 +59,16 @@ def run(spark: SparkSession, asked: argparse.Namespace) -> object:
         return jobs.require_checks(lake, [asked.date])
     if asked.command == "day":
         return jobs.materialize_day(lake, asked.raw, asked.date, index)
-    return jobs.backfill(lake, asked.raw, asked.from_date, asked.to_date, index)
+    if asked.command == "publish":
+        return jobs.publish(lake, asked.dates, serving_table(asked))
+    mode = "quarantine" if asked.quarantine else "fail"
+    return jobs.backfill(lake, asked.raw, asked.from_date, asked.to_date, index, mode)
+
+
+def serving_table(asked: argparse.Namespace) -> JdbcServing:
+    module, function = asked.connect.split(":")
+    properties = dict(item.split("=", 1) for item in asked.property)
+    return JdbcServing(asked.url, properties, getattr(import_module(module), function))
 
 
 if __name__ == "__main__":

@@ -7,7 +7,8 @@ late, so some archives hold events of the day before.
 
 from __future__ import annotations
 
-from datetime import date
+import gzip
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,9 +52,6 @@ REPOSITORIES = (
 # Lines per derived archive file; an hour with more is delivered as several files.
 LINES_PER_ARCHIVE = 1_000_000
 
-# Three numbers per hour: a century of hours takes about 25 MB.
-BROADCAST_HOURS = 1_000_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
@@ -219,9 +217,7 @@ def write_archives(rows: DataFrame, raw_root: str) -> None:
         "files",
         F.coalesce(F.sum("files").over(before), F.lit(0)).alias("first_file"),
     )
-    hours, total = sizes.agg(F.count(F.lit(1)), F.sum("files")).first()
-    if hours <= BROADCAST_HOURS:
-        placed = F.broadcast(placed)
+    total = sizes.agg(F.sum("files")).first()[0]
     file_id = F.col("first_file") + F.col("event_number") % F.col("files")
     archives = rows.join(placed, "archive_hour").select(
         "value",
@@ -251,3 +247,39 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> str:
         write_archives(lines(spark, sf_dir), root)
         _WRITTEN[key] = root
     return _WRITTEN[key]
+
+
+def damaged_zone(spark: SparkSession, sf_dir: str) -> str:
+    """A raw zone with three bad archives on the first date: a bad line at 05:00, bytes that are
+    no gzip file at 06:00, no line at all at 07:00. Everything else is as in `raw_zone`."""
+    key = (spark.sparkContext.applicationId, f"damaged {sf_dir}")
+    if key not in _WRITTEN:
+        root = scratch_dir(spark, "damaged")
+        first, _ = date_bounds(spark, sf_dir)
+        hour = F.col("archive_hour")
+        at = F.when(F.to_date(hour) == F.lit(first), F.hour(hour)).otherwise(-1)
+        rows = lines(spark, sf_dir)
+        bad = (
+            rows.where(at == 5)
+            .groupBy("archive_hour")
+            .agg(F.max("event_number").alias("event_number"))
+            .select(F.lit("{").alias("value"), "archive_hour", "event_number")
+        )
+        whole = rows.where(~at.isin(6, 7)).select("value", "archive_hour", "event_number")
+        write_archives(whole.unionByName(bad), root)
+        for number, content in ((6, b"not compressed"), (7, gzip.compress(b""))):
+            moment = datetime(first.year, first.month, first.day, number)
+            where = f"archive_date={moment:%Y-%m-%d}/archive_hour={moment:%H}"
+            name = f"{moment:%Y-%m-%d}-{number}.json.gz"
+            put(spark, f"{archive.zone(root)}/{where}/{name}", content)
+        _WRITTEN[key] = root
+    return _WRITTEN[key]
+
+
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file to any store that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = system.create(target)
+    stream.write(bytearray(content))
+    stream.close()

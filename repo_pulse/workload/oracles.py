@@ -174,6 +174,12 @@ older AS (
   FROM gold WHERE technology_id NOT IN ('trino', 'duckdb')
 )"""
 
+# Three archives of the first date are bad.
+_UNDAMAGED = (
+    "CAST(archive_hour AS DATE) <> (SELECT first_day FROM days) "
+    "OR extract('hour' FROM archive_hour) NOT IN (5, 6, 7)"
+)
+
 ORACLES: dict[str, str] = {
     "archive_hours": _on(
         "SELECT CAST(hour AS DATE) AS activity_date, hour "
@@ -222,6 +228,10 @@ FROM ev"""
     "bronze_payload_text": """SELECT CAST(doc_id AS VARCHAR) AS event_id, lang,
        md5(text) AS text_md5, n_chars, CAST(NULL AS VARCHAR) AS error
 FROM documents""",
+    "bronze_event_members": """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
+       ts AS created_at, user_id AS actor_id, CAST(props->>'$.k' AS BIGINT) AS k,
+       round(value, 6) AS value, CAST(NULL AS VARCHAR) AS error
+FROM events""",
     "silver_events": _on(f"SELECT {_SILVER_COLUMNS}, error FROM typed", ctes=_TYPED),
     "silver_rejects": _on(
         "SELECT source_file, source_line_number, error FROM typed WHERE error IS NOT NULL",
@@ -300,6 +310,21 @@ FROM filed""",
         + ", ".join(n for n in SILVER.names if n not in ("source_file", "source_line_number"))
         + " FROM ev"
     ),
+    "backfill_with_bad_sources": _on(f"SELECT {_GOLD_COLUMNS} FROM ({_gold_of(_UNDAMAGED)})"),
+    "load_rejects": """SELECT 'bronze' AS layer, 'file:line: invalid JSON' AS reason,
+       CAST(1 AS BIGINT) AS error_count, true AS has_line
+FROM events HAVING count(*) > 0
+UNION ALL SELECT 'bronze', 'file: cannot be read', 1, false FROM events HAVING count(*) > 0
+UNION ALL SELECT 'bronze', 'Bronze source file not found: file', 1, false
+FROM events HAVING count(*) > 0""",
+    "stream_with_bad_source": _on(f"SELECT {_GOLD_COLUMNS} FROM ({_gold_of(_UNDAMAGED)})"),
+    "run_hours": _on(
+        f"""SELECT {_GOLD_COLUMNS} FROM ({_gold_of(
+            "event_date = (SELECT middle FROM days) "
+            "AND CAST(archive_hour AS DATE) = (SELECT middle FROM days) "
+            "AND extract('hour' FROM archive_hour) BETWEEN 6 AND 11"
+        )})"""
+    ),
     "replace_date": _on(
         f"""{_ALL_GOLD}
 WHERE activity_date <> (SELECT first_day FROM days)

@@ -6,7 +6,7 @@ Instants are returned without a zone, so that both engines print the same value.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +47,11 @@ def _new_lake(spark: SparkSession, purpose: str) -> Lakehouse:
 
 
 def archive_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, last = derived.date_bounds(spark, sf_dir)
-    return _plain(archive.hours(spark, first, last))
+    day = F.to_date("ts")
+    bounds = derived.table(spark, sf_dir, "events").agg(
+        F.min(day).alias("first"), F.max(day).alias("last")
+    )
+    return _plain(archive.hours_between(bounds))
 
 
 def archive_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +143,52 @@ def bronze_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_event_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every given event carried through a raw line whole: its JSON, value and type come back
+    out of the payload."""
+    given = derived.table(spark, sf_dir, "events")
+    number = F.col("event_id")
+    at = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    start = F.to_json(
+        F.struct(
+            number.cast("string").alias("id"),
+            F.col("event_type").alias("type"),
+            at.alias("created_at"),
+            F.lit(True).alias("public"),
+            F.struct(F.col("user_id").alias("id"), F.lit("user").alias("login")).alias("actor"),
+            F.struct(number.alias("id"), F.lit("a/b").alias("name")).alias("repo"),
+        )
+    )
+    value = F.to_json(F.struct(F.col("value")))
+    line = F.concat(
+        F.expr("left(start, length(start) - 1)"),
+        F.lit(', "payload": {"props": '),
+        F.coalesce("props", F.lit("null")),
+        F.lit(', "given": '),
+        value,
+        F.lit("}}"),
+    )
+    lines = given.withColumn("start", start).select(
+        line.alias("value"),
+        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("archive_hour"),
+        F.lit("events").alias("source_file"),
+        (number + 1).alias("source_line_number"),
+    )
+    parsed = bronze.parse_events(lines)
+    payload = F.col("payload_json")
+    return _plain(
+        parsed.select(
+            "event_id",
+            "event_type",
+            "created_at",
+            "actor_id",
+            F.get_json_object(payload, "$.props.k").cast("bigint").alias("k"),
+            F.round(F.get_json_object(payload, "$.given.value").cast("double"), 6).alias("value"),
+            F.col(bronze.ERROR).alias("error"),
+        )
+    )
+
+
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = bronze.parse_events(derived.lines(spark, sf_dir, malformed=True))
     return silver.to_silver(parsed.where(F.col(bronze.ERROR).isNull()))
@@ -297,6 +346,55 @@ def silver_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(rows.drop("source_file", "source_line_number"))
 
 
+_DAMAGED: dict[tuple[str, str], Lakehouse] = {}
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """A lakehouse after a backfill over archives of which three are bad."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DAMAGED:
+        first, last = derived.date_bounds(spark, sf_dir)
+        lake = _new_lake(spark, "damaged")
+        raw = derived.damaged_zone(spark, sf_dir)
+        end = last + timedelta(days=1)
+        jobs.backfill(lake, raw, first, end, _index(spark), mode="quarantine")
+        _DAMAGED[key] = lake
+    return _DAMAGED[key]
+
+
+def backfill_with_bad_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of every date from the archives that are not bad."""
+    return _damaged(spark, sf_dir).read_gold()
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the backfill recorded, without the file names Spark chose."""
+    reason = F.regexp_replace("reason", r"\d{4}-\d{2}-\d{2}-\d+\.json\.gz|part-\S+\.gz", "file")
+    reason = F.regexp_replace(reason, r"file:\d+:", "file:line:")
+    return _damaged(spark, sf_dir).rejects().select(
+        "layer", reason.alias("reason"), "error_count", F.col("first_error_line").isNotNull().alias("has_line")
+    )
+
+
+def stream_with_bad_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after a stream over archives of which three are bad."""
+    raw = derived.damaged_zone(spark, sf_dir)
+    lake = _new_lake(spark, "stream_damaged")
+    incremental.stream_refresh(lake, raw, f"{lake.root}/checkpoint", _index(spark)).awaitTermination()
+    return lake.read_gold()
+
+
+def run_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of the middle date after its landed hours from 06:00 to 11:00 were run."""
+    middle, raw = derived.middle_date(spark, sf_dir), derived.raw_zone(spark, sf_dir)
+    lake = _new_lake(spark, "run_hours")
+    landed = archive.inventory(spark, raw, [middle]).select(F.hour("hour").alias("h")).distinct()
+    at = sorted(row.h for row in landed.where("h BETWEEN 6 AND 11").collect())
+    hours = [datetime(middle.year, middle.month, middle.day, h, tzinfo=UTC) for h in at]
+    jobs.run_hours(lake, raw, hours, _index(spark))
+    return lake.read_gold()
+
+
 def replace_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold after the first date was replaced by nothing and the last by one technology."""
     first, last = derived.date_bounds(spark, sf_dir)
@@ -455,6 +553,7 @@ QUERIES: dict[str, Query] = {
         bronze_parse,
         bronze_rejects,
         bronze_payload_text,
+        bronze_event_members,
         silver_events,
         silver_rejects,
         catalog_index,
@@ -471,6 +570,10 @@ QUERIES: dict[str, Query] = {
         blocking_checks,
         bronze_from_archives,
         silver_from_archives,
+        backfill_with_bad_sources,
+        load_rejects,
+        stream_with_bad_source,
+        run_hours,
         replace_date,
         silver_archive_hours,
         missing_hours,

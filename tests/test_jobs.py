@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -261,7 +263,7 @@ def test_tables_can_be_opened_again(lake, spark, tmp_path, index):
 def test_one_hour_raw_to_gold_twice(lake, tmp_path, index):
     land(tmp_path, HOUR, [push()])
     first = jobs.run_hours(lake, str(tmp_path), [HOUR], index)
-    assert first == jobs.RunSummary(1, 1, 1, 1, 1)
+    assert first == jobs.RunSummary(1, 1, 1, 1)
     again = jobs.run_hours(lake, str(tmp_path), [HOUR], index)
     assert again == jobs.RunSummary(1, 0, 0, 1, 1)
     assert lake.read_bronze().count() == lake.read_silver().count() == lake.read_gold().count() == 1
@@ -286,6 +288,8 @@ def test_hours_are_validated(lake, tmp_path, index):
     land(tmp_path, HOUR, [push()])
     with pytest.raises(FileNotFoundError, match="2025-01-02T04"):
         jobs.run_hours(lake, str(tmp_path), [HOUR, HOUR.replace(hour=4)], index)
+    with pytest.raises(ValueError, match="date range ends 2025-01-01, before 2025-01-02"):
+        jobs.date_range(DAY, DAY - dt.timedelta(days=1))
     with pytest.raises(ValueError, match="daily partitions start at 2015-01-01"):
         jobs.date_range(dt.date(2014, 12, 31), DAY)
 
@@ -311,7 +315,7 @@ class Recorder:
 def test_whole_day_with_checks_and_publication(lake, tmp_path, index):
     land_day(tmp_path, 2)
     assert jobs.materialize_day(lake, str(tmp_path), DAY, index) == jobs.RunSummary(
-        24, 48, 48, 1, 24
+        24, 48, 48, 1
     )
     target = Recorder()
     assert jobs.publish(lake, [DAY], target) == 1
@@ -324,7 +328,7 @@ def test_backfill_and_failing_checks(lake, tmp_path, index):
     land_day(tmp_path, 3, skip=(3, 17))
     later = DAY + dt.timedelta(days=1)
     summary = jobs.backfill(lake, str(tmp_path), DAY, later, index)
-    assert summary == jobs.RunSummary(46, 92, 92, 2, 46)
+    assert summary == jobs.RunSummary(46, 92, 92, 2)
     assert jobs.backfill(lake, str(tmp_path), DAY, later, index).bronze_rows == 0
     failed = jobs.checks(lake, [DAY, later]).where(~F.col("passed")).collect()
     assert [r.check_name for r in failed] == ["complete_archive_hours"]
@@ -389,17 +393,81 @@ def test_stream_rebuilds_touched_dates(lake, tmp_path, index):
     assert late.endswith("2025-01-03-3.json.gz")
 
 
-def test_stream_stops_at_a_bad_source_and_goes_on_once_it_is_repaired(lake, tmp_path):
+def test_stream_goes_on_past_a_bad_source_and_takes_it_once_repaired(lake, tmp_path, index):
     checkpoint = str(tmp_path / "checkpoint")
+
+    def stream():
+        query = incremental.stream_refresh(lake, str(tmp_path), checkpoint, index, max_files=1)
+        query.awaitTermination()
+
     land(tmp_path, HOUR, [push(), "{"])
     land(tmp_path, HOUR.replace(hour=4), [push(hour=4)])
-    query = incremental.stream_bronze(lake, str(tmp_path), checkpoint)
-    with pytest.raises(Exception, match="2025-01-02-3.json.gz:2: invalid JSON"):
-        query.awaitTermination()
-    assert lake.read_bronze().count() == 1
+    stream()
+    assert lake.read_bronze().count() == lake.read_silver().count() == 1
+    land(tmp_path, HOUR.replace(hour=5), [push(hour=5)])
+    stream()
+    assert lake.read_gold([DAY]).first().event_count == 2
+    assert [r.source_file for r in lake.open_rejects("bronze").collect()] == ["2025-01-02-3.json.gz"]
+    time.sleep(1.1)  # file times may count whole seconds
     land(tmp_path, HOUR, [push()])
-    incremental.stream_bronze(lake, str(tmp_path), checkpoint).awaitTermination()
-    assert lake.read_bronze().count() == 2
+    stream()
+    assert lake.read_gold([DAY]).first().event_count == 3
+    assert lake.open_rejects("bronze").count() == 0
+
+
+def test_bad_sources_hold_up_neither_the_others_nor_their_dates(lake, tmp_path, index):
+    days = [DAY, DAY + dt.timedelta(days=1)]
+    land(tmp_path, HOUR, [push(), "{"])
+    land(tmp_path, HOUR.replace(hour=4), [push(hour=4)])
+    land(tmp_path, HOUR.replace(hour=5), [])
+    land(tmp_path, HOUR.replace(hour=6), [push(hour=6), push(size="many")])
+    cut = land(tmp_path, HOUR.replace(hour=7), [push(n % 60, hour=7, size=n) for n in range(2000)])
+    land(tmp_path, HOUR + dt.timedelta(days=1), [push(day=3)])
+    with open(cut, "rb+") as stream:
+        stream.truncate(os.path.getsize(cut) // 2)
+    with pytest.raises(LoadError) as failed:
+        jobs.backfill(lake, str(tmp_path), *days, index)
+    for problem in (
+        "2025-01-02-3.json.gz:2: invalid JSON",
+        "Bronze source file not found: 2025-01-02-5.json.gz",
+        "2025-01-02-6.json.gz:2: field 'payload.size' must be int",
+        "2025-01-02-7.json.gz: cannot be read",
+    ):
+        assert problem in str(failed.value)
+    assert [r.event_count for r in lake.read_gold().orderBy("activity_date").collect()] == [1, 1]
+    again = jobs.backfill(lake, str(tmp_path), *days, index, mode="quarantine")
+    # The Bronze rows of the source with a bad size are finished; Silver leaves it out again.
+    assert again == jobs.RunSummary(6, 0, 0, 2, 3, 4)
+    land(tmp_path, HOUR, [push()])
+    assert jobs.backfill(lake, str(tmp_path), *days, index, mode="quarantine").bronze_rows == 1
+    assert lake.read_gold([DAY]).first().event_count == 2
+
+
+def test_every_bad_source_is_recorded_and_unreadable_ones_cost_one_more_write(
+    lake, tmp_path, monkeypatch
+):
+    hours = [HOUR.replace(hour=h) + dt.timedelta(days=d) for h in range(12) for d in range(2)]
+    for hour in hours:
+        land(tmp_path, hour, ["{"])
+    broken = [land(tmp_path, HOUR.replace(hour=20 + h), [push(hour=20 + h)]) for h in range(3)]
+    land(tmp_path, HOUR.replace(hour=23), [push(hour=23)])
+    for path in broken:
+        with open(path, "wb") as stream:
+            stream.write(b"not compressed")
+    writes = []
+    write = jobs._write_bronze
+    monkeypatch.setattr(jobs, "_write_bronze", lambda *a: (writes.append(1), write(*a)))
+    with pytest.raises(LoadError, match="27 sources in all; see .*source_rejects"):
+        jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path))
+    assert len(writes) == 2 and lake.rejects().count() == 27
+    assert lake.read_bronze().count() == 1
+
+
+def test_a_root_is_not_opened_under_another_ones_tables(lake, spark, tmp_path):
+    prefix = lake.bronze.removesuffix("bronze.gharchive_events")
+    assert Lakehouse(spark, lake.root + "/", prefix).root == lake.root
+    with pytest.raises(ValueError, match="lies at"):
+        Lakehouse(spark, str(tmp_path / "other"), prefix)
 
 
 def test_payload_survives_the_loads(lake, tmp_path):

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from repo_pulse.workload.oracles import ORACLES
+from repo_pulse.workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,10 +24,13 @@ def tables():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, tables, name):
     frame = entry_points.queries()[name](spark, SF)
     columns = sorted(frame.columns)

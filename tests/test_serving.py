@@ -73,14 +73,18 @@ def test_replacing_dates_deletes_and_inserts_in_one_transaction(spark, monkeypat
         opened.append(Connection())
         return opened[-1]
 
-    monkeypatch.setattr(serving, "stage", lambda rows, *_: staged.append(rows.count()))
+    monkeypatch.setattr(serving, "stage", lambda rows, url, properties, name: staged.append((rows.count(), name)))
     target = serving.JdbcServing("jdbc:x", {}, connect)
     rows = gold_rows(spark, {}, {"technology_id": "duckdb"})
-    assert target.replace_dates(rows, [DAY]) == 2 and staged == [2]
+    assert target.replace_dates(rows, [DAY]) == 2
     log = [entry.split(" ")[0] for entry in opened[-1].log]
-    assert log[:3] == ["DELETE", "INSERT", "commit"]
+    assert log[:4] == ["DELETE", "INSERT", "DROP", "commit"]
     assert target.upsert(rows) == 2
-    assert [entry.split(" ")[0] for entry in opened[-1].log][:2] == ["INSERT", "commit"]
+    log = [entry.split(" ")[0] for entry in opened[-1].log]
+    assert log[:3] == ["INSERT", "DROP", "commit"]
+    (count, first), (_, second) = staged
+    assert count == 2 and first != second
+    assert f" FROM {second} " in opened[-1].log[0] and opened[-1].log[1].endswith(second)
 
 
 def test_input_is_checked_before_anything_is_written(spark):
