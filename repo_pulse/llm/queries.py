@@ -83,4 +83,24 @@ QUERIES = {
     "op9_bloom_lm": op9_bloom_lm,
     "op10_vector_packing": op10_vector_packing,
 }
-ORACLES: dict[str, str] = {}
+
+# The other operators hash, tokenize, learn or approximate in ways SQL has no words for; tests
+# compare them with brute force.
+ORACLES: dict[str, str] = {
+    "op2_projection_forest": """WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT r.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, r.component_id,
+       r.vec_id = r.component_id AS kept
+FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) r
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = r.vec_id""",
+}

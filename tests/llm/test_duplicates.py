@@ -1,11 +1,13 @@
 import random
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
 
 from repo_pulse.llm import compact_windows, projection_forest, simhash
 from repo_pulse.llm.components import components
+from repo_pulse.llm.queries import ORACLES, QUERIES
 from tests.llm.helpers import ODD, SCHEMA, clusters, documents, merged, prose, words
 
 
@@ -112,6 +114,18 @@ def test_forest_against_all_pairs(spark, monkeypatch, leaf_rows):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
+def test_forest_equals_its_sql(spark, tmp_path):
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(clusters(11))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    frame.write.parquet(str(tmp_path / "embeddings.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    answer = connection.execute(ORACLES["op2_projection_forest"])
+    names = [c[0] for c in answer.description]
+    got = QUERIES["op2_projection_forest"](spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(answer.fetchall())
+
+
 def test_windows_are_those_of_the_definition():
     pick = np.random.default_rng(4)
     for size in (1, 4, 5, 6, 40):
