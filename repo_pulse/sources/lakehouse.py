@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -197,7 +197,8 @@ class Lakehouse:
                 F.lit(layer).alias("layer"),
             )
             # One file, so the batch appears in the ledger at once; a row per source and date.
-            rows.coalesce(1).write.insertInto(self.ledger)
+            # Only these rows go to one task, the join before them does not.
+            rows.repartition(1).write.insertInto(self.ledger)
             committed = rows.agg(F.sum("row_count")).first()[0] or 0
             bad = by_source.where("errors > 0").select("source_file", "errors", "error_line")
             first = written.select("source_file", line.alias("error_line"), ERROR)
@@ -295,12 +296,20 @@ class Lakehouse:
 
     # -- Gold ---------------------------------------------------------------------------
 
-    def replace_dates(self, rows: DataFrame, dates: Sequence[date]) -> int:
+    def replace_dates(
+        self,
+        rows: DataFrame,
+        dates: Sequence[date],
+        catalog: str = "",
+        started: datetime | None = None,
+    ) -> int:
         """Replace whole Gold dates. Rows of another date are refused before anything is
         written; a requested date without rows ends up empty. Returns the rows written.
 
-        Gold has a row per technology and day, so the batch is small enough to keep.
+        The ledger notes the dates with the catalog they were built with and the time the build
+        began. Gold has a row per technology and day, so the batch is small enough to keep.
         """
+        started = started or datetime.now(UTC)
         kept = schema.enforce(rows, schema.GOLD).persist()
         try:
             counts = dict(kept.groupBy("activity_date").count().collect())
@@ -313,8 +322,36 @@ class Lakehouse:
         finally:
             kept.unpersist()
         self._empty_dates([day for day in dates if day not in counts])
+        if dates:
+            self._asked(dates).select(
+                F.lit(catalog).alias("source_file"),
+                "event_date",
+                F.lit(0).cast("bigint").alias("row_count"),
+                F.lit(started).alias("committed_at"),
+                F.lit("gold").alias("layer"),
+            ).repartition(1).write.insertInto(self.ledger)
         return sum(counts.values())
 
+    def _asked(self, dates: Sequence[date]) -> DataFrame:
+        days = pa.table({"event_date": pa.array(sorted(set(dates)), pa.date32())})
+        return self.spark.createDataFrame(days)
+
+    def stale_dates(self, dates: Sequence[date], catalog: str) -> list[date]:
+        """The given dates whose last build used another catalog, or began before their last
+        Silver commit, or never happened."""
+        when = F.col("committed_at")
+        built = self.commits("gold").groupBy("event_date").agg(
+            F.max(when).alias("built_at"), F.max_by("source_file", when).alias("catalog")
+        )
+        changed = self.commits("silver").groupBy("event_date").agg(F.max(when).alias("changed_at"))
+        joined = self._asked(dates).join(built, "event_date", "left")
+        joined = joined.join(changed, "event_date", "left")
+        fresh = (F.col("catalog") == catalog) & (
+            F.col("changed_at").isNull() | (F.col("changed_at") < F.col("built_at"))
+        )
+        found = joined.where(~F.coalesce(fresh, F.lit(False))).select("event_date").collect()
+        return sorted(row.event_date for row in found)
+
     def _empty_dates(self, dates: Sequence[date]) -> None:
         """Dynamic overwrite leaves a partition without new rows as it was, so such dates are
         emptied one by one; only dates that have rows are touched."""

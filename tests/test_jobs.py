@@ -275,6 +275,24 @@ def test_one_hour_raw_to_gold_twice(lake, tmp_path, index):
     }
 
 
+def test_a_rerun_builds_only_dates_that_changed(lake, spark, tmp_path, index, monkeypatch):
+    later = DAY + dt.timedelta(days=1)
+    built, build = [], jobs.build_gold
+    monkeypatch.setattr(jobs, "build_gold", lambda *a: (built.append(a[1]), build(*a))[1])
+    land(tmp_path, HOUR, [push()])
+    land(tmp_path, HOUR + dt.timedelta(days=1), [push(day=3)])
+    for _ in range(2):
+        assert jobs.backfill(lake, str(tmp_path), DAY, later, index).gold_rows == 2
+    assert built == [[DAY, later]]
+    land(tmp_path, (HOUR + dt.timedelta(days=1)).replace(hour=4), [star(day=2, hour=23)])
+    jobs.backfill(lake, str(tmp_path), DAY, later, index)
+    assert built[1:] == [[DAY]] and lake.read_gold([DAY]).first().event_count == 2
+    other = catalog.index(catalog.create(spark, [("x", "X", "c", ["apache/airflow"])]))
+    jobs.backfill(lake, str(tmp_path), DAY, later, other)
+    assert built[2:] == [[DAY, later]]
+    assert {r.technology_id for r in lake.read_gold().collect()} == {"x"}
+
+
 def test_hours_are_validated(lake, tmp_path, index):
     cases = [
         ([], "at least one archive hour is required"),
