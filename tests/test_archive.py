@@ -7,10 +7,10 @@ from tests.conftest import HOUR, land, line
 
 
 def test_calendar_is_24_utc_hours(spark):
-    hours = archive.hours(spark, dt.date(2025, 1, 2), dt.date(2025, 1, 3)).orderBy("hour")
+    hours = archive.hours(spark, dt.date(2024, 5, 2), dt.date(2024, 5, 3)).orderBy("hour")
     found = [row.hour for row in hours.collect()]
     assert len(found) == 48
-    assert found[0] == dt.datetime(2025, 1, 2) and found[23] == dt.datetime(2025, 1, 2, 23)
+    assert found[0] == dt.datetime(2024, 5, 2) and found[23] == dt.datetime(2024, 5, 2, 23)
 
 
 def test_coordinates(spark):
@@ -51,7 +51,7 @@ def test_landing_counts_finished_archives(spark, tmp_path):
     land(tmp_path, HOUR, [line()])
     partial = land(tmp_path, HOUR.replace(hour=4), [line()])
     dt_folder = partial.rsplit("/", 1)[0]
-    with open(f"{dt_folder}/2025-01-02-5.json.gz.part", "wb") as stream:
+    with open(f"{dt_folder}/2024-05-02-5.json.gz.part", "wb") as stream:
         stream.write(b"half")
     expected = archive.hours(spark, HOUR.date(), HOUR.date())
     landed = archive.landing(archive.inventory(spark, str(tmp_path)), expected)
@@ -72,12 +72,12 @@ def test_line_numbers_count_blank_and_crlf_lines(spark, tmp_path):
     second = land(tmp_path, HOUR.replace(hour=4), ["x", "", "y"], newline="\r\n")
     rows = archive.read_archives(spark, str(tmp_path), [first, second])
     assert numbered(rows) == {
-        "2025-01-02-3.json.gz": {1: "a", 2: "", 3: "b", 4: "  ", 5: "c"},
-        "2025-01-02-4.json.gz": {1: "x", 2: "", 3: "y"},
+        "2024-05-02-3.json.gz": {1: "a", 2: "", 3: "b", 4: "  ", 5: "c"},
+        "2024-05-02-4.json.gz": {1: "x", 2: "", 3: "y"},
     }
     assert {row.archive_hour for row in rows.collect()} == {
-        dt.datetime(2025, 1, 2, 3),
-        dt.datetime(2025, 1, 2, 4),
+        dt.datetime(2024, 5, 2, 3),
+        dt.datetime(2024, 5, 2, 4),
     }
 
 

@@ -66,27 +66,29 @@ def test_index_has_a_row_per_repository(spark):
     assert {(r.repository, r.technology_id) for r in rows} == {("x/y", "a"), ("x/z", "a")}
 
 
-def test_push_and_star(silver_frame, index):
+def test_pushes_and_a_star(silver_frame, index):
+    """Five commits in two pushes by one person, then a star by another, worked out by hand."""
     rows = gold.daily_activity(
         silver_frame(
-            {"commit_count": 3, "actor_id": 10},
+            {"repo_name": "duckdb/duckdb", "commit_count": 5, "actor_id": 301},
+            {"repo_name": "DuckDB/duckdb ", "commit_count": 0, "actor_id": 301},
             {
                 "event_type": "WatchEvent",
                 "action": "started",
-                "actor_id": 11,
-                "repo_name": "Apache/Airflow",
+                "actor_id": 302,
+                "repo_name": " DUCKDB/DUCKDB",
             },
         ),
         index,
     ).collect()
     assert len(rows) == 1 and rows[0].asDict() == {
         **dict.fromkeys(METRICS, 0),
-        "technology_id": "apache-airflow",
+        "technology_id": "duckdb",
         "activity_date": DAY,
-        "event_count": 2,
+        "event_count": 3,
         "unique_actor_count": 2,
-        "push_count": 1,
-        "commit_count": 3,
+        "push_count": 2,
+        "commit_count": 5,
         "star_count": 1,
     }
 
@@ -129,7 +131,7 @@ def test_output_order_and_types(silver_frame, index):
         gold.daily_activity(
             silver_frame(
                 {"repo_name": "trinodb/trino"},
-                {"event_date": dt.date(2025, 1, 3)},
+                {"event_date": dt.date(2024, 5, 3)},
                 {},
             ),
             index,
@@ -242,18 +244,18 @@ def test_valid_metrics(spark, given, invalid):
 def test_complete_hours(spark, silver_frame):
     hours = [n for n in range(24) if n not in (3, 17)]
     events = [
-        {"archive_hour": dt.datetime(2025, 1, 2, n, tzinfo=dt.UTC)} for n in (*hours, 5, 5)
+        {"archive_hour": dt.datetime(2024, 5, 2, n, tzinfo=dt.UTC)} for n in (*hours, 5, 5)
     ]
     # An hour of the next day that brought an event of this one does not count for this day.
-    events.append({"archive_hour": dt.datetime(2025, 1, 3, 0, tzinfo=dt.UTC)})
+    events.append({"archive_hour": dt.datetime(2024, 5, 3, 0, tzinfo=dt.UTC)})
     dates = spark.createDataFrame([(DAY,), (DAY + dt.timedelta(days=1),)], "event_date date")
     rows = quality.complete_archive_hours(silver_frame(*events), dates).orderBy("event_date")
     first, second = rows.collect()
     assert (first.expected_hour_count, first.present_hour_count) == (24, 22)
-    assert first.missing_hours == ["2025-01-02T03:00:00+00:00", "2025-01-02T17:00:00+00:00"]
+    assert first.missing_hours == ["2024-05-02T03:00:00+00:00", "2024-05-02T17:00:00+00:00"]
     assert not first.passed
     assert (second.present_hour_count, second.missing_hour_count) == (0, 24)
-    filled = [{"archive_hour": dt.datetime(2025, 1, 2, n, tzinfo=dt.UTC)} for n in range(24)]
+    filled = [{"archive_hour": dt.datetime(2024, 5, 2, n, tzinfo=dt.UTC)} for n in range(24)]
     passed = quality.complete_archive_hours(silver_frame(*filled), dates.limit(1)).first()
     assert passed.passed and passed.missing_hours == [] and passed.present_hour_count == 24
 

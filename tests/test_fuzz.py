@@ -125,7 +125,7 @@ def test_damaged_lines_are_judged_alike(lines_frame):
     rng = random.Random(20250102)
     lines = [damaged(rng) for _ in range(6000)]
     # An ISO text the parser does not take by design is left out, see the README.
-    lines = [t for t in lines if not re.search(r'"created_at" ?: ?"(?!2025-01-02T03:15:00Z")', t)]
+    lines = [t for t in lines if not re.search(r'"created_at" ?: ?"(?!2024-05-02T03:41:07Z")', t)]
     rows = bronze.parse_events(lines_frame(lines)).orderBy("source_line_number").collect()
     accepted = 0
     for row, text in zip(rows, lines, strict=True):

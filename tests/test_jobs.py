@@ -21,7 +21,7 @@ TRACKED = {"id": 20, "name": "apache/airflow"}
 def push(minute=15, size=2, day=2, hour=3, **changes):
     return line(
         repo=TRACKED,
-        created_at=f"2025-01-{day:02d}T{hour:02d}:{minute:02d}:00Z",
+        created_at=f"2024-05-{day:02d}T{hour:02d}:{minute:02d}:00Z",
         payload={"size": size},
         **changes,
     )
@@ -31,7 +31,7 @@ def star(day=2, hour=3, actor=11):
     return line(
         type="WatchEvent",
         repo=TRACKED,
-        created_at=f"2025-01-{day:02d}T{hour:02d}:59:00Z",
+        created_at=f"2024-05-{day:02d}T{hour:02d}:59:00Z",
         actor={"id": actor, "login": "bob"},
         payload={"action": "started"},
     )
@@ -58,9 +58,9 @@ def test_bronze_load_and_retry(lake, tmp_path):
     assert jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path)) == 1
     rows = lake.read_bronze().orderBy("source_file", "source_line_number").collect()
     assert [(r.source_file, r.source_line_number) for r in rows] == [
-        ("2025-01-02-3.json.gz", 1),
-        ("2025-01-02-3.json.gz", 2),
-        ("2025-01-02-4.json.gz", 1),
+        ("2024-05-02-3.json.gz", 1),
+        ("2024-05-02-3.json.gz", 2),
+        ("2024-05-02-4.json.gz", 1),
     ]
     assert {r.archive_hour.hour for r in rows} == {3, 4}
 
@@ -72,12 +72,12 @@ def test_a_bad_source_is_never_published_in_part(lake, tmp_path):
     with pytest.raises(LoadError) as failed:
         jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path))
     assert str(failed.value).startswith(
-        "2025-01-02-3.json.gz:7: field 'id' must be str, got int (2 errors)"
+        "2024-05-02-3.json.gz:7: field 'id' must be str, got int (2 errors)"
     )
     # The clean source is in, nothing of the bad one, which is still pending.
-    assert [r.source_file for r in lake.read_bronze().collect()] == ["2025-01-02-4.json.gz"]
+    assert [r.source_file for r in lake.read_bronze().collect()] == ["2024-05-02-4.json.gz"]
     pending = lake.pending("bronze", inventory(lake, tmp_path)).collect()
-    assert [r.source_file for r in pending] == ["2025-01-02-3.json.gz"]
+    assert [r.source_file for r in pending] == ["2024-05-02-3.json.gz"]
     # The repaired archive replaces what the failed attempt left behind.
     land(tmp_path, HOUR, bad_lines[:2])
     assert jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path)) == 2
@@ -106,11 +106,11 @@ def test_a_large_archive_is_parsed_by_several_tasks(lake, tmp_path):
     land(tmp_path, HOUR, texts)
     land(tmp_path, HOUR.replace(hour=4), [push(hour=4)])
     assert jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path), large=1000) == 501
-    rows = lake.read_bronze(["2025-01-02-3.json.gz"])
+    rows = lake.read_bronze(["2024-05-02-3.json.gz"])
     found = rows.select("source_line_number", "payload_json").collect()
     numbers = sorted((r[0], json.loads(r[1])["size"]) for r in found)
     assert numbers == [(n + 1, n) for n in range(500)]
-    stored = lake.spark.table(lake.bronze).where("source_file = '2025-01-02-3.json.gz'")
+    stored = lake.spark.table(lake.bronze).where("source_file = '2024-05-02-3.json.gz'")
     assert stored.select("_metadata.file_path").distinct().count() > 1
 
 
@@ -128,7 +128,7 @@ def test_every_size_of_archive_is_loaded_alike(lake, tmp_path, monkeypatch):
     assert loaded == sum(len(lines) for lines in texts.values())
     rows = lake.read_bronze().select("source_file", "source_line_number", "payload_json").collect()
     assert {(r[0], r[1], json.loads(r[2])["size"]) for r in rows} == {
-        (f"2025-01-02-{hour}.json.gz", n, n - 1)
+        (f"2024-05-02-{hour}.json.gz", n, n - 1)
         for hour, lines in texts.items()
         for n in range(1, len(lines) + 1)
     }
@@ -162,12 +162,12 @@ def test_damaged_archives_do_not_hold_up_the_others(lake, tmp_path):
     with pytest.raises(LoadError) as failed:
         jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path))
     for problem in (
-        "2025-01-02-4.json.gz: cannot be read",
-        "2025-01-02-5.json.gz: cannot be read",
-        "2025-01-02-6.json.gz:2: invalid JSON",
+        "2024-05-02-4.json.gz: cannot be read",
+        "2024-05-02-5.json.gz: cannot be read",
+        "2024-05-02-6.json.gz:2: invalid JSON",
     ):
         assert problem in str(failed.value)
-    assert {r.source_file for r in lake.read_bronze().collect()} == {"2025-01-02-3.json.gz"}
+    assert {r.source_file for r in lake.read_bronze().collect()} == {"2024-05-02-3.json.gz"}
     with open(half, "wb") as stream:
         stream.write(content)
     assert jobs.load_bronze_paths(lake, str(tmp_path), [half]) == 20000
@@ -177,41 +177,41 @@ def test_an_empty_archive_is_not_recorded(lake, tmp_path):
     path = land(tmp_path, HOUR, [])
     assert jobs.load_bronze_paths(lake, str(tmp_path), [path]) == 0
     assert lake.commits("bronze").count() == 0
-    with pytest.raises(ValueError, match="Bronze source file not found: 2025-01-02-3.json.gz"):
-        jobs.load_silver(lake, ["2025-01-02-3.json.gz"])
+    with pytest.raises(ValueError, match="Bronze source file not found: 2024-05-02-3.json.gz"):
+        jobs.load_silver(lake, ["2024-05-02-3.json.gz"])
 
 
 def test_silver_load(lake, tmp_path):
     path = land(tmp_path, HOUR, [push(), star(), push(day=1, hour=23)])
     jobs.load_bronze_paths(lake, str(tmp_path), [path])
-    assert jobs.load_silver(lake, ["2025-01-02-3.json.gz"]) == 3
-    assert jobs.load_silver(lake, ["2025-01-02-3.json.gz"]) == 0
+    assert jobs.load_silver(lake, ["2024-05-02-3.json.gz"]) == 3
+    assert jobs.load_silver(lake, ["2024-05-02-3.json.gz"]) == 0
     assert lake.read_silver([DAY]).count() == 2
     assert lake.read_silver([DAY - dt.timedelta(days=1)]).count() == 1
     with pytest.raises(ValueError, match="Bronze source file not found: missing.json.gz"):
-        jobs.load_silver(lake, ["missing.json.gz", "2025-01-02-3.json.gz"])
+        jobs.load_silver(lake, ["missing.json.gz", "2024-05-02-3.json.gz"])
 
 
 def test_silver_source_with_an_error_stays_out(lake, tmp_path):
     land(tmp_path, HOUR, [push(), push(size="not-an-integer")])
     land(tmp_path, HOUR.replace(hour=4), [push(hour=4)])
     jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path))
-    with pytest.raises(LoadError, match="2025-01-02-3.json.gz:2: field 'payload.size' must be int"):
+    with pytest.raises(LoadError, match="2024-05-02-3.json.gz:2: field 'payload.size' must be int"):
         jobs.load_silver(lake)
-    assert [r.source_file for r in lake.read_silver().collect()] == ["2025-01-02-4.json.gz"]
+    assert [r.source_file for r in lake.read_silver().collect()] == ["2024-05-02-4.json.gz"]
 
 
 def test_nulls_in_required_columns_are_caught_at_the_table(lake, silver_frame):
     absent = F.when(F.col("source_line_number") != 2, F.col("actor_login"))
     rows = silver_frame({}, {}).withColumn("actor_login", absent)
     lake.write_sources("silver", rows.withColumn("_error", F.lit(None).cast("string")))
-    with pytest.raises(LoadError, match="2025-01-02-3.json.gz:2: null in a required column"):
-        lake.commit("silver", ["2025-01-02-3.json.gz"])
+    with pytest.raises(LoadError, match="2024-05-02-3.json.gz:2: null in a required column"):
+        lake.commit("silver", ["2024-05-02-3.json.gz"])
     assert lake.read_silver().count() == 0
 
 
 def test_late_event_enters_gold_at_the_next_build(lake, tmp_path, index):
-    land(tmp_path, HOUR, [push(), line(created_at="2025-01-02T03:20:00Z")])
+    land(tmp_path, HOUR, [push(), line(created_at="2024-05-02T03:20:00Z")])
     jobs.load_bronze(lake, str(tmp_path), inventory(lake, tmp_path))
     jobs.load_silver(lake)
     assert jobs.build_gold(lake, [DAY], index) == 1
@@ -244,7 +244,7 @@ def test_replacing_a_date(lake, spark):
     row = lake.read_gold([DAY]).collect()
     assert [(r.event_count, r.commit_count) for r in row] == [(2, 5)]
     assert lake.read_gold([later]).count() == 1
-    with pytest.raises(ValueError, match="all Gold rows must match activity_date=2025-01-02"):
+    with pytest.raises(ValueError, match="all Gold rows must match activity_date=2024-05-02"):
         lake.replace_dates(both, [DAY])
     # No rows for a date with rows empties it; for a date without rows nothing happens.
     assert lake.replace_dates(both.where(F.lit(False)), [DAY, dt.date(2025, 5, 5)]) == 0
@@ -304,9 +304,9 @@ def test_hours_are_validated(lake, tmp_path, index):
         with pytest.raises(ValueError, match=message):
             jobs.run_hours(lake, str(tmp_path), hours, index)
     land(tmp_path, HOUR, [push()])
-    with pytest.raises(FileNotFoundError, match="2025-01-02T04"):
+    with pytest.raises(FileNotFoundError, match="2024-05-02T04"):
         jobs.run_hours(lake, str(tmp_path), [HOUR, HOUR.replace(hour=4)], index)
-    with pytest.raises(ValueError, match="date range ends 2025-01-01, before 2025-01-02"):
+    with pytest.raises(ValueError, match="date range ends 2024-05-01, before 2024-05-02"):
         jobs.date_range(DAY, DAY - dt.timedelta(days=1))
     with pytest.raises(ValueError, match="daily partitions start at 2015-01-01"):
         jobs.date_range(dt.date(2014, 12, 31), DAY)
@@ -315,7 +315,7 @@ def test_hours_are_validated(lake, tmp_path, index):
 def land_day(raw, day, skip=()):
     for hour in range(24):
         if hour not in skip:
-            at = dt.datetime(2025, 1, day, hour, tzinfo=dt.UTC)
+            at = dt.datetime(2024, 5, day, hour, tzinfo=dt.UTC)
             land(raw, at, [push(day=day, hour=hour), star(day=day, hour=hour)])
 
 
@@ -351,8 +351,8 @@ def test_backfill_and_failing_checks(lake, tmp_path, index):
     failed = jobs.checks(lake, [DAY, later]).where(~F.col("passed")).collect()
     assert [r.check_name for r in failed] == ["complete_archive_hours"]
     assert json.loads(failed[0].details)["missing_hours"] == [
-        "2025-01-03T03:00:00+00:00",
-        "2025-01-03T17:00:00+00:00",
+        "2024-05-03T03:00:00+00:00",
+        "2024-05-03T17:00:00+00:00",
     ]
     target = Recorder()
     with pytest.raises(jobs.QualityError, match="complete_archive_hours"):
@@ -374,12 +374,12 @@ def test_jobs_from_the_command_line(spark, tmp_path, monkeypatch):
     run = lambda *words: submit.run(spark, submit.arguments([*common, *words]))
     assert run("load-bronze", path) == 2
     assert run("load-silver") == 2
-    assert run("build-gold", "2025-01-02") == 1
-    assert run("backfill", "2025-01-02", "2025-01-03").bronze_rows == 0
+    assert run("build-gold", "2024-05-02") == 1
+    assert run("backfill", "2024-05-02", "2024-05-03").bronze_rows == 0
     with pytest.raises(jobs.QualityError):
-        run("check", "2025-01-02")
+        run("check", "2024-05-02")
     with pytest.raises(FileNotFoundError):
-        run("day", "2025-01-02")
+        run("day", "2024-05-02")
     made[-1].drop()
 
 
@@ -408,7 +408,7 @@ def test_stream_rebuilds_touched_dates(lake, tmp_path, index):
     run()
     assert lake.read_gold([DAY]).first().event_count == 2
     assert lake.read_gold([DAY + dt.timedelta(days=1)]).first().event_count == 1
-    assert late.endswith("2025-01-03-3.json.gz")
+    assert late.endswith("2024-05-03-3.json.gz")
 
 
 def test_stream_goes_on_past_a_bad_source_and_takes_it_once_repaired(lake, tmp_path, index):
@@ -425,7 +425,7 @@ def test_stream_goes_on_past_a_bad_source_and_takes_it_once_repaired(lake, tmp_p
     land(tmp_path, HOUR.replace(hour=5), [push(hour=5)])
     stream()
     assert lake.read_gold([DAY]).first().event_count == 2
-    assert [r.source_file for r in lake.open_rejects("bronze").collect()] == ["2025-01-02-3.json.gz"]
+    assert [r.source_file for r in lake.open_rejects("bronze").collect()] == ["2024-05-02-3.json.gz"]
     time.sleep(1.1)  # file times may count whole seconds
     land(tmp_path, HOUR, [push()])
     stream()
@@ -446,10 +446,10 @@ def test_bad_sources_hold_up_neither_the_others_nor_their_dates(lake, tmp_path,
     with pytest.raises(LoadError) as failed:
         jobs.backfill(lake, str(tmp_path), *days, index)
     for problem in (
-        "2025-01-02-3.json.gz:2: invalid JSON",
-        "Bronze source file not found: 2025-01-02-5.json.gz",
-        "2025-01-02-6.json.gz:2: field 'payload.size' must be int",
-        "2025-01-02-7.json.gz: cannot be read",
+        "2024-05-02-3.json.gz:2: invalid JSON",
+        "Bronze source file not found: 2024-05-02-5.json.gz",
+        "2024-05-02-6.json.gz:2: field 'payload.size' must be int",
+        "2024-05-02-7.json.gz: cannot be read",
     ):
         assert problem in str(failed.value)
     assert [r.event_count for r in lake.read_gold().orderBy("activity_date").collect()] == [1, 1]

@@ -17,13 +17,13 @@ def parsed(lines_frame, *lines):
 def test_fields_are_mapped(lines_frame):
     row = parsed(lines_frame, line())[0]
     assert row["_error"] is None
-    assert (row["event_id"], row["event_type"], row["is_public"]) == ("123456", "PushEvent", True)
-    assert (row["actor_id"], row["actor_login"]) == (10, "alice")
-    assert (row["repo_id"], row["repo_name"]) == (20, "acme/project")
-    assert (row["org_id"], row["org_login"]) == (30, "acme")
-    assert row["created_at"].isoformat() == "2025-01-02T03:15:00"
+    assert (row["event_id"], row["event_type"], row["is_public"]) == ("90210077", "PushEvent", True)
+    assert (row["actor_id"], row["actor_login"]) == (7001, "noor")
+    assert (row["repo_id"], row["repo_name"]) == (555, "fern/seed-sorter")
+    assert (row["org_id"], row["org_login"]) == (42, "fern")
+    assert row["created_at"].isoformat() == "2024-05-02T03:41:07"
     assert json.loads(row["payload_json"]) == EVENT["payload"]
-    assert (row["source_file"], row["source_line_number"]) == ("2025-01-02-3.json.gz", 1)
+    assert (row["source_file"], row["source_line_number"]) == ("2024-05-02-3.json.gz", 1)
 
 
 @pytest.mark.parametrize("org", [None, ...])
@@ -41,8 +41,8 @@ ERRORS = [
     (line(public="true"), "field 'public' must be bool, got str"),
     (line(public=1), "field 'public' must be bool, got int"),
     (line(created_at=5), "field 'created_at' must be str, got int"),
-    (line(created_at="2025-01-02T03:15:00"), "datetime must be timezone-aware"),
-    (line(created_at="2025-01-02"), "datetime must be timezone-aware"),
+    (line(created_at="2024-05-02T03:15:00"), "datetime must be timezone-aware"),
+    (line(created_at="2024-05-02"), "datetime must be timezone-aware"),
     (line(created_at="soon"), "Invalid isoformat string: 'soon'"),
     (line(actor=...), "field 'actor' is required"),
     (line(actor=None), "field 'actor' must be dict"),
@@ -91,7 +91,7 @@ def test_every_error_has_its_text_and_coordinates(lines_frame):
     assert len(rows) == len(ERRORS)
     for row, (text, message) in zip(rows, ERRORS, strict=True):
         number = row["source_line_number"]
-        assert row["_error"] == f"2025-01-02-3.json.gz:{number}: {message}", text
+        assert row["_error"] == f"2024-05-02-3.json.gz:{number}: {message}", text
 
 
 def test_first_error_follows_the_order_of_evaluation(lines_frame):
@@ -122,19 +122,19 @@ def test_unusual_but_valid_lines(lines_frame):
         line(payload={}),
         "  " + line() + " \t",
         json.dumps(event(), indent=None, separators=(" , ", " : ")),
-        line().replace('"id": "123456"', '"id": 1, "id": "last"'),
+        line().replace('"id": "90210077"', '"id": 1, "id": "last"'),
         line().replace('"payload": {', '"payload": 5, "payload": {'),
-        line(created_at="2025-01-02 05:45:00.5+02:30"),
+        line(created_at="2024-05-02 05:45:00.5+02:30"),
     ]
     rows = parsed(lines_frame, *given)
     assert [row["_error"] for row in rows] == [None] * len(given)
     assert json.loads(rows[0]["payload_json"]) == tricky["payload"]
     assert json.loads(rows[1]["payload_json"]) == tricky["payload"]
     assert rows[2]["payload_json"] == "{}"
-    assert rows[4]["payload_json"] == '{"size":1,"ref":"refs/heads/main"}'
+    assert rows[4]["payload_json"] == '{"push_id":8,"size":3,"ref":"refs/heads/trunk"}'
     assert rows[5]["event_id"] == "last"
     assert json.loads(rows[6]["payload_json"]) == EVENT["payload"]
-    assert rows[7]["created_at"].isoformat() == "2025-01-02T03:15:00.500000"
+    assert rows[7]["created_at"].isoformat() == "2024-05-02T03:15:00.500000"
 
 
 def test_invalid_utf8_is_refused(spark, lines_frame):
@@ -192,14 +192,14 @@ def test_silver_values_by_event_type(lines_frame):
         ),
         line(type="PullRequestEvent", payload={"pull_request": {"merged": False}}),
         line(type="WatchEvent", payload={"action": "started", "size": "ignored"}),
-        line(created_at="2025-01-01T23:59:59Z", type="ForkEvent", payload={}),
+        line(created_at="2024-05-01T23:59:59Z", type="ForkEvent", payload={}),
     )
     assert (push["commit_count"], push["action"], push["is_merged"]) == (3, None, None)
     assert (merged["is_merged"], merged["action"], merged["commit_count"]) == (True, "closed", None)
     assert (opened["is_merged"], opened["action"]) == (False, None)
     assert (star["action"], star["commit_count"]) == ("started", None)
     # The date is that of the event, not of the archive.
-    assert late["event_date"].isoformat() == "2025-01-01"
+    assert late["event_date"].isoformat() == "2024-05-01"
     assert all(row["_error"] is None for row in (push, merged, opened, star, late))
 
 
@@ -241,7 +241,7 @@ def test_silver_errors(lines_frame):
     ]
     rows = typed(lines_frame, *[text for text, _ in cases])
     for number, (row, (text, message)) in enumerate(zip(rows, cases, strict=True), start=1):
-        assert row["_error"] == f"2025-01-02-3.json.gz:{number}: {message}", text
+        assert row["_error"] == f"2024-05-02-3.json.gz:{number}: {message}", text
 
 
 def test_contracts(lines_frame):

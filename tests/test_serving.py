@@ -53,7 +53,7 @@ def test_statements_name_every_column():
     for name in METRICS:
         assert f"{name} = EXCLUDED.{name}" in upsert
     assert "technology_id = EXCLUDED" not in upsert
-    assert serving.delete_statement([DAY]).endswith("activity_date IN (DATE '2025-01-02')")
+    assert serving.delete_statement([DAY]).endswith("activity_date IN (DATE '2024-05-02')")
 
 
 def test_a_transaction_is_all_or_nothing():
@@ -90,7 +90,7 @@ def test_replacing_dates_deletes_and_inserts_in_one_transaction(spark, monkeypat
 def test_input_is_checked_before_anything_is_written(spark):
     target = serving.JdbcServing("jdbc:x", {}, lambda: pytest.fail("no connection expected"))
     other = gold_rows(spark, {"activity_date": LATER})
-    with pytest.raises(ValueError, match="all serving rows must match activity_date=2025-01-02"):
+    with pytest.raises(ValueError, match="all serving rows must match activity_date=2024-05-02"):
         target.replace_dates(other, [DAY])
     with pytest.raises(ValueError, match="repeat"):
         target.upsert(gold_rows(spark, {}, {}))
