@@ -440,18 +440,17 @@ def check_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_valid_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold with counters broken in four ways for four technologies."""
-    wrong = {
-        "star_count": ("duckdb", -F.col("star_count") - 1),
-        "unique_actor_count": ("trino", F.col("event_count") + 1),
-        "merged_pull_request_count": ("airbyte", F.col("pull_request_count") + 1),
-        "fork_count": ("dagster", F.col("event_count") + 1),
-    }
-    rows = _gold(spark, sf_dir)
-    for name, (technology, value) in wrong.items():
-        broken = F.when(F.col("technology_id") == technology, value).otherwise(F.col(name))
-        rows = rows.withColumn(name, broken)
-    return quality.valid_gold_metrics(rows)
+    """Gold in which every rule is broken in some rows, one rule in a row, and two rows in
+    twenty are left as they are."""
+    events, requests = F.col("event_count"), F.col("pull_request_count")
+    breaks = [(name, F.lit(-1)) for name in METRICS]
+    breaks += [("unique_actor_count", events + 1), ("merged_pull_request_count", requests + 1)]
+    breaks += [(name, events + 1) for name in quality.SUBTYPES]
+    number = (F.dayofyear("activity_date") + 7 * F.length("technology_id")) % 20
+    changed = {name: F.col(name) for name, _ in breaks}
+    for i, (name, value) in enumerate(breaks):
+        changed[name] = F.when(number == i, value).otherwise(changed[name])
+    return quality.valid_gold_metrics(_gold(spark, sf_dir).withColumns(changed))
 
 
 # -- reports ----------------------------------------------------------------------------
