@@ -141,12 +141,11 @@ def validate(catalog: DataFrame) -> DataFrame:
 def index(catalog: DataFrame) -> DataFrame:
     """The lookup side: `repository, technology_id`, one row per repository.
 
-    A repository that two technologies list belongs to the first by id: events are never counted
-    twice. `create` and `load` refuse such a catalog.
+    `create` and `load` refuse a catalog that lists a repository twice; a catalog made in another
+    way must pass `validate` first, or its events would be counted twice. The index is not made
+    unique here: an aggregation under the join would keep AQE from splitting a hot repository.
     """
-    return assignments(catalog).groupBy("repository").agg(
-        F.min("technology_id").alias("technology_id")
-    )
+    return assignments(catalog).select("repository", "technology_id")
 
 
 def classify(events: DataFrame, repository_index: DataFrame) -> DataFrame:

@@ -372,7 +372,10 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     reason = F.regexp_replace("reason", r"\d{4}-\d{2}-\d{2}-\d+\.json\.gz|part-\S+\.gz", "file")
     reason = F.regexp_replace(reason, r"file:\d+:", "file:line:")
     return _damaged(spark, sf_dir).rejects().select(
-        "layer", reason.alias("reason"), "error_count", F.col("first_error_line").isNotNull().alias("has_line")
+        "layer",
+        reason.alias("reason"),
+        "error_count",
+        F.col("first_error_line").isNotNull().alias("has_line"),
     )
 
 
@@ -380,7 +383,8 @@ def stream_with_bad_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold after a stream over archives of which three are bad."""
     raw = derived.damaged_zone(spark, sf_dir)
     lake = _new_lake(spark, "stream_damaged")
-    incremental.stream_refresh(lake, raw, f"{lake.root}/checkpoint", _index(spark)).awaitTermination()
+    query = incremental.stream_refresh(lake, raw, f"{lake.root}/checkpoint", _index(spark))
+    query.awaitTermination()
     return lake.read_gold()
 
 

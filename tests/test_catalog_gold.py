@@ -286,3 +286,10 @@ def test_distinct_actors(silver_frame, index):
         {"actor_id": 1}, {"actor_id": 1, "event_date": DAY + dt.timedelta(days=1)}, {"actor_id": 2}
     )
     assert reports.distinct_actors(events, index).select(F.max("actor_count")).first()[0] == 2
+
+
+def test_a_repository_of_two_technologies_is_refused(spark):
+    twice = [("a", "A", "c", ["x/y"]), ("b", "B", "c", ["X/Y "])]
+    with pytest.raises(ValueError, match="assigned to multiple technologies"):
+        catalog.create(spark, twice)
+    assert catalog.violations(catalog.default(spark)).count() == 0

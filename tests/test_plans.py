@@ -48,7 +48,7 @@ def test_bronze_load_neither_shuffles_nor_sorts(spark, lake, tmp_path):
     plan = explained(bronze.parse_events(lines))
     assert "Exchange" not in plan and "Sort" not in plan
     conf = archive.whole_file_settings(spark)
-    assert set(conf) == {"spark.sql.files.openCostInBytes"}
+    assert set(conf) == {"spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionNum"}
 
 
 def test_a_task_reads_one_archive(spark, tmp_path):

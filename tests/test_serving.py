@@ -73,7 +73,10 @@ def test_replacing_dates_deletes_and_inserts_in_one_transaction(spark, monkeypat
         opened.append(Connection())
         return opened[-1]
 
-    monkeypatch.setattr(serving, "stage", lambda rows, url, properties, name: staged.append((rows.count(), name)))
+    def stage(rows, url, properties, name):
+        staged.append((rows.count(), name))
+
+    monkeypatch.setattr(serving, "stage", stage)
     target = serving.JdbcServing("jdbc:x", {}, connect)
     rows = gold_rows(spark, {}, {"technology_id": "duckdb"})
     assert target.replace_dates(rows, [DAY]) == 2
