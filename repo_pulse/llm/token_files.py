@@ -66,12 +66,13 @@ def read(spark: SparkSession, path: str, doc_ids: tuple[int, int] | None = None)
     return stored if doc_ids is None else stored.filter(F.col("doc_id").between(*doc_ids))
 
 
-def starts(frame: DataFrame) -> DataFrame:
-    """Adds `start`, the ids of all documents before a row, to a frame with file_name, row_index.
+def starts(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, row_index, start): the ids of all documents before each row, from lengths alone.
 
     Lengths are summed for each file first; the running sum over files has a row for each file.
     """
-    files = frame.groupBy("file_name").agg(F.sum("n_tokens").alias("of_file"))
+    lengths = _with_places(read(spark, path)).select("file_name", "row_index", "n_tokens")
+    files = lengths.groupBy("file_name").agg(F.sum("n_tokens").alias("of_file"))
     before = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select(
         "file_name", F.coalesce(F.sum("of_file").over(before), F.lit(0)).alias("before_file")
@@ -81,12 +82,13 @@ def starts(frame: DataFrame) -> DataFrame:
         .orderBy("row_index")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    running = frame.withColumn("in_file", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    return (
-        running.join(files, "file_name")
-        .withColumn("start", F.col("before_file") + F.col("in_file"))
-        .drop("before_file", "in_file", "file_name", "row_index")
-    )
+    running = lengths.withColumn("in_file", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+    start = (F.col("before_file") + F.col("in_file")).alias("start")
+    return running.join(files, "file_name").select("file_name", "row_index", start)
+
+
+def _with_places(stored: DataFrame) -> DataFrame:
+    return stored.select("*", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
@@ -108,11 +110,10 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
                 ["doc_id", "file_name", "row_index", "n_tokens", "ids_crc32"],
             )
 
-    stored = read(spark, path).select(
-        "doc_id", "ids", F.col("_metadata.file_name"), F.col("_metadata.row_index")
-    )
-    rows = stored.mapInArrow(
+    rows = _with_places(read(spark, path)).drop("n_tokens")
+    rows = rows.mapInArrow(
         run,
         "doc_id bigint, file_name string, row_index bigint, n_tokens bigint, ids_crc32 bigint",
     )
-    return starts(rows)
+    places = ["file_name", "row_index"]
+    return rows.join(starts(spark, path), places).drop(*places)
