@@ -29,7 +29,7 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame, written once and read back: lost executors cost no recomputation."""
     spark = frame.sparkSession
     path = new_path(spark, purpose)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
