@@ -16,7 +16,7 @@ IS_SPACE[list(SPACE_BYTES)] = True
 
 # Texts are worked on in pieces of about this many bytes, so a task's memory does not depend on
 # the size of an Arrow batch. A longer single text makes a piece of its own.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 3 << 20
 
 
 @dataclass

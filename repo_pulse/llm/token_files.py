@@ -15,6 +15,9 @@ from repo_pulse.llm.tokenizing import crc32_of, encoder, with_last
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>"
 
+# Bytes of text encoded at a time: in larger pieces more words repeat.
+ENCODED_BYTES = 6 << 20
+
 # Ids repeat, so they are dictionary-encoded; ascending doc_ids and lengths are delta-encoded.
 # Small pages with column and offset indexes (Parquet's default) let a filter on doc_id skip pages.
 WRITER = {
@@ -39,7 +42,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer, drops_space=True)
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=ENCODED_BYTES):
             ids, ends = with_last(*coder.encode(batch.column(1)), end_id)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays(
