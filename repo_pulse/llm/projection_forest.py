@@ -1,9 +1,12 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-Every tree halves the vectors again and again by their projection on a random direction; vectors
-near a split go to both sides. Vectors are compared within leaves, exactly and in blocks, and what
-all leaves of all trees find is united. A pair that meets in several leaves is counted in one of
-them, the first they share, so leaves return a row for each vector instead of a row for each pair.
+Every tree cuts the vectors again and again by their projection on a random direction; vectors
+near a cut go to both sides. What counts as near is the distance that the wanted cosine allows, not
+a share of the rows, and a node is left whole where a cut would not save comparisons: a group of
+near copies stays together however large it is. Vectors are compared within leaves, exactly and in
+blocks, a large leaf as pairs of parts in several tasks, and what all leaves of all trees find is
+united. A pair that meets in several leaves is counted in one of them, the first they share, so
+leaves return a row for each vector instead of a row for each pair.
 """
 
 from __future__ import annotations
@@ -17,115 +20,233 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repo_pulse.llm.components import components
+from repo_pulse.llm.hashing import mixed
 from repo_pulse.llm.scratch import plain, written
 from repo_pulse.llm.vectors import common_size, is_usable, matrix, sampled
 
 TREES = 8
 LEAF_ROWS = 1_000
-# Part of a node's vectors on either side of the split that go to both sides.
-SPILL = 0.08
+# Places where a node may be cut, as shares of its rows, and the part of its comparisons that
+# both sides may still have; if the best cut leaves more, the node is a leaf.
+CUTS = np.linspace(0.2, 0.8, 13)
+WORTH = 0.9
 # Splits are fitted to a sample of about this many vectors, which also bounds the broadcast forest.
 SAMPLE = 100_000
 SAMPLE_PER_LEAF = 32
-# Vectors compared with a whole leaf at a time, and pairs checked in double precision at a time.
+# Vectors compared with a whole part at a time, and pairs checked in double precision at a time.
 BLOCK = 512
 PAIRS = 65_536
+# Components in a part of a leaf: larger leaves are compared as pairs of parts.
+PART_VALUES = 1 << 19
+# Rows of a batch that leaves the routing.
+OUT = 4_096
 
 
 @dataclass
 class Forest:
-    """Complete binary trees: a direction and the ends of the overlap for each inner node."""
+    """Binary trees: a direction, the ends of the overlap and two children for each node.
 
-    depth: int
-    directions: np.ndarray  # trees x inner nodes x components
+    The first nodes are the roots; a leaf has no children (-1), and its number is its node's.
+    """
+
+    trees: int
+    directions: np.ndarray  # nodes x components
     low: np.ndarray
     high: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
 
     def leaves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) of every leaf each vector belongs to; leaves are numbered over all trees."""
         rows, keys = [], []
-        for tree in range(len(self.directions)):
-            row, node = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
-            for _ in range(self.depth):
-                p = np.einsum("ij,ij->i", x[row], self.directions[tree, node])
-                left, right = p <= self.high[tree, node], p >= self.low[tree, node]
-                row = np.concatenate([row[left], row[right]])
-                node = np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
-            rows.append(row)
-            keys.append((tree << self.depth) + node - ((1 << self.depth) - 1))
-        return np.concatenate(rows), np.concatenate(keys)
-
-
-def fit(sample: np.ndarray, rows: int, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> Forest:
-    """Random directions, split at the median of the sample that reaches each node."""
-    most = max(len(sample) // SAMPLE_PER_LEAF, 1)
-    leaves = min(max(-(-rows // leaf_rows), 1), most)
-    depth = (leaves - 1).bit_length() if leaves > 1 else 0
-    inner = (1 << depth) - 1
+        row = np.tile(np.arange(len(x)), self.trees)
+        node = np.repeat(np.arange(self.trees), len(x))
+        while len(row):
+            done = self.left[node] < 0
+            rows.append(row[done])
+            keys.append(node[done])
+            row, node = row[~done], node[~done]
+            p = np.einsum("ij,ij->i", x[row], self.directions[node])
+            left, right = p <= self.high[node], p >= self.low[node]
+            row, node = (
+                np.concatenate([row[left], row[right]]),
+                np.concatenate([self.left[node[left]], self.right[node[right]]]),
+            )
+        return np.concatenate(rows or [row]), np.concatenate(keys or [node])
+
+
+def fit(
+    sample: np.ndarray, rows: int, least: float, trees: int = TREES, leaf_rows: int = LEAF_ROWS
+) -> Forest:
+    """Random directions, cut where the sample that reaches a node leaves the least to compare.
+
+    Vectors of unit length whose cosine is `least` are a known distance apart, and on a direction
+    of independent normal components they differ by that distance on average (root mean square):
+    this is the width of the overlap.
+    """
     random = np.random.default_rng(42)
-    directions = random.standard_normal((trees, inner, sample.shape[1])).astype(np.float32)
-    low, high = np.zeros((trees, inner)), np.zeros((trees, inner))
-    for tree in range(trees):
-        held = {0: np.arange(len(sample))}
-        for node in range(inner):
-            own = held.pop(node)
-            p = sample[own] @ directions[tree, node]
-            ends = np.quantile(p, [0.5 - SPILL, 0.5, 0.5 + SPILL]) if len(p) else np.zeros(3)
-            low[tree, node], high[tree, node] = ends[0], ends[2]
-            held[2 * node + 1], held[2 * node + 2] = own[p <= ends[1]], own[p > ends[1]]
-    return Forest(depth, directions, low, high)
+    width, share = np.sqrt(2 - 2 * least), rows / max(len(sample), 1)
+    held = [np.arange(len(sample))] * trees
+    none = np.zeros(sample.shape[1], dtype=np.float32)
+    directions, ends, children = [], [], []
+    for own in held:  # grows while nodes are cut
+        directions.append(none)
+        ends.append((0.0, 0.0))
+        children.append((-1, -1))
+        if len(own) * share <= leaf_rows or len(own) < 2 * SAMPLE_PER_LEAF:
+            continue
+        direction = random.standard_normal(sample.shape[1]).astype(np.float32)
+        p = np.sort(sample[own] @ direction)
+        cuts = np.quantile(p, CUTS)
+        below = np.searchsorted(p, cuts + width / 2, side="right") / len(p)
+        above = 1 - np.searchsorted(p, cuts - width / 2) / len(p)
+        left = below**2 + above**2
+        if left.min() > WORTH:
+            continue
+        cut = cuts[left.argmin()]
+        side = sample[own] @ direction <= cut
+        directions[-1], ends[-1] = direction, (cut - width / 2, cut + width / 2)
+        children[-1] = len(held), len(held) + 1
+        held += [own[side], own[~side]]
+    low, high = np.array(ends).T
+    left, right = np.array(children).T
+    return Forest(trees, np.array(directions), low, high, left, right)
 
 
 def compare(
-    x: np.ndarray, copies: np.ndarray, shared: list[np.ndarray], leaf: int, least: float
+    x: np.ndarray,
+    copies: np.ndarray,
+    shared: list[np.ndarray],
+    leaf: int,
+    least: float,
+    split: int = 0,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Within one leaf: links each vector has here for the first time, and its smallest neighbour
-    over any number of links (by row number)."""
+    """Links each vector has here for the first time, and the smallest vector it reaches over any
+    number of links (by row number).
+
+    With a split, the vectors before it are compared with the others only. Pairs are held for one
+    block at a time; links and smallest vectors are all that is kept of them.
+    """
     norms = np.linalg.norm(x, axis=1)
-    unit = x / norms[:, None]
-    rough = unit.astype(np.float32)
+    rough = (x / norms[:, None]).astype(np.float32)
     links, low = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-    ones: list[np.ndarray] = []
-    others: list[np.ndarray] = []
-    for start in range(0, len(x), BLOCK):
-        near = rough[start : start + BLOCK] @ rough[start:].T
-        a, b = np.nonzero(near >= least - 1e-4)
-        a, b = (a + start)[b > a], (b + start)[b > a]
-        for at in range(0, len(a), PAIRS):
-            p, q = a[at : at + PAIRS], b[at : at + PAIRS]
-            cosine = np.einsum("ij,ij->i", x[p], x[q]) / (norms[p] * norms[q])
-            ones.append(p[cosine >= least])
-            others.append(q[cosine >= least])
-    one = np.concatenate(ones) if ones else np.zeros(0, dtype=np.int64)
-    other = np.concatenate(others) if others else np.zeros(0, dtype=np.int64)
-    if not len(one):
-        return links, low
-    first = ~_met_before(one, other, shared, leaf)
-    np.add.at(links, one[first], copies[other[first]])
-    np.add.at(links, other[first], copies[one[first]])
-    while True:
-        before = low.copy()
-        np.minimum.at(low, one, low[other])
-        np.minimum.at(low, other, low[one])
-        low = low[low]
-        if (low == before).all():
-            return links, low
-
-
-def _met_before(one, other, shared: list[np.ndarray], leaf: int) -> np.ndarray:
-    """Whether both vectors of each pair also lie in a leaf with a smaller number."""
-    linked = np.unique(np.concatenate([one, other]))
-    place = np.searchsorted(linked, np.arange(linked[-1] + 1))
-    keys = [shared[i][shared[i] < leaf] for i in linked]
-    names, at = np.unique(np.concatenate(keys), return_inverse=True)
-    table = np.zeros((len(linked), len(names)), dtype=bool)
-    table[np.repeat(np.arange(len(linked)), [len(k) for k in keys]), at] = True
-    table = np.packbits(table, axis=1)
-    met = np.zeros(len(one), dtype=bool)
-    for i in range(0, len(one), PAIRS):
-        p, q = place[one[i : i + PAIRS]], place[other[i : i + PAIRS]]
-        met[i : i + PAIRS] = (table[p] & table[q]).any(axis=1)
-    return met
+    earlier = _earlier(shared, leaf)
+    for start in range(0, split or len(x), BLOCK):
+        end = min(start + BLOCK, split or len(x))
+        other = split or start
+        near = rough[start:end] @ rough[other:].T
+        one, two = np.nonzero(near >= least - 1e-4)
+        one, two = one + start, two + other
+        one, two = one[two > one], two[two > one]
+        for at in range(0, len(one), PAIRS):
+            p, q = one[at : at + PAIRS], two[at : at + PAIRS]
+            linked = near[p - start, q - other] >= least + 1e-4
+            doubt = np.flatnonzero(~linked)
+            a, b = p[doubt], q[doubt]
+            linked[doubt] = np.einsum("ij,ij->i", x[a], x[b]) / (norms[a] * norms[b]) >= least
+            p, q = p[linked], q[linked]
+            _join(low, p, q)
+            first = ~(earlier[p] & earlier[q]).any(axis=1)
+            p, q = p[first], q[first]
+            links += np.bincount(p, copies[q], len(x)).astype(np.int64)
+            links += np.bincount(q, copies[p], len(x)).astype(np.int64)
+    return links, low
+
+
+def _join(low: np.ndarray, one: np.ndarray, other: np.ndarray) -> None:
+    """Unite the groups of each pair; `low` names the smallest member of each one's group."""
+    while len(one):
+        a, b = low[one], low[other]
+        apart = a != b
+        one, other, a, b = one[apart], other[apart], a[apart], b[apart]
+        np.minimum.at(low, np.maximum(a, b), np.minimum(a, b))
+        while (low[low] != low).any():
+            low[:] = low[low]
+
+
+def _earlier(shared: list[np.ndarray], leaf: int) -> np.ndarray:
+    """For each vector the leaves with a smaller number, as bits; leaves of one vector are left out."""
+    keys = [own[own < leaf] for own in shared]
+    names, at, held = np.unique(
+        np.concatenate([*keys, np.zeros(0, np.int64)]), return_inverse=True, return_counts=True
+    )
+    row, often = np.repeat(np.arange(len(keys)), [len(k) for k in keys]), held[at] > 1
+    place = np.cumsum(held > 1) - 1
+    bits = np.zeros((len(keys), -(-int((held > 1).sum()) // 8)), dtype=np.uint8)
+    column = place[at[often]]
+    np.bitwise_or.at(bits, (row[often], column >> 3), (1 << (column & 7)).astype(np.uint8))
+    return bits
+
+
+@dataclass
+class Parts:
+    """How leaves with more vectors than a part are cut.
+
+    `groups` holds for each large leaf the parts of each class. A class is the first large leaf
+    before this one that a vector lies in (-1: none): what has one in common was compared there.
+    """
+
+    large: np.ndarray
+    groups: dict[int, list[tuple[int, int, int]]]  # leaf: (class, first part, parts)
+
+    def classes(self, row: np.ndarray, leaf: np.ndarray, rows: int) -> np.ndarray:
+        """The class of each (row, leaf), for pairs in the order of rows."""
+        first = np.full(rows, np.iinfo(np.int64).max)
+        big = np.isin(leaf, self.large)
+        np.minimum.at(first, row[big], leaf[big])
+        return np.where(first[row] < leaf, first[row], -1)
+
+    def spread(self, leaf: np.ndarray, kind: np.ndarray, node: np.ndarray):
+        """(index, one, two, side) of each pair of parts that each (leaf, class, node) is in."""
+        small = np.flatnonzero(~np.isin(leaf, self.large))
+        found = [(small, np.zeros(len(small), int), np.zeros(len(small), int), np.zeros(len(small), int))]
+        for own, groups in self.groups.items():
+            of_part = {first + i: k for k, first, parts in groups for i in range(parts)}
+            for k, first, parts in groups:
+                at = np.flatnonzero((leaf == own) & (kind == k))
+                if not len(at):
+                    continue
+                part = first + (mixed(node[at].astype(np.uint64), 5) % np.uint64(parts)).astype(int)
+                for other, its in of_part.items():
+                    if its == k >= 0:
+                        continue
+                    found.append(
+                        (at, np.minimum(part, other), np.maximum(part, other), (part > other).astype(int))
+                    )
+        return [np.concatenate(c) for c in zip(*found, strict=True)]
+
+
+def _parts(nodes: DataFrame, routed, size: int) -> Parts:
+    """Cut the leaves that hold more vectors than a part, by the counts of all vectors."""
+    most = max(PART_VALUES // max(size, 1), 1)
+
+    def counted(parts: Parts) -> list[tuple[int, int, int]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                row, leaf = routed(batch.column(0))
+                kind = parts.classes(row, leaf, batch.num_rows)
+                if len(parts.large):
+                    kept = np.isin(leaf, parts.large)
+                    leaf, kind = leaf[kept], kind[kept]
+                pairs, n = np.unique(np.stack([leaf, kind]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n.astype(np.int64))],
+                    ["leaf", "kind", "n"],
+                )
+
+        partial = nodes.select("embedding").mapInArrow(run, "leaf bigint, kind bigint, n bigint")
+        return [tuple(r) for r in partial.groupBy("leaf", "kind").agg(F.sum("n")).collect()]
+
+    empty = Parts(np.zeros(0, dtype=np.int64), {})
+    large = sorted(leaf for leaf, _, n in counted(empty) if n > most)
+    if not large:
+        return empty
+    parts = Parts(np.array(large), {leaf: [] for leaf in large})
+    for leaf, kind, n in sorted(counted(parts)):
+        before = parts.groups[leaf]
+        first = before[-1][1] + before[-1][2] if before else 0
+        before.append((kind, first, -(-n // most)))
+    return parts
 
 
 def near_duplicates(vectors: DataFrame, least: float) -> DataFrame:
@@ -150,41 +271,60 @@ def near_duplicates(vectors: DataFrame, least: float) -> DataFrame:
     )
     nodes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "vectors")
     sample = matrix(sampled(nodes, "node", SAMPLE).select("embedding").toArrow()[0], size or 1)
-    forest = fit(sample / np.linalg.norm(sample, axis=1, keepdims=True), nodes.count())
+    forest = fit(sample / np.linalg.norm(sample, axis=1, keepdims=True), nodes.count(), least)
     shared = spark.sparkContext.broadcast(forest)
 
+    def routed_of(embeddings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        x = matrix(embeddings, size)
+        row, leaf = shared.value.leaves(x / np.linalg.norm(x, axis=1, keepdims=True))
+        order = np.lexsort((leaf, row))
+        return row[order], leaf[order]
+
+    cut = spark.sparkContext.broadcast(_parts(nodes, routed_of, size))
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(0), size)
-            row, leaf = shared.value.leaves(x / np.linalg.norm(x, axis=1, keepdims=True))
-            order = np.lexsort((leaf, row))
-            row, leaf = row[order], leaf[order]
-            ends = np.searchsorted(row, np.arange(len(x) + 1))
+            row, leaf = routed_of(batch.column(0))
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(leaf, pa.int32()))
-            taken = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leaf), *taken.columns, lists.take(pa.array(row))],
-                ["leaf", "embedding", "copies", "node", "leaves"],
-            )
+            kind = cut.value.classes(row, leaf, batch.num_rows)
+            node = batch.column(2).to_numpy()
+            at, one, two, side = cut.value.spread(leaf, kind, node[row])
+            for step in range(0, len(at), OUT):
+                own = at[step : step + OUT]
+                taken = batch.take(pa.array(row[own]))
+                pair = [pa.array(c[step : step + OUT].astype(np.int64)) for c in (one, two, side)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf[own]), *pair, *taken.columns, lists.take(pa.array(row[own]))],
+                    ["leaf", "one", "two", "side", "embedding", "copies", "node", "leaves"],
+                )
 
     def in_leaf(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks().sort_by("side")
         group = group.combine_chunks()
         node = group["node"].to_numpy()
         leaf = group["leaf"][0].as_py()
+        split = int((group["side"].to_numpy() == 0).sum())
+        apart = group["one"][0].as_py() != group["two"][0].as_py()
+        if apart and split in (0, len(node)):
+            return pa.table({"node": node[:0], "links": node[:0], "tied": node[:0]})
         lists = group["leaves"].combine_chunks()
         ends = lists.offsets.to_numpy()
         values = lists.values.to_numpy()
         own = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         x = matrix(group["embedding"], size)
-        links, low = compare(x, group["copies"].to_numpy(), own, leaf, least)
+        copies = group["copies"].to_numpy()
+        links, low = compare(x, copies, own, leaf, least, split if apart else 0)
         told = np.flatnonzero((links > 0) | (low != np.arange(len(low))))
         return pa.table({"node": node[told], "links": links[told], "tied": node[low[told]]})
 
     routed = nodes.select("embedding", "copies", "node").mapInArrow(
         route,
-        "leaf bigint, embedding array<double>, copies bigint, node bigint, leaves array<int>",
+        "leaf bigint, one bigint, two bigint, side bigint, embedding array<double>, "
+        "copies bigint, node bigint, leaves array<int>",
     )
-    found = routed.groupBy("leaf").applyInArrow(in_leaf, "node bigint, links bigint, tied bigint")
+    pairs = routed.groupBy("leaf", "one", "two")
+    found = pairs.applyInArrow(in_leaf, "node bigint, links bigint, tied bigint")
     found = written(found, "links")
     roots = components(found.select("node", "tied"))
     degrees = found.groupBy("node").agg(F.sum("links").alias("links"))

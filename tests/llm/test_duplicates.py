@@ -114,6 +114,27 @@ def test_forest_against_all_pairs(spark, monkeypatch, leaf_rows):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
+@pytest.mark.parametrize("part_values", [1 << 19, 16 * 200])
+def test_forest_keeps_a_group_of_near_copies_whole(spark, monkeypatch, part_values):
+    """A third of the rows are near copies of one vector: many leaves, or parts, large."""
+    monkeypatch.setattr(projection_forest.fit, "__defaults__", (8, 32))
+    monkeypatch.setattr(projection_forest, "PART_VALUES", part_values)
+    pick = np.random.default_rng(8)
+    one = pick.standard_normal(16)
+    x = [*pick.standard_normal((2400, 16)), *(one + 0.22 * pick.standard_normal((1200, 16)))]
+    x = np.array(x) / np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r for r in projection_forest.near_duplicates(frame, 0.9).collect()}
+    linked = x @ x.T >= 0.9
+    links = linked.sum(axis=1) - 1
+    assert links[2400:].mean() > 600
+    told = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (told <= links).all() and told.sum() >= 0.9999 * links.sum()
+    group = merged(range(len(x)), [(int(a), int(b)) for a, b in np.argwhere(linked) if a > b])
+    assert sum(got[i]["component_id"] != group[i] for i in group) <= 2
+
+
 def test_forest_equals_its_sql(spark, tmp_path):
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(clusters(11))]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
