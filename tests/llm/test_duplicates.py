@@ -200,6 +200,23 @@ def test_repeated_passages(spark):
     assert sum(shared in (t or "").lower() for t in texts.values()) == 1
 
 
+def test_passages_whose_shingles_earlier_documents_own(spark):
+    """Parts of under 50 words, which hold nearly every shingle of a passage, stand in documents
+    before the two that share the whole passage."""
+    rows = []
+    for n in range(60):
+        passage = prose(5000 + n, 64, 10**6).split()
+        for i, part in enumerate((passage[:36], passage[28:])):
+            rows.append((100 * n + i, f"{' '.join(part)} {prose(n * 70 + i, 16, 10**6)}"))
+        for i in (50, 51):
+            around = prose(n * 90 + i, 40, 10**6), prose(n * 110 + i, 40, 10**6)
+            rows.append((100 * n + i, f"{around[0]} {' '.join(passage)} {around[1]}"))
+    got = {r["doc_id"]: r for r in compact_windows.report(documents(spark, rows)).collect()}
+    found = sum(got[100 * n + 51]["spans"] == "40:104" for n in range(60))
+    assert found >= 59, found
+    assert all(got[100 * n + 50]["spans"] == "" for n in range(60))
+
+
 def test_repeats_of_long_and_equal_documents(spark):
     text = prose(77, 3000, 10**6)
     rows = [(i, text) for i in range(30)] + [(40, text + " " + prose(78, 100))]
