@@ -1,12 +1,12 @@
 """Personal data: patterns, and terms around them that reveal the same thing.
 
 E-mail and IP addresses, card and phone numbers are found by pattern; each different one is a
-protected entity. A term in the neighbourhood of an entity's mentions discloses it to the degree
-of their pointwise mutual information, PMI(e; t) = log2(N n(e,t) / (n(e) n(t))), measured over
-all documents, against the information of the entity itself, IC(e) = log2(N / n(e)). In documents
+protected entity. Any word of a document that holds an entity may disclose it, to the degree of
+their pointwise mutual information, PMI(e; t) = log2(N n(e,t) / (n(e) n(t))), all counts being of
+documents, against the information of the entity itself, IC(e) = log2(N / n(e)). In documents
 that hold the entity, terms from half of IC(e) on are generalised, terms from nine tenths of it on
-are removed. Terms must stand in several different contexts of the entity: copies of one context
-count once, so the words of a document that is copied often do not become suspects.
+are removed. Terms must stand in documents with several different contexts of the entity, which
+are the words around its mentions: copies of one context count once, so the words of a document that is copied often do not become suspects.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ REMOVE_FROM = 0.9
 FILTER_BITS = 1 << 22
 
 SPAN = "array<struct<kind: string, start: int, end: int>>"
-MENTION = "array<struct<entity: bigint, context: bigint, terms: array<string>>>"
+MENTION = "array<struct<entity: bigint, context: bigint>>"
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -131,11 +131,11 @@ def words_outside(
 
 
 def is_term(word: str) -> bool:
-    return len(word) > 2 and word.isalpha()
+    return any(map(str.isalnum, word))
 
 
-def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Each span with its entity, the words around it and the terms among them."""
+def mentions(text: str, spans: list[tuple[str, int, int]]) -> tuple[list[dict], list[str]]:
+    """Each span with its entity and a hash of the words around it; and the terms of the text."""
     words = words_outside(text, spans)
     starts = [start for start, _, _ in words]
     found = []
@@ -144,14 +144,8 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
         near = [w for _, _, w in words[max(i - WINDOW_WORDS, 0) : i + WINDOW_WORDS]]
         exact = text[start:end].lower()
         value = re.sub(r"[^0-9]", "", exact) if kind in ("card", "phone") else exact
-        found.append(
-            {
-                "entity": _hash(f"{kind}:{value}"),
-                "context": _hash(" ".join(near)),
-                "terms": sorted(set(filter(is_term, near))),
-            }
-        )
-    return found
+        found.append({"entity": _hash(f"{kind}:{value}"), "context": _hash(" ".join(near))})
+    return found, sorted(set(filter(is_term, (w for _, _, w in words)))) if spans else []
 
 
 def _hash(text: str) -> int:
@@ -168,34 +162,31 @@ def _suspects(column: pa.Array) -> np.ndarray:
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """The rows of docs with `_spans` (base spans) and `_mentions` beside their own columns."""
-    schema = T.StructType(
-        [*docs.schema.fields, *T.StructType.fromDDL(f"_spans {SPAN}, _mentions {MENTION}").fields]
-    )
+    """The rows of docs with `_spans` (base spans), `_mentions` and `_words` (terms of a text with
+    spans) beside their own columns."""
+    more = f"_spans {SPAN}, _mentions {MENTION}, _words array<string>"
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(more).fields])
     place = docs.columns.index("text")
     span_type = pa.list_(
         pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
     )
-    mention_type = pa.list_(
-        pa.struct(
-            [("entity", pa.int64()), ("context", pa.int64()), ("terms", pa.list_(pa.string()))]
-        )
-    )
+    mention_type = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())]))
+    word_type = pa.list_(pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             texts = batch.column(place)
             spans: list[list] = [[] for _ in range(batch.num_rows)]
             around: list[list] = [[] for _ in range(batch.num_rows)]
+            terms: list[list] = [[] for _ in range(batch.num_rows)]
             for i in np.flatnonzero(_suspects(texts)):
                 text = texts[i].as_py() or ""
                 found = base_spans(text)
                 spans[i] = [{"kind": k, "start": s, "end": e} for k, s, e in found]
-                around[i] = mentions(text, found)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(spans, span_type), pa.array(around, mention_type)],
-                schema.names,
-            )
+                around[i], terms[i] = mentions(text, found)
+            own = [pa.array(spans, span_type), pa.array(around, mention_type)]
+            own.append(pa.array(terms, word_type))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -242,16 +233,24 @@ def document_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
 
 def disclosing(found: DataFrame, texts: DataFrame, rows: int) -> DataFrame:
     """(entity, term, kind): the terms to hide in documents that hold the entity."""
-    each = found.select("_row", F.explode("_mentions").alias("m"))
-    pairs = each.select("_row", "m.entity", "m.context", F.explode("m.terms").alias("term"))
-    contexts = pairs.select("entity", "term", "context").distinct()
+    mentioned = found.filter(F.size("_mentions") > 0)
+    each = mentioned.select(F.explode("_mentions").alias("m")).select("m.entity", "m.context")
+    # A term has no more contexts than its entity: only entities with enough of them are looked at.
+    enough = each.distinct().groupBy("entity").count().filter(F.col("count") >= MIN_CONTEXTS)
+    enough = written(enough.select("entity"), "entities")
+    rowwise = mentioned.select(F.explode("_mentions").alias("m"), "_words")
+    rowwise = rowwise.select("m.entity", "m.context", "_words").join(enough, "entity", "left_semi")
+    # Words are exploded last, and (entity, term) is counted in each task before the shuffle.
+    contexts = rowwise.select("entity", "context", F.explode("_words").alias("term")).distinct()
     supported = contexts.groupBy("entity", "term").count().filter(F.col("count") >= MIN_CONTEXTS)
-    together = pairs.select("entity", "term", "_row").distinct().groupBy("entity", "term")
+    held = mentioned.select(
+        F.explode(F.array_distinct("_mentions.entity")).alias("entity"), "_words"
+    ).join(enough, "entity", "left_semi")
+    together = held.select("entity", F.explode("_words").alias("term")).groupBy("entity", "term")
     together = together.agg(F.count("*").alias("both"))
     supported = supported.drop("count").join(together, ["entity", "term"])
     supported = written(supported, "supported-terms")
-    holding = each.select("m.entity", "_row").distinct().groupBy("entity")
-    holding = holding.agg(F.count("*").alias("of_entity"))
+    holding = held.groupBy("entity").agg(F.count("*").alias("of_entity"))
     documents = document_counts(texts, supported.select("term").distinct())
     pmi = F.log2(F.lit(float(rows)) * F.col("both") / (F.col("of_entity") * F.col("documents")))
     information = F.log2(F.lit(float(rows)) / F.col("of_entity"))
@@ -266,12 +265,13 @@ def disclosing(found: DataFrame, texts: DataFrame, rows: int) -> DataFrame:
 def _found(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Detected rows, written once, with a number for each row and the terms to hide in it."""
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    found = written(detect(numbered).select("_row", *keep, "_spans", "_mentions"), "pii")
+    own = ["_row", *keep, "_spans", "_mentions", "_words"]
+    found = written(detect(numbered).select(*own), "pii")
     hidden = disclosing(found, docs.select("text"), found.count())
     in_row = found.select("_row", F.explode("_mentions.entity").alias("entity")).distinct()
     terms = in_row.join(hidden, "entity").groupBy("_row")
     terms = terms.agg(F.collect_set(F.struct("kind", "term")).alias("_terms"))
-    return found.join(terms, "_row", "left")
+    return found.drop("_words").join(terms, "_row", "left")
 
 
 def _all_spans(text: str, spans: list[dict], terms: list[dict] | None) -> list:

@@ -92,6 +92,24 @@ def test_copies_of_one_context_disclose_nothing(spark):
     assert got.agg(F.sum("n_terms")).first()[0] == 0 and got.filter("n_email = 1").count() == 30
 
 
+def test_any_word_of_a_document_may_disclose(spark):
+    """Names with marks or digits and of two letters, and a name far from every mention."""
+    near = ("O'Brien", "Jean-Luc", "acme2", "Xu")
+    rows = [
+        (i, f"Quillon {prose(i, 25)} {' '.join(near)} zz@top.example {prose(90 + i, 25)}")
+        for i in range(6)
+    ]
+    rows += [(100 + i, f"{prose(200 + i, 50)} common words") for i in range(60)]
+    texts = dict(rows)
+    for r in pii.report(documents(spark, rows)).filter("n_email = 1").collect():
+        told = [s.split(":") for s in r["spans"].split(",")]
+        hidden = {texts[r["doc_id"]][int(a) : int(b)] for kind, a, b in told if kind in pii.TERM_KINDS}
+        assert hidden >= {*near, "Quillon"}
+    after = pii.sanitised(documents(spark, rows))
+    for doc_id, text in after.toDF(*[f"c{i}" for i in range(8)]).select("c0", "c1").collect():
+        assert doc_id >= 100 or not any(name in text for name in (*near, "Quillon"))
+
+
 def junk(seed):
     pick = random.Random(seed)
     kind = seed % 3
