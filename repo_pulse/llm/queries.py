@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repo_pulse.llm import bloom_lm, compact_windows, packing, pii, posting_lists, projection_forest, quality_knn, simhash, token_files, transducer_bpe
+from repo_pulse.llm import (
+    bloom_lm,
+    compact_windows,
+    digest_runs,
+    hilbert_zones,
+    packing,
+    pii,
+    posting_lists,
+    projection_forest,
+    quality_knn,
+    role_repair,
+    simhash,
+    token_files,
+    transducer_bpe,
+)
+from repo_pulse.llm import oracles
 from repo_pulse.llm.scratch import new_path, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -71,6 +86,21 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, BYTE_TOKENIZER, end_id=0, with_ids=False)
 
 
+def op11_hilbert_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and distance of every vector after five rounds over 40 centroids."""
+    return hilbert_zones.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, damaged as the contract says."""
+    return role_repair.report(role_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every document."""
+    return digest_runs.duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii_disclosure": op1_pii_disclosure,
     "op2_projection_forest": op2_projection_forest,
@@ -82,11 +112,17 @@ QUERIES = {
     "op8_posting_lists": op8_posting_lists,
     "op9_bloom_lm": op9_bloom_lm,
     "op10_vector_packing": op10_vector_packing,
+    "op11_hilbert_zones": op11_hilbert_zones,
+    "op12_role_repair": op12_role_repair,
+    "op13_digest_runs": op13_digest_runs,
 }
 
 # The other operators hash, tokenize, learn or approximate in ways SQL has no words for; tests
 # compare them with brute force.
 ORACLES: dict[str, str] = {
+    "op11_hilbert_zones": oracles.CLUSTERS,
+    "op12_role_repair": oracles.CONVERSATIONS,
+    "op13_digest_runs": oracles.DUPLICATES,
     "op2_projection_forest": """WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
 ),
