@@ -41,6 +41,12 @@ ROLES = {"u": "user", "a": "assistant"}
 # Weights of the edits; a truncated row that stays adds to them.
 KEEP, REROLE, DELETE, INSERT, TRUNCATED_STAYS = 0, 1, 2, 5, 5
 
+# A stack top that costs more than this above the cheapest one is dropped. From any state, whatever
+# another one reads next can be read at two inserts more at most: an inserted user or assistant
+# turn changes sides, two of them make a round where one is missing, and a system turn that comes
+# too late can be deleted. So such a top can neither win nor tie.
+SLACK = 2 * INSERT
+
 # Faults of a row, the first that holds.
 NONE, BLANK, TRUNCATED = 0, 1, 2
 WHITE = " \t\n\v\f\r"
@@ -154,7 +160,9 @@ def read(tops: Tops, initial: str, must_go: bool, truncated: bool) -> Tops:
             offer(after, cost + KEEP + stays, audit + "K", shifted(node, initial))
             for symbol in ROLES:
                 offer(after, cost + REROLE + stays, audit + "R", shifted(node, symbol))
-    return with_inserts(after)
+    after = with_inserts(after)
+    most = min(cost for cost, _, _ in after.values()) + SLACK
+    return {state: top for state, top in after.items() if top[0] <= most}
 
 
 @dataclass

@@ -1,0 +1,351 @@
+"""Conversations, clusters and exact duplicates against plain versions."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from repo_pulse.llm import digest_runs, hilbert_zones, role_repair
+from tests.llm.helpers import ODD, documents
+
+# -- exact duplicates -----------------------------------------------------------------------
+
+
+def plain_duplicates(rows):
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(text or "", []).append(doc_id)
+    out = []
+    for doc_id, text in rows:
+        ids = groups[text or ""]
+        keep = max((i for i in ids if i is not None), default=None)
+        sha = hashlib.sha256((text or "").encode()).hexdigest()
+        out.append((doc_id, keep, len(ids), doc_id == keep, sha))
+    return sorted(map(repr, out))
+
+
+def copies():
+    rows = [*ODD, (20, "  "), (21, "The quick brown fox, don't JUMP over 123 dogs! ")]
+    rows += [(100 + i, "one text of a third of all rows") for i in range(200)]
+    rows += [(400 + i, f"text {i % 60}") for i in range(300)]
+    return rows
+
+
+# A digest of one byte makes different texts collide: the proof must keep them apart.
+@pytest.mark.parametrize("digest_bytes", [32, 1, 0])
+def test_duplicates_against_a_dictionary(spark, monkeypatch, digest_bytes):
+    monkeypatch.setattr(digest_runs, "SHARD_ROWS", 50)
+    monkeypatch.setattr(digest_runs, "PIECE_ROWS", 16)
+    docs = documents(spark, copies()).repartition(23)
+    found = digest_runs.duplicates(docs, digest_bytes)
+    assert found.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert sorted(map(repr, map(tuple, found.collect()))) == plain_duplicates(copies())
+
+
+@pytest.mark.parametrize("fan_bits", [1, 2, 5])
+def test_runs_are_merged_whatever_the_fan_in(spark, fan_bits):
+    rows = [(i % 40, bytes([i % 7]), i % 11, i) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "run int, digest binary, proof_ int, doc_id bigint")
+    frame = frame.selectExpr("run", "digest", "CAST(proof_ AS STRING) AS p", "doc_id")
+    frame = frame.selectExpr("run", "digest", "CAST(p AS BINARY) AS proof", "doc_id")
+    found = digest_runs.tree_merge(frame, fan_bits).collect()
+    want = {}
+    for _, digest, proof, doc_id in rows:
+        want.setdefault((digest, str(proof).encode()), []).append(doc_id)
+    assert {
+        (bytes(r.digest), bytes(r.proof)): (r.keep_id, r.group_size) for r in found
+    } == {key: (max(ids), len(ids)) for key, ids in want.items()}
+    assert len(found) == len(want)
+
+
+def test_kept_rows_keep_their_columns(spark):
+    docs = documents(spark, [(1, "a"), (2, "a"), (3, None), (None, ""), (None, "b"), (4, "c")])
+    left = digest_runs.without_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(repr, (r[0] for r in left.collect()))) == ["2", "3", "4", "None"]
+
+
+def test_no_documents(spark):
+    assert digest_runs.duplicates(documents(spark, []).limit(0)).collect() == []
+
+
+# -- clusters -------------------------------------------------------------------------------
+
+
+def plain_clusters(rows, count=40, rounds=5):
+    kept = []
+    for vec_id, x in rows:
+        if x is None or len(x) != 64 or any(v is None or not np.isfinite(v) for v in x):
+            continue
+        kept.append((vec_id, [int(np.floor(256 * float(v))) for v in x]))
+    key = lambda r: (
+        r[0] is None, hashlib.sha256(f"2:{r[0]}".encode()).hexdigest(), r[1]
+    )
+    centroids = [x for _, x in sorted(kept, key=key)[:count]]
+
+    def squared(x, c):
+        return sum((a - b) ** 2 for a, b in zip(x, c, strict=True))
+
+    def assign():
+        return [min((squared(x, c), n) for n, c in enumerate(centroids)) for _, x in kept]
+
+    for _ in range(rounds):
+        labels = assign()
+        for n in range(len(centroids)):
+            mine = [x for (_, x), (_, c) in zip(kept, labels, strict=True) if c == n]
+            if mine:
+                centroids[n] = [sum(v) // len(mine) for v in zip(*mine, strict=True)]
+    labels = assign()
+    inertia = {}
+    for d, c in labels:
+        inertia[c] = inertia.get(c, 0) + d
+    return [
+        (
+            vec_id, c, d, inertia[c], sum(inertia.values()),
+            hashlib.sha256(",".join(map(str, centroids[c])).encode()).hexdigest(),
+        )
+        for (vec_id, _), (d, c) in zip(kept, labels, strict=True)
+    ]
+
+
+def odd_vectors(count, seed=1):
+    pick = np.random.default_rng(seed)
+    rows = []
+    middles = pick.normal(0, 3, (12, 64))
+    for i in range(count):
+        x = middles[i % 12] + pick.normal(0, 0.2 if i % 2 else 2, 64)
+        rows.append((i, [float(v) for v in x]))
+    same = rows[5][1]
+    rows += [(1000 + i, same) for i in range(count // 2)]
+    rows += [(7, rows[7][1]), (7, rows[8][1]), (None, rows[9][1])]
+    rows += [(2000, None), (2001, []), (2002, same[:63]), (2003, [None, *same[1:]])]
+    rows += [(2004, [float("nan"), *same[1:]]), (2005, [float("inf"), *same[1:]])]
+    rows += [(2006, [0.0] * 64), (2007, [-0.001] * 64)]
+    return rows
+
+
+VECTORS = "vec_id bigint, embedding array<double>, label int, cluster string, rows int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, x, 1, "c", 2) for i, x in rows], VECTORS)
+
+
+@pytest.mark.parametrize("far", [0.0, 3000.0])
+def test_clusters_against_a_plain_version(spark, monkeypatch, far):
+    """With components above 2 ** 20 as well, whose products doubles can't hold exactly."""
+    monkeypatch.setattr(hilbert_zones, "BLOCK_ROWS", 16)
+    rows = [
+        (i, x if not far or x is None or i is None or i % 3 else [v and v + far * (j % 5)
+         for j, v in enumerate(x)])
+        for i, x in odd_vectors(150)
+    ]
+    found = hilbert_zones.report(vectors(spark, rows))
+    assert found.columns == [
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    ]
+    want = plain_clusters(rows)
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, want))
+
+
+def test_few_vectors_and_none(spark):
+    few = odd_vectors(12)[:6]
+    found = hilbert_zones.report(vectors(spark, few)).collect()
+    assert sorted(r.vec_id for r in found) == list(range(6))
+    assert {r.distance for r in found} == {0} and {r.inertia for r in found} == {0}
+    assert hilbert_zones.report(vectors(spark, [(1, None)])).collect() == []
+    huge = [(1, [1e300] * 64), (2, [1.0] * 64)]
+    assert [r.vec_id for r in hilbert_zones.report(vectors(spark, huge)).collect()] == [2]
+
+
+def test_the_curve_visits_every_cell_and_moves_by_one_step():
+    for axes, bits in ((2, 3), (3, 2), (4, 2)):
+        side = 1 << bits
+        cells = np.stack(np.meshgrid(*[np.arange(side)] * axes, indexing="ij"), -1)
+        cells = cells.reshape(-1, axes)
+        keys = [k.tobytes() for k in hilbert_zones.hilbert_keys(cells, bits)]
+        assert len(set(keys)) == len(cells)
+        path = cells[np.argsort(np.array(keys, dtype=object))]
+        assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_boxes_spare_comparisons_and_never_the_nearest():
+    pick = np.random.default_rng(3)
+    centroids = pick.integers(-4000, 4000, (40, 64))
+    spared = 0
+    for n in range(60):
+        x = centroids[n % 40] + pick.integers(-200, 200, (30, 64))
+        low, high = x.min(axis=0), x.max(axis=0)
+        chosen = hilbert_zones.candidates(low, high, centroids)
+        spared += 40 - len(chosen)
+        labels, squared = hilbert_zones.nearest(x, low, high, centroids)
+        every = ((x[:, None, :] - centroids) ** 2).sum(axis=2)
+        assert (labels == every.argmin(axis=1)).all() and (squared == every.min(axis=1)).all()
+    assert spared > 60 * 30
+
+
+# -- conversations --------------------------------------------------------------------------
+
+WHITE = " \t\n\v\f\r"
+
+
+def plain_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        place = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        role, text = " " if role is None else role, " " if text is None else text
+        code = zlib.crc32(place.encode()) % 20
+        if code == 0:
+            continue
+        text = "" if code == 1 else re.sub("[.!?]", "", text) if code == 2 else text
+        row = (conv, turn, "user" if code == 4 else role, text)
+        out += [row] * (2 if code == 3 else 1)
+    return out
+
+
+def plain_repair(rows):
+    """Every way to repair, best first, over (rows read, roles so far)."""
+    rows = sorted(rows, key=lambda r: ((r[1] is not None, r[1] or 0), r[2], r[3]))
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        solid = text.strip(WHITE)
+        if not solid:
+            faults.append("blank")
+        elif (role, text) in seen:
+            faults.append("duplicate")
+        elif solid[-1] not in ".!?":
+            faults.append("truncated")
+        else:
+            faults.append("")
+        seen.add((role, text))
+    # What may follow what: nothing, a system turn, a user, an assistant.
+    allowed = {"": "su", "s": "u", "u": "a", "a": "u"}
+    best = {"": (0, "", ())}
+
+    def add(states, state, found):
+        if state not in states or found[:2] < states[state][:2]:
+            states[state] = found
+            return True
+        return False
+
+    def insert(states):
+        changed = True
+        while changed:
+            changed = False
+            for state, (cost, audit, said) in list(states.items()):
+                for new in allowed[state].replace("s", ""):
+                    role = {"u": "user", "a": "assistant"}[new]
+                    changed |= add(states, new, (cost + 5, audit + "I", (*said, f"{role}:")))
+
+    insert(best)
+    for (_, _, role, text), fault in zip(rows, faults, strict=True):
+        after = {}
+        stays = 5 * (fault == "truncated")
+        for state, (cost, audit, said) in best.items():
+            add(after, state, (cost + 2, audit + "D", said))
+            if fault in ("blank", "duplicate"):
+                continue
+            if role[:1] and role[:1] in allowed[state]:
+                kept = (*said, f"{role}:{text}")
+                add(after, role[:1], (cost + stays, audit + "K", kept))
+            for new in allowed[state].replace("s", ""):
+                name = {"u": "user", "a": "assistant"}[new]
+                add(after, new, (cost + 1 + stays, audit + "R", (*said, f"{name}:{text}")))
+        insert(after)
+        best = after
+    cost, audit, said = min(found for state, found in best.items() if state in ("", "a"))
+    turns = [t for _, t, _, _ in rows if t is not None]
+    initials = [r[2][:1] for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    return (
+        max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+        faults.count("blank"), faults.count("duplicate"), faults.count("truncated"),
+        illegal, cost, audit, hashlib.sha256("\n".join(said).encode()).hexdigest(),
+    ), list(said)
+
+
+def odd_conversations(seed=4, count=150):
+    pick = random.Random(seed)
+    roles = ["user", "assistant", "system", "tool", "user", "assistant", None, "agent", "u"]
+    texts = ["Yes.", "No!", "Why?", "cut off", "", " \t\n", None, "a. b", "Ünd. ", "x" * 3000 + "."]
+    rows = []
+    for conv in range(count):
+        usual = conv % 3 == 0
+        for turn in range(pick.randrange(1, 9)):
+            role = ("user", "assistant")[turn % 2] if usual else pick.choice(roles)
+            text = f"Line {turn} of {conv}." if usual else pick.choice(texts)
+            rows.append((conv, None if pick.random() < 0.1 else turn * pick.choice([1, 1, 2]), role, text))
+    rows += [(None, t, "user" if t % 2 else "system", "Who?") for t in range(4)]
+    rows += [(900, None, "user", "One."), (900, None, "assistant", "Two.")]
+    # Long ones, beyond what is held at a time: well-formed, all alike, and at random.
+    rows += [(901, t, ("user", "assistant")[t % 2], f"Turn {t}.") for t in range(900)]
+    rows += [(902, t, "assistant", f"Turn {t}.") for t in range(700)]
+    rows += [(903, t, pick.choice(roles), f"Turn {t}" + pick.choice(["", "."])) for t in range(700)]
+    rows += [(904, t, "user", "") for t in range(400)]
+    rows += [(5, 1, "user", "Yes."), (5, 1, "user", "Yes.")]
+    return rows
+
+
+TALK = "conv_id bigint, turn bigint, role string, text string, audit string, fault int, TEXT string"
+
+
+def conversations(spark, rows):
+    full = [(*r, "x", 9, "other") for r in rows]
+    return spark.createDataFrame(full, TALK)
+
+
+def test_repairs_against_a_plain_parser(spark):
+    rows = odd_conversations()
+    by_conv = {r[0]: [] for r in rows}
+    for row in plain_damage(rows):
+        by_conv[row[0]].append(row)
+    damaged = role_repair.damaged(conversations(spark, rows).repartition(9))
+    found = {r.conv_id: tuple(r)[1:] for r in role_repair.report(damaged).collect()}
+    assert len(found) == len(by_conv)
+    turns = {}
+    for r in role_repair.repaired(damaged).collect():
+        turns.setdefault(r.conv_id, []).append((r.place, f"{r.role}:{r.text}", r.edit))
+    for conv, own in by_conv.items():
+        want, said = plain_repair(own)
+        assert found[conv] == want, conv
+        got = sorted(turns.get(conv, []))
+        assert [t for _, t, _ in got] == said
+        assert [p for p, _, _ in got] == list(range(len(said)))
+        assert "".join(e for _, _, e in got) == want[6].replace("D", "")
+
+
+def test_repaired_roles_fit_the_grammar(spark):
+    damaged = role_repair.damaged(conversations(spark, odd_conversations(9, 60)))
+    said = {}
+    for r in role_repair.repaired(damaged).collect():
+        said.setdefault(r.conv_id, []).append((r.place, r.role[:1]))
+    for turns in said.values():
+        assert re.fullmatch("(s?(ua)+)?", "".join(i for _, i in sorted(turns)))
+
+
+def test_all_rows_dropped_and_no_rows(spark):
+    turn = next(t for t in range(1000) if zlib.crc32(f"1:{t}".encode()) % 20 == 0)
+    only = conversations(spark, [(1, turn, "user", "Hello.")])
+    nothing = hashlib.sha256(b"").hexdigest()
+    found = role_repair.report(role_repair.damaged(only)).collect()
+    assert [tuple(r) for r in found] == [(1, 0, 0, 0, 0, 0, 0, "", nothing)]
+    none = role_repair.damaged(conversations(spark, []).limit(0))
+    assert role_repair.report(none).collect() == role_repair.repaired(none).collect() == []
+
+
+def test_long_conversations_are_held_in_part():
+    talk = role_repair.Conversation(lambda *_: None)
+    held = 0
+    for n in range(5000):
+        talk.add(n, ("user", "assistant")[n % 2], f"Turn {n}.", role_repair.NONE, None, False)
+        held = max(held, len(talk.waiting))
+    assert talk.finish() == 0 and held <= 2 * role_repair.SETTLE_EVERY
+    assert "".join(talk.audit) == "K" * 5000
+
+
+def test_grammars_that_need_lookahead_are_refused():
+    with pytest.raises(ValueError, match="lookahead"):
+        role_repair.automaton((("Talk", ("A",)), ("A", ("u",)), ("A", ("u", "a"))))
