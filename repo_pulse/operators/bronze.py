@@ -119,8 +119,9 @@ def _errors(again: Column) -> list[Column]:
     return [*errors, F.lit(strict_json.INVALID)]
 
 
-def parse_events(lines: DataFrame) -> DataFrame:
-    """`value, archive_hour, source_file, source_line_number` to Bronze columns plus `_error`.
+def parse_events(lines: DataFrame, located: bool = True) -> DataFrame:
+    """`value, archive_hour, source_file, source_line_number` to Bronze columns plus `_error`, which
+    starts with the coordinates unless `located` is false.
 
     The error is the first one in the order: text, object, actor, repo, payload, org, then
     the fields from id to org.login.
@@ -129,7 +130,8 @@ def parse_events(lines: DataFrame) -> DataFrame:
     tested = _open(lines).select("*", wrong.alias("wrong"))
     again = strict_json.whole_variant(F.col("value"))
     message = strict_json.bind(again, lambda value: strict_json.first_error(_errors(value)))
-    error = strict_json.opaque(with_coordinates(F.when(F.col("wrong"), message)))
+    message = F.when(F.col("wrong"), message)
+    error = strict_json.opaque(with_coordinates(message) if located else message)
     return tested.select(
         "event_id",
         "event_type",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from repo_pulse.operators import catalog
 from repo_pulse.operators.silver import PULL_REQUEST, PUSH
-from repo_pulse.schema import GOLD, GOLD_KEY, enforce
+from repo_pulse.schema import ACTORS, GOLD, GOLD_KEY, enforce
 
 
 def counters() -> list[Column]:
@@ -46,5 +46,21 @@ def daily_activity(silver: DataFrame, repository_index: DataFrame) -> DataFrame:
     return enforce(grouped.agg(*counters()), GOLD)
 
 
+def actor_bitmaps(silver: DataFrame, repository_index: DataFrame) -> DataFrame:
+    """The actors of each technology and date as bitmaps, which add up over any range of dates.
+
+    Every bitmap covers a fixed range of ids, so a group never outgrows it, however many events an
+    actor or a technology has; they are filled before the shuffle.
+    """
+    tracked = catalog.classify(silver, repository_index)
+    grouped = tracked.groupBy(
+        "technology_id",
+        F.col("event_date").alias("activity_date"),
+        F.bitmap_bucket_number("actor_id").alias("bucket"),
+    )
+    position = F.bitmap_bit_position("actor_id")
+    return enforce(grouped.agg(F.bitmap_construct_agg(position).alias("actors")), ACTORS)
+
+
 def in_order(gold: DataFrame) -> DataFrame:
     return gold.orderBy(*GOLD_KEY)

@@ -71,3 +71,12 @@ def distinct_actors(silver: DataFrame, repository_index: DataFrame) -> DataFrame
         .groupBy("technology_id")
         .agg(F.count_distinct("actor_id").alias("actor_count"))
     )
+
+
+def distinct_actors_range(actors: DataFrame) -> DataFrame:
+    """Exact number of different actors of each technology over all dates of the given bitmaps (see
+    `gold.actor_bitmaps`): no event is read, and bitmaps are merged before the shuffle."""
+    merged = actors.groupBy("technology_id", "bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("actors")).alias("actor_count")
+    )
+    return merged.groupBy("technology_id").agg(F.sum("actor_count").alias("actor_count"))

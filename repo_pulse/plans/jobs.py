@@ -6,21 +6,24 @@ any time: finished sources are skipped, dates are rebuilt as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repo_pulse.operators import bronze, gold, quality, silver
-from repo_pulse.session import scoped_conf
 from repo_pulse.sources import archive
 from repo_pulse.sources.lakehouse import (
+    LINE,
+    LOAD_SOURCES,
+    ROW_ID,
     SHOWN,
     UNREADABLE,
+    VERSION,
     Lakehouse,
     sources_frame,
     without_lines,
@@ -30,6 +33,14 @@ from repo_pulse.sources.serving import JdbcServing
 # Fixed value: the first daily partition.
 FIRST_DATE = date(2015, 1, 1)
 
+# Why hours are refused.
+NO_HOURS = "at least one archive hour is required"
+NAIVE_HOURS = "archive hours must be timezone-aware"
+SEVERAL_DATES = "all archive hours must belong to the same UTC date"
+
+# How Spark says that a file could not be read, whatever the exception around it.
+FILE_ERRORS = ("FAILED_READ_FILE", "java.util.zip", "java.io.EOFException", "not in gzip format")
+
 
 class QualityError(ValueError):
     """A blocking check failed."""
@@ -48,126 +59,131 @@ class RunSummary:
     rejected_count: int = 0
 
 
-# Compressed sizes. Archives below the first share tasks; archives from the second on are read
-# by one task, as any gzip file, and their lines parsed by many, in parts of the third size.
-SMALL_ARCHIVE = 1024 * 1024
-LARGE_ARCHIVE = 256 * 1024 * 1024
-LARGE_PART = 32 * 1024 * 1024
-
-
-def _write_bronze(lake: Lakehouse, raw_root: str, archives: Sequence[Row], large: int) -> None:
-    """Parse archives and write their rows, visible to nobody yet.
-
-    Most archives are parsed where they are read: no shuffle, no sort, a task per archive. The
-    lines of a large one, numbered as they are read, are spread over many tasks first, as
-    parsing costs several times what reading does. Small ones are written on their own, packed
-    into fewer tasks and counted in a pass before.
-    """
-    small = [row for row in archives if row.length < min(SMALL_ARCHIVE, large)]
-    usual = [row for row in archives if SMALL_ARCHIVE <= row.length < large]
-    hot = [row for row in archives if row.length >= large]
-
-    def read(scan: Callable, rows: Sequence[Row]) -> DataFrame:
-        return scan(lake.spark, raw_root, [row.path for row in rows])
-
-    if small:
-        lines = read(archive.read_archives, small)
-        lake.write_sources("bronze", bronze.parse_events(lines))
-    parts = []
-    if usual:
-        parts.append(read(archive.read_whole_archives, usual))
-    if hot:
-        spread = sum(row.length for row in hot) // min(LARGE_PART, large) + 1
-        lines = read(archive.read_whole_archives, hot)
-        parts.append(lines.repartition(spread, "source_file", "source_line_number"))
-    if parts:
-        with scoped_conf(lake.spark, archive.whole_file_settings(lake.spark)):
-            lines = reduce(DataFrame.unionByName, parts)
-            lake.write_sources("bronze", bronze.parse_events(lines))
-
-
 def load_bronze(
     lake: Lakehouse,
     raw_root: str,
     archives: DataFrame,
-    large: int = LARGE_ARCHIVE,
     mode: str = "fail",
+    origin: str | None = None,
 ) -> int:
-    """Load the archives (`path, source_file, length`) not loaded yet; returns the rows that
-    became visible.
+    """Load the archives (columns of `archive.inventory`) whose version is not known yet; returns
+    the rows that became visible.
 
-    The list of pending paths is held by the driver, as Spark's own file listing is. When a
-    name occurs in several folders, one of them is taken: the bare name is the identity. If the
-    write fails, all archives are unpacked once to find those that cannot be read, and the others
-    are written again: two writes at most. Bad, unreadable and empty archives go to the rejects
+    An archive is known by name, modification time and length: a repaired one is loaded again and
+    takes the old one's place, an unchanged bad one is not tried twice. When a name occurs in
+    several folders, one of them is taken. Bad, unreadable and empty archives go to the rejects
     table and the others are committed; with mode `fail`, LoadError is raised after that if any
-    could not be read or had a bad line.
+    of the given archives could not be read or had a bad line. `origin` names the stream batch.
     """
-    started = datetime.now(UTC)
-    pending = (
-        lake.pending("bronze", archives)
-        .groupBy("source_file")
-        .agg(F.min_by(F.struct("path", "length"), "path").alias("file"))
-        .select("source_file", "file.path", "file.length")
-        .collect()
-    )
-    if not pending:
-        return 0
-    try:
-        _write_bronze(lake, raw_root, pending, large)
-    except Exception:
-        broken = set(archive.unreadable(lake.spark, [row.path for row in pending]))
-        if not broken:
-            raise
-        names = sources_frame(lake.spark, [r.source_file for r in pending if r.path in broken])
-        lake.reject("bronze", without_lines(names, UNREADABLE))
-        pending = [row for row in pending if row.path not in broken]
-        if pending:
-            _write_bronze(lake, raw_root, pending, large)
     committed = 0
-    if pending:
-        committed = lake.commit("bronze", [row.source_file for row in pending], "quarantine")
+    while True:
+        load = lake.next_load("bronze")
+        pending = lake.pending_archives(archives)
+        one = F.min_by(F.struct("archive_date", "hour", "modificationTime", "length"), "path")
+        pending = pending.groupBy("source_file").agg(one.alias("file")).select(
+            "source_file",
+            "file.archive_date",
+            F.hour("file.hour").cast("bigint").alias("archive_hour"),
+            F.col("file.modificationTime").alias("modified_at"),
+            "file.length",
+        )
+        listed = lake.plan("bronze", load, pending)
+        if listed:
+            rows = _write_bronze(lake, raw_root, load)
+            if rows is None:
+                continue
+            committed += lake.commit_bronze(load, rows, origin)
+        if listed < LOAD_SOURCES:
+            break
     if mode == "fail":
         # An empty archive is no error of this layer.
-        lake.require_none(started, "first_error_line IS NOT NULL OR reason LIKE '%cannot be read'")
+        found = lake.rejected_of(_versions(archives)).where("layer = 'bronze'")
+        found = found.where("first_error_line IS NOT NULL OR reason LIKE '%cannot be read'")
+        lake.require_none(found)
     return committed
 
 
+def _versions(archives: DataFrame) -> DataFrame:
+    return archives.withColumnRenamed("modificationTime", "modified_at").select(*VERSION)
+
+
+def _write_bronze(lake: Lakehouse, raw_root: str, load: int) -> int | None:
+    """Parse the archives of a load and write their rows, visible to nobody yet; returns the rows.
+
+    When Spark could not read a file, all files of the load are unpacked once to find every broken
+    one. These are rejected and None is returned: the others make up the next load, so a batch is
+    written twice, however many are broken. Any other failure is passed on.
+    """
+    manifest = lake.manifest("bronze", load)
+    days = manifest.select("archive_date").distinct().collect()
+    dates = sorted(row.archive_date for row in days)
+    skip = [row.source_file for row in lake.broken_neighbours(load).collect()]
+    lines = archive.read_planned(lake.spark, raw_root, manifest, dates, skip)
+    parsed = bronze.parse_events(lines, located=False).withColumnRenamed(LINE, ROW_ID)
+    try:
+        return lake.write_load("bronze", load, parsed)[0]
+    except Exception as error:
+        if not any(sign in str(error) for sign in FILE_ERRORS):
+            raise
+        found = archive.unreadable(lake.spark, raw_root, manifest, dates)
+        try:
+            if found.isEmpty():
+                raise
+            broken = manifest.join(found, "source_file", "left_semi")
+            lake.reject("bronze", load, without_lines(broken, UNREADABLE))
+        finally:
+            found.unpersist()
+        return None
+
+
 def load_bronze_paths(
     lake: Lakehouse, raw_root: str, paths: Sequence[str], mode: str = "fail"
 ) -> int:
     if not paths:
         return 0
-    return load_bronze(lake, raw_root, archive.listed(lake.spark, paths), mode=mode)
+    return load_bronze(lake, raw_root, archive.listed(lake.spark, paths), mode)
 
 
 def load_silver(
-    lake: Lakehouse, sources: Sequence[str] | None = None, mode: str = "fail"
+    lake: Lakehouse,
+    sources: Sequence[str] | DataFrame | None = None,
+    mode: str = "fail",
+    origin: str | None = None,
 ) -> int:
-    """Type the Bronze sources not in Silver yet: the given ones, or all. Returns the rows that
-    became visible.
+    """Type the visible Bronze sources not in Silver yet: the given ones (names, or a relation with
+    `source_file`), or all. Returns the rows that became visible.
 
     A given source that is in neither layer is an error. Sources with a bad row go to the rejects
     table and the others are committed; with mode `fail`, LoadError is raised after that. With
     mode `quarantine`, given sources that are in neither layer are left alone.
     """
-    loaded = lake.commits("bronze").select("source_file")
-    if sources is not None:
-        todo = lake.pending("silver", sources_frame(lake.spark, sources))
-        unknown = todo.join(loaded, "source_file", "left_anti")
-        if mode == "fail" and (total := unknown.count()):
+    if sources is not None and not isinstance(sources, DataFrame):
+        sources = sources_frame(lake.spark, sources)
+    if sources is not None and mode == "fail":
+        unknown = sources.select("source_file").join(
+            lake.bronze_sources(), "source_file", "left_anti"
+        )
+        if total := unknown.count():
             shown = unknown.orderBy("source_file").limit(SHOWN).collect()
             names = ", ".join(row.source_file for row in shown)
             more = f" ({total} in all)" if total > SHOWN else ""
             raise ValueError(f"Bronze source file not found: {names}{more}")
-        todo = todo.join(loaded, "source_file", "left_semi")
-    else:
-        todo = lake.pending("silver", loaded)
-    names = [row.source_file for row in todo.distinct().collect()]
-    if not names:
-        return 0
-    lake.write_sources("silver", silver.to_silver(lake.read_bronze(names)))
-    return lake.commit("silver", names, mode)
+    committed = 0
+    while True:
+        load = lake.next_load("silver")
+        listed = lake.plan("silver", load, lake.pending_silver(sources))
+        if listed:
+            typed = silver.to_silver(lake.read_planned(load))
+            rows, bad = lake.write_load("silver", load, typed)
+            committed += lake.commit_silver(load, rows, bad, origin)
+        if listed < LOAD_SOURCES:
+            break
+    if mode == "fail":
+        found = lake.open_rejects("silver")
+        if sources is not None:
+            found = found.join(sources.select("source_file"), "source_file", "left_semi")
+        lake.require_none(found)
+    return committed
 
 
 def _catalog_id(repository_index: DataFrame) -> str:
@@ -177,11 +193,32 @@ def _catalog_id(repository_index: DataFrame) -> str:
     return f"{count}/{mixed}"
 
 
-def build_gold(lake: Lakehouse, dates: Sequence[date], repository_index: DataFrame) -> int:
+def build_gold(
+    lake: Lakehouse,
+    dates: Sequence[date],
+    repository_index: DataFrame,
+    catalog_id: str | None = None,
+) -> int:
     """Rebuild whole dates from Silver, late events included; returns the Gold rows."""
-    started = datetime.now(UTC)
-    rows = gold.daily_activity(lake.read_silver(dates), repository_index)
-    return lake.replace_dates(rows, dates, _catalog_id(repository_index), started)
+    seen = lake.last_load("silver")
+    events = lake.read_silver(dates, upto=seen)
+    rows = gold.daily_activity(events, repository_index)
+    actors = gold.actor_bitmaps(events, repository_index)
+    return lake.replace_dates(
+        rows, dates, catalog_id or _catalog_id(repository_index), seen, actors
+    )
+
+
+def refresh(
+    lake: Lakehouse, repository_index: DataFrame, dates: Sequence[date] | None = None
+) -> list[date]:
+    """Rebuild the dates, all or of the given ones, that changed since their last build; returns
+    those rebuilt."""
+    catalog_id = _catalog_id(repository_index)
+    stale = lake.stale_dates(catalog_id, dates)
+    if stale:
+        build_gold(lake, stale, repository_index, catalog_id)
+    return stale
 
 
 def run_hours(
@@ -193,15 +230,15 @@ def run_hours(
 ) -> RunSummary:
     """Raw to Gold for landed hours of one UTC date; `mode` as for `backfill`."""
     if not hours:
-        raise ValueError("at least one archive hour is required")
+        raise ValueError(NO_HOURS)
     if any(hour.tzinfo is None or hour.utcoffset() is None for hour in hours):
-        raise ValueError("archive hours must be timezone-aware")
+        raise ValueError(NAIVE_HOURS)
     wanted = [hour.astimezone(UTC) for hour in hours]
     if any((hour.minute, hour.second, hour.microsecond) != (0, 0, 0) for hour in wanted):
         raise ValueError(archive.UNALIGNED_HOUR)
     dates = sorted({hour.date() for hour in wanted})
     if len(dates) != 1:
-        raise ValueError("all archive hours must belong to the same UTC date")
+        raise ValueError(SEVERAL_DATES)
     expected = lake.spark.createDataFrame(
         pa.table({"hour": pa.array(wanted, pa.timestamp("us", "UTC"))})
     ).distinct()
@@ -225,19 +262,22 @@ def _to_gold(
     """Load the archives and rebuild the dates that changed since their last build. Bad sources
     hold up neither the others nor the dates: they are recorded, and with mode `fail` they raise
     LoadError when all is built."""
-    started = datetime.now(UTC)
-    names = [row.source_file for row in archives.select("source_file").distinct().collect()]
-    found = sources_frame(lake.spark, names)
-    reused = len(names) - lake.pending("bronze", found).count()
-    bronze_rows = load_bronze(lake, raw_root, archives, mode="quarantine")
-    silver_rows = load_silver(lake, names, mode="quarantine")
-    if stale := lake.stale_dates(dates, _catalog_id(repository_index)):
-        build_gold(lake, stale, repository_index)
-    if mode == "fail":
-        lake.require_none(started)
-    gold_rows = lake.read_gold(dates).count()
-    rejected = lake.rejects(started).select("source_file").distinct().count()
-    return RunSummary(len(names), bronze_rows, silver_rows, gold_rows, reused, rejected)
+    # The listing of this run, used by both loads and the summary.
+    archives = archives.persist()
+    try:
+        names = archives.select("source_file").distinct()
+        total, reused = lake.known_archives(archives)
+        bronze_rows = load_bronze(lake, raw_root, archives, "quarantine")
+        silver_rows = load_silver(lake, names, "quarantine")
+        refresh(lake, repository_index, dates)
+        rejected = lake.rejected_of(_versions(archives))
+        left_out = rejected.select("source_file").distinct().count()
+        if mode == "fail" and left_out:
+            lake.require_none(rejected)
+        gold_rows = lake.read_gold(dates).count()
+        return RunSummary(total, bronze_rows, silver_rows, gold_rows, reused, left_out)
+    finally:
+        archives.unpersist()
 
 
 def run_day(
@@ -279,20 +319,26 @@ def backfill(
 
 
 def run_summary(lake: Lakehouse) -> DataFrame:
-    """One row of totals over the ledger and Gold."""
-    gold_rows = lake.read_gold().agg(F.count(F.lit(1)).alias("row_count"))
-    counted = (
-        lake.spark.table(lake.ledger)
-        .select("layer", "row_count")
-        .unionByName(gold_rows.select(F.lit("gold").alias("layer"), "row_count"))
+    """One row of totals over the visible sources and Gold."""
+    silver_rows = lake.commits("silver").groupBy("source_file").agg(
+        F.max_by("row_count", "load_id").alias("row_count")
+    )
+    rows = {
+        "bronze": lake.bronze_sources().select("row_count"),
+        "silver": silver_rows.select("row_count"),
+        "gold": lake.read_gold().agg(F.count(F.lit(1)).alias("row_count")),
+    }
+    counted = reduce(
+        DataFrame.unionByName,
+        [found.select(F.lit(name).alias("layer"), "row_count") for name, found in rows.items()],
     )
 
-    def rows(layer: str) -> Column:
-        total = F.sum(F.when(F.col("layer") == layer, F.col("row_count")))
-        return F.coalesce(total, F.lit(0)).alias(f"{layer}_rows")
+    def total(layer: str) -> Column:
+        found = F.sum(F.when(F.col("layer") == layer, F.col("row_count")))
+        return F.coalesce(found, F.lit(0)).alias(f"{layer}_rows")
 
     archives = F.count_if(F.col("layer") == "bronze").alias("archive_count")
-    return counted.agg(archives, rows("bronze"), rows("silver"), rows("gold"))
+    return counted.agg(archives, *map(total, rows))
 
 
 def checks(lake: Lakehouse, dates: Sequence[date]) -> DataFrame:

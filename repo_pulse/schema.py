@@ -13,6 +13,7 @@ _TYPES = {
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "binary": T.BinaryType(),
 }
 
 
@@ -59,6 +60,9 @@ GOLD = struct(
     "technology_id string, activity_date date," + ",".join(f"{m} bigint" for m in METRICS)
 )
 
+# The actors of a technology and day as bitmaps of 32,768 neighbouring ids each.
+ACTORS = struct("technology_id string, activity_date date, bucket bigint, actors binary")
+
 
 def enforce(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Project to the contract's columns, order and types.

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # An overwrite of a load replaces whatever an attempt before it has left.
+    "spark.sql.sources.partitionOverwriteMode": "static",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"

@@ -25,9 +25,6 @@ _LINES = "value string, archive_date date, archive_hour int"
 # Bytes unpacked at a time while an archive is checked.
 UNPACKED = 1 << 20
 
-# The low 33 bits of a row id count the rows of its task.
-_ROW_IN_TASK = (1 << 33) - 1
-
 
 def hours(spark: SparkSession, from_date: date, to_date: date) -> DataFrame:
     """Every UTC hour of the dates from `from_date` to `to_date`, both included."""
@@ -105,20 +102,31 @@ def inventory(
         .option("pathGlobFilter", "*.gz")
         .option("basePath", zone(raw_root))
     )
-    root = zone(raw_root)
-    if dates is not None:
-        root += "/archive_date={" + ",".join(day.isoformat() for day in dates) + "}"
     try:
-        files = reader.load(root)
+        files = reader.load(_folders(raw_root, dates))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _INVENTORY)
-    name = F.element_at(F.split("path", "/"), -1)
+    return _inventoried(files)
+
+
+def described(files: DataFrame) -> DataFrame:
+    """The inventory's columns of files (`path, modificationTime, length`) that lie in the raw
+    zone, from their paths."""
+    folder_of = lambda key: F.regexp_extract("path", f"{key}=([^/]+)/[^/]+$", 1)
+    day = F.regexp_extract("path", "archive_date=([^/]+)/archive_hour=[^/]+/[^/]+$", 1)
+    placed = files.withColumns(
+        {"archive_date": day.cast("date"), "archive_hour": folder_of("archive_hour").cast("int")}
+    )
+    return _inventoried(placed)
+
+
+def _inventoried(files: DataFrame) -> DataFrame:
     return files.select(
         "path",
         "modificationTime",
-        name.alias("source_file"),
+        F.element_at(F.split("path", "/"), -1).alias("source_file"),
         "length",
         "archive_date",
         _folder_hour().alias("hour"),
@@ -126,27 +134,83 @@ def inventory(
 
 
 def listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """`path, source_file, length` of given archives, from their listing."""
-    files = spark.read.format("binaryFile").schema(_FILES).load(list(paths))
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select("path", name.alias("source_file"), "length")
+    """The inventory of archives given by path."""
+    return described(spark.read.format("binaryFile").schema(_FILES).load(list(paths)))
+
+
+def _folders(raw_root: str, dates: Sequence[date] | None) -> str:
+    root = zone(raw_root)
+    if dates is not None:
+        root += "/archive_date={" + ",".join(day.isoformat() for day in dates) + "}"
+    return root
+
+
+def _listed_in(files: DataFrame, manifest: DataFrame, skip: Sequence[str]) -> DataFrame:
+    """The rows of files that a manifest lists, with all columns of both.
+
+    One number tells date and hour of a folder, so that Spark leaves out every folder without a
+    listed file; the list is short enough to be broadcast (see `lakehouse.LOAD_SOURCES`), so rows
+    stay where they are read. Files named in `skip` are not opened.
+    """
+    if skip:
+        files = files.where(~F.col("_metadata.file_name").isin(*skip))
+    place = F.unix_date("archive_date") * 24 + F.col("archive_hour")
+    named = files.withColumns({"source_file": F.col("_metadata.file_name"), "place": place})
+    listed = manifest.select("source_file", place.cast("int").alias("place"))
+    return named.join(F.broadcast(listed), ["place", "source_file"])
+
+
+def read_planned(
+    spark: SparkSession,
+    raw_root: str,
+    manifest: DataFrame,
+    dates: Sequence[date],
+    skip: Sequence[str] = (),
+) -> DataFrame:
+    """Lines of the archives in a manifest, which lie under the given dates; `source_line_number`
+    is a row id here. Broken files that lie beside them are named in `skip`.
+
+    One pass, without a shuffle, however the archives are packed into tasks: a gzip file is never
+    split, so the ids of its lines are consecutive, and a line's number is its id less the file's
+    first one, plus 1.
+    """
+    reader = spark.read.schema(_LINES).option("pathGlobFilter", "*.gz")
+    lines = reader.option("basePath", zone(raw_root)).text(_folders(raw_root, dates))
+    return _listed_in(lines, manifest, skip).select(
+        "value",
+        _folder_hour().alias("archive_hour"),
+        "source_file",
+        F.monotonically_increasing_id().alias("source_line_number"),
+    )
 
 
-def unreadable(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The paths among the given ones that are no complete gzip files.
+def unreadable(
+    spark: SparkSession, raw_root: str, manifest: DataFrame, dates: Sequence[date]
+) -> DataFrame:
+    """The rows (`source_file`) of a manifest whose archives are no complete gzip files.
 
-    All are unpacked once, on the executors, one file at a time; only bad paths come back.
+    All are unpacked once, on the executors, one file at a time.
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [not _is_gzip(c.as_buffer()) for c in batch.column("content")]
-            yield batch.select(["path"]).filter(pa.array(keep, pa.bool_()))
+            for row in range(batch.num_rows):
+                if not _is_gzip(batch.column("content")[row].as_buffer()):
+                    yield batch.select(["source_file"]).slice(row, 1)
 
-    files = spark.read.format("binaryFile").schema(_FILES).load(list(paths))
+    files = (
+        spark.read.format("binaryFile")
+        .schema(f"{_FILES}, archive_date date, archive_hour int")
+        .option("pathGlobFilter", "*.gz")
+        .option("basePath", zone(raw_root))
+        .load(_folders(raw_root, dates))
+    )
+    listed = _listed_in(files, manifest, ()).select("source_file", "content")
     with scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):
-        found = files.select("path", "content").mapInArrow(check, "path string").collect()
-    return [row.path for row in found]
+        # Kept, so that the files are unpacked under this setting and no second time.
+        found = listed.mapInArrow(check, "source_file string").persist()
+        found.count()
+    return found
 
 
 def _is_gzip(content: pa.Buffer) -> bool:
@@ -204,8 +268,7 @@ def read_archives(
     A gzip file is never split, so a file's lines have consecutive row ids in one task and
     the line number is the id minus the file's first id. Only one number per file crosses the
     network, never a line: a window over the file would shuffle and sort the whole text. The
-    price is a second, parse-free pass. A load that writes files avoids even that, see
-    `read_whole_archives`.
+    price is a second, parse-free pass; a load avoids even that, see `read_planned`.
     """
     lines = _lines(spark, raw_root, paths).select(
         "value",
@@ -221,29 +284,3 @@ def read_archives(
         "source_file",
         (F.col("row_id") - F.col("first_row_id") + 1).alias("source_line_number"),
     )
-
-
-def whole_file_settings(spark: SparkSession) -> dict[str, str]:
-    """Settings under which a task reads exactly one gzip file: opening a second one costs as
-    much as a full split."""
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return {
-        "spark.sql.files.openCostInBytes": split,
-        "spark.sql.files.maxPartitionNum": str((1 << 31) - 1),
-    }
-
-
-def read_whole_archives(
-    spark: SparkSession, raw_root: str, paths: Sequence[str] | None = None
-) -> DataFrame:
-    """As `read_archives` in one pass and without a join, for an action that runs under
-    `whole_file_settings`: the line number is the row's position in its task. A caller must
-    check that each file's numbers run from 1 to its row count, as the Bronze load does."""
-    return _lines(spark, raw_root, paths).select(
-        "value",
-        _folder_hour().alias("archive_hour"),
-        F.col("_metadata.file_name").alias("source_file"),
-        (F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_TASK)) + 1).alias(
-            "source_line_number"
-        ),
-    )

@@ -1,52 +1,78 @@
-"""Partitioned Parquet tables for the three layers, and the ledger of finished sources.
+"""Partitioned Parquet tables for the three layers, and the ledger that says what is in them.
 
-A source becomes visible when the ledger lists it, never when its files appear: a load writes
-the source's partitions, counts rows and errors in what it wrote, and appends clean sources to
-the ledger as its last step. A crash before that leaves partitions nobody reads, which the
-next attempt overwrites. One load per layer may run at a time.
+Rows are written by load: Bronze under the id of its load, Silver under load and event date, Gold
+under the id of its build. How many archives share a task or a file does not matter: a row keeps the
+id it had in its load, the ledger the first id of each source, and the difference is the line.
 
-Readers may find a Gold date missing for the moment in which it is replaced: plain Parquet has
-no snapshots.
+What a reader sees is decided by the ledger alone, which gets one file for each load, written last.
+A crash before that leaves rows nobody reads; the next load takes the same id and overwrites them.
+Nothing that can be read is ever changed, so a reader sees all of a load or nothing of it:
+
+- a source is known by name, modification time and length. A newer version takes the place of an
+  older one once it is good: in Bronze the last load that lists a source counts, in Silver the load
+  that brings the newer version hides the older one and names its dates as touched;
+- a Gold date is shown from the last build that lists it, with or without rows;
+- loads are ordered by id, not by clock. One load for each layer may run at a time.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
-from datetime import UTC, date, datetime
+from datetime import date
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repo_pulse import schema
-from repo_pulse.operators.bronze import ERROR, with_coordinates
-from repo_pulse.session import configure, scoped_conf
+from repo_pulse.operators.bronze import ERROR
+from repo_pulse.session import configure
 
 NULL_IN_REQUIRED = "null in a required column"
 
 # Bad sources named in the message of a failed load, which counts them all; the table has all.
 SHOWN = 20
 
+# Sources in one load. Their list is broadcast, so it has a bound: about 200 bytes for each.
+# More of them are loaded by several loads, one after the other.
+LOAD_SOURCES = 20_000
+
+# Kinds of ledger rows: `load` ends every load, `source` lists a source (Bronze: its first row id
+# and version; Silver: the Bronze load it came from, in `parent`), `date` an event date that a
+# Silver load touched or a Gold build made (`parent`: the last Silver load it saw), `hidden` a
+# source that is not to be read from the load in `parent`. `origin` is the stream batch of a load
+# or the catalog of a build.
 LEDGER = schema.struct(
-    "layer string, source_file string, event_date date?, row_count bigint, committed_at timestamp"
+    "layer string, load_id bigint, kind string, source_file string?, event_date date?, "
+    "row_count bigint, first_row_id bigint?, modified_at timestamp?, length bigint?, "
+    "parent bigint?, origin string?, committed_at timestamp"
+)
+
+# The sources of a load, listed before it begins.
+MANIFEST = schema.struct(
+    "source_file string, archive_date date?, archive_hour bigint?, modified_at timestamp?, "
+    "length bigint?, parent bigint?, first_row_id bigint?, row_count bigint?, "
+    "layer string, load_id bigint"
 )
 
-# A row for each source a load left out, every time it did so.
+# A row for each version of a source that a load left out.
 REJECTS = schema.struct(
-    "layer string, source_file string, reason string, first_error_line bigint?, "
-    "error_count bigint, seen_at timestamp"
+    "layer string, load_id bigint, source_file string, modified_at timestamp?, length bigint?, "
+    "parent bigint?, reason string, first_error_line bigint?, error_count bigint, "
+    "seen_at timestamp"
 )
+VERSION = ["source_file", "modified_at", "length"]
+
+ROW_ID = "row_id"
+LINE = "source_line_number"
 
-# Dynamic overwrite replaces exactly the partitions written. A task holds rows of few
-# partitions, so it keeps some writers open and does not sort its rows by partition first.
-_WRITE = {
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.maxConcurrentOutputFileWriters": "16",
-    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-    "spark.sql.parquet.compression.codec": "zstd",
-}
+BRONZE_STORED = T.StructType(
+    [f for f in schema.BRONZE if f.name != LINE]
+    + [T.StructField(ROW_ID, T.LongType(), False), T.StructField(ERROR, T.StringType())]
+)
+SILVER_STORED = T.StructType([*schema.SILVER, T.StructField(ERROR, T.StringType())])
 
 
 class LoadError(ValueError):
@@ -54,8 +80,8 @@ class LoadError(ValueError):
 
 
 def in_list(column: str, values: Iterable) -> Column:
-    """Membership in a list of names or dates, as one parsed expression that prunes
-    partitions whatever the length of the list."""
+    """Membership in a list of names or dates a caller gave, as one parsed expression that prunes
+    partitions."""
     literals = []
     for value in values:
         text = str(value).replace("\\", "\\\\").replace("'", "\\'")
@@ -72,24 +98,29 @@ class Lakehouse:
         self.bronze = f"{prefix}bronze.gharchive_events"
         self.silver = f"{prefix}silver.github_events"
         self.gold = f"{prefix}gold.daily_technology_activity"
+        self.actors = f"{prefix}gold.daily_technology_actors"
         self.ledger = f"{prefix}ops.source_commits"
+        self.manifests = f"{prefix}ops.load_sources"
         self.rejected = f"{prefix}ops.source_rejects"
+        self.tables = {
+            self.bronze: (BRONZE_STORED, ["load_id"]),
+            self.silver: (SILVER_STORED, ["load_id", "event_date"]),
+            self.gold: (schema.GOLD, ["build_id"]),
+            self.actors: (schema.ACTORS, ["build_id"]),
+            self.ledger: (LEDGER, []),
+            self.manifests: (MANIFEST, ["layer", "load_id"]),
+            self.rejected: (REJECTS, []),
+        }
         self.ensure()
 
     # -- tables -------------------------------------------------------------------------
 
     def ensure(self) -> None:
         """Create or open the tables; opening finds partitions already in the folders."""
-        flagged = T.StructField(ERROR, T.StringType())
-        self._ensure(self.bronze, T.StructType([*schema.BRONZE, flagged]), ["source_file"])
-        self._ensure(
-            self.silver,
-            T.StructType([*schema.SILVER, flagged]),
-            ["event_date", "source_file"],
-        )
-        self._ensure(self.gold, schema.GOLD, ["activity_date"])
-        self._ensure(self.ledger, LEDGER, ["layer"])
-        self._ensure(self.rejected, REJECTS, ["layer"])
+        for table, (columns, partitions) in self.tables.items():
+            known = {f.name for f in columns}
+            ids = [T.StructField(p, T.LongType()) for p in partitions if p not in known]
+            self._ensure(table, T.StructType([*columns, *ids]), partitions)
 
     def _ensure(self, table: str, columns: T.StructType, partitions: Sequence[str]) -> None:
         database, name = table.split(".")
@@ -98,14 +129,16 @@ class Lakehouse:
             self._require_same(table, f"{folder}/{name}", columns, partitions)
             return
         listed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
+        parts = f"PARTITIONED BY ({', '.join(partitions)}) " if partitions else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({listed}) USING parquet "
-            f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{folder}/{name}'"
+            f"OPTIONS (compression 'zstd') {parts}LOCATION '{folder}/{name}'"
         )
         # An append of nothing creates the folder, which the recovery lists.
         self.spark.sql(f"INSERT INTO {table} SELECT * FROM {table} WHERE false")
-        self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        if partitions:
+            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
     def _require_same(
         self, table: str, folder: str, columns: T.StructType, partitions: Sequence[str]
@@ -122,131 +155,320 @@ class Lakehouse:
 
     def drop(self) -> None:
         """Forget the tables; the files stay."""
-        for table in (self.bronze, self.silver, self.gold, self.ledger, self.rejected):
+        for table in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
-    def _overwrite_partitions(self, rows: DataFrame, table: str) -> None:
-        with scoped_conf(self.spark, _WRITE):
-            rows.select(*self.spark.table(table).columns).write.insertInto(table, overwrite=True)
-
-    # -- sources and the ledger ---------------------------------------------------------
-
-    def commits(self, layer: str) -> DataFrame:
-        return self.spark.table(self.ledger).where(F.col("layer") == layer)
+    def _overwrite(self, rows: DataFrame, table: str, **fixed: str | int) -> None:
+        """Put the rows in place of whatever the partitions of these fixed values hold."""
+        partitions = self.tables[table][1]
+        columns = [c for c in self.spark.table(table).columns if c not in fixed]
+        spec = ", ".join(f"{p} = {fixed[p]!r}" if p in fixed else p for p in partitions)
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) "
+            f"SELECT {', '.join(columns)} FROM {{rows}}",
+            rows=rows,
+        )
 
-    def pending(self, layer: str, sources: DataFrame) -> DataFrame:
-        """The sources this layer has not finished."""
-        done = self.commits(layer).select("source_file")
-        return sources.join(done, "source_file", "left_anti")
+    def _write_build(self, rows: DataFrame, table: str, build: int) -> None:
+        """Write a build into its folder, in place of what an attempt before it has left. The rows
+        may come from the table itself."""
+        folder = f"{self.root}/{table.replace('.', '/')}/build_id={build}"
+        columns = [f.name for f in self.tables[table][0]]
+        rows.select(*columns).write.mode("overwrite").option("compression", "zstd").parquet(folder)
+        self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (build_id = {build})")
+
+    def _append(self, rows: DataFrame, table: str) -> None:
+        """Add rows as one file, so that they appear at once; only these rows go to one task."""
+        columns = self.tables[table][0]
+        absent = {f.name: F.lit(None).cast(f.dataType) for f in columns if f.name not in rows.columns}
+        full = rows.withColumns(absent) if absent else rows
+        full.select(*[f.name for f in columns]).repartition(1).write.insertInto(table)
+
+    # -- ledger -------------------------------------------------------------------------
+
+    def commits(self, layer: str, kind: str = "source") -> DataFrame:
+        rows = self.spark.table(self.ledger)
+        return rows.where((F.col("layer") == layer) & (F.col("kind") == kind))
+
+    def rejects(self, layer: str | None = None) -> DataFrame:
+        """The recorded rejects."""
+        rows = self.spark.table(self.rejected)
+        return rows if layer is None else rows.where(F.col("layer") == layer)
+
+    def last_load(self, layer: str) -> int:
+        return self.commits(layer, "load").agg(F.max("load_id")).first()[0] or 0
+
+    def next_load(self, layer: str) -> int:
+        """The id of the next load. One that ended without a commit leaves its id to the next."""
+        ids = self.commits(layer, "load").select("load_id")
+        tried = self.rejects(layer).select("load_id")
+        return (ids.unionByName(tried).agg(F.max("load_id")).first()[0] or 0) + 1
+
+    def is_committed(self, layer: str, origin: str) -> bool:
+        """Whether a load of this stream batch has been committed."""
+        return not self.commits(layer, "load").where(F.col("origin") == origin).isEmpty()
+
+    def bronze_sources(self) -> DataFrame:
+        """The visible version of each Bronze source: the last load that lists it."""
+        columns = ["load_id", "first_row_id", "row_count", "modified_at", "length"]
+        last = F.max_by(F.struct(*columns), "load_id").alias("last")
+        return self.commits("bronze").groupBy("source_file").agg(last).select(
+            "source_file", "last.*"
+        )
 
-    def write_sources(self, layer: str, rows: DataFrame) -> None:
-        """Write a batch of sources with their error column, visible to nobody yet."""
-        contract = schema.BRONZE if layer == "bronze" else schema.SILVER
-        table = self.bronze if layer == "bronze" else self.silver
-        null_found = F.when(
-            schema.broken(contract), with_coordinates(F.lit(NULL_IN_REQUIRED))
+    def pending_archives(self, archives: DataFrame) -> DataFrame:
+        """The archives whose version was neither loaded nor rejected."""
+        known = self.commits("bronze").select(*VERSION).unionByName(
+            self.rejects("bronze").select(*VERSION)
+        )
+        versions = archives.withColumnRenamed("modificationTime", "modified_at")
+        left = versions.join(known, VERSION, "left_anti")
+        return left.withColumnRenamed("modified_at", "modificationTime").select(*archives.columns)
+
+    def known_archives(self, archives: DataFrame) -> tuple[int, int]:
+        """How many sources there are among the archives, and how many were loaded before."""
+        versions = archives.withColumnRenamed("modificationTime", "modified_at").select(*VERSION)
+        loaded = self.commits("bronze").select(*VERSION, F.lit(True).alias("loaded")).distinct()
+        by_source = versions.join(loaded, VERSION, "left").groupBy("source_file").agg(
+            F.count("loaded").alias("loaded")
         )
-        self._overwrite_partitions(
-            rows.withColumn(ERROR, F.coalesce(ERROR, null_found)), table
+        return tuple(by_source.agg(F.count(F.lit(1)), F.count_if(F.col("loaded") > 0)).first())
+
+    def pending_silver(self, sources: DataFrame | None = None) -> DataFrame:
+        """Visible Bronze sources, all or the given ones, that Silver neither has nor refused, as
+        rows of a manifest."""
+        done = self.commits("silver").select("source_file", "parent")
+        refused = self.rejects("silver").select("source_file", "parent")
+        visible = self.bronze_sources().withColumnRenamed("load_id", "parent")
+        if sources is not None:
+            visible = visible.join(sources.select("source_file"), "source_file", "left_semi")
+        return visible.join(done.unionByName(refused), ["source_file", "parent"], "left_anti")
+
+    # -- loads --------------------------------------------------------------------------
+
+    def plan(self, layer: str, load: int, sources: DataFrame) -> int:
+        """List the sources of a load, at most LOAD_SOURCES of them; returns how many."""
+        columns = [f.name for f in MANIFEST if f.name not in ("layer", "load_id")]
+        absent = {c: F.lit(None).cast(MANIFEST[c].dataType) for c in columns}
+        rows = sources.withColumns({c: v for c, v in absent.items() if c not in sources.columns})
+        rows = rows.orderBy("archive_date", "archive_hour", "source_file").limit(LOAD_SOURCES)
+        listed = Observation()
+        rows = rows.select(*columns).coalesce(1).observe(listed, F.count(F.lit(1)).alias("sources"))
+        self._overwrite(rows, self.manifests, layer=layer, load_id=load)
+        return listed.get["sources"]
+
+    def manifest(self, layer: str, load: int) -> DataFrame:
+        """The sources of a load. Read by nothing but its partition, so that Spark can use the list
+        it broadcasts for a join to skip files as well."""
+        rows = self.spark.table(self.manifests)
+        return rows.where((F.col("layer") == layer) & (F.col("load_id") == load))
+
+    def broken_neighbours(self, load: int) -> DataFrame:
+        """Sources that could not be read and lie in a folder beside sources of a Bronze load: an
+        hour may be delivered in several files. Hardly ever any."""
+        folder = ["archive_date", "archive_hour"]
+        listed = self.manifest("bronze", load)
+        broken = self.rejects("bronze").where(F.col("reason").endswith(UNREADABLE.format("")))
+        planned = self.spark.table(self.manifests).where("layer = 'bronze'")
+        found = planned.join(broken.select("load_id", "source_file"), ["load_id", "source_file"])
+        beside = found.join(listed.select(*folder), folder, "left_semi")
+        beside = beside.join(listed.select("source_file"), "source_file", "left_anti")
+        return beside.select("source_file").distinct()
+
+    def write_load(self, layer: str, load: int, rows: DataFrame) -> tuple[int, int]:
+        """Write the rows of a load with their error column, visible to nobody yet; returns rows and
+        faulty rows, counted on the way.
+
+        Silver is dealt by event date, in parts of the size Spark advises, so its files do not
+        multiply with dates, tasks or archives.
+        """
+        table = self.bronze if layer == "bronze" else self.silver
+        contract = T.StructType([f for f in self.tables[table][0] if f.name != ERROR])
+        null_found = F.when(schema.broken(contract), F.lit(NULL_IN_REQUIRED))
+        checked = rows.withColumn(ERROR, F.coalesce(ERROR, null_found))
+        seen = Observation()
+        counted = checked.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(ERROR).isNotNull()).alias("bad")
         )
+        if layer == "silver":
+            counted = counted.hint("rebalance", "event_date")
+        self._overwrite(counted, table, load_id=load)
+        found = seen.get
+        return found["rows"], found["bad"]
 
-    def commit(self, layer: str, sources: Sequence[str], mode: str = "fail") -> int:
-        """Count what was written for the sources and list the clean ones as finished.
+    def commit_bronze(self, load: int, rows: int, origin: str | None = None) -> int:
+        """List the clean sources of a written Bronze load; returns the rows that became visible.
 
-        Returns the rows that became visible. Sources with an error go to the rejects table, as
-        do Bronze sources without rows; none of them is recorded as finished. With mode `fail`,
-        LoadError is raised at the end when a source had an error; its message starts with the
-        first error of the first bad source.
+        Rows and first ids of the sources come from three narrow columns of the load. Sources with
+        an error or without a row are rejected and not listed.
         """
-        table, dated = (
-            (self.bronze, F.lit(None).cast("date"))
-            if layer == "bronze"
-            else (self.silver, F.col("event_date"))
+        faulty = F.col(ERROR).isNotNull()
+        written = self.spark.table(self.bronze).where(F.col("load_id") == load)
+        counted = written.groupBy("source_file").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min(ROW_ID).alias("first"),
+            F.max(ROW_ID).alias("last"),
+            F.count_if(faulty).alias("errors"),
+            F.min(F.when(faulty, F.col(ROW_ID))).alias("error_row"),
         )
-        written = self.spark.table(table).where(in_list("source_file", sources))
-        line, faulty = F.col("source_line_number"), F.col(ERROR).isNotNull()
-        # Numbers only, so that rows are aggregated by hash; texts would have them sorted.
-        counted = (
-            written.groupBy("source_file", dated.alias("event_date"))
-            .agg(
-                F.count(F.lit(1)).alias("row_count"),
-                F.count_if(faulty).alias("errors"),
-                F.min(F.when(faulty, line)).alias("error_line"),
-                F.min(line).alias("first_line"),
-                F.max(line).alias("last_line"),
+        manifest = self.manifest("bronze", load).select(*VERSION)
+        found = manifest.join(counted, "source_file", "left").persist()
+        try:
+            seen = found.agg(
+                F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                F.count_if(F.col("last") - F.col("first") + 1 != F.col("rows")).alias("holes"),
+                F.count_if(F.col("errors") > 0).alias("bad"),
+                F.count_if(F.col("rows").isNull()).alias("empty"),
+                F.coalesce(F.sum(F.when(F.col("errors") == 0, F.col("rows"))), F.lit(0)).alias(
+                    "clean"
+                ),
+            ).first()
+            if seen.rows != rows or seen.holes:
+                raise RuntimeError(f"bronze load {load}: rows of a source are not in one piece")
+            if seen.bad:
+                self.reject("bronze", load, self._first_errors(written, found))
+            if seen.empty:
+                self.reject("bronze", load, without_lines(found.where("rows IS NULL"), EMPTY))
+            clean = found.where("errors = 0").select(
+                *VERSION,
+                F.col("rows").alias("row_count"),
+                F.col("first").alias("first_row_id"),
+                F.lit("source").alias("kind"),
             )
-            .persist()
+            self._commit("bronze", load, clean, origin)
+            return seen.clean
+        finally:
+            found.unpersist()
+
+    @staticmethod
+    def _first_errors(written: DataFrame, found: DataFrame) -> DataFrame:
+        """Rejects of the counted sources with errors, each with its first error and line."""
+        bad = found.where("errors > 0").select(
+            *VERSION, "first", "errors", F.col("error_row").alias(ROW_ID)
         )
-        try:
-            by_source = counted.groupBy("source_file").agg(
-                F.sum("row_count").alias("row_count"),
-                F.sum("errors").alias("errors"),
-                F.min("error_line").alias("error_line"),
-                F.min("first_line").alias("first_line"),
-                F.max("last_line").alias("last_line"),
+        line = F.col(ROW_ID) - F.col("first") + 1
+        where = F.concat("source_file", F.lit(":"), line.cast("string"), F.lit(": "))
+        return bad.join(written.select("source_file", ROW_ID, ERROR), ["source_file", ROW_ID]).select(
+            *VERSION,
+            F.concat(where, ERROR).alias("reason"),
+            line.alias("first_error_line"),
+            F.col("errors").alias("error_count"),
+        )
+
+    def commit_silver(self, load: int, rows: int, bad: int, origin: str | None = None) -> int:
+        """List the clean sources of a written Silver load; returns the rows that became visible.
+
+        Nothing written is read again unless rows were faulty: every Bronze row gives one Silver
+        row, so the counts of the sources are those of Bronze, and the dates are the partitions.
+        """
+        manifest = self.manifest("silver", load)
+        older = self.commits("silver").select("source_file", F.col("load_id").alias("old"))
+        loaded = older.select("source_file", F.lit(True).alias("again")).distinct()
+        expected, again = manifest.join(loaded, "source_file", "left").agg(
+            F.coalesce(F.sum("row_count"), F.lit(0)), F.count("again")
+        ).first()
+        if rows != expected:
+            raise RuntimeError(f"silver load {load}: {rows} rows of {expected} were written")
+        written = self.spark.table(self.silver).where(F.col("load_id") == load)
+        listed = manifest.select(*VERSION, "parent", "row_count")
+        if bad:
+            faulty = written.where(F.col(ERROR).isNotNull())
+            first = faulty.groupBy("source_file").agg(
+                F.count(F.lit(1)).alias("error_count"),
+                F.min(F.struct(LINE, ERROR)).alias("first"),
             )
-            numbered = (F.col("first_line") == 1) & (F.col("last_line") == F.col("row_count"))
-            if by_source.where(~numbered).limit(1).count():
-                raise RuntimeError(f"{layer}: line numbers of a source do not run from 1")
-            clean = by_source.where("errors = 0").select("source_file")
-            rows = counted.join(clean, "source_file", "left_semi").select(
-                "source_file",
-                "event_date",
-                "row_count",
-                F.current_timestamp().alias("committed_at"),
-                F.lit(layer).alias("layer"),
+            self.reject(
+                "silver",
+                load,
+                listed.join(first, "source_file").select(
+                    *VERSION,
+                    "parent",
+                    F.col(f"first.{ERROR}").alias("reason"),
+                    F.col(f"first.{LINE}").alias("first_error_line"),
+                    "error_count",
+                ),
             )
-            # One file, so the batch appears in the ledger at once; a row per source and date.
-            # Only these rows go to one task, the join before them does not.
-            rows.repartition(1).write.insertInto(self.ledger)
-            committed = rows.agg(F.sum("row_count")).first()[0] or 0
-            bad = by_source.where("errors > 0").select("source_file", "errors", "error_line")
-            first = written.select("source_file", line.alias("error_line"), ERROR)
-            found = bad.join(first, ["source_file", "error_line"]).select(
-                "source_file",
-                F.col(ERROR).alias("reason"),
-                F.col("error_line").alias("first_error_line"),
-                F.col("errors").alias("error_count"),
+        refused = self.rejects("silver").where(F.col("load_id") == load).select("source_file")
+        clean = listed.join(refused, "source_file", "left_anti") if bad else listed
+        touched = self._partition_dates(load)
+        entries = clean.withColumn("kind", F.lit("source"))
+        hidden = []
+        if bad:
+            hidden.append(refused.withColumn("parent", F.lit(load).cast("bigint")))
+        if again:
+            # Older versions of these sources go out of sight, with all their dates touched.
+            replaced = older.join(clean.select("source_file"), "source_file", "left_semi")
+            hidden.append(replaced.withColumnRenamed("old", "parent").distinct())
+            past = self.spark.table(self.silver).select(
+                F.col("load_id").alias("old"), "source_file", "event_date"
             )
-            problems = self.reject(layer, found)
-            if layer == "bronze":
-                names = sources_frame(self.spark, sources)
-                absent = names.join(by_source, "source_file", "left_anti")
-                self.reject(layer, without_lines(absent, EMPTY))
-        finally:
-            counted.unpersist()
-        if problems and mode == "fail":
-            raise LoadError(problems)
-        return committed
-
-    def reject(self, layer: str, found: DataFrame) -> str:
-        """Record sources that a load leaves out; returns what to say about them ("": none)."""
-        kept = found.withColumns(
-            {"seen_at": F.current_timestamp(), "layer": F.lit(layer)}
-        ).persist()
-        try:
-            total = kept.count()
-            if not total:
-                return ""
-            kept.select(*self.spark.table(self.rejected).columns).write.insertInto(self.rejected)
-            return self._describe(kept, total)
-        finally:
-            kept.unpersist()
+            past = past.join(replaced, ["old", "source_file"], "left_semi")
+            touched = touched.unionByName(past.select("event_date")).distinct()
+        nothing = F.lit(0).cast("bigint")
+        more = [(rows_, "hidden") for rows_ in hidden] + [(touched, "date")]
+        for found, kind in more:
+            found = found.withColumns({"kind": F.lit(kind), "row_count": nothing})
+            entries = entries.unionByName(found, allowMissingColumns=True)
+        self._commit("silver", load, entries, origin)
+        if not bad:
+            return expected
+        mine = self.commits("silver").where(F.col("load_id") == load)
+        return mine.agg(F.sum("row_count")).first()[0] or 0
+
+    def _partition_dates(self, load: int) -> DataFrame:
+        """Event dates of a Silver load, from the names of its partitions."""
+        parts = self.spark.sql(f"SHOW PARTITIONS {self.silver} PARTITION (load_id = {load})")
+        day = F.regexp_extract("partition", r"event_date=(\d{4}-\d{2}-\d{2})", 1)
+        return parts.select(day.cast("date").alias("event_date"))
+
+    def _commit(self, layer: str, load: int, entries: DataFrame, origin: str | None) -> None:
+        """End a load: its entries and its own row appear at once."""
+        nothing = self.spark.range(1).select(
+            F.lit("load").alias("kind"), F.lit(0).cast("bigint").alias("row_count")
+        )
+        rows = entries.unionByName(nothing, allowMissingColumns=True)
+        self._append(
+            rows.withColumns(
+                {
+                    "layer": F.lit(layer),
+                    "load_id": F.lit(load).cast("bigint"),
+                    "origin": F.lit(origin).cast("string"),
+                    "committed_at": F.current_timestamp(),
+                }
+            ),
+            self.ledger,
+        )
 
-    def rejects(self, since: datetime | None = None) -> DataFrame:
-        """The recorded rejects, all or those seen from a time on."""
-        rows = self.spark.table(self.rejected)
-        return rows if since is None else rows.where(F.col("seen_at") >= F.lit(since))
+    def reject(self, layer: str, load: int, found: DataFrame) -> None:
+        """Record versions of sources that a load leaves out."""
+        self._append(
+            found.withColumns(
+                {
+                    "layer": F.lit(layer),
+                    "load_id": F.lit(load).cast("bigint"),
+                    "seen_at": F.current_timestamp(),
+                }
+            ),
+            self.rejected,
+        )
 
     def open_rejects(self, layer: str) -> DataFrame:
-        """Sources left out and not finished since, with the time they were last seen."""
-        rows = self.rejects().where(F.col("layer") == layer)
-        latest = rows.groupBy("source_file").agg(F.max("seen_at").alias("seen_at"))
-        return self.pending(layer, latest)
-
-    def require_none(self, since: datetime, which: str = "true") -> None:
-        """Raise LoadError when such sources were left out from a time on."""
-        found = self.rejects(since).where(which)
+        """The last rejected version of each source that no later load of the layer lists."""
+        columns = [c for c in self.rejects().columns if c not in ("layer", "source_file")]
+        last = F.max_by(F.struct(*columns), "load_id").alias("last")
+        latest = self.rejects(layer).groupBy("source_file").agg(last).select(
+            F.lit(layer).alias("layer"), "source_file", "last.*"
+        )
+        later = self.commits(layer).select("source_file", F.col("load_id").alias("later"))
+        again = (latest.source_file == later.source_file) & (later.later > latest.load_id)
+        return latest.join(later, again, "left_anti")
+
+    def rejected_of(self, versions: DataFrame) -> DataFrame:
+        """What was recorded of these versions of sources, in any layer."""
+        return self.rejects().join(versions.select(*VERSION), VERSION, "left_semi")
+
+    def require_none(self, found: DataFrame) -> None:
+        """Raise LoadError when there are such rejects."""
         total = found.count()
         if total:
             raise LoadError(self._describe(found, total))
@@ -265,34 +487,63 @@ class Lakehouse:
     # -- reads --------------------------------------------------------------------------
 
     def read_bronze(self, sources: Sequence[str] | None = None) -> DataFrame:
-        """Committed Bronze rows, of the given sources or all; partitions are pruned."""
-        rows = self.spark.table(self.bronze)
-        done = self.commits("bronze").select("source_file")
+        """Visible Bronze rows, of the given sources or all; only their loads are read."""
+        visible = self.bronze_sources()
         if sources is not None:
-            rows = rows.where(in_list("source_file", sources))
-            done = done.where(in_list("source_file", sources))
-        visible = rows.join(done, "source_file", "left_semi")
-        return visible.select(*schema.BRONZE.names)
+            visible = visible.where(in_list("source_file", sources))
+        return self._lines(visible.select("load_id", "source_file", "first_row_id"))
+
+    def read_planned(self, load: int) -> DataFrame:
+        """The Bronze rows a Silver load is to type. Its list is short enough to be broadcast."""
+        listed = self.manifest("silver", load).select(
+            F.col("parent").alias("load_id"), "source_file", "first_row_id"
+        )
+        return self._lines(F.broadcast(listed))
 
-    def read_silver(self, dates: Sequence[date] | None = None) -> DataFrame:
-        """Committed Silver rows, of the given event dates or all.
+    def _lines(self, listed: DataFrame) -> DataFrame:
+        rows = self.spark.table(self.bronze).join(listed, ["load_id", "source_file"])
+        line = (F.col(ROW_ID) - F.col("first_row_id") + 1).alias(LINE)
+        return rows.select(*[line if c == LINE else c for c in schema.BRONZE.names])
 
-        The ledger is read for the same dates only, so the side that is joined has a row per
-        archive that touched them, however long the history is.
+    def read_silver(
+        self, dates: Sequence[date] | None = None, upto: int | None = None
+    ) -> DataFrame:
+        """Visible Silver rows, of the given event dates or all, as they are now or were after a
+        load.
+
+        Rows are hidden by exception: the lists joined hold loads, and sources that were refused
+        or replaced, not every source there ever was.
         """
         rows = self.spark.table(self.silver)
-        done = self.commits("silver").select("event_date", "source_file")
+        loads = self.commits("silver", "load").select("load_id")
+        hidden = self.commits("silver", "hidden")
         if dates is not None:
             rows = rows.where(in_list("event_date", dates))
-            done = done.where(in_list("event_date", dates))
-        visible = rows.join(done, ["event_date", "source_file"], "left_semi")
+        if upto is not None:
+            loads = loads.where(F.col("load_id") <= upto)
+            hidden = hidden.where(F.col("load_id") <= upto)
+        hidden = hidden.select(F.col("parent").alias("load_id"), "source_file")
+        visible = rows.join(loads, "load_id", "left_semi")
+        visible = visible.join(hidden, ["load_id", "source_file"], "left_anti")
         return visible.select(*schema.SILVER.names)
 
     def read_gold(self, dates: Sequence[date] | None = None) -> DataFrame:
-        rows = self.spark.table(self.gold)
+        return self._built(self.gold, dates).select(*schema.GOLD.names)
+
+    def read_actors(self, dates: Sequence[date] | None = None) -> DataFrame:
+        """Bitmaps of the actors of each technology and day, see `gold.actor_bitmaps`."""
+        return self._built(self.actors, dates).select(*schema.ACTORS.names)
+
+    def _built(self, table: str, dates: Sequence[date] | None) -> DataFrame:
+        """Rows of the last build of each date."""
+        rows, built = self.spark.table(table), self.commits("gold", "date")
         if dates is not None:
             rows = rows.where(in_list("activity_date", dates))
-        return rows.select(*schema.GOLD.names)
+            built = built.where(in_list("event_date", dates))
+        last = built.groupBy(F.col("event_date").alias("activity_date")).agg(
+            F.max("load_id").alias("build_id")
+        )
+        return rows.join(last, ["build_id", "activity_date"], "left_semi")
 
     # -- Gold ---------------------------------------------------------------------------
 
@@ -301,70 +552,64 @@ class Lakehouse:
         rows: DataFrame,
         dates: Sequence[date],
         catalog: str = "",
-        started: datetime | None = None,
+        seen: int = 0,
+        actors: DataFrame | None = None,
     ) -> int:
         """Replace whole Gold dates. Rows of another date are refused before anything is
         written; a requested date without rows ends up empty. Returns the rows written.
 
-        The ledger notes the dates with the catalog they were built with and the time the build
-        began. Gold has a row per technology and day, so the batch is small enough to keep.
+        The rows are written as a build of their own; one append to the ledger then points all the
+        dates to it, so a reader finds the old rows or the new ones. The ledger notes the catalog
+        and the last Silver load `seen`. Gold has a row per technology and day, so the batch is
+        small enough to keep.
         """
-        started = started or datetime.now(UTC)
         kept = schema.enforce(rows, schema.GOLD).persist()
         try:
             counts = dict(kept.groupBy("activity_date").count().collect())
-            stray = set(counts) - set(dates)
-            if stray:
+            if set(counts) - set(dates):
                 wanted = ", ".join(day.isoformat() for day in sorted(dates))
                 raise ValueError(f"all Gold rows must match activity_date={wanted}")
-            if counts:
-                self._overwrite_partitions(kept.repartition("activity_date"), self.gold)
+            if not dates:
+                return 0
+            build = self.next_load("gold")
+            self._write_build(kept, self.gold, build)
+            if actors is not None:
+                self._write_build(actors, self.actors, build)
+            days = sorted(set(dates))
+            pointers = pa.table(
+                {
+                    "event_date": pa.array(days, pa.date32()),
+                    "row_count": pa.array([counts.get(day, 0) for day in days], pa.int64()),
+                }
+            )
+            pointers = self.spark.createDataFrame(pointers).withColumns(
+                {"parent": F.lit(seen).cast("bigint"), "kind": F.lit("date")}
+            )
+            self._commit("gold", build, pointers, catalog)
+            return sum(counts.values())
         finally:
             kept.unpersist()
-        self._empty_dates([day for day in dates if day not in counts])
-        if dates:
-            self._asked(dates).select(
-                F.lit(catalog).alias("source_file"),
-                "event_date",
-                F.lit(0).cast("bigint").alias("row_count"),
-                F.lit(started).alias("committed_at"),
-                F.lit("gold").alias("layer"),
-            ).repartition(1).write.insertInto(self.ledger)
-        return sum(counts.values())
-
-    def _asked(self, dates: Sequence[date]) -> DataFrame:
+
+    def dates_frame(self, dates: Sequence[date]) -> DataFrame:
         days = pa.table({"event_date": pa.array(sorted(set(dates)), pa.date32())})
         return self.spark.createDataFrame(days)
 
-    def stale_dates(self, dates: Sequence[date], catalog: str) -> list[date]:
-        """The given dates whose last build used another catalog, or began before their last
-        Silver commit, or never happened."""
-        when = F.col("committed_at")
-        built = self.commits("gold").groupBy("event_date").agg(
-            F.max(when).alias("built_at"), F.max_by("source_file", when).alias("catalog")
+    def stale_dates(self, catalog: str, dates: Sequence[date] | None = None) -> list[date]:
+        """The dates, all or of the given ones, whose last build used another catalog or did not see
+        their last Silver load, or that were never built."""
+        last = F.max_by(F.struct("parent", "origin"), "load_id").alias("last")
+        built = self.commits("gold", "date").groupBy("event_date").agg(last)
+        changed = self.commits("silver", "date").groupBy("event_date").agg(
+            F.max("load_id").alias("changed")
         )
-        changed = self.commits("silver").groupBy("event_date").agg(F.max(when).alias("changed_at"))
-        joined = self._asked(dates).join(built, "event_date", "left")
-        joined = joined.join(changed, "event_date", "left")
-        fresh = (F.col("catalog") == catalog) & (
-            F.col("changed_at").isNull() | (F.col("changed_at") < F.col("built_at"))
+        asked = changed.select("event_date") if dates is None else self.dates_frame(dates)
+        joined = asked.join(built, "event_date", "left").join(changed, "event_date", "left")
+        fresh = (F.col("last.origin") == catalog) & (
+            F.col("changed").isNull() | (F.col("changed") <= F.col("last.parent"))
         )
         found = joined.where(~F.coalesce(fresh, F.lit(False))).select("event_date").collect()
         return sorted(row.event_date for row in found)
 
-    def _empty_dates(self, dates: Sequence[date]) -> None:
-        """Dynamic overwrite leaves a partition without new rows as it was, so such dates are
-        emptied one by one; only dates that have rows are touched."""
-        filled = self.read_gold(dates).select("activity_date").distinct().collect()
-        data = [f for f in schema.GOLD if f.name != "activity_date"]
-        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in data)
-        for row in filled:
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.gold} "
-                f"PARTITION (activity_date = DATE'{row.activity_date}') "
-                f"SELECT {nothing} WHERE false"
-            )
-
 
 # What is said of a source without a row for a line.
 EMPTY = "Bronze source file not found: {}"
@@ -372,12 +617,11 @@ UNREADABLE = "{}: cannot be read"
 
 
 def without_lines(sources: DataFrame, text: str) -> DataFrame:
-    """Rejects of sources that have no line to blame."""
+    """Rejects of versions of sources that have no line to blame."""
     before, after = text.split("{}")
     return sources.select(
-        "source_file",
+        *VERSION,
         F.concat(F.lit(before), F.col("source_file"), F.lit(after)).alias("reason"),
-        F.lit(None).cast("bigint").alias("first_error_line"),
         F.lit(1).cast("bigint").alias("error_count"),
     )
 
@@ -388,6 +632,6 @@ def _bare(path: str) -> str:
 
 
 def sources_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    """Distinct source names as a relation of known size."""
+    """Distinct source names a caller gave, as a relation."""
     distinct = list(dict.fromkeys(names))
     return spark.createDataFrame(pa.table({"source_file": pa.array(distinct, pa.string())}))

@@ -8,7 +8,7 @@ late, so some archives hold events of the day before.
 from __future__ import annotations
 
 import gzip
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -276,6 +276,52 @@ def damaged_zone(spark: SparkSession, sf_dir: str) -> str:
     return _WRITTEN[key]
 
 
+def replace_archives(spark: SparkSession, raw_root: str, other_root: str, hour: datetime) -> None:
+    """Put the archives of an hour from another zone in place of those of this one, under the names
+    these have: an hour's sources in a newer version."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    utility = spark._jvm.org.apache.hadoop.fs.FileUtil
+    paths = []
+    for root in (raw_root, other_root):
+        landed = archive.inventory(spark, root, [hour.date()]).where(F.col("hour") == F.lit(hour))
+        paths.append([path(row.path) for row in landed.orderBy("source_file").collect()])
+    for old, new in zip(*paths, strict=True):
+        system = old.getFileSystem(conf)
+        utility.copy(new.getFileSystem(conf), new, system, old, False, True, conf)
+
+
+REFUSED_HOUR, REVISED_HOUR = 5, 9
+
+
+def first_hour(spark: SparkSession, sf_dir: str, hour: int) -> datetime:
+    first, _ = date_bounds(spark, sf_dir)
+    return datetime(first.year, first.month, first.day, hour, tzinfo=UTC)
+
+
+def revised_zone(spark: SparkSession, sf_dir: str) -> str:
+    """A new raw zone whose archives of two hours of the first date are older versions: at 05:00
+    every event is a push with a counter that Silver refuses, at 09:00 the id of every actor is
+    lower by one. Everything else is as in `raw_zone`."""
+    root = scratch_dir(spark, "revised")
+    hours = [first_hour(spark, sf_dir, h) for h in (REFUSED_HOUR, REVISED_HOUR)]
+    refused, revised = (F.col("archive_hour") == F.lit(hour) for hour in hours)
+    rows = lines(spark, sf_dir).select("value", "archive_hour", "event_number")
+    pushed = F.regexp_replace("value", '"type": "[A-Za-z]+"', '"type": "PushEvent"')
+    pushed = F.regexp_replace(pushed, r'"payload": \{', '"payload": {"size": "many", ')
+    pushed = F.regexp_replace(pushed, r'"size": "many", *(\}|"size": \d+, )', r'"size": "many"}')
+    actor = F.regexp_extract("value", r'"actor": \{"id": (\d+)', 1).cast("bigint")
+    lower = F.concat(
+        F.regexp_extract("value", r'^(.*"actor": \{"id": )\d+', 1),
+        (actor - 1).cast("string"),
+        F.regexp_extract("value", r'"actor": \{"id": \d+(.*)$', 1),
+    )
+    older = F.when(revised, lower).otherwise(F.col("value"))
+    rows = rows.withColumn("value", F.when(refused, pushed).otherwise(older))
+    write_archives(rows, root)
+    return root
+
+
 def put(spark: SparkSession, path: str, content: bytes) -> None:
     """Write a small file to any store that Spark reaches."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

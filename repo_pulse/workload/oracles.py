@@ -190,6 +190,24 @@ _UNDAMAGED = (
     "OR extract('hour' FROM archive_hour) NOT IN (5, 6, 7)"
 )
 
+# At first one hour of the first date is refused, and in another one actors have other ids.
+_OLDER_ACTORS = """
+  SELECT * REPLACE (CASE WHEN archive_hour = CAST((SELECT first_day FROM days) AS TIMESTAMP)
+                                             + INTERVAL 9 HOUR
+                         THEN actor_id - 1 ELSE actor_id END AS actor_id)
+  FROM ev"""
+_REFUSED = "archive_hour = CAST((SELECT first_day FROM days) AS TIMESTAMP) + INTERVAL 5 HOUR"
+
+
+def _older(condition: str) -> str:
+    return f"""
+  SELECT technology_id, event_date AS activity_date, {_COUNTERS}
+  FROM ({_OLDER_ACTORS}) JOIN repo_index ON lower(trim(repo_name)) = repository
+  WHERE {condition} GROUP BY technology_id, event_date"""
+
+
+_BEFORE = f"SELECT 'before' AS stage, {_GOLD_COLUMNS} FROM ({_older(f'NOT ({_REFUSED})')})"
+
 ORACLES: dict[str, str] = {
     "archive_hours": _on(
         "SELECT CAST(hour AS DATE) AS activity_date, hour "
@@ -327,6 +345,32 @@ FROM events HAVING count(*) > 0
 UNION ALL SELECT 'bronze', 'file: cannot be read', 1, false FROM events HAVING count(*) > 0
 UNION ALL SELECT 'bronze', 'Bronze source file not found: file', 1, false
 FROM events HAVING count(*) > 0""",
+    "repaired_source": _on(
+        f"{_BEFORE} UNION ALL SELECT 'after', {_GOLD_COLUMNS} FROM gold", ctes=_GOLD
+    ),
+    "stream_repaired_source": _on(
+        f"{_BEFORE} UNION ALL SELECT 'after', {_GOLD_COLUMNS} FROM ({_older('true')})"
+    ),
+    "distinct_actors_range": _on(
+        "SELECT technology_id, count(DISTINCT actor_id) AS actor_count "
+        "FROM ev JOIN repo_index ON lower(trim(repo_name)) = repository "
+        "WHERE event_date <= (SELECT middle FROM days) GROUP BY technology_id"
+    ),
+    "materialized_day": _on(
+        """SELECT w.activity_date,
+       CASE WHEN coalesce(l.hours, 0) < 24 THEN 'hours missing' WHEN coalesce(c.hours, 0) < 24 THEN 'checks failed'
+            ELSE 'passed' END AS outcome,
+       CASE WHEN l.hours = 24 THEN CAST(t.event_count AS BIGINT) END AS event_count
+FROM (SELECT DISTINCT unnest([first_day, middle, last_day + 1]) AS activity_date FROM days) w
+LEFT JOIN (SELECT CAST(archive_hour AS DATE) AS d, count(DISTINCT archive_hour) AS hours
+           FROM ev GROUP BY 1) l ON l.d = w.activity_date
+LEFT JOIN (SELECT event_date AS d, count(DISTINCT archive_hour) AS hours
+           FROM ev WHERE CAST(archive_hour AS DATE) = event_date GROUP BY 1) c
+       ON c.d = w.activity_date
+LEFT JOIN (SELECT event_date AS d, count(*) AS event_count
+           FROM ev JOIN repo_index ON lower(trim(repo_name)) = repository
+           WHERE CAST(archive_hour AS DATE) = event_date GROUP BY 1) t ON t.d = w.activity_date"""
+    ),
     "stream_with_bad_source": _on(f"SELECT {_GOLD_COLUMNS} FROM ({_gold_of(_UNDAMAGED)})"),
     "run_hours": _on(
         f"""SELECT {_GOLD_COLUMNS} FROM ({_gold_of(

@@ -293,7 +293,7 @@ def _history(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, str]:
         lake, kept = _new_lake(spark, "history"), scratch_dir(spark, "halfway")
         jobs.backfill(lake, raw, first, middle, _index(spark))
         lake.read_gold().write.parquet(f"{kept}/gold")
-        pending = lake.pending("bronze", archive.inventory(spark, raw))
+        pending = lake.pending_archives(archive.inventory(spark, raw))
         pending.select("source_file", "hour").write.parquet(f"{kept}/pending")
         # The last events may be delivered in the first hour of the day after.
         after, end = middle + timedelta(days=1), last + timedelta(days=1)
@@ -388,6 +388,73 @@ def stream_with_bad_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_gold()
 
 
+def _with_revisions(spark: SparkSession, sf_dir: str, streamed: bool) -> DataFrame:
+    """Gold after a load of older versions of some archives and after the newer ones landed.
+
+    A stream learns of a newer version of an archive only if it left the older one out.
+    """
+    replaced = [derived.REFUSED_HOUR] if streamed else [derived.REFUSED_HOUR, derived.REVISED_HOUR]
+    raw, newer = derived.revised_zone(spark, sf_dir), derived.raw_zone(spark, sf_dir)
+    first, last = derived.date_bounds(spark, sf_dir)
+    lake = _new_lake(spark, "revised")
+
+    def load() -> DataFrame:
+        if streamed:
+            incremental.stream_refresh(
+                lake, raw, f"{lake.root}/checkpoint", _index(spark)
+            ).awaitTermination()
+        else:
+            end = last + timedelta(days=1)
+            jobs.backfill(lake, raw, first, end, _index(spark), mode="quarantine")
+        return lake.read_gold()
+
+    before = scratch_dir(spark, "before")
+    load().write.parquet(before)
+    for hour in replaced:
+        derived.replace_archives(spark, raw, newer, derived.first_hour(spark, sf_dir, hour))
+    after = load()
+    stages = {"before": spark.read.parquet(before), "after": after}
+    found = [rows.select(F.lit(s).alias("stage"), *GOLD.names) for s, rows in stages.items()]
+    return found[0].unionByName(found[1])
+
+
+def repaired_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One archive that Silver refused and one that was good, both replaced by newer versions."""
+    return _with_revisions(spark, sf_dir, streamed=False)
+
+
+def stream_repaired_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refused archive through the stream, which goes on from its checkpoint."""
+    return _with_revisions(spark, sf_dir, streamed=True)
+
+
+def distinct_actors_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actors of each technology from the first to the middle date, from bitmaps of the builds."""
+    first, _ = derived.date_bounds(spark, sf_dir)
+    days = jobs.date_range(first, derived.middle_date(spark, sf_dir))
+    return reports.distinct_actors_range(_history(spark, sf_dir)[0].read_actors(days))
+
+
+def materialized_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came of running each of three dates as a whole and requiring its checks: the first,
+    which may lack hours, the middle one, and the day after the last, which has no full day."""
+    first, last = derived.date_bounds(spark, sf_dir)
+    raw, lake = derived.raw_zone(spark, sf_dir), _new_lake(spark, "days")
+    found = []
+    for day in sorted({first, derived.middle_date(spark, sf_dir), last + timedelta(days=1)}):
+        try:
+            jobs.materialize_day(lake, raw, day, _index(spark))
+            outcome = "passed"
+        except FileNotFoundError:
+            outcome = "hours missing"
+        except jobs.QualityError:
+            outcome = "checks failed"
+        found.append((day, outcome))
+    outcomes = spark.createDataFrame(found, "activity_date date, outcome string")
+    rows = lake.read_gold().groupBy("activity_date").agg(F.sum("event_count").alias("event_count"))
+    return outcomes.join(rows, "activity_date", "left")
+
+
 def run_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold of the middle date after its landed hours from 06:00 to 11:00 were run."""
     middle, raw = derived.middle_date(spark, sf_dir), derived.raw_zone(spark, sf_dir)
@@ -575,6 +642,10 @@ QUERIES: dict[str, Query] = {
         silver_from_archives,
         backfill_with_bad_sources,
         load_rejects,
+        repaired_source,
+        stream_repaired_source,
+        distinct_actors_range,
+        materialized_day,
         stream_with_bad_source,
         run_hours,
         replace_date,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from repo_pulse.operators import bronze, catalog, gold, silver
 from repo_pulse.plans import jobs
 from repo_pulse.session import scoped_conf
-from repo_pulse.sources import archive
+from repo_pulse.sources import archive, lakehouse
 from repo_pulse.workload import derived
 from tests.conftest import DAY, HOUR, land
 from tests.test_jobs import push
@@ -42,21 +42,39 @@ def test_lines_are_parsed_once_and_filters_do_not_repeat_it(lines_frame):
         assert plan.count("from_json(ArrayType") == 1
 
 
-def test_bronze_load_neither_shuffles_nor_sorts(spark, lake, tmp_path):
-    path = land(tmp_path, HOUR, [push()])
-    lines = archive.read_whole_archives(spark, str(tmp_path), [path])
-    plan = explained(bronze.parse_events(lines))
-    assert "Exchange" not in plan and "Sort" not in plan
-    conf = archive.whole_file_settings(spark)
-    assert set(conf) == {"spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionNum"}
+def manifest(lake, count):
+    """A planned load of so many archives, one of which has landed."""
+    names = lake.spark.range(count).selectExpr(
+        "IF(id = 0, '2024-05-02-3.json.gz', concat('absent-', id, '.json.gz')) AS source_file",
+        "DATE'2024-05-02' AS archive_date",
+        "CAST(3 AS BIGINT) AS archive_hour",
+    )
+    assert lake.plan("bronze", 1, names) == count
+    return lake.manifest("bronze", 1)
 
 
-def test_a_task_reads_one_archive(spark, tmp_path):
-    for hour in range(6):
-        land(tmp_path, HOUR.replace(hour=hour), [push()])
-    with scoped_conf(spark, archive.whole_file_settings(spark)):
-        lines = archive.read_whole_archives(spark, str(tmp_path))
-        assert lines.rdd.getNumPartitions() == 6
+def test_bronze_load_neither_shuffles_nor_sorts_and_prunes_hours(spark, lake, tmp_path):
+    land(tmp_path, HOUR, [push()])
+    land(tmp_path, HOUR.replace(hour=4), [push(hour=4)])
+    lines = archive.read_planned(spark, str(tmp_path), manifest(lake, 1), [DAY])
+    parsed = bronze.parse_events(lines, located=False)
+    assert parsed.count() == 1
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    # What is exchanged is the list of sources, never a line.
+    lines_side = plan[plan.index("Scan text") - 400 : plan.index("Scan text")]
+    assert "Exchange hashpartitioning" not in lines_side and "BroadcastHashJoin" in plan
+    assert "dynamicpruning" in explained(parsed)
+
+
+def test_plans_do_not_grow_with_the_number_of_sources(spark, lake, tmp_path, monkeypatch):
+    land(tmp_path, HOUR, [push()])
+    monkeypatch.setattr(lakehouse, "LOAD_SOURCES", 100_000)
+    sizes = []
+    for count in (1, 100_000):
+        lines = archive.read_planned(spark, str(tmp_path), manifest(lake, count), [DAY])
+        sizes.append(len(explained(lines, "simple")))
+        assert lines.count() == 1
+    assert abs(sizes[1] - sizes[0]) < 0.02 * sizes[0]
 
 
 def test_known_index_is_broadcast_and_unknown_names_drop_before_the_shuffle(spark, index):
@@ -97,12 +115,11 @@ def test_reads_prune_partitions_and_columns(spark, lake, tmp_path, index):
     jobs.run_hours(lake, str(tmp_path), [HOUR], index)
     plan = explained(lake.read_silver([DAY]).select("archive_hour"))
     assert re.search(r"PartitionFilters: \[.*event_date#\d+ (IN|=) ", plan)
-    assert "ReadSchema: struct<archive_hour:timestamp>" in plan
+    assert "payload" not in plan and "actor_login" not in plan
     plan = explained(lake.read_bronze(["2024-05-02-3.json.gz"]).select("event_id"))
-    assert re.search(r"PartitionFilters: \[.*source_file#\d+ = ", plan)
     assert "payload_json" not in plan
     plan = explained(lake.read_gold([DAY]).select("technology_id"))
-    assert re.search(r"PartitionFilters: \[.*activity_date#\d+ = ", plan)
+    assert re.search(r"PushedFilters: \[.*EqualTo\(activity_date,2024-05-02\)", plan)
 
 
 @pytest.mark.parametrize("columns", [("path",), ("path", "hour", "length")])
