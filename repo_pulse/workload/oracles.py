@@ -222,13 +222,15 @@ FROM ev"""
     ),
     "hour_normalization": _on(
         """SELECT n AS event_number,
-       CASE n % 4
+       CASE n % 6
          WHEN 0 THEN strftime(archive_hour, '%Y-%m-%dT%H:%M:%SZ')
          WHEN 1 THEN strftime(archive_hour + INTERVAL 150 MINUTE, '%Y-%m-%dT%H:%M:%S+02:30')
          WHEN 2 THEN strftime(archive_hour, '%Y-%m-%dT%H:%M:%S')
-         ELSE strftime(archive_hour, '%Y-%m-%dT%H:30:00+00:00') END AS hour_text,
-       CASE WHEN n % 4 < 2 THEN archive_hour END AS hour,
-       CASE n % 4 WHEN 2 THEN 'archive_hour must be timezone-aware'
+         WHEN 3 THEN strftime(archive_hour, '%Y-%m-%dT%H:30:00+00:00')
+         WHEN 4 THEN strftime(archive_hour, '%Y%m%dT%H%M%SZ')
+         ELSE strftime(archive_hour, '%G-W%V-%uT%HZ') END AS hour_text,
+       CASE WHEN n % 6 IN (0, 1, 4, 5) THEN archive_hour END AS hour,
+       CASE n % 6 WHEN 2 THEN 'archive_hour must be timezone-aware'
                   WHEN 3 THEN 'archive_hour must be aligned to a full UTC hour' END AS error
 FROM ev"""
     ),

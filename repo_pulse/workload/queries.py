@@ -60,21 +60,29 @@ def archive_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hour_normalization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event's hour spelled in one of four ways: UTC, with an offset, without one, and
-    not on the hour."""
+    """Each event's hour spelled in one of six ways: UTC, with an offset, without one, not on the
+    hour, without hyphens and colons, and by the week."""
     rows = derived.events(spark, sf_dir).select("event_number", "archive_hour")
     hour = F.col("archive_hour")
     at = lambda value, tail: F.concat(
         F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(tail)
     )
+    number = F.col("event_number") % 6
+    week = F.concat(
+        F.extract(F.lit("YEAROFWEEK"), hour).cast("string"),
+        F.lit("-W"),
+        F.lpad(F.weekofyear(hour).cast("string"), 2, "0"),
+        F.lit("-"),
+        (F.weekday(hour) + 1).cast("string"),
+        F.date_format(hour, "'T'HH'Z'"),
+    )
     spelling = (
-        F.when(F.col("event_number") % 4 == 0, at(hour, "Z"))
-        .when(
-            F.col("event_number") % 4 == 1,
-            at(F.timestamp_add("MINUTE", F.lit(150), hour), "+02:30"),
-        )
-        .when(F.col("event_number") % 4 == 2, at(hour, ""))
-        .otherwise(at(F.timestamp_add("MINUTE", F.lit(30), hour), "+00:00"))
+        F.when(number == 0, at(hour, "Z"))
+        .when(number == 1, at(F.timestamp_add("MINUTE", F.lit(150), hour), "+02:30"))
+        .when(number == 2, at(hour, ""))
+        .when(number == 3, at(F.timestamp_add("MINUTE", F.lit(30), hour), "+00:00"))
+        .when(number == 4, F.date_format(hour, "yyyyMMdd'T'HHmmss'Z'"))
+        .otherwise(week)
     )
     spelled = rows.select("event_number", spelling.alias("hour_text"))
     return _plain(archive.normalize_hour(spelled))

@@ -1,9 +1,11 @@
+import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from repo_pulse import schema
+from repo_pulse.functions import instants, text
 from repo_pulse.functions.text import normalize
 from repo_pulse.operators import bronze, silver
 from tests.conftest import EVENT, event, line
@@ -262,3 +264,41 @@ def test_normalize_strips_and_folds(spark):
         "x/y",
         "a b/c",
     ]
+
+
+ISO_TEXTS = [
+    "20240502T034107Z", "20240502T03:41:07Z", "2024-05-02T034107.25+0200", "2024-05-02T0341Z",
+    "20240502T03+05:30", "2024-W18-4T03:41:07Z", "2024W184T034107Z", "2024-W18T03:41:07Z",
+    "2024W18T0341-0100", "2020-W53-7T23:59:59Z", "2021-W53-1T00:00:00Z", "2021-W00-1T00:00:00Z",
+    "2024-W18-8T00:00:00Z", "2024-W18-0T00:00:00Z", "2015-W01-1T00:00:00Z", "2024-W18-4",
+    "20240502", "20240502T034107", "20241302T034107Z", "2024-W1-4T03:41:07Z", "2024-05-02T03:41:07Z",
+    "2024-05-02 03:41:07.123456+01:00", "20240230T000000Z", "2009-W53-7T12:00Z", "2024W", "W18",
+]
+
+
+def test_every_spelling_of_a_date_is_read_as_python_reads_it(spark):
+    rows = spark.createDataFrame([(t,) for t in ISO_TEXTS], "text string")
+    found = rows.select(
+        "text",
+        instants.parse_instant(F.col("text")).alias("at"),
+        instants.instant_error(F.col("text")).alias("why"),
+    ).collect()
+    for row in found:
+        try:
+            at = dt.datetime.fromisoformat(row.text)
+        except ValueError:
+            assert row["at"] is None and row.why.startswith("Invalid isoformat string"), row
+            continue
+        if at.tzinfo is None:
+            assert row["at"] is None and row.why == instants.NAIVE, row
+        else:
+            assert row["at"] == at.astimezone(dt.UTC).replace(tzinfo=None), row
+
+
+def test_case_folding_equals_that_of_python(spark):
+    every = [chr(c) for c in range(0x110000) if chr(c).casefold() != chr(c) and chr(c).isprintable()]
+    texts = ["Straße/x", " STRASSE/X\u2003", "ΣΑΣ", "İx", "plain/Name", "", "\u00a0Ǆ ﬃ ẞ\n"]
+    texts += ["a" + "".join(every[i : i + 40]) + "Z" for i in range(0, len(every), 40)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in rows.select("text", text.normalize(F.col("text")).alias("folded")).collect():
+        assert row.folded == row.text.strip().casefold(), row.text
