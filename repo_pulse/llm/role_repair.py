@@ -285,8 +285,11 @@ def with_faults(rows: DataFrame) -> DataFrame:
     last = F.right(F.rtrim(F.col("text"), F.lit(WHITE)), F.lit(1))
     fault = F.when(last == "", BLANK).when(~last.isin(*SENTENCE_ENDS), TRUNCATED).otherwise(NONE)
     conv = F.coalesce(F.col("conv_id").cast("string"), F.lit(" "))
-    # Lengths before the parts keep different parts from giving one text.
+    # Lengths before the parts keep different parts from giving one text. Rows that are gone say
+    # nothing, and are spread over the join by their places.
     said = F.concat(conv, F.lit(":"), F.length("role").cast("string"), F.lit(":"), "role", "text")
+    turn = F.coalesce(F.col("turn").cast("string"), F.lit(" "))
+    said = F.when(F.col("gone"), F.concat(conv, F.lit(" gone "), turn)).otherwise(said)
     rows = rows.select("*", fault.alias("fault"), F.unhex(F.sha2(said, 256)).alias("said"))
     spoken = rows.filter(~F.col("gone"))
     repeated = (
