@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,30 +33,46 @@ WRITER = {
 }
 
 
+PLACED = "part int, " + SCHEMA
+
+
+def cuts(docs: DataFrame, parts: int) -> np.ndarray:
+    """doc_ids that cut the documents into about as many equal parts, from a pass over the ids."""
+    shares = [k / parts for k in range(1, parts)]
+    if not shares:
+        return np.zeros(0, dtype=np.int64)
+    found = docs.agg(F.percentile_approx("doc_id", shares).alias("cuts")).first()["cuts"]
+    return np.array(found or [], dtype=np.int64)
+
+
 def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, n_tokens, ids) of each row, `end_id` behind each text, sorted by doc_id.
 
-    A null text counts as empty and gives the end id alone. A null doc_id sorts first, and rows
-    with the same doc_id follow each other in the order of their texts. Columns besides doc_id
-    and text are ignored, an empty table gives no rows.
+    Texts are encoded where they are read, so a task's memory of words serves whole files, and only
+    ids are dealt to ranges of doc_ids. A null text counts as empty and gives the end id alone. A
+    null doc_id sorts first, and rows with the same doc_id follow each other in the order of their
+    ids. Columns besides doc_id and text are ignored, an empty table gives no rows.
     """
+    docs = plain(docs, "doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ends_of_parts = cuts(docs, parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer, drops_space=True)
         for batch in pieces(batches, size=ENCODED_BYTES):
             ids, ends = with_last(*coder.encode(batch.column(1)), end_id)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+            doc_ids = batch.column(0)
+            known = pc.fill_null(doc_ids, np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            part = np.searchsorted(ends_of_parts, known).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(ends)), lists], ["doc_id", "n_tokens", "ids"]
+                [pa.array(part), doc_ids, pa.array(np.diff(ends)), lists],
+                ["part", "doc_id", "n_tokens", "ids"],
             )
 
-    docs = plain(docs, "doc_id", "text")
-    ordered = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
-    return ordered.mapInArrow(run, SCHEMA)
+    placed = docs.mapInArrow(run, PLACED).repartitionById(parts, F.col("part"))
+    return placed.sortWithinPartitions("doc_id", "ids").drop("part")
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -76,7 +93,9 @@ def starts(spark: SparkSession, path: str) -> DataFrame:
     """
     lengths = _with_places(read(spark, path)).select("file_name", "row_index", "n_tokens")
     files = lengths.groupBy("file_name").agg(F.sum("n_tokens").alias("of_file"))
-    before = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
+    # By the number in the name: the names of more than 99,999 files don't sort like it.
+    number = F.regexp_extract("file_name", r"part-(\d+)", 1).cast("bigint")
+    before = Window.orderBy(number, "file_name").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select(
         "file_name", F.coalesce(F.sum("of_file").over(before), F.lit(0)).alias("before_file")
     )

@@ -1,4 +1,6 @@
+import glob
 import hashlib
+import os
 import zlib
 
 import numpy as np
@@ -167,3 +169,16 @@ def test_empty_tables(spark):
     path = new_path(spark, "test-no-tokens")
     token_files.write(docs, path, WORD_TOKENIZER, end_id=1)
     assert token_files.digests(spark, path).count() == 0
+
+
+def test_files_are_ordered_by_number(spark):
+    """With 100,000 files and more the names have six digits."""
+    path = new_path(spark, "many-files")
+    for number in (7, 99_999, 100_000):
+        rows = spark.createDataFrame([(number, 2, [1, 2])], token_files.SCHEMA).coalesce(1)
+        rows.write.parquet(f"{path}-{number}")
+        [written] = glob.glob(f"{path}-{number}/part-*.parquet")
+        os.makedirs(path, exist_ok=True)
+        os.link(written, f"{path}/part-{number:05d}-x.c000.snappy.parquet")
+    found = token_files.digests(spark, path).collect()
+    assert {r.doc_id: r.start for r in found} == {7: 0, 99_999: 2, 100_000: 4}
