@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,8 @@ GENERALISE_FROM = 0.5
 REMOVE_FROM = 0.9
 # Bits of the filter that tells which terms are worth counting; it is broadcast.
 FILTER_BITS = 1 << 22
+# Terms whose counts a task holds before it passes them on.
+HELD_TERMS = 1 << 17
 
 SPAN = "array<struct<kind: string, start: int, end: int>>"
 MENTION = "array<struct<entity: bigint, context: bigint>>"
@@ -194,8 +197,9 @@ def detect(docs: DataFrame) -> DataFrame:
 def document_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, documents) for the given terms: how many of all texts hold each.
 
-    Terms are counted in each task for the texts it reads. A filter of fixed size, made of the
-    terms' hashes, keeps other words out of the shuffle; the join at the end is exact.
+    A task counts terms over all texts it reads and gives one row for each, or one for each
+    HELD_TERMS of them. A filter of fixed size, made of the terms' hashes, keeps other words out
+    of the shuffle; the join at the end is exact.
     """
     bits = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
     places = terms.select(bits.alias("bit")).distinct().toArrow()["bit"].to_numpy()
@@ -203,8 +207,13 @@ def document_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
     wanted[places] = True
     shared = texts.sparkSession.sparkContext.broadcast(np.packbits(wanted))
 
+    def rows(held: Counter) -> pa.RecordBatch:
+        columns = [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["term", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bit = np.unpackbits(shared.value).astype(bool)
+        held: Counter = Counter()
         for batch in pieces(batches):
             words = words_of(texts_of(batch.column(0)))
             coded = words.array().dictionary_encode()
@@ -221,10 +230,12 @@ def document_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
             pairs = np.unique(text[hit] * max(len(names), 1) + term[hit])
             n = np.bincount(pairs % max(len(names), 1), minlength=len(names))
             some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(some)).cast(pa.string()), pa.array(n[some].astype(np.int64))],
-                ["term", "n"],
-            )
+            terms_here = names.take(pa.array(some)).to_pylist()
+            held.update(dict(zip(terms_here, n[some].tolist(), strict=True)))
+            if len(held) > HELD_TERMS:
+                yield rows(held)
+                held = Counter()
+        yield rows(held)
 
     partial = texts.mapInArrow(run, "term string, n bigint")
     counts = partial.groupBy("term").agg(F.sum("n").alias("documents"))
