@@ -19,6 +19,7 @@ from repo_pulse.sources.serving import JdbcServing
 def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="repo_pulse")
     parser.add_argument("--lake", required=True, help="root folder of the tables")
+    parser.add_argument("--prefix", default="", help="what the names of the tables begin with")
     parser.add_argument("--raw", help="root folder of the archives")
     parser.add_argument("--catalog", help="TOML file of technologies; the built-in ones if absent")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -42,7 +43,7 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
 
 def run(spark: SparkSession, asked: argparse.Namespace) -> object:
     """The result of the job; `day` builds one date and requires its checks to pass."""
-    lake = Lakehouse(spark, asked.lake)
+    lake = Lakehouse(spark, asked.lake, asked.prefix)
     technologies = (
         catalog.load(spark, asked.catalog) if asked.catalog else catalog.default(spark)
     )

@@ -201,6 +201,77 @@ def lines(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataFram
     )
 
 
+# One fault in each line, by `event_number`: a pattern and what takes its place. A key that is
+# renamed is missing, a member put before or behind another one of the same name is the one that
+# counts if it stands last.
+BRONZE_FAULTS = (
+    (r"\A\z", ""),
+    (r'^\{"id": "\d+", ', "{"),
+    (r'"type": "\w+"', '"type": null'),
+    (r'"type": "\w+"', '"type": ["x"]'),
+    (r'("created_at": "[^"]*)Z"', '$1"'),
+    (r'"created_at": "[^"]*"', '"created_at": "soon"'),
+    (r'"created_at": "[^"]*"', '"created_at": 5'),
+    (r'"public": true', '"public": "true"'),
+    (r'"actor": ', '"no_actor": '),
+    (r'"actor": ', '"actor": null, "was": '),
+    (r'("actor": \{"id": \d+)', "$1.5"),
+    (r'("actor": \{"id": \d+), "login": "[^"]*"', "$1"),
+    (r'"repo": ', '"repo": [1], "was": '),
+    (r'"repo": \{"id": (\d+)', '"repo": {"id": "$1"'),
+    (r'("repo": \{"id": \d+, "name": )"[^"]*"', '$1{"a": 1}'),
+    (r'"payload": ', '"no_payload": '),
+    (r'"payload": ', '"payload": "{}", "was": '),
+    (r"\}\z", ', "org": 5}'),
+    (r"\}\z", ', "org": {}}'),
+    (r"\}\z", ', "org": {"id": 1}}'),
+    (r"\}\z", ', "org": null}'),
+    (r"\}\z", ""),
+    (r"\A(.*)\z", "[$1]"),
+    (r"\}\z", "} 1"),
+)
+
+# Payloads in place of each event's own, by `event_number`; the first is none.
+SILVER_FAULTS = (
+    "",
+    '{"action": 1, "size": 1, "pull_request": {"merged": true}}',
+    '{"action": null}',
+    '{"size": 1.0, "pull_request": null}',
+    '{"size": true, "pull_request": []}',
+    '{"size": 3, "pull_request": {}}',
+    '{"size": null, "pull_request": {"merged": null}}',
+    '{"size": 7, "action": "closed", "pull_request": {"merged": true}}',
+    '{"size": "3", "pull_request": {"merged": "true"}}',
+)
+
+
+def _by_number(values: list[Column]) -> Column:
+    """The value whose turn it is; only that one is worked out."""
+    turn = F.col("event_number") % len(values)
+    chosen = F.when(turn == 0, values[0])
+    for i, value in enumerate(values[1:], start=1):
+        chosen = chosen.when(turn == i, value)
+    return chosen
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines with every fault a Bronze row can have, one in a line."""
+    broken = [F.regexp_replace("value", wrong, by) for wrong, by in BRONZE_FAULTS]
+    return lines(spark, sf_dir).withColumn("value", _by_number(broken))
+
+
+def faulty_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines that Bronze takes, with every fault a payload can have for Silver."""
+    renamed = F.regexp_replace("value", '"payload": ', '"was": ')
+    start = F.expr("left(renamed, length(renamed) - 1)")
+    broken = [
+        F.concat(start, F.lit(f', "payload": {payload}}}')) if payload else F.col("value")
+        for payload in SILVER_FAULTS
+    ]
+    rows = lines(spark, sf_dir).withColumn("renamed", renamed)
+    return rows.withColumn("value", _by_number(broken)).drop("renamed")
+
+
 def write_archives(rows: DataFrame, raw_root: str) -> None:
     """Write lines as gzip archives, in `event_number` order within each file.
 

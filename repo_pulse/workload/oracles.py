@@ -131,6 +131,36 @@ typed AS (
   FROM ev WHERE n % 97 <> 0
 )"""
 
+# What each of the faults is, by number; the messages are fixed values.
+_BRONZE_FAULTS = (
+    "",
+    "field 'id' is required",
+    "field 'type' must be str, got NoneType",
+    "field 'type' must be str, got list",
+    "datetime must be timezone-aware",
+    "Invalid isoformat string: 'soon'",
+    "field 'created_at' must be str, got int",
+    "field 'public' must be bool, got str",
+    "field 'actor' is required",
+    "field 'actor' must be dict",
+    "field 'actor.id' must be int, got float",
+    "field 'actor.login' is required",
+    "field 'repo' must be dict",
+    "field 'repo.id' must be int, got str",
+    "field 'repo.name' must be str, got dict",
+    "field 'payload' is required",
+    "field 'payload' must be dict",
+    "field 'org' must be dict",
+    "field 'org.id' is required",
+    "field 'org.login' is required",
+    "",
+    "invalid JSON",
+    "event must be a JSON object",
+    "invalid JSON",
+)
+_QUOTED = [message.replace("'", "''") for message in _BRONZE_FAULTS]
+_FAULT = f"nullif(({_list(_QUOTED)})[n % {len(_QUOTED)} + 1], '')"
+
 # Position of an event in the archive file that holds it.
 _FILED = f"""{_EV},
 files AS (
@@ -255,6 +285,9 @@ FROM ev"""
     "bronze_rejects": _on(
         f"SELECT source_file, source_line_number, {_ID_ERROR} AS error FROM ev WHERE n % 97 = 0"
     ),
+    "bronze_faults": _on(
+        f"SELECT source_line_number, {_AT} || {_FAULT} AS error FROM ev"
+    ),
     "bronze_payload_text": """SELECT CAST(doc_id AS VARCHAR) AS event_id, lang,
        md5(text) AS text_md5, n_chars, CAST(NULL AS VARCHAR) AS error
 FROM documents""",
@@ -267,6 +300,25 @@ FROM events""",
         "SELECT source_file, source_line_number, error FROM typed WHERE error IS NOT NULL",
         ctes=_TYPED,
     ),
+    "silver_faults": _on(
+        f"""SELECT event_id, event_type,
+       CASE n % 9 WHEN 0 THEN action WHEN 7 THEN 'closed' END AS action,
+       CASE WHEN event_type = 'PushEvent'
+            THEN CASE n % 9 WHEN 0 THEN commit_count WHEN 1 THEN 1 WHEN 5 THEN 3 WHEN 7 THEN 7 END
+            END AS commit_count,
+       CASE WHEN event_type = 'PullRequestEvent'
+            THEN CASE n % 9 WHEN 0 THEN is_merged WHEN 1 THEN true WHEN 7 THEN true END
+            END AS is_merged,
+       {_AT} || CASE
+         WHEN n % 9 = 1 THEN 'field ''payload.action'' must be str'
+         WHEN event_type = 'PushEvent' AND n % 9 IN (2, 3, 4, 6, 8)
+           THEN 'field ''payload.size'' must be int'
+         WHEN event_type = 'PullRequestEvent' AND n % 9 IN (2, 3, 4)
+           THEN 'field ''payload.pull_request'' must be dict'
+         WHEN event_type = 'PullRequestEvent' AND n % 9 IN (5, 6, 8)
+           THEN 'field ''payload.pull_request.merged'' must be bool' END AS error
+FROM ev"""
+    ),
     "catalog_index": _on(
         "SELECT repository, technology_id FROM customer_index", ctes=_CUSTOMER_INDEX
     ),
@@ -387,6 +439,13 @@ WHERE activity_date <> (SELECT first_day FROM days)
   AND (activity_date <> (SELECT last_day FROM days) OR technology_id = 'trino')""",
         ctes=_GOLD,
     ),
+    "refused_date": _on(
+        f"""SELECT {_GOLD_COLUMNS},
+       'all Gold rows must match activity_date=' || (SELECT first_day FROM days) AS said
+FROM gold""",
+        ctes=_GOLD,
+    ),
+    "command_line": _on(_ALL_GOLD, ctes=_GOLD),
     "silver_archive_hours": _on(
         "SELECT DISTINCT event_date, archive_hour FROM ev ORDER BY event_date, archive_hour"
     ),

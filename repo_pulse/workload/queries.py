@@ -11,6 +11,7 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repo_pulse import submit
 from repo_pulse.functions.instants import utc_text
 from repo_pulse.operators import bronze, catalog, gold, quality, reports, silver
 from repo_pulse.plans import jobs
@@ -120,6 +121,12 @@ def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.rejects(bronze.parse_events(derived.lines(spark, sf_dir, malformed=True)))
 
 
+def bronze_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is said of every line when each has another fault, or none."""
+    parsed = bronze.parse_events(derived.faulty_lines(spark, sf_dir))
+    return parsed.select("source_line_number", F.col(bronze.ERROR).alias("error"))
+
+
 def bronze_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document carried through a raw line as a payload member, whole."""
     documents = derived.table(spark, sf_dir, "documents")
@@ -210,6 +217,16 @@ def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.rejects(_typed(spark, sf_dir))
 
 
+def silver_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is typed and what is said when each payload has another fault, or none."""
+    parsed = bronze.parse_events(derived.faulty_payloads(spark, sf_dir))
+    typed = silver.to_silver(parsed.where(F.col(bronze.ERROR).isNull()))
+    named = typed.withColumnRenamed(bronze.ERROR, "error")
+    return named.select(
+        "event_id", "event_type", "action", "commit_count", "is_merged", "error"
+    )
+
+
 # -- catalog ----------------------------------------------------------------------------
 
 
@@ -485,6 +502,36 @@ def replace_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_gold()
 
 
+def refused_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after all its rows were offered for the first date alone, and what was said to that."""
+    first, last = derived.date_bounds(spark, sf_dir)
+    lake, rows = _new_lake(spark, "refused"), _gold(spark, sf_dir)
+    lake.replace_dates(rows, jobs.date_range(first, last))
+    said = "nothing"
+    try:
+        lake.replace_dates(rows, [first])
+    except ValueError as error:
+        said = str(error)
+    return lake.read_gold().withColumn("said", F.lit(said))
+
+
+def command_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after three commands: a backfill of all dates in two parts, and a build of the middle
+    date again for its late events."""
+    first, last = derived.date_bounds(spark, sf_dir)
+    middle, root = derived.middle_date(spark, sf_dir), scratch_dir(spark, "commands")
+    prefix = f"commands_{root[-12:]}_"
+    given = ["--lake", root, "--prefix", prefix, "--raw", derived.raw_zone(spark, sf_dir)]
+    day = timedelta(days=1)
+    for command in (
+        ["backfill", f"{first}", f"{middle}"],
+        ["backfill", f"{middle + day}", f"{last + day}", "--quarantine"],
+        ["build-gold", f"{middle}"],
+    ):
+        submit.run(spark, submit.arguments([*given, *command]))
+    return Lakehouse(spark, root, prefix).read_gold()
+
+
 # -- quality ----------------------------------------------------------------------------
 
 
@@ -630,10 +677,12 @@ QUERIES: dict[str, Query] = {
         bronze_archive_scan,
         bronze_parse,
         bronze_rejects,
+        bronze_faults,
         bronze_payload_text,
         bronze_event_members,
         silver_events,
         silver_rejects,
+        silver_faults,
         catalog_index,
         catalog_violations,
         classify_events,
@@ -657,6 +706,8 @@ QUERIES: dict[str, Query] = {
         stream_with_bad_source,
         run_hours,
         replace_date,
+        refused_date,
+        command_line,
         silver_archive_hours,
         missing_hours,
         check_complete_hours,
