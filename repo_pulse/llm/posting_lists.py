@@ -4,8 +4,8 @@ Centroids come from splitting a sample in equal halves again and again, so lists
 same length. A vector lies in the list of its nearest centroid and, near a boundary, in those of
 further centroids that are almost as near. A query finds its nearest centroids by walking a graph
 over them in memory, reads the lists of all centroids within a ratio of the nearest distance, and
-compares itself with their vectors exactly. The ratio is measured on the sample, to reach a given
-recall there.
+compares itself with their vectors exactly. Both ratios are measured on the sample: those that reach
+a given recall there with the fewest vectors read.
 """
 
 from __future__ import annotations
@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repo_pulse.llm.scratch import plain, written
-from repo_pulse.llm.vectors import common_size, is_usable, matrix, sampled
+from repo_pulse.llm.vectors import away_from, common_size, is_usable, matrix, sampled, scaled
 
 # The index is fitted to about so many vectors, and its ratio to so many queries among them.
 SAMPLE = 20_000
 CALIBRATION = 200
 MAX_LISTS = 4096
-# Boundary vectors: lists whose centroids are at most this much farther, and how many at most.
-REPLICA_RATIO = 1.05
+# Boundary vectors: how much farther the centroids of their lists may be (the fit picks one), and
+# how many lists at most.
+REPLICA_RATIOS = (1.01, 1.02, 1.05, 1.1)
 REPLICAS = 4
 TARGET_RECALL = 0.97
 RATIOS = (1.0, 1.05, 1.1, 1.15, 1.2, 1.3, 1.4, 1.6, 2.0, 3.0)
@@ -66,14 +67,16 @@ def halves(sample: np.ndarray, lists: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Centroids, a graph of near ones, and the ratio within which lists are read."""
+    """Centroids, a graph of near ones, and the ratios within which lists are read and vectors
+    replicated."""
 
     centroids: np.ndarray
     graph: np.ndarray
-    ratio: float
+    ratio: float = 1.0
+    replicas: float = REPLICA_RATIOS[0]
 
     @classmethod
-    def over(cls, centroids: np.ndarray, ratio: float) -> Index:
+    def over(cls, centroids: np.ndarray, ratio: float = 1.0) -> Index:
         apart = distances(centroids, centroids)
         near = np.argsort(apart, axis=1)[:, 1 : GRAPH_NEIGHBOURS + 1]
         # A ring over all centroids keeps the graph in one piece.
@@ -116,51 +119,66 @@ class Index:
         near = np.argpartition(apart, most - 1, axis=1)[:, :most]
         away = np.take_along_axis(apart, near, axis=1)
         # The nearest one always counts, whatever rounding says.
-        kept = away <= np.maximum(away.min(1, keepdims=True) * REPLICA_RATIO, 1e-12)
+        kept = away <= np.maximum(away.min(1, keepdims=True) * self.replicas, 1e-12)
         row, at = np.nonzero(kept)
         return row, near[row, at]
 
 
 def fit(sample: np.ndarray, rows: int, neighbours: int) -> Index:
-    """Centroids and graph; the ratio is the smallest that reaches the recall on the sample."""
+    """Centroids and graph, and the ratios that reach the recall on the sample with the fewest
+    vectors read; every list is read where none does."""
     lists = min(max(int(2 * rows**0.5) // 2, 1), MAX_LISTS, max(len(sample) // 16, 1))
     lists = 1 << (lists.bit_length() - 1)
-    index = Index.over(halves(sample, lists), 1.0)
-    row, of_list = index.lists(sample)
-    members = np.zeros((len(sample), len(index.centroids)), dtype=bool)
-    members[row, of_list] = True
+    index = Index.over(halves(sample, lists))
     queries = np.linspace(0, len(sample) - 1, min(CALIBRATION, len(sample))).astype(int)
     queries = np.unique(queries)
     apart = distances(sample[queries], sample)
     apart[np.arange(len(queries)), queries] = np.inf
     nearest = np.argsort(apart, axis=1)[:, : min(neighbours, len(sample) - 1)]
-    for ratio in RATIOS:
-        index.ratio = ratio
-        hits = [
-            members[own][:, index.walk(sample[q], ratio)].any(axis=1).mean() if len(own) else 1.0
-            for q, own in zip(queries, nearest, strict=True)
-        ]
-        if np.mean(hits) >= TARGET_RECALL:
-            return index
-    index.ratio = np.inf
+    walks = {}
+    best = (np.inf, np.inf, REPLICA_RATIOS[0])
+    for replicas in REPLICA_RATIOS:
+        index.replicas = replicas
+        row, of_list = index.lists(sample)
+        members = np.zeros((len(sample), len(index.centroids)), dtype=bool)
+        members[row, of_list] = True
+        sizes = members.sum(axis=0)
+        for ratio in RATIOS:
+            if ratio not in walks:
+                walks[ratio] = [index.walk(sample[q], ratio) for q in queries]
+            read = sum(sizes[own].sum() for own in walks[ratio])
+            hits = [
+                members[own][:, walk].any(axis=1).mean() if len(own) else 1.0
+                for walk, own in zip(walks[ratio], nearest, strict=True)
+            ]
+            if np.mean(hits) >= TARGET_RECALL:
+                best = min(best, (float(read), ratio, replicas))
+                break
+    _, index.ratio, index.replicas = best
     return index
 
 
 def nearest_in_part(
-    queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, neighbours: int
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    x: np.ndarray,
+    ids: np.ndarray,
+    neighbours: int,
+    top: float,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, distance) of each query's nearest in one part, ties to the smaller id."""
-    rough = distances(queries, x)
+    """(query, id, distance) of each query's nearest in one part, ties to the smaller id; no
+    component is larger than `top`."""
+    rough = distances(scaled(queries, top), scaled(x, top))
     rough[query_ids[:, None] == ids[None, :]] = np.inf
     k = min(neighbours, len(ids))
     limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
     limit = np.where(np.isfinite(limit), limit, np.finfo(np.float64).max)
     # Products round; everything that could belong to the nearest is measured again.
-    slack = 1e-6 * (1 + np.abs(x).max(initial=0) + np.abs(queries).max(initial=0))
+    slack = 1e-6 * (1 + 2 * x.shape[1] ** 0.5)
     out = []
     for i, q in enumerate(queries):
         near = np.flatnonzero(rough[i] <= limit[i] + slack)
-        away = np.sqrt(((x[near] - q) ** 2).sum(axis=1))
+        away = away_from(x[near], q)
         first = np.lexsort((ids[near], away))[:k]
         out.append((np.full(len(first), query_ids[i]), ids[near[first]], away[first]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
@@ -169,11 +187,13 @@ def nearest_in_part(
 def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of each query, by Euclidean distance.
 
-    Queries are the rows whose vec_id is divisible by `every` (1: all of them). Every usable row is indexed; a query's own vec_id is no candidate. Ties go to the smaller
-    vec_id; with fewer candidates all are returned. Null and zero vectors, vectors with null or
+    Queries are the rows whose vec_id is divisible by `every` (1: all of them). Every usable row is
+    indexed; a query's own vec_id is no candidate. Ties go to the smaller vec_id; with fewer candidates all are returned. Null and zero vectors, vectors with null or
     non-finite components or another number of components than the most frequent, and rows with a
-    null vec_id take no part. Rows that repeat a vec_id count once, with the nearer vector. Other
-    columns are ignored; an empty table, or one without queries, gives no rows.
+    null vec_id take no part. Rows that repeat a vec_id count once, with the nearer vector, as
+    candidates and as queries. Components may be of any size: a distance that no double holds is
+    infinite, and vectors that are tiny beside the largest one are compared with one another in full.
+    Other columns are ignored; an empty table, or one without queries, gives no rows.
     """
     spark, vectors = vectors.sparkSession, plain(vectors, "vec_id", "embedding")
     schema = "query_id bigint, rank int, vec_id bigint, score double"
@@ -187,21 +207,24 @@ def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
     if not size:
         return spark.createDataFrame([], schema)
     usable = usable.filter(F.size("embedding") == size)
+    largest = F.array_max(F.transform("embedding", F.abs))
+    rows_in_all, top = usable.agg(F.count("*"), F.max(largest)).first()
     sample = matrix(sampled(usable, "vec_id", SAMPLE).select("embedding").toArrow()[0], size)
-    index = fit(sample, usable.count(), neighbours) if len(sample) else Index.over(
-        np.zeros((1, size)), 1.0
+    index = fit(scaled(sample, top), rows_in_all, neighbours) if len(sample) else Index.over(
+        np.zeros((1, size))
     )
     shared = spark.sparkContext.broadcast(index)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, of_list = shared.value.lists(matrix(batch.column(1), size))
+            row, of_list = shared.value.lists(scaled(matrix(batch.column(1), size), top))
             yield listed(batch, row, of_list)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            found = [index.walk(q, index.ratio) for q in matrix(batch.column(1), size)]
+            asked = scaled(matrix(batch.column(1), size), top)
+            found = [index.walk(q, index.ratio) for q in asked]
             row = np.repeat(np.arange(len(found)), [len(f) for f in found])
             yield listed(batch, row, np.concatenate(found))
 
@@ -214,7 +237,7 @@ def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
     in_lists = "list bigint, vec_id bigint, embedding array<double>"
     lists = written(usable.select("vec_id", "embedding").mapInArrow(place, in_lists), "lists")
     queries = usable.filter("is_query").select("vec_id", "embedding")
-    queries = written(queries.dropDuplicates(["vec_id"]).mapInArrow(ask, in_lists), "queries")
+    queries = written(queries.dropDuplicates().mapInArrow(ask, in_lists), "queries")
 
     # Parts of a list meet parts of its queries: rows of one side are repeated for the other's.
     parts = _parts(lists, "v").join(_parts(queries, "q"), "list")
@@ -233,8 +256,9 @@ def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
             matrix(own["embedding"], size),
             own["vec_id"].to_numpy(),
             neighbours,
+            top,
         )
-        usable_ones = np.isfinite(found[2]) & (found[0] != found[1])
+        usable_ones = found[0] != found[1]
         names = ["query_id", "vec_id", "score"]
         return pa.table({n: c[usable_ones] for n, c in zip(names, found, strict=True)})
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from repo_pulse.llm.components import components
 from repo_pulse.llm.hashing import mixed
 from repo_pulse.llm.scratch import plain, written
-from repo_pulse.llm.vectors import common_size, is_usable, matrix, sampled
+from repo_pulse.llm.vectors import common_size, is_usable, matrix, sampled, scaled
 
 TREES = 8
 LEAF_ROWS = 1_000
@@ -127,6 +127,7 @@ def compare(
     With a split, the vectors before it are compared with the others only. Pairs are held for one
     block at a time; links and smallest vectors are all that is kept of them.
     """
+    x = scaled(x)
     norms = np.linalg.norm(x, axis=1)
     rough = (x / norms[:, None]).astype(np.float32)
     links, low = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
@@ -255,8 +256,9 @@ def near_duplicates(vectors: DataFrame, least: float) -> DataFrame:
     Equal vectors are one node with a number of copies. Null and zero vectors, vectors with null
     or non-finite components, vectors with another number of components than the most frequent,
     and rows with a null vec_id link with nothing and are components of their own (a null vec_id
-    gives a null component, kept false). A repeated vec_id is another vector. Other columns are
-    ignored, an empty table gives no rows.
+    gives a null component, kept false). A repeated vec_id is another vector. The size of a vector
+    plays no part, however large or small its components. Other columns are ignored, an empty table
+    gives no rows.
     """
     spark, vectors = vectors.sparkSession, plain(vectors, "vec_id", "embedding")
     rows = vectors.select(
@@ -270,12 +272,13 @@ def near_duplicates(vectors: DataFrame, least: float) -> DataFrame:
         F.count("*").alias("copies"), F.min("vec_id").alias("first")
     )
     nodes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "vectors")
-    sample = matrix(sampled(nodes, "node", SAMPLE).select("embedding").toArrow()[0], size or 1)
+    sample = sampled(nodes, "node", SAMPLE).select("embedding").toArrow()[0]
+    sample = scaled(matrix(sample, size or 1))
     forest = fit(sample / np.linalg.norm(sample, axis=1, keepdims=True), nodes.count(), least)
     shared = spark.sparkContext.broadcast(forest)
 
     def routed_of(embeddings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        x = matrix(embeddings, size)
+        x = scaled(matrix(embeddings, size))
         row, leaf = shared.value.leaves(x / np.linalg.norm(x, axis=1, keepdims=True))
         order = np.lexsort((leaf, row))
         return row[order], leaf[order]

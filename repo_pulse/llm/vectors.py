@@ -34,6 +34,24 @@ def matrix(column: pa.Array, size: int) -> np.ndarray:
     return values.astype(np.float64).reshape(len(column), size)
 
 
+def scaled(x: np.ndarray, top: np.ndarray | None = None) -> np.ndarray:
+    """Rows times a power of two that brings the largest component (or `top`) below one: squares
+    neither overflow nor vanish, and no digit is lost to it."""
+    if top is None:
+        top = np.abs(x).max(axis=1, initial=0)[:, None]
+    return np.ldexp(x, -np.frexp(top)[1])
+
+
+def away_from(x: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distance of each row from the query, whatever the size of the components; infinite
+    where it is more than a double holds."""
+    with np.errstate(over="ignore"):
+        apart = x - query
+        top = np.abs(apart).max(axis=1, initial=0)
+        near = np.sqrt((scaled(apart, np.where(np.isfinite(top), top, 1.0)[:, None]) ** 2).sum(axis=1))
+        return np.where(np.isfinite(top), np.ldexp(near, np.frexp(top)[1]), np.inf)
+
+
 def sampled(usable: DataFrame, key: str, most: int) -> DataFrame:
     """A sample of about `most` rows, never many more, the same for the same keys."""
     total = usable.count()

@@ -234,3 +234,18 @@ def test_empty_tables(spark):
     assert compact_windows.without_repeats(docs).count() == 0
     vectors = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert projection_forest.near_duplicates(vectors, 0.9).count() == 0
+
+
+def test_links_do_not_depend_on_the_size_of_vectors(spark):
+    pick = np.random.default_rng(4)
+    base = pick.standard_normal((200, 16))
+    rows = [v for v in base] + [v + 0.01 * pick.standard_normal(16) for v in base[:50]]
+    powers = pick.choice([-1000, -400, 0, 400, 1000], len(rows))
+    frame = spark.createDataFrame(
+        [(i, [float(x) for x in np.ldexp(v, int(p))]) for i, (v, p) in enumerate(zip(rows, powers, strict=True))],
+        "vec_id bigint, embedding array<double>",
+    )
+    unit = np.array([v / np.linalg.norm(v) for v in rows])
+    near = unit @ unit.T >= 0.9
+    for r in projection_forest.near_duplicates(frame, 0.9).collect():
+        assert r["n_links"] == near[r["vec_id"]].sum() - 1
