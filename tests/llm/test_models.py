@@ -6,6 +6,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from repo_pulse.llm import bloom_lm, pii, posting_lists, quality_knn
@@ -172,6 +174,107 @@ def test_language_model(spark, monkeypatch):
         assert sum(r["score"] for r in new) > sum(r["base_score"] for r in new)
 
 
+@pytest.mark.parametrize("power", [0, 900, -900])
+def test_posting_lists_of_any_size(spark, power):
+    """Squares of such components overflow or vanish; a repeated query asks with both vectors."""
+    vectors = np.array(clusters(11))
+    rows = [(i, [float(x) for x in np.ldexp(v, power)]) for i, v in enumerate(vectors)]
+    rows += [(100, rows[130][1]), (100, rows[130][1])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = posting_lists.search(frame, every=50, neighbours=10).collect()
+    assert len({(r["query_id"], r["vec_id"]) for r in got}) == len(got)
+    exact = {}
+    for q in range(0, len(vectors), 50):
+        for own in [q] + [130] * (q == 100):
+            for i, v in enumerate([*vectors, vectors[130]]):
+                name = 100 if i == len(vectors) else i
+                d = float(np.ldexp(np.sqrt(((v - vectors[own]) ** 2).sum()), power))
+                exact[q, name] = min(d, exact.get((q, name), np.inf))
+    assert all(r["score"] == exact[r["query_id"], r["vec_id"]] for r in got)
+    hits = 0
+    for q in range(0, len(vectors), 50):
+        own = {r["vec_id"] for r in got if r["query_id"] == q}
+        want = sorted((d, i) for (a, i), d in exact.items() if a == q and i != q)[:10]
+        hits += len(own & {i for _, i in want})
+    assert hits >= 0.9 * 10 * len(range(0, len(vectors), 50))
+
+
+def language(seed, texts=300, kinds=500):
+    """Words of unequal frequency, each followed by some more than by others."""
+    pick = np.random.default_rng(seed)
+    share = 1 / np.arange(1, kinds + 1)
+    follow = pick.integers(0, kinds, (kinds, 3))
+    out = []
+    for _ in range(texts):
+        own = [int(pick.choice(kinds, p=share / share.sum()))]
+        while len(own) < 60:
+            if pick.random() < 0.6:
+                own.append(int(follow[own[-1], pick.integers(3)]))
+            else:
+                own.append(int(pick.choice(kinds, p=share / share.sum())))
+        out.append([f"v{i}" for i in own])
+    return out
+
+
+def spelled_hashes(words):
+    return bloom_lm.word_hashes(pa.array([w.encode() for w in words], pa.large_binary()))
+
+
+def test_probabilities_sum_to_one(spark):
+    texts = language(1)
+    frame = spark.createDataFrame([(" ".join(t),) for t in texts], "text string")
+    for limit in (400_000, 100):
+        bound = bloom_lm.UNIGRAMS
+        try:
+            bloom_lm.UNIGRAMS = limit
+            model = bloom_lm.fit(frame, bloom_lm.word_counts(frame, lower=True))
+        finally:
+            bloom_lm.UNIGRAMS = bound
+        kinds = sorted({w for t in texts for w in t})
+        after = np.append(spelled_hashes([*kinds, "never"]), np.uint64(bloom_lm.END))
+        assert len(np.unique(after)) == len(after)
+        for before in [np.uint64(bloom_lm.START), *spelled_hashes([*kinds[::10], "unseen"])]:
+            told = 10 ** model.log10(np.full(len(after), before), after)
+            assert told.min() > 0 and abs(told.sum() - 1) < 1e-3
+
+
+def test_score_is_that_of_a_plain_model(spark):
+    """The same formula over exact counts; quantised counts move a token's score little."""
+    texts = language(2)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 10 == 0}
+    one, two = Counter(), Counter()
+    for i, t in enumerate(texts):
+        if i not in held:
+            one.update([*t, "</s>"])
+            two.update(zip(["<s>", *t], [*t, "</s>"], strict=True))
+    two = {pair: n for pair, n in two.items() if n > 1}
+    mass = Counter()
+    for (h, _), n in two.items():
+        mass[h] += n - 0.5
+    whole = sum(one.values()) + 0.1 * (len(one) + 1)
+    got = {r["doc_id"]: r for r in bloom_lm.score(documents(spark, rows)).collect()}
+    for i, t in enumerate(texts):
+        score = 0.0
+        for h, w in zip(["<s>", *t], [*t, "</s>"], strict=True):
+            n = one["</s>"] if h == "<s>" else one[h]
+            n = max(n, mass[h] + 0.5)
+            seen = max(two.get((h, w), 0) - 0.5, 0)
+            score += math.log10(seen / n + (1 - mass[h] / n) * (one[w] + 0.1) / whole)
+        assert abs(got[i]["score"] - score) < 0.03 * (len(t) + 1)
+
+
+def test_numbers_come_back_from_the_filter():
+    pick = np.random.default_rng(8)
+    keys = pick.integers(1, 1 << 62, 3000).astype(np.uint64)
+    numbers = pick.integers(1, 1 << pick.integers(1, 40, 3000))
+    entries = sum(d.sum() for d in bloom_lm.digits_of(numbers))
+    bloom = bloom_lm.LogFrequencyBloom(int(entries))
+    bloom.add_numbers(keys, numbers)
+    assert (bloom.numbers(keys) == numbers).mean() > 0.999
+    assert (bloom.numbers(keys + np.uint64(1)) > 0).mean() < 0.001
+
+
 def test_filter_never_loses_a_level():
     pick = np.random.default_rng(3)
     keys = pick.integers(1, 1 << 62, 5000).astype(np.uint64)
