@@ -2,6 +2,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -217,6 +218,112 @@ def test_passages_whose_shingles_earlier_documents_own(spark):
     assert all(got[100 * n + 50]["spans"] == "" for n in range(60))
 
 
+def plainly_agreeing(a, b):
+    """Passages of b that a holds too, shingle by shingle, as the operator defines them."""
+    n, width = compact_windows.SHINGLE_WORDS, compact_windows.MIN_WORDS - 4
+    of_a = [tuple(a[i : i + n]) for i in range(len(a) - n + 1)]
+    of_b = [tuple(b[i : i + n]) for i in range(len(b) - n + 1)]
+    places = {}
+    for i, shingle in enumerate(of_a):
+        places.setdefault(shingle, []).append(i)
+    stretches = []
+    for j, shingle in enumerate(of_b):
+        if shingle not in places:
+            continue
+        options = places[shingle]
+        if stretches and j - stretches[-1][-1][1] <= compact_windows.GAP + 1:
+            own = stretches[-1]
+            start, last = own[-1]
+            if len(own) == 1:
+                start = compact_windows.closest_start(places[of_b[last]], options, j - last)
+            near = min(options, key=lambda place: abs(place - start - j + last))
+            if abs(near - start - j + last) <= compact_windows.SHIFT:
+                own[-1:] = [(start, last), (near, j)]
+                continue
+        stretches.append([(options[0], j)])
+    found = []
+    while stretches:
+        own = stretches.pop()
+        start, end = own[0][1], own[-1][1] + 1
+        if end - start < width or len(own) < compact_windows.SIMILARITY * width:
+            continue
+        in_a = set(of_a[min(i for i, _ in own) : max(i for i, _ in own) + 1])
+        in_b = set(of_b[start:end])
+        if len(in_a & in_b) >= compact_windows.SIMILARITY * len(in_a | in_b):
+            found.append((start, end + n - 1))
+            continue
+        gaps = [max(y[1] - x[1], abs(y[0] - x[0])) for x, y in zip(own[:-1], own[1:], strict=True)]
+        cut = gaps.index(max(gaps)) + 1
+        stretches += [own[:cut], own[cut:]]
+    return sorted(found)
+
+
+def changed(pick, base):
+    """The words with some of them replaced, left out, put in or moved."""
+    out = list(base)
+    for _ in range(pick.choice([0, 0, 1, 3, 10, 40])):
+        at, what = pick.randrange(len(out)), pick.randrange(4)
+        if what == 0:
+            out[at] = f"x{pick.randrange(9)}"
+        elif what == 1 and len(out) > 1:
+            del out[at]
+        elif what == 2:
+            out.insert(at, "y")
+        else:
+            out[at : at + pick.randrange(1, 40)] = [f"z{k}" for k in range(pick.randrange(1, 40))]
+    return out
+
+
+def test_passages_are_followed_as_one_shingle_after_the_other():
+    pick = random.Random(3)
+    pairs = []
+    for _ in range(600):
+        vocabulary = pick.choice([1, 2, 5, 40, 10**6])
+        base = [f"w{pick.randrange(vocabulary)}" for _ in range(pick.choice([60, 150, 400]))]
+        pairs.append((changed(pick, base), changed(pick, base)))
+    pairs += [([], base), (base, []), (base[:4], base[:4])]
+    columns = (pa.array([" ".join(words) for words in side]) for side in zip(*pairs, strict=True))
+    found = 0
+    for (a, b), in_a, in_b in zip(pairs, *compact_windows.shingles_of(*columns), strict=True):
+        want = plainly_agreeing(a, b)
+        assert compact_windows.agreeing(in_a, in_b) == want
+        found += len(want)
+    assert found > 200
+
+
+def test_passages_against_all_pairs(spark):
+    """Documents of a few common sentences, with whole and changed copies of passages: a third of
+    all rows hold the same one."""
+    pick = random.Random(17)
+    shared = [prose(3000 + i, pick.randrange(50, 120), 10**6).split() for i in range(12)]
+    rows = []
+    for i in range(150):
+        text = prose(4000 + i, pick.randrange(30, 120), 3000 if i % 2 else 10**6).split()
+        for passage in (shared[0],) if i % 3 == 0 else pick.sample(shared, pick.randrange(3)):
+            own = list(passage)
+            if pick.random() < 0.5:
+                own[pick.randrange(len(own))] = "other"
+            at = pick.randrange(len(text))
+            text[at:at] = own
+        rows.append((i, " ".join(text)))
+    got = {r["doc_id"]: r for r in compact_windows.report(documents(spark, rows)).collect()}
+    wanted = held = both = 0
+    links = []
+    for i, text in rows:
+        plain, told = set(), set()
+        for j, earlier in rows[:i]:
+            spans = plainly_agreeing(words(earlier), words(text))
+            links += [(i, j)] * bool(spans)
+            for start, end in spans:
+                plain |= set(range(start, end))
+        for span in filter(None, got[i]["spans"].split(",")):
+            told |= set(range(*map(int, span.split(":"))))
+        wanted, held, both = wanted + len(plain), held + len(told), both + len(plain & told)
+    assert both >= 0.99 * wanted and both >= 0.99 * held, (wanted, held, both)
+    group = merged([i for i, _ in rows], links)
+    assert sum(got[i]["component_id"] != group[i] for i in group) <= 2
+
+
 def test_repeats_of_long_and_equal_documents(spark):
     text = prose(77, 3000, 10**6)
     rows = [(i, text) for i in range(30)] + [(40, text + " " + prose(78, 100))]
