@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# With it a query's shuffle files go when it ends, not when the driver's memory is next cleaned.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,10 +28,21 @@ def new_path(spark: SparkSession, purpose: str) -> str:
 
 
 def written(frame: DataFrame, purpose: str) -> DataFrame:
-    """The frame, written once and read back: lost executors cost no recomputation."""
+    """The frame, written once and read back: lost executors cost no recomputation.
+
+    The shuffle files behind it are of no more use then and don't stay on the executors' disks.
+    """
     spark = frame.sparkSession
     path = new_path(spark, purpose)
-    frame.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
