@@ -218,6 +218,29 @@ def test_passages_whose_shingles_earlier_documents_own(spark):
     assert all(got[100 * n + 50]["spans"] == "" for n in range(60))
 
 
+def test_passages_of_documents_with_others_between(spark, monkeypatch):
+    """Neither the first document with a shingle of a passage nor the one before holds it whole."""
+    rows = []
+    for n in range(40):
+        passage = prose(7000 + n, 64, 10**6).split()
+        for i in range(10):
+            part = passage[:48] if i % 2 else passage[16:]
+            around = prose(n * 70 + i, 30, 10**6), prose(n * 80 + i, 30, 10**6)
+            rows.append((100 * n + 10 * i, f"{around[0]} {' '.join(part)} {around[1]}"))
+        for i in (25, 65):
+            around = prose(n * 90 + i, 40, 10**6), prose(n * 110 + i, 40, 10**6)
+            rows.append((100 * n + i, f"{around[0]} {' '.join(passage)} {around[1]}"))
+    for block in (1000, 3):
+        monkeypatch.setattr(compact_windows, "BLOCK", block)
+        got = {r["doc_id"]: r for r in compact_windows.report(documents(spark, rows)).collect()}
+        found = sum(
+            (got[100 * n + 65]["spans"], got[100 * n + 65]["component_id"]) == ("40:104", 100 * n + 25)
+            for n in range(40)
+        )
+        assert found >= 39, found
+        assert all(got[d]["spans"] == "" for d, _ in rows if d % 100 != 65)
+
+
 def plainly_agreeing(a, b):
     """Passages of b that a holds too, shingle by shingle, as the operator defines them."""
     n, width = compact_windows.SHINGLE_WORDS, compact_windows.MIN_WORDS - 4
