@@ -43,7 +43,8 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
 
 def run(spark: SparkSession, asked: argparse.Namespace) -> object:
     """The result of the job; `day` builds one date and requires its checks to pass."""
-    lake = Lakehouse(spark, asked.lake, asked.prefix)
+    # Names begin with nothing unless a prefix is given.
+    lake = Lakehouse(spark, asked.lake, *filter(None, [asked.prefix]))
     technologies = (
         catalog.load(spark, asked.catalog) if asked.catalog else catalog.default(spark)
     )
