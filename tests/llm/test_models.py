@@ -1,5 +1,6 @@
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -275,6 +276,19 @@ def test_numbers_come_back_from_the_filter():
     assert (bloom.numbers(keys + np.uint64(1)) > 0).mean() < 0.001
 
 
+def test_a_published_filter_is_mapped_not_sent(spark):
+    """What workers unpickle holds no bits; what they map gives the same levels."""
+    pick = np.random.default_rng(5)
+    keys = pick.integers(1, 1 << 62, 5000).astype(np.uint64)
+    levels = pick.integers(1, 20, 5000)
+    bloom = bloom_lm.LogFrequencyBloom(int(levels.sum()))
+    bloom.add(keys, levels)
+    sent = pickle.dumps(bloom.published(spark))
+    assert len(sent) < 1000
+    got = pickle.loads(sent)
+    assert isinstance(got.bits, np.memmap) and (got.levels(keys, 40) == bloom.levels(keys, 40)).all()
+
+
 def test_filter_never_loses_a_level():
     pick = np.random.default_rng(3)
     keys = pick.integers(1, 1 << 62, 5000).astype(np.uint64)
