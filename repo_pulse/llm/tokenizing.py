@@ -15,12 +15,23 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from repo_pulse.llm.arrow_text import IS_SPACE, Texts, binary_array, texts_of, words_of
+from repo_pulse.llm.arrow_text import (
+    IS_SPACE,
+    Texts,
+    binary_array,
+    group_sums,
+    ranges,
+    texts_of,
+    words_of,
+)
 
 # White space beyond ASCII. A byte-level tokenizer may join it with white space next to it, so a
 # text with such a character is encoded in one go.
 WIDE_SPACE = "[\u0085   -     　]"
 
+# What the last id of a word's run ends in, in vocabularies of words.
+WORD_END = "</w>"
+
 # Different pieces a Python worker remembers from batch to batch, and their longest.
 REMEMBERED = 400_000
 REMEMBERED_BYTES = 32
@@ -28,6 +39,17 @@ REMEMBERED_BYTES = 32
 # Pieces are handed to the library in strings of so many, with a special token between them.
 JOINED = 2_000
 
+# Words of printable ASCII without ' and < fall into runs of letters, single digits and runs of
+# other characters, each with ids of its own of which only the last ends a word. So their ids can
+# be told apart when blanks join them, which costs the library less; so many at a time.
+PLAIN_JOINED = 20_000
+LETTER, DIGIT, MARK, OTHER = 1, 2, 3, 0
+KINDS = np.full(256, OTHER, dtype=np.uint8)
+KINDS[0x21:0x7F] = MARK
+KINDS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1)]] = LETTER
+KINDS[ord("0") : ord("9") + 1] = DIGIT
+KINDS[[ord("'"), ord("<")]] = OTHER
+
 
 # Number of each piece asked for; ends and values of the ids of all numbered pieces.
 Numbered = tuple[np.ndarray, np.ndarray, np.ndarray]
@@ -48,6 +70,11 @@ class Encoder:
         self.special = [token.content.encode() for token in added.values()]
         self.mark = next(t.content for t in added.values() if t.special and not t.normalized)
         self.mark_id = self.tokenizer.token_to_id(self.mark)
+        self.ends_word = np.zeros(0, dtype=bool)
+        if drops_space:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         # Ids of the remembered pieces lie in a row; a piece's number tells where.
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(0, dtype=np.int32)
@@ -87,7 +114,7 @@ class Encoder:
         # Short ones first: these are the ones to remember.
         lengths = np.fromiter((len(units[i]) for i in new), dtype=np.int64, count=len(new))
         new = new[np.argsort(lengths > REMEMBERED_BYTES, kind="stable")]
-        sizes, values = self._encode_new([units[i] for i in new])
+        sizes, values = self._encode_words([units[i] for i in new])
         number[new] = len(known) + np.arange(len(new))
         ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
         ids = np.concatenate([self.ids, values])
@@ -99,6 +126,28 @@ class Encoder:
             self.ids = ids[: self.ends[-1]].copy()
         return number, ends, ids
 
+    def _encode_words(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each unit, and all ids in a row."""
+        runs = runs_in(units) if self.drops_space else np.zeros(len(units), dtype=np.int64)
+        some, others = np.flatnonzero(runs), np.flatnonzero(runs == 0)
+        if not len(some):
+            return self._encode_new(units)
+        sizes = np.zeros(len(units), dtype=np.int64)
+        parts = []
+        for at in range(0, len(some), PLAIN_JOINED):
+            own = some[at : at + PLAIN_JOINED]
+            ids = self._plain(b" ".join([units[i] for i in own]))
+            last = np.flatnonzero(self.ends_word[ids])[np.cumsum(runs[own]) - 1]
+            sizes[own] = np.diff(last, prepend=-1)
+            parts.append(ids)
+        if len(others):
+            sizes[others], ids = self._encode_new([units[i] for i in others])
+            parts.append(ids)
+        order = np.concatenate([some, others])
+        starts = np.zeros(len(units), dtype=np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return sizes, np.concatenate(parts)[ranges(starts, sizes)]
+
     def _encode_new(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes, values = [], []
         for at in range(0, len(units), JOINED):
@@ -120,6 +169,18 @@ class Encoder:
         return np.array(encoded[0].ids, dtype=np.int32)
 
 
+def runs_in(units: list[bytes]) -> np.ndarray:
+    """Runs of each word of characters whose KINDS are known, 0 for other words."""
+    lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+    kinds = KINDS[np.frombuffer(b"".join(units), dtype=np.uint8)]
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    opens = np.ones(len(kinds), dtype=np.int64)
+    opens[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+    opens[bounds[:-1][lengths > 0]] = 1
+    odd = group_sums((kinds == OTHER).astype(np.int64), bounds)
+    return np.where(odd > 0, 0, group_sums(opens, bounds))
+
+
 def assemble(
     units: pa.Array, of_text: np.ndarray, lookup: Callable[[list[bytes]], Numbered]
 ) -> tuple[np.ndarray, np.ndarray]:

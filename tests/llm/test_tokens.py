@@ -44,6 +44,30 @@ def test_cut_texts_encode_as_whole_texts(libraries, texts):
         assert got == [plain(library, t) for t in texts]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abZ'9._-<| é", max_size=20)))
+def test_words_joined_by_blanks_encode_as_whole_texts(libraries, texts):
+    import pyarrow as pa
+
+    coder = Encoder(WORD_TOKENIZER, True)
+    ids, ends = coder.encode(pa.array(texts, pa.string()))
+    got = [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    assert got == [plain(libraries[0], t) for t in texts]
+
+
+def test_few_words_need_a_mark_between_them(libraries, monkeypatch):
+    """Only words beyond ASCII, or with an apostrophe or `<`, are parted by a special token."""
+    import pyarrow as pa
+
+    coder, marked = Encoder(WORD_TOKENIZER, True), []
+    own = coder._encode_new
+    monkeypatch.setattr(coder, "_encode_new", lambda units: marked.extend(units) or own(units))
+    text = "Over 12,5 dogs... don't jump (é) <b>  again_and-again!"
+    ids, _ = coder.encode(pa.array([text]))
+    assert ids.tolist() == plain(libraries[0], text)
+    assert sorted(marked) == sorted(w.encode() for w in ("don't", "(é)", "<b>"))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="abthe'sdΣİéẞ1½漢<|endoftext|>", min_size=1, max_size=70)))
 def test_merges_equal_the_library(libraries, units):
