@@ -80,7 +80,8 @@ class Packer:
             raise ValueError("every limit must be at least 1")
         self.limits = limits.vector()
         self.waiting: list[Piece] = []
-        self.demands = np.zeros((POOL, 3))
+        # A row for each limit, so that a limit is compared in one step.
+        self.demands = np.zeros((3, POOL))
 
     def add(self, piece: Piece) -> Iterator[list[Piece]]:
         """Take a document; yields the sequences that are full."""
@@ -115,27 +116,27 @@ class Packer:
                 yield part
 
     def _wait(self, piece: Piece) -> None:
-        self.demands[len(self.waiting)] = np.array(piece.demand) / self.limits
+        self.demands[:, len(self.waiting)] = np.array(piece.demand) / self.limits
         self.waiting.append(piece)
 
     def _take(self, i: int) -> Piece:
         taken, last = self.waiting[i], self.waiting.pop()
         if i < len(self.waiting):
             self.waiting[i] = last
-            self.demands[i] = self.demands[len(self.waiting)]
+            self.demands[:, i] = self.demands[:, len(self.waiting)]
         return taken
 
     def _fill(self) -> list[Piece]:
         room, sequence = self.limits.copy(), []
         while self.waiting and room[0] >= 1 and room[1] >= 1:
-            demands, left = self.demands[: len(self.waiting)], room / self.limits
-            fits = (demands <= left + 1e-9).all(axis=1)
-            gains = np.where(fits, demands @ left, -1.0)
+            demands, left = self.demands[:, : len(self.waiting)], room / self.limits
+            tokens, segments, loss = demands <= left[:, None] + 1e-9
+            gains = np.where(tokens & segments & loss, left @ demands, -1.0)
             best = int(gains.argmax())
             if gains[best] >= 0:
                 piece = self._take(best)
             else:
-                best = int(demands[:, 0].argmax())
+                best = int(demands[0].argmax())
                 at = self.waiting[best].fitting(room)
                 if at < 1:
                     break

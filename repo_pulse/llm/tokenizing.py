@@ -7,9 +7,11 @@ encoded once, and the ids are put together again. This gives the ids of encoding
 from __future__ import annotations
 
 import functools
+import json
 import os
 import zlib
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ from repo_pulse.llm.arrow_text import (
     Texts,
     binary_array,
     group_sums,
+    lower_ascii,
     ranges,
     texts_of,
     words_of,
@@ -31,6 +34,8 @@ WIDE_SPACE = "[\u0085   -     　]"
 
 # What the last id of a word's run ends in, in vocabularies of words.
 WORD_END = "</w>"
+# How a blank is written in byte-level vocabularies.
+BLANK = "Ġ"
 
 # Different pieces a Python worker remembers from batch to batch, and their longest.
 REMEMBERED = 400_000
@@ -49,6 +54,12 @@ KINDS[0x21:0x7F] = MARK
 KINDS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1)]] = LETTER
 KINDS[ord("0") : ord("9") + 1] = DIGIT
 KINDS[[ord("'"), ord("<")]] = OTHER
+# Other words have a word between them that is one id, if none of them holds its character.
+BETWEEN = "~"
+# To a byte-level tokenizer a blank in front of these starts a run, and no id goes on across it.
+BEHIND_BLANK = np.zeros(256, dtype=bool)
+BEHIND_BLANK[0x21:] = True
+BEHIND_BLANK[[ord("<"), 0x7F]] = False
 
 
 # Number of each piece asked for; ends and values of the ids of all numbered pieces.
@@ -60,7 +71,7 @@ class Encoder:
 
     def __init__(self, path: str, drops_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -70,11 +81,19 @@ class Encoder:
         self.special = [token.content.encode() for token in added.values()]
         self.mark = next(t.content for t in added.values() if t.special and not t.normalized)
         self.mark_id = self.tokenizer.token_to_id(self.mark)
-        self.ends_word = np.zeros(0, dtype=bool)
-        if drops_space:
-            vocabulary = self.tokenizer.get_vocab()
-            self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.normalizer = self.tokenizer.normalizer
+        self.nothing = normalizers.Sequence([])
+        self.folds = drops_space and folds_case(json.loads(self.tokenizer.to_str())["normalizer"])
+        # The ids that end a run, or start with the blank in front of one.
+        vocabulary = self.tokenizer.get_vocab()
+        bounds = [
+            i
+            for t, i in vocabulary.items()
+            if (t.endswith(WORD_END) if drops_space else t.startswith(BLANK))
+        ]
+        self.at_bound = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.at_bound[bounds] = True
+        self.between_id = vocabulary.get(BETWEEN + WORD_END) if drops_space else None
         # Ids of the remembered pieces lie in a row; a piece's number tells where.
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(0, dtype=np.int32)
@@ -85,6 +104,8 @@ class Encoder:
         texts = texts_of(column)
         if self.drops_space:
             cut = words_of(texts)
+            if self.folds:
+                cut.data = folded(cut.data, cut.offsets)
             return assemble(cut.array(), cut.of_text, self._lookup)
         wide = pc.fill_null(pc.match_substring_regex(column, WIDE_SPACE), False)
         starts = self._unit_starts(texts, wide.to_numpy(zero_copy_only=False))
@@ -107,7 +128,7 @@ class Encoder:
     def _lookup(self, units: list[bytes]) -> Numbered:
         """Number of each unit, and the ids of all numbered units: their ends and values."""
         known = self.known
-        number = np.fromiter((known.get(u, -1) for u in units), dtype=np.int64, count=len(units))
+        number = np.fromiter(map(known.get, units, repeat(-1)), dtype=np.int64, count=len(units))
         new = np.flatnonzero(number < 0)
         if not len(new):
             return number, self.ends, self.ids
@@ -128,7 +149,7 @@ class Encoder:
 
     def _encode_words(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each unit, and all ids in a row."""
-        runs = runs_in(units) if self.drops_space else np.zeros(len(units), dtype=np.int64)
+        runs = runs_in(units) if self.drops_space else behind_blank(units)
         some, others = np.flatnonzero(runs), np.flatnonzero(runs == 0)
         if not len(some):
             return self._encode_new(units)
@@ -136,9 +157,13 @@ class Encoder:
         parts = []
         for at in range(0, len(some), PLAIN_JOINED):
             own = some[at : at + PLAIN_JOINED]
-            ids = self._plain(b" ".join([units[i] for i in own]))
-            last = np.flatnonzero(self.ends_word[ids])[np.cumsum(runs[own]) - 1]
-            sizes[own] = np.diff(last, prepend=-1)
+            joint = b" " if self.drops_space else b""
+            ids = self._plain(joint.join([units[i] for i in own]), normal=self.folds)
+            bounds = np.flatnonzero(self.at_bound[ids])
+            if self.drops_space:
+                sizes[own] = np.diff(bounds[np.cumsum(runs[own]) - 1], prepend=-1)
+            else:
+                sizes[own] = np.diff(bounds, append=len(ids))
             parts.append(ids)
         if len(others):
             sizes[others], ids = self._encode_new([units[i] for i in others])
@@ -152,23 +177,54 @@ class Encoder:
         sizes, values = [], []
         for at in range(0, len(units), JOINED):
             group = units[at : at + JOINED]
-            joined = self.mark.encode().join(group)
-            if any(s in b"".join(group) for s in self.special):
+            held = b"".join(group)
+            if any(s in held for s in self.special):
                 parts = [self._plain(unit) for unit in group]
                 sizes.append(np.array([len(p) for p in parts], dtype=np.int64))
                 values.extend(parts)
                 continue
-            ids = self._plain(joined)
-            marks = np.flatnonzero(ids == self.mark_id)
+            mark, mark_id = self.mark, self.mark_id
+            if self.between_id is not None and BETWEEN.encode() not in held:
+                mark, mark_id = f" {BETWEEN} ", self.between_id
+            ids = self._plain(mark.encode().join(group))
+            marks = np.flatnonzero(ids == mark_id)
             sizes.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
             values.append(np.delete(ids, marks))
         return np.concatenate(sizes), np.concatenate(values)
 
-    def _plain(self, text: bytes) -> np.ndarray:
-        encoded = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)
+    def _plain(self, text: bytes, normal: bool = False) -> np.ndarray:
+        """The ids of a text; a `normal` one is as the normalizer would leave it."""
+        if normal:
+            self.tokenizer.normalizer = self.nothing
+        try:
+            encoded = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)
+        finally:
+            if normal:
+                self.tokenizer.normalizer = self.normalizer
         return np.array(encoded[0].ids, dtype=np.int32)
 
 
+def folds_case(normalizer: dict | None) -> bool:
+    """Whether a normalizer turns A-Z into a-z and leaves other printable ASCII as it is."""
+    steps = (normalizer or {}).get("normalizers", [normalizer] if normalizer else [])
+    blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    known = all(s["type"] in ("NFC", "Lowercase") or s == blanks for s in steps)
+    return known and any(s["type"] == "Lowercase" for s in steps)
+
+
+def folded(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The bytes of words with A-Z as a-z in those of characters whose KINDS are known.
+
+    Other words may hold a special token, or a letter that a normalizer joins to a mark behind it.
+    """
+    lower = lower_ascii(data)
+    odd = np.searchsorted(offsets, np.flatnonzero(KINDS[data] == OTHER), side="right") - 1
+    odd = odd[np.diff(odd, prepend=-1) > 0]
+    own = ranges(offsets[odd], offsets[odd + 1] - offsets[odd])
+    lower[own] = data[own]
+    return lower
+
+
 def runs_in(units: list[bytes]) -> np.ndarray:
     """Runs of each word of characters whose KINDS are known, 0 for other words."""
     lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
@@ -181,6 +237,18 @@ def runs_in(units: list[bytes]) -> np.ndarray:
     return np.where(odd > 0, 0, group_sums(opens, bounds))
 
 
+def behind_blank(units: list[bytes]) -> np.ndarray:
+    """1 for each unit of one blank and characters that BEHIND_BLANK has, 0 for other units."""
+    lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+    raw = np.frombuffer(b"".join(units), dtype=np.uint8)
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    odd = ~BEHIND_BLANK[raw]
+    found = lengths > 1
+    found[found] = raw[bounds[:-1][found]] == ord(" ")
+    odd[bounds[:-1][found]] = False
+    return (found & (group_sums(odd.astype(np.int64), bounds) == 0)).astype(np.int64)
+
+
 def assemble(
     units: pa.Array, of_text: np.ndarray, lookup: Callable[[list[bytes]], Numbered]
 ) -> tuple[np.ndarray, np.ndarray]:

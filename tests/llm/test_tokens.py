@@ -68,6 +68,44 @@ def test_few_words_need_a_mark_between_them(libraries, monkeypatch):
     assert sorted(marked) == sorted(w.encode() for w in ("don't", "(é)", "<b>"))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aBH~<'9.é\u0301\u0331İK\u0085 \n", max_size=20)))
+def test_joined_words_encode_as_whole_texts(libraries, texts):
+    import pyarrow as pa
+
+    for path, library, drops in zip(
+        (WORD_TOKENIZER, BYTE_TOKENIZER), libraries, (True, False), strict=True
+    ):
+        ids, ends = Encoder(path, drops).encode(pa.array(texts, pa.string()))
+        got = [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        assert got == [plain(library, t) for t in texts]
+
+
+def test_few_units_behind_a_blank_need_a_mark(libraries, monkeypatch):
+    """A blank before a unit parts it from the others, but for one with `<` or more white space."""
+    import pyarrow as pa
+
+    coder, marked = Encoder(BYTE_TOKENIZER, False), []
+    own = coder._encode_new
+    monkeypatch.setattr(coder, "_encode_new", lambda units: marked.extend(units) or own(units))
+    text = "Over 12,5 dogs... don't jump (é) <b>  again_and-again! 's"
+    ids, _ = coder.encode(pa.array([text]))
+    assert ids.tolist() == plain(libraries[1], text)
+    assert sorted(marked) == [b"  again_and-again!", b" <b>", b"Over"]
+
+
+def test_words_that_differ_in_case_are_encoded_once(libraries, monkeypatch):
+    import pyarrow as pa
+
+    coder, asked = Encoder(WORD_TOKENIZER, True), []
+    own = coder._encode_words
+    monkeypatch.setattr(coder, "_encode_words", lambda units: asked.extend(units) or own(units))
+    text = "Dog dog DOG É é <|StartOfText|>"
+    ids, _ = coder.encode(pa.array([text]))
+    assert ids.tolist() == plain(libraries[0], text)
+    assert sorted(asked) == sorted(w.encode() for w in ("dog", "É", "é", "<|StartOfText|>"))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="abthe'sdΣİéẞ1½漢<|endoftext|>", min_size=1, max_size=70)))
 def test_merges_equal_the_library(libraries, units):
