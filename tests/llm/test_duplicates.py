@@ -379,3 +379,25 @@ def test_links_do_not_depend_on_the_size_of_vectors(spark):
     near = unit @ unit.T >= 0.9
     for r in projection_forest.near_duplicates(frame, 0.9).collect():
         assert r["n_links"] == near[r["vec_id"]].sum() - 1
+
+
+def test_a_line_of_many_texts_pairs_only_those_with_more_in_common(spark, monkeypatch):
+    """Texts that share a line and nothing else never meet; those with a passage around it do."""
+    line, rows = prose(1, 30, 10**6), []
+    for i in range(60):
+        rows.append((i, f"{prose(100 + i, 40, 10**6)} {line} {prose(200 + i, 40, 10**6)}"))
+    for i in (25, 55):
+        around = prose(10, 20, 10**6), prose(11, 20, 10**6)
+        rows[i] = (i, f"{prose(300 + i, 40, 10**6)} {around[0]} {line} {around[1]}")
+    met, own = [], compact_windows.narrowed
+
+    def counted(*asked):
+        pairs = own(*asked)
+        met.extend((r["x"]["doc_id"], r["y"]["doc_id"]) for r in pairs.collect())
+        return pairs
+
+    monkeypatch.setattr(compact_windows, "narrowed", counted)
+    got = {r["doc_id"]: r for r in compact_windows.report(documents(spark, rows)).collect()}
+    assert got[55]["spans"] == "40:110"
+    assert all(got[i]["spans"] == "" for i in range(60) if i != 55)
+    assert set(met) <= {(25, 55)}
