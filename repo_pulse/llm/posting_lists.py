@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repo_pulse.llm.scratch import plain, written
@@ -33,8 +33,14 @@ REPLICAS = 4
 TARGET_RECALL = 0.97
 RATIOS = (1.0, 1.05, 1.1, 1.15, 1.2, 1.3, 1.4, 1.6, 2.0, 3.0)
 GRAPH_NEIGHBOURS = 16
-# Lists and their queries are cut into parts of about so many rows, each compared in a task's turn.
-PART_ROWS = 4096
+# Neighbouring lists share a shelf of up to so many rows or numbers, each compared in a task's turn;
+# a longer list and the queries of a shelf are cut into parts of that size. Fewer rows than these
+# still make so many shelves.
+PART_ROWS = 32_768
+PART_VALUES = 1 << 21
+SHELVES = 64
+# Queries whose centroids are found in one task.
+WALKS = 128
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -114,6 +120,12 @@ class Index:
 
     def lists(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of every vector: its nearest centroid's, and those almost as near."""
+        step = max(PART_VALUES // len(self.centroids), 1)
+        found = [self._lists(x[at : at + step]) for at in range(0, max(len(x), 1), step)]
+        row = np.concatenate([row + i * step for i, (row, _) in enumerate(found)])
+        return row, np.concatenate([of_list for _, of_list in found])
+
+    def _lists(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         apart = distances(x, self.centroids)
         most = min(REPLICAS, len(self.centroids))
         near = np.argpartition(apart, most - 1, axis=1)[:, :most]
@@ -184,6 +196,89 @@ def nearest_in_part(
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def shelved(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shelf of each list, and the number of parts of each shelf.
+
+    Neighbouring lists of up to `most` rows in all share a shelf; a longer list has one for itself,
+    cut into parts. Halving leaves near lists next to each other, so a query reads few shelves.
+    """
+    shelf, held = np.zeros(len(sizes), dtype=np.int64), 0
+    for i, n in enumerate(sizes):
+        opens = i > 0 and held + n > most
+        held = n if opens else held + n
+        shelf[i] = shelf[i - 1] + opens if i else 0
+    rows = np.bincount(shelf, weights=sizes)
+    return shelf, np.maximum(np.ceil(rows / most), 1).astype(np.int64)
+
+
+def copies(
+    batch: pa.RecordBatch, index: Index, shelf: np.ndarray, parts: np.ndarray, size: int, top: float
+) -> Iterator[pa.RecordBatch]:
+    """(shelf, v, vec_id, embedding, lists): each query of a batch of (vec_id, embedding) once for
+    every part of the shelves it reads, with its lists there; a few queries at a time, so no batch
+    given back has many more numbers than PART_VALUES, however many lists a query reads."""
+    asked = scaled(matrix(batch.column(1), size), top)
+    step = max(PART_VALUES // (size * int(parts.sum())), 1)
+    for at in range(0, len(asked), step):
+        found = [np.sort(index.walk(q, index.ratio)) for q in asked[at : at + step]]
+        lists = np.concatenate(found)
+        row = np.repeat(np.arange(at, at + len(found)), [len(f) for f in found])
+        # Shelves ascend with their lists.
+        opens = np.ones(len(lists), dtype=bool)
+        opens[1:] = (row[1:] != row[:-1]) | (shelf[lists[1:]] != shelf[lists[:-1]])
+        first = np.flatnonzero(opens)
+        ends = pa.array(np.append(first, len(lists)), pa.int32())
+        read = pa.ListArray.from_arrays(ends, pa.array(lists))
+        own = parts[shelf[lists[first]]]
+        copy = np.repeat(np.arange(len(first)), own)
+        v = np.arange(len(copy)) - np.repeat(np.cumsum(own) - own, own)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(shelf[lists[first]][copy]),
+                pa.array(v),
+                *batch.take(pa.array(row[first][copy])).columns,
+                read.take(pa.array(copy)),
+            ],
+            ["shelf", "v", "vec_id", "embedding", "lists"],
+        )
+
+
+def nearest_on_shelf(
+    asked: pa.Table, own: pa.Table, size: int, neighbours: int, top: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, distance) of the nearest that each query finds in its lists of one shelf."""
+    x, ids, of_list = matrix(own["embedding"], size), own["vec_id"].to_numpy(), own["list"].to_numpy()
+    queries, query_ids = matrix(asked["embedding"], size), asked["vec_id"].to_numpy()
+    read = asked["lists"].combine_chunks()
+    row = np.repeat(np.arange(len(queries)), read.value_lengths().to_numpy())
+    wanted = read.flatten().to_numpy()
+    none = np.zeros(0, dtype=np.int64)
+    out = [(none, none, np.zeros(0))]
+    for name in np.unique(of_list):
+        members, readers = np.flatnonzero(of_list == name), row[wanted == name]
+        step = max(PART_VALUES // len(members), 1)
+        for at in range(0, len(readers), step):
+            some = readers[at : at + step]
+            out.append(
+                nearest_in_part(
+                    queries[some], query_ids[some], x[members], ids[members], neighbours, top
+                )
+            )
+    query, vec, away = (np.concatenate(c) for c in zip(*out, strict=True))
+    usable = query != vec
+    query, vec, away = query[usable], vec[usable], away[usable]
+    # A vector in several lists counts once; then the first few of each query.
+    order = np.lexsort((away, vec, query))
+    query, vec, away = query[order], vec[order], away[order]
+    new = np.ones(len(query), dtype=bool)
+    new[1:] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
+    order = np.flatnonzero(new)
+    order = order[np.lexsort((vec[order], away[order], query[order]))]
+    query, vec, away = query[order], vec[order], away[order]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    return query[rank < neighbours], vec[rank < neighbours], away[rank < neighbours]
+
+
 def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of each query, by Euclidean distance.
 
@@ -208,7 +303,10 @@ def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
         return spark.createDataFrame([], schema)
     usable = usable.filter(F.size("embedding") == size)
     largest = F.array_max(F.transform("embedding", F.abs))
-    rows_in_all, top = usable.agg(F.count("*"), F.max(largest)).first()
+    asks = F.count(F.when(F.col("is_query"), 1))
+    rows_in_all, n_queries, top = usable.agg(F.count("*"), asks, F.max(largest)).first()
+    if not n_queries:
+        return spark.createDataFrame([], schema)
     sample = matrix(sampled(usable, "vec_id", SAMPLE).select("embedding").toArrow()[0], size)
     index = fit(scaled(sample, top), rows_in_all, neighbours) if len(sample) else Index.over(
         np.zeros((1, size))
@@ -218,49 +316,44 @@ def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, of_list = shared.value.lists(scaled(matrix(batch.column(1), size), top))
-            yield listed(batch, row, of_list)
+            taken = batch.take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(of_list), *taken.columns], ["list", "vec_id", "embedding"]
+            )
+
+    in_lists = "list bigint, vec_id bigint, embedding array<double>"
+    lists = written(usable.select("vec_id", "embedding").mapInArrow(place, in_lists), "lists")
+    sizes = np.zeros(len(index.centroids), dtype=np.int64)
+    for of_list, n in lists.groupBy("list").count().collect():
+        sizes[of_list] = n
+    most = min(PART_ROWS, max(PART_VALUES // size, 1))
+    shelf, parts = shelved(sizes, min(most, max(int(sizes.sum()) // SHELVES, 1)))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
         for batch in batches:
-            asked = scaled(matrix(batch.column(1), size), top)
-            found = [index.walk(q, index.ratio) for q in asked]
-            row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            yield listed(batch, row, np.concatenate(found))
-
-    def listed(batch: pa.RecordBatch, row: np.ndarray, of_list: np.ndarray) -> pa.RecordBatch:
-        taken = batch.take(pa.array(row))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(of_list), *taken.columns], ["list", "vec_id", "embedding"]
-        )
+            yield from copies(batch, shared.value, shelf, parts, size, top)
 
-    in_lists = "list bigint, vec_id bigint, embedding array<double>"
-    lists = written(usable.select("vec_id", "embedding").mapInArrow(place, in_lists), "lists")
-    queries = usable.filter("is_query").select("vec_id", "embedding")
-    queries = written(queries.dropDuplicates().mapInArrow(ask, in_lists), "queries")
+    # Walks take long beside the size of a query, so tasks are cut by the number of queries.
+    queries = usable.filter("is_query").select("vec_id", "embedding").dropDuplicates()
+    queries = queries.repartition(min(-(-n_queries // WALKS), MAX_LISTS))
+    asked = queries.mapInArrow(
+        ask, "shelf bigint, v bigint, vec_id bigint, embedding array<double>, lists array<bigint>"
+    )
 
-    # Parts of a list meet parts of its queries: rows of one side are repeated for the other's.
-    parts = _parts(lists, "v").join(_parts(queries, "q"), "list")
-    left = _dealt(lists, parts, "v", "q")
-    right = _dealt(queries, parts, "q", "v")
-    keys = ["list", "v", "q"]
+    # A part of a shelf meets a part of its queries; rows of the shelf are repeated for the others.
+    q_parts = -(-n_queries // most)
+    left = lists.withColumn("shelf", _at(shelf, "list"))
+    left = left.withColumn("v", F.pmod(_dealt("vec_id"), _at(parts, "shelf")))
+    left = left.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_parts - 1))))
+    right = asked.withColumn("q", F.pmod(_dealt("vec_id"), F.lit(q_parts)).cast("int"))
+    keys = ["shelf", "v", "q"]
 
     def meet(own: pa.Table, asked: pa.Table) -> pa.Table:
-        if not own.num_rows or not asked.num_rows:
-            return pa.table(
-                {"query_id": np.zeros(0, int), "vec_id": np.zeros(0, int), "score": np.zeros(0)}
-            )
-        found = nearest_in_part(
-            matrix(asked["embedding"], size),
-            asked["vec_id"].to_numpy(),
-            matrix(own["embedding"], size),
-            own["vec_id"].to_numpy(),
-            neighbours,
-            top,
-        )
-        usable_ones = found[0] != found[1]
         names = ["query_id", "vec_id", "score"]
-        return pa.table({n: c[usable_ones] for n, c in zip(names, found, strict=True)})
+        if not own.num_rows or not asked.num_rows:
+            return pa.table(dict(zip(names, (np.zeros(0, int), np.zeros(0, int), np.zeros(0)))))
+        found = nearest_on_shelf(asked, own, size, neighbours, top)
+        return pa.table(dict(zip(names, found, strict=True)))
 
     found = (
         left.groupBy(*keys)
@@ -276,19 +369,10 @@ def search(vectors: DataFrame, every: int, neighbours: int) -> DataFrame:
     )
 
 
-def _parts(rows: DataFrame, name: str) -> DataFrame:
-    """(list, parts) with enough parts of about PART_ROWS rows for each list."""
-    counts = rows.groupBy("list").agg(F.count("*").alias("n"))
-    return counts.select("list", F.ceil(F.col("n") / PART_ROWS).cast("int").alias(f"{name}_parts"))
+def _dealt(key: str) -> Column:
+    return F.xxhash64(key, F.lit("part"))
 
 
-def _dealt(rows: DataFrame, parts: DataFrame, own: str, other: str) -> DataFrame:
-    """Each row in one part of its own side, once for each part of the other side."""
-    part = F.pmod(F.xxhash64("vec_id", F.lit("part")), F.col(f"{own}_parts")).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1))
-    return (
-        rows.join(parts, "list")
-        .withColumn(own, part)
-        .withColumn(other, others)
-        .select("list", "v", "q", "vec_id", "embedding")
-    )
+def _at(values: np.ndarray, place: str) -> Column:
+    """The value at the place that a column tells, from a few thousand numbers."""
+    return F.get(F.expr(f"array({','.join(f'{v}L' for v in values)})"), F.col(place).cast("int"))

@@ -344,6 +344,41 @@ def test_posting_lists(spark, monkeypatch):
     assert posting_lists.search(few, every=1, neighbours=10).count() == 12
 
 
+def test_queries_are_copied_a_few_at_a_time(monkeypatch):
+    """A query that reads every list goes once to each part of a shelf, in batches of bounded size."""
+    monkeypatch.setattr(posting_lists, "PART_VALUES", 4000)
+    pick = np.random.default_rng(2)
+    index = posting_lists.Index.over(pick.standard_normal((64, 8)), 1000.0)
+    shelf, parts = posting_lists.shelved(np.array([10] * 63 + [95]), 40)
+    assert shelf.tolist() == [i // 4 for i in range(63)] + [16] and parts.tolist() == [1] * 16 + [3]
+    x = pick.standard_normal((300, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(x.tolist())], ["vec_id", "embedding"])
+    got = list(posting_lists.copies(batch, index, shelf, parts, 8, 8.0))
+    assert max(b.num_rows for b in got) * 8 <= 4000
+    rows = pa.Table.from_batches(got).to_pylist()
+    assert len(rows) == 300 * 19
+    for r in rows:
+        assert r["embedding"] == x[r["vec_id"]].tolist()
+        assert r["lists"] == [i for i in range(64) if shelf[i] == r["shelf"]]
+    assert len({(r["vec_id"], r["shelf"], r["v"]) for r in rows}) == len(rows)
+
+
+def test_posting_lists_on_shelves_of_many_parts(spark, monkeypatch):
+    """However shelves, their parts and the parts of queries are cut, the answers are the same."""
+    vectors = np.array(clusters(13))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    told = []
+    for part_rows, part_values, shelves in ((32_768, 1 << 21, 64), (25, 1 << 21, 64), (32_768, 160, 2), (32_768, 1 << 21, 1)):
+        monkeypatch.setattr(posting_lists, "PART_ROWS", part_rows)
+        monkeypatch.setattr(posting_lists, "PART_VALUES", part_values)
+        monkeypatch.setattr(posting_lists, "SHELVES", shelves)
+        got = posting_lists.search(frame, every=5, neighbours=10).collect()
+        told.append(sorted(map(tuple, got)))
+    assert len(told[0]) == 10 * len(range(0, len(vectors), 5))
+    assert told[1:] == told[:1] * 3
+
+
 def test_walk_finds_what_a_scan_finds():
     pick = np.random.default_rng(1)
     index = posting_lists.Index.over(pick.standard_normal((256, 24)), 1.0)
