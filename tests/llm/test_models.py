@@ -265,6 +265,28 @@ def test_score_is_that_of_a_plain_model(spark):
         assert abs(got[i]["score"] - score) < 0.03 * (len(t) + 1)
 
 
+@pytest.mark.parametrize("unigrams, bigrams", [(400_000, 60), (40, 2_000_000), (40, 60), (0, 0)])
+def test_score_is_the_same_however_little_the_filter_holds(spark, monkeypatch, unigrams, bigrams):
+    texts = language(4)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(1000, "never seen v1 v2 words"), (1001, None), (1002, ""), (1003, "v3 never v3 v3 v499 v498")]
+    docs = documents(spark, rows)
+
+    def scores():
+        got = bloom_lm.score(docs).collect()
+        return {r["doc_id"]: (r["n_tokens"], r["n_known"], round(r["base_score"], 6), r["score"]) for r in got}
+
+    whole = scores()
+    monkeypatch.setattr(bloom_lm, "UNIGRAMS", unigrams)
+    monkeypatch.setattr(bloom_lm, "BIGRAMS", bigrams)
+    monkeypatch.setattr(bloom_lm, "SHARD_PAIRS", 300)
+    got = scores()
+    assert set(got) == set(whole)
+    for doc_id, (*others, score) in got.items():
+        assert others == list(whole[doc_id][:3])
+        assert abs(score - whole[doc_id][3]) < 1e-3 * others[0]
+
+
 def test_numbers_come_back_from_the_filter():
     pick = np.random.default_rng(8)
     keys = pick.integers(1, 1 << 62, 3000).astype(np.uint64)
