@@ -241,6 +241,23 @@ def test_passages_of_documents_with_others_between(spark, monkeypatch):
         assert all(got[d]["spans"] == "" for d, _ in rows if d % 100 != 65)
 
 
+@pytest.mark.parametrize("between", [6, 20])
+def test_passages_that_go_on_behind_one_found(spark, between):
+    """A few words behind a passage found in many documents stand, with its end, in one of them only."""
+    rows, passages = [], 30
+    for n in range(passages):
+        passage = prose(9000 + n, 60, 10**6).split()
+        for i in range(between + 3):
+            part = passage[8:] if i == 1 else passage if i == between + 2 else passage[:54]
+            around = prose(n * 70 + 13 * i, 40, 10**6), prose(10**5 + n * 80 + 17 * i, 40, 10**6)
+            rows.append((100 * n + i, f"{around[0]} {' '.join(part)} {around[1]}"))
+    got = {r["doc_id"]: r for r in compact_windows.report(documents(spark, rows)).collect()}
+    last = [got[100 * n + between + 2] for n in range(passages)]
+    found = sum(r["spans"] == "40:100" for r in last)
+    assert found >= passages - 1, (found, [r["spans"] for r in last])
+    assert {r["component_id"] for r in last} == {100 * n for n in range(passages)}
+
+
 def plainly_agreeing(a, b):
     """Passages of b that a holds too, shingle by shingle, as the operator defines them."""
     n, width = compact_windows.SHINGLE_WORDS, compact_windows.MIN_WORDS - 4
